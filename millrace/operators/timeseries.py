@@ -119,11 +119,6 @@ def pacf(series: DataFrame, key: str, max_lag: int) -> DataFrame:
     return table.groupBy(key).applyInPandas(solve, f"`{key}` {kind}, lag int, pacf double")
 
 
-@F.pandas_udf("double")
-def _chi2_tail(x: pd.Series, df: pd.Series) -> pd.Series:
-    return pd.Series([tails.chi2_tail(a, b) for a, b in zip(x, df, strict=True)])
-
-
 def box_test(series: DataFrame, key: str, lag: int = 1) -> DataFrame:
     """Box-Pierce and Ljung-Box statistics with chi-square tails."""
     r2 = F.col("acf") * F.col("acf")
@@ -136,8 +131,12 @@ def box_test(series: DataFrame, key: str, lag: int = 1) -> DataFrame:
             (F.max("n") * (F.max("n") + 2) * F.sum(r2 / (F.col("n") - F.col("lag")))).alias("ljung_box"),
         )
     )
-    d = F.lit(float(lag))
-    return stats.withColumns({"p_box_pierce": _chi2_tail("box_pierce", d), "p_ljung_box": _chi2_tail("ljung_box", d)})
+
+    @F.pandas_udf("double")
+    def tail(x: pd.Series) -> pd.Series:
+        return x.map(lambda v: tails.chi2_tail(v, lag))
+
+    return stats.withColumns({"p_box_pierce": tail("box_pierce"), "p_ljung_box": tail("ljung_box")})
 
 
 # Published Dickey-Fuller critical values (constant and trend) by

@@ -143,12 +143,12 @@ def w10(t):
 
 @query(
     "W11_trailing_mean",
-    f"""SELECT key, pos, CASE WHEN count(value) OVER w = 12 THEN round(avg(value) OVER w, 2) END AS sma FROM ({MONTHLY_SQL})
+    f"""SELECT key, pos, CASE WHEN count(value) OVER w = 12 THEN round(avg(value) OVER w, 5) END AS sma FROM ({MONTHLY_SQL})
     WINDOW w AS (PARTITION BY key ORDER BY pos ROWS BETWEEN 11 PRECEDING AND CURRENT ROW)""",
 )
 def w11(t):
     out = W.trailing_mean(monthly(t), ["key"], "pos", "value", 12, "sma")
-    return out.select("key", "pos", F.round("sma", 2).alias("sma"))
+    return out.select("key", "pos", F.round("sma", 5).alias("sma"))
 
 
 TREND_SQL = f"""SELECT key, pos, ts, value, CASE WHEN count(value) OVER w = 13 THEN
@@ -156,10 +156,10 @@ TREND_SQL = f"""SELECT key, pos, ts, value, CASE WHEN count(value) OVER w = 13 T
     WINDOW w AS (PARTITION BY key ORDER BY pos ROWS BETWEEN 6 PRECEDING AND 6 FOLLOWING), o AS (PARTITION BY key ORDER BY pos)"""
 
 
-@query("W12_centred_mean", f"SELECT key, pos, round(trend, 2) AS trend FROM ({TREND_SQL})")
+@query("W12_centred_mean", f"SELECT key, pos, round(trend, 5) AS trend FROM ({TREND_SQL})")
 def w12(t):
     out = W.centred_mean(monthly(t), ["key"], "pos", "value", 12, "trend")
-    return out.select("key", "pos", F.round("trend", 2).alias("trend"))
+    return out.select("key", "pos", F.round("trend", 5).alias("trend"))
 
 
 @query("O01_arrange", "SELECT p_size, p_brand, p_partkey FROM part ORDER BY 1, 2, 3")

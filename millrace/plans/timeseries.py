@@ -10,7 +10,7 @@ from millrace.plans.registry import query
 MONTHLY_SQL = """SELECT key, ts, value, row_number() OVER (PARTITION BY key ORDER BY ts) AS pos FROM (
     SELECT o_orderpriority AS key, date_trunc('month', o_orderdate)::DATE AS ts, round(sum(o_totalprice), 2) AS value
     FROM orders GROUP BY 1, 2)"""
-HOURLY_SQL = """SELECT key, ts, value, row_number() OVER (PARTITION BY key ORDER BY ts) AS pos FROM (
+DAILY_SQL = """SELECT key, ts, value, row_number() OVER (PARTITION BY key ORDER BY ts) AS pos FROM (
     SELECT event_type AS key, date_trunc('day', ts)::DATE AS ts, round(sum(value), 2) AS value FROM events GROUP BY 1, 2)"""
 PERIOD = 12
 
@@ -25,7 +25,7 @@ def _rounded(df, keep, digits):
     return df.select(*keep, *[F.round(c, d).alias(c) for c, d in digits.items()])
 
 
-@query("T01_regular_series", HOURLY_SQL)
+@query("T01_regular_series", DAILY_SQL)
 def t01(t):
     return TS.regular_series(
         t.events.withColumnRenamed("event_type", "key"), ["key"], "ts", F.round(F.sum("value"), 2), "day"
@@ -44,20 +44,20 @@ d AS (SELECT t.key, pos, value, trend, seasonal, value - trend - seasonal AS rem
 
 @query(
     "T02_decompose",
-    PARTS_SQL + "SELECT key, pos, round(trend, 2) AS trend, round(seasonal, 2) AS seasonal, round(remainder, 2) AS remainder FROM d",
+    PARTS_SQL + "SELECT key, pos, round(trend, 5) AS trend, round(seasonal, 5) AS seasonal, round(remainder, 5) AS remainder FROM d",
 )
 def t02(t):
-    return _rounded(TS.decompose(monthly(t), "key", PERIOD), ["key", "pos"], dict.fromkeys(("trend", "seasonal", "remainder"), 2))
+    return _rounded(TS.decompose(monthly(t), "key", PERIOD), ["key", "pos"], dict.fromkeys(("trend", "seasonal", "remainder"), 5))
 
 
 @query(
     "T03_adjusted",
-    PARTS_SQL + """SELECT key, pos, round(value - seasonal, 2) AS seasonally_adjusted, round(value - trend, 2) AS detrended,
-    round(value - trend - seasonal, 2) AS doubly_adjusted FROM d""",
+    PARTS_SQL + """SELECT key, pos, round(value - seasonal, 5) AS seasonally_adjusted, round(value - trend, 5) AS detrended,
+    round(value - trend - seasonal, 5) AS doubly_adjusted FROM d""",
 )
 def t03(t):
     out = TS.adjusted(TS.decompose(monthly(t), "key", PERIOD))
-    return _rounded(out, ["key", "pos"], dict.fromkeys(("seasonally_adjusted", "detrended", "doubly_adjusted"), 2))
+    return _rounded(out, ["key", "pos"], dict.fromkeys(("seasonally_adjusted", "detrended", "doubly_adjusted"), 5))
 
 
 @query(
@@ -204,7 +204,7 @@ def t20(t):
 
 @query(
     "T21_future_index",
-    f"""SELECT key, CAST(max(ts) OVER () + to_months(CAST(h AS INTEGER)) AS DATE) AS ts, n + h AS pos, CAST(h AS INTEGER) AS h FROM
+    f"""SELECT key, CAST(ts + to_months(CAST(h AS INTEGER)) AS DATE) AS ts, n + h AS pos, CAST(h AS INTEGER) AS h FROM
     (SELECT key, max(ts) AS ts, count(*) AS n FROM ({MONTHLY_SQL}) GROUP BY 1), range(1, 25) r(h)""",
 )
 def t21(t):
