@@ -34,6 +34,12 @@ def words(c: str | Column) -> Column:
     return F.regexp_extract_all(F.lower(c), F.lit(WORD), F.lit(0))
 
 
+def _grams(w: Column, n: int) -> Column:
+    starts = F.sequence(F.lit(1), F.size(w) - (n - 1))
+    grams = F.transform(starts, lambda i: F.array_join(F.slice(w, i, n), " "))
+    return F.when(F.size(w) >= n, grams).otherwise(F.array().cast("array<string>"))
+
+
 def split_units(c: str | Column, unit: str, pattern: str | None = None, n: int = 2) -> Column:
     """Array of tokens.
 
@@ -46,9 +52,8 @@ def split_units(c: str | Column, unit: str, pattern: str | None = None, n: int =
     if unit == "characters":
         return F.regexp_extract_all(F.lower(c), F.lit(r"[\p{L}\p{N}]"), F.lit(0))
     if unit == "ngrams":
-        w = words(c)
-        grams = F.transform(F.sequence(F.lit(1), F.size(w) - (n - 1)), lambda i: F.array_join(F.slice(w, i, n), " "))
-        return F.when(F.size(w) >= n, grams).otherwise(F.array().cast("array<string>"))
+        # the outer one-element transform binds the word list once per text
+        return F.transform(F.array(words(c)), lambda w: _grams(w, n))[0]
     by = {"sentences": SENTENCE_END, "lines": "\n", "paragraphs": r"\n\s*\n", "regex": pattern}[unit]
     return F.split(c, by, -1)
 
