@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from millrace.operators.relational import count_by
+from millrace.session import stable
 
 # Fixed value: arrays longer than this are not expanded into subsets (2^n of them).
 MAX_SUBSET_ITEMS = 16
@@ -120,6 +121,7 @@ def prune_rules(found: DataFrame, by: str) -> DataFrame:
     expanded into the subsets of its items (few, as rules are short) and
     matched to the earliest rule of that very item set by an equi join.
     """
+    found = stable(found)  # mined once, read three times below
     place = F.struct((-F.round(by, 12)).alias("m"), F.array_join("antecedent", ",").alias("l"), F.array_join("consequent", ",").alias("r"))
     keyed = found.withColumn("__items", F.sort_array(F.concat("antecedent", "consequent"))).withColumn("__place", place)
     keyed = keyed.withColumn("__size", F.size("__items"))
