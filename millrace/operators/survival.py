@@ -191,9 +191,11 @@ def loglogistic_regression(df: DataFrame, time: str, event: str, x: Sequence[str
     Newton steps, each one aggregate of score and Hessian terms.
     """
     spark, p = df.sparkSession, len(x)
-    data = df.select(
-        F.log(time).alias("y"), F.col(event).cast("double").alias("d"), F.lit(1.0).alias("x0"),
-        *[F.col(c).cast("double").alias(f"x{i + 1}") for i, c in enumerate(x)],
+    data = stable(  # every step reads it again
+        df.select(
+            F.log(time).alias("y"), F.col(event).cast("double").alias("d"), F.lit(1.0).alias("x0"),
+            *[F.col(c).cast("double").alias(f"x{i + 1}") for i, c in enumerate(x)],
+        )
     )
     xs = [F.col(f"x{i}") for i in range(p + 1)]
     pairs = [(i, j) for i in range(p + 1) for j in range(i, p + 1)]
