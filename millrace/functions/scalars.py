@@ -68,6 +68,11 @@ def days_since(date: str | Column, as_of: str) -> Column:
     return F.datediff(F.lit(as_of).cast("date"), F.to_date(_col(date)))
 
 
+def in_years(date: str | Column, first: int, last: int) -> Column:
+    """Years ``first`` to ``last`` as a range of the raw column, which Parquet can skip by."""
+    return (_col(date) >= F.lit(f"{first}-01-01")) & (_col(date) < F.lit(f"{last + 1}-01-01"))
+
+
 def weighted_mean(x: str | Column, w: str | Column) -> Column:
     """Aggregate expression ``sum(x*w)/sum(w)``."""
     return F.try_divide(F.sum(_col(x) * _col(w)), F.sum(_col(w)))

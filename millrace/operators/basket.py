@@ -30,6 +30,7 @@ def transactions_from_columns(df: DataFrame, tx: str, columns: dict[str, Column]
 
 def summary(baskets: DataFrame, tx: str, top: int = 5) -> DataFrame:
     """Long ``(section, name, value)``: totals, density, most frequent items, size distribution."""
+    baskets = stable(baskets)
     items = baskets.select(F.explode("items").alias("item"))
     sizes = count_by(baskets.select(F.size("items").alias("size")), ["size"], "n")
     per_item = count_by(items, ["item"])
@@ -48,6 +49,7 @@ def summary(baskets: DataFrame, tx: str, top: int = 5) -> DataFrame:
 
 def item_frequency(baskets: DataFrame, top: int | None = None) -> DataFrame:
     """Share of transactions holding each item, greatest first."""
+    baskets = stable(baskets)
     n = baskets.count()
     out = count_by(baskets.select(F.explode("items").alias("item")), ["item"]).select(
         "item", (F.col("n") / F.lit(n)).alias("frequency")
@@ -77,26 +79,37 @@ def rules(
     means a rule with an empty left side, whose confidence is the item's
     support.  ``lhs`` and ``rhs`` fix a side.
     """
+    baskets = stable(baskets)  # counted once and scanned twice by the miner
     n = baskets.count()
-    model = FPGrowth(itemsCol="items", minSupport=support, minConfidence=confidence).fit(baskets)
-    out = model.associationRules.select(
-        F.sort_array("antecedent").alias("antecedent"), F.col("consequent"), "support", "confidence", "lift"
-    )
+    sets = stable(itemsets(baskets, support, maxlen))
+    return _rules_of(sets, n, confidence, lhs, rhs, minlen)
+
+
+def _rules_of(sets: DataFrame, n: int, confidence: float, lhs, rhs, minlen: int) -> DataFrame:
+    """Rules of mined itemsets: each set meets its subsets by equi joins on the items."""
+    made = sets.where(F.size("items") >= 2).select("items", "freq", F.explode("items").alias("rhs"))
+    made = made.withColumn("antecedent", F.array_remove("items", F.col("rhs")))
+    left = sets.select(F.col("items").alias("antecedent"), F.col("freq").alias("left_freq"))
+    single = sets.where(F.size("items") == 1).select(F.col("items")[0].alias("rhs"), F.col("freq").alias("right_freq"))
+    made = made.join(left, "antecedent")
     if minlen <= 1:
-        single = model.freqItemsets.where(F.size("items") == 1)
-        share = F.col("freq") / F.lit(n)
         empty = single.select(
-            F.array().cast("array<string>").alias("antecedent"), F.col("items").alias("consequent"),
-            share.alias("support"), share.alias("confidence"), F.lit(1.0).alias("lift"),
+            F.array().cast("array<string>").alias("antecedent"), "rhs", F.array("rhs").alias("items"),
+            F.col("right_freq").alias("freq"), F.lit(n).cast("bigint").alias("left_freq"),
         )
-        out = out.unionByName(empty.where(F.col("confidence") >= confidence))
-    length = F.size("antecedent") + F.size("consequent")
-    out = out.where((length >= minlen) & (length <= maxlen))
+        made = made.unionByName(empty)
+    made = made.withColumn("confidence", F.col("freq") / F.col("left_freq")).where(
+        (F.col("confidence") >= confidence) & (F.size("items") >= minlen)
+    )
+    out = made.join(single, "rhs").select(
+        "antecedent", F.array("rhs").alias("consequent"), (F.col("freq") / F.lit(n)).alias("support"), "confidence",
+        (F.col("confidence") / (F.col("right_freq") / F.lit(n))).alias("lift"), F.col("freq").alias("count"),
+    )
     if lhs is not None:
         out = out.where(F.col("antecedent") == F.sort_array(F.array(*[F.lit(x) for x in lhs])))
     if rhs is not None:
         out = out.where(F.col("consequent")[0] == rhs)
-    return out.withColumn("count", F.round(F.col("support") * n).cast("bigint"))
+    return out
 
 
 def rule_table(found: DataFrame) -> DataFrame:

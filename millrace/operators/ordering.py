@@ -108,8 +108,36 @@ def running(
 def positions(
     df: DataFrame, order: Sequence[str | Column], keys: Sequence[str] = (), name: str = "position"
 ) -> DataFrame:
-    """1-based position in ``order`` per key, with ``<name>_total`` the key's row count."""
-    return running(df, keys, order, sums={name: F.lit(1)})
+    """1-based position in ``order`` per key, with ``<name>_total`` the key's row count.
+
+    One global sort numbers the rows inside every range; the number a key
+    starts at comes from the row counts per (range, key).  Nothing but that
+    small table is shuffled after the sort.
+    """
+    keys = list(keys)
+    cols = [F.col(k) for k in keys] + _as_columns(order)
+    # the id holds the partition number above bit 33 and the row number below
+    numbered = stable(df.orderBy(*cols).withColumn("__id", F.monotonically_increasing_id()))
+    numbered = numbered.select(
+        *df.columns, F.shiftright("__id", 33).alias(_RANGE), F.col("__id").bitwiseAND(F.lit((1 << 33) - 1)).alias("__row")
+    )
+    parts = numbered.groupBy(_RANGE, *keys).agg(F.min("__row").alias("__first"), F.count(F.lit(1)).alias("__n"))
+    across = Window.partitionBy(*keys) if keys else Window.partitionBy(F.lit(0))
+    before = across.orderBy(_RANGE).rowsBetween(Window.unboundedPreceding, -1)
+    offsets = parts.select(
+        _RANGE,
+        *keys,
+        (F.coalesce(F.sum("__n").over(before), F.lit(0)) - F.col("__first") + 1).alias("__offset"),
+        F.sum("__n").over(across).alias(f"{name}_total"),
+    )
+    cond = F.col("a." + _RANGE) == F.col("b." + _RANGE)
+    for k in keys:
+        cond = cond & F.col(f"a.{k}").eqNullSafe(F.col(f"b.{k}"))
+    return numbered.alias("a").join(offsets.alias("b"), cond).select(
+        *[F.col(f"a.{c}").alias(c) for c in df.columns],
+        (F.col("a.__row") + F.col("b.__offset")).alias(name),
+        F.col(f"b.{name}_total").alias(f"{name}_total"),
+    )
 
 
 def ntile_global(

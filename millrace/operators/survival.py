@@ -8,6 +8,7 @@ from collections.abc import Sequence
 import numpy as np
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.regression import AFTSurvivalRegression, GeneralizedLinearRegression
+from pyspark.errors import UnsupportedOperationException
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -166,12 +167,15 @@ def exponential_regression(df: DataFrame, time: str, event: str, x: Sequence[str
     model = GeneralizedLinearRegression(
         family="poisson", link="log", labelCol="__e", offsetCol="__o", featuresCol="__f", tol=1e-10, maxIter=50
     ).fit(data)
-    se = model.summary.coefficientStandardErrors
-    terms = [("(Intercept)", -model.intercept, se[-1])] + [
-        (n, -float(c), s) for n, c, s in zip(x, model.coefficients, se, strict=False)
+    try:
+        se = model.summary.coefficientStandardErrors
+    except UnsupportedOperationException:  # a constant covariate leaves no standard errors
+        se = [None] * (len(x) + 1)
+    terms = [("(Intercept)", -float(model.intercept), se[-1])] + [
+        (n, -float(c), s) for n, c, s in zip(x, model.coefficients, se[:-1], strict=True)
     ]
     return df.sparkSession.createDataFrame(
-        [(t, float(e), float(s), float(e / s)) for t, e, s in terms], "term string, estimate double, std_error double, z double"
+        [(t, e, s, e / s if s else None) for t, e, s in terms], "term string, estimate double, std_error double, z double"
     )
 
 

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
@@ -99,7 +100,7 @@ def clean(c: str | Column, stop: Sequence[str] = ()) -> Column:
     """
     out = S.keep_ascii(F.lower(S.remove_urls(c)))
     if stop:
-        listed = "|".join(sorted(stop))
+        listed = "|".join(re.escape(w) for w in sorted(stop))
         out = F.regexp_replace(out, rf"\b({listed})\b", " ")
     out = S.remove_digits(S.remove_punctuation(out))
     return F.trim(F.regexp_replace(out, r"[ \t\r\n\f]+", " "))

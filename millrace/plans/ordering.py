@@ -2,6 +2,7 @@
 
 from pyspark.sql import functions as F
 
+from millrace.functions.scalars import in_years
 from millrace.operators import relational as R
 from millrace.operators import reshape, sampling
 from millrace.operators import windows as W
@@ -43,7 +44,7 @@ def w02(t):
 )
 def w03(t):
     sums = (
-        t.lineitem.where(F.year("l_shipdate") == 1996)
+        t.lineitem.where(in_years("l_shipdate", 1996, 1996))
         .join(t.part, F.col("l_partkey") == F.col("p_partkey"))
         .groupBy("p_name", "l_returnflag")
         .agg(F.sum("l_quantity").alias("q"))

@@ -5,6 +5,7 @@ from pyspark.sql import functions as F
 from millrace.operators import charts as C
 from millrace.operators import recommend as K
 from millrace.plans.registry import query
+from millrace.session import stable
 
 RATINGS_SQL = """SELECT o_custkey AS "user", p_brand AS item, avg(l_quantity) / 10 AS rating
     FROM lineitem JOIN orders ON l_orderkey = o_orderkey JOIN part ON l_partkey = p_partkey GROUP BY 1, 2"""
@@ -75,13 +76,15 @@ def k06(t):
     WHERE NOT EXISTS (SELECT 1 FROM r WHERE r."user" = m."user" AND r.item = i.item)) WHERE rank <= 5""",
 )
 def k07(t):
-    out = K.popular_top_n(ratings(t), ratings(t), 5)
+    known = stable(ratings(t))
+    out = K.popular_top_n(known, known, 5)
     return out.withColumn("rank", F.col("rank").cast("bigint"))
 
 
 @query("K08_predict_unknown", CENTRED_SQL + 'SELECT "user", item, round(prediction, 8) AS prediction FROM cells')
 def k08(t):
-    return K.popular_ratings(ratings(t), ratings(t)).withColumn("prediction", F.round("prediction", 8))
+    known = stable(ratings(t))
+    return K.popular_ratings(known, known).withColumn("prediction", F.round("prediction", 8))
 
 
 @query(
@@ -90,7 +93,7 @@ def k08(t):
     UNION ALL SELECT "user", item, round(prediction, 8), false FROM cells""",
 )
 def k09(t):
-    known = ratings(t)
+    known = stable(ratings(t))
     return K.full_matrix(known, K.popular_ratings(known, known)).withColumn("rating", F.round("rating", 8))
 
 
@@ -106,7 +109,7 @@ def k09(t):
     WHERE p IS NOT NULL AND NOT EXISTS (SELECT 1 FROM r WHERE r."user" = p."user" AND r.item = p.item)""",
 )
 def k10(t):
-    known = ratings(t)
+    known = stable(ratings(t))
     return K.user_cf(known, known, 50).withColumn("prediction", F.round("prediction", 6))
 
 
@@ -121,13 +124,13 @@ def k10(t):
     WHERE p IS NOT NULL AND NOT EXISTS (SELECT 1 FROM r WHERE r."user" = p."user" AND r.item = p.item)""",
 )
 def k11(t):
-    known = ratings(t)
+    known = stable(ratings(t))
     return K.item_cf(known, known, 10).withColumn("prediction", F.round("prediction", 6))
 
 
 @query("K12_random_baseline")
 def k12(t):
-    known = ratings(t)
+    known = stable(ratings(t))
     return K.top_n_items(K.random_ratings(known, known, 0.1, 5.0, 9), 5)
 
 
@@ -168,7 +171,7 @@ AVERAGES = ", ".join(f"round({m}, 8) AS {m}" for m in K.MEASURES)
 
 def _parts(t):
     flagged = ratings(t).join(t.customer.select(F.col("c_custkey").alias("user"), (F.col("c_mktsegment") == SEGMENT).alias("is_test")), "user")
-    parts = K.split_given(flagged, F.col("is_test"), GIVEN, [F.col("item")])
+    parts = stable(K.split_given(flagged, F.col("is_test"), GIVEN, [F.col("item")]))
     return [parts.where(F.col("part") == p).select("user", "item", "rating") for p in ("train", "known", "hidden")]
 
 

@@ -10,6 +10,8 @@ from millrace.operators import text as X
 from millrace.operators import topics as TP
 from millrace.operators import windows as W
 from millrace.plans.registry import query
+from millrace.session import scratch_path, stable
+from millrace.sources import files
 
 WORDS_SQL = r"regexp_extract_all(lower(text), '[\p{L}\p{N}'']+')"
 TOKENS_SQL = f"SELECT doc_id, lang, source, unnest({WORDS_SQL}) AS word FROM documents"
@@ -249,9 +251,6 @@ def x17(t):
 
 @query("S32_save_load_dtm", DTM_SQL)
 def s32(t):
-    from millrace.session import scratch_path
-    from millrace.sources import files
-
     return files.read_parquet(t.spark, files.write_parquet(_dtm(t), scratch_path(t.spark, "dtm")))
 
 
@@ -278,7 +277,7 @@ def x19(t):
     SELECT term, round(corr, 8) AS corr FROM r WHERE corr >= 0.3""",
 )
 def x20(t):
-    dtm = _dtm(t)
+    dtm = stable(_dtm(t))  # read four times below
     term = X.term_totals(dtm).orderBy(F.desc("n"), "term").first()["term"]
     return X.associations(dtm, "doc_id", term, t.documents.count(), 0.3).withColumn("corr", F.round("corr", 8))
 
