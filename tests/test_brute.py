@@ -8,7 +8,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from millrace.functions import tails
-from millrace.operators import charts, forecasting, recommend, sampling, survival, timeseries
+from millrace.operators import charts, forecasting, recommend, regression, sampling, survival, timeseries
 from millrace.operators.ordering import ntile_global, positions, quantiles, running
 from millrace.operators.windows import top_n
 
@@ -96,6 +96,35 @@ def test_box_stats(skewed):
         assert got.loc[k, "whisker_hi"] == part["x"][inside].max()
 
 
+def test_cross_validation_equals_refits(spark):
+    rng = np.random.default_rng(6)
+    pdf = pd.DataFrame({"id": np.arange(200), "a": rng.normal(50, 3, 200), "b": rng.normal(size=200), "fold": np.arange(200) % 4})
+    pdf["y"] = 3 + 2 * pdf["a"] - pdf["b"] + rng.normal(size=200)
+    got = {r[0]: r[1:] for r in regression.cross_validate(spark.createDataFrame(pdf), "y", ["a", "b"], "fold")}
+    for k in range(4):
+        train, held = pdf[pdf["fold"] != k], pdf[pdf["fold"] == k]
+        design = np.column_stack([np.ones(len(train)), train[["a", "b"]]])
+        beta = np.linalg.lstsq(design, train["y"], rcond=None)[0]
+        e = held["y"] - np.column_stack([np.ones(len(held)), held[["a", "b"]]]) @ beta
+        assert got[k][0] == len(held)
+        assert got[k][1] == pytest.approx(np.sqrt((e**2).mean()))
+        assert got[k][2] == pytest.approx(1 - (e**2).sum() / ((held["y"] - held["y"].mean()) ** 2).sum())
+
+
+def test_pairwise_t(spark):
+    rng = np.random.default_rng(7)
+    pdf = pd.DataFrame({"g": np.repeat(["a", "b", "c"], [20, 30, 25]), "x": rng.normal(size=75)})
+    rows = {(r["level_a"], r["level_b"]): r for r in regression.pairwise_t(spark.createDataFrame(pdf), "x", "g").collect()}
+    parts = {k: v["x"].to_numpy() for k, v in pdf.groupby("g")}
+    s2 = sum(v.var(ddof=1) * (len(v) - 1) for v in parts.values()) / (75 - 3)
+    for (a, b), r in rows.items():
+        t = (parts[a].mean() - parts[b].mean()) / math.sqrt(s2 * (1 / len(parts[a]) + 1 / len(parts[b])))
+        assert r["t"] == pytest.approx(t)
+    raw = sorted(r["p"] for r in rows.values())
+    assert min(r["p_holm"] for r in rows.values()) == pytest.approx(min(1, raw[0] * 3))
+    assert max(r["p_holm"] for r in rows.values()) >= raw[-1]
+
+
 def test_tails():
     assert tails.t_two_sided(2.0, 10) == pytest.approx(0.07338803, abs=1e-8)
     assert tails.f_tail(3.0, 2, 20) == pytest.approx(0.07253815, abs=1e-8)
