@@ -45,7 +45,7 @@ def scan_ranges(
 
     ``sums`` and ``products`` map output names to expressions.  Each sum ``s``
     also yields ``s_total``, its total over the key.  ``descending`` runs from
-    the last row to the first (the order itself stays as given to ``ranged``).
+    the last row to the first; ``order`` must then be plain ascending columns.
     """
     keys = list(keys)
     sums = dict(sums or {})
@@ -66,7 +66,7 @@ def scan_ranges(
         *[F.sum(f"__p_{n}").over(across).alias(f"{n}_total") for n in sums],
         *[F.coalesce(F.product(F.col(f"__p_{n}")).over(before), F.lit(1.0)).alias(f"__o_{n}") for n in products],
     )
-    local_order = [_reverse(c) for c in _as_columns(order)] if descending else _as_columns(order)
+    local_order = [F.desc(o) for o in order] if descending else _as_columns(order)
     inside = (
         Window.partitionBy(_RANGE, *keys)
         .orderBy(*local_order)
@@ -89,10 +89,6 @@ def scan_ranges(
     )
 
 
-def _reverse(c: Column) -> Column:
-    return c.desc()
-
-
 def running(
     df: DataFrame,
     keys: Sequence[str],
@@ -140,6 +136,20 @@ def positions(
     )
 
 
+def ranks(df: DataFrame, value: str, keys: Sequence[str] = (), descending: bool = True, name: str = "rank") -> DataFrame:
+    """SQL ``RANK`` of every row by ``value`` per key, NULLs last.
+
+    Equal values are counted first; the rank of a value is one more than the
+    rows before it, and is joined back to the rows.
+    """
+    keys = list(keys)
+    order = F.desc_nulls_last(value) if descending else F.asc_nulls_last(value)
+    counted = df.groupBy(*keys, value).agg(F.count(F.lit(1)).alias("__n"))
+    placed = running(counted, keys, [order], sums={"__upto": "__n"})
+    first = placed.select(*keys, value, (F.col("__upto") - F.col("__n") + 1).alias(name))
+    return _null_safe(df, first, [*keys, value])
+
+
 def ntile_global(
     df: DataFrame,
     order: Sequence[str | Column],
@@ -163,29 +173,92 @@ def ntile_global(
     return placed.withColumn(name, (tile + 1).cast("int")).drop("__pos", "__pos_total")
 
 
+# A sketch with this accuracy misses a rank by at most n / SKETCH_ACCURACY rows.
+SKETCH_ACCURACY = 10_000
+# Keys with fewer rows than this are sorted whole.
+SMALL_KEY = 100_000
+
+
 def quantiles(
     df: DataFrame, value: str, probs: dict[str, float], keys: Sequence[str] = ()
 ) -> DataFrame:
     """Exact linearly interpolated quantiles per key; NULL and NaN values are ignored.
 
-    Equal values are counted first, so one very common value is one row.
+    A first scan makes a sketch per key that brackets each quantile between two
+    values; a second scan counts the rows below a bracket and the values inside
+    it, and only those are sorted.  Equal values are counted before the
+    shuffle, so a very common value is one row.  Should a bracket miss its
+    quantile, everything is sorted instead.
     """
     keys = list(keys)
     v = F.col(value).cast("double")
-    counted = (
-        df.where(v.isNotNull() & ~F.isnan(v))
-        .groupBy(*keys, v.alias("__v"))
-        .agg(F.count(F.lit(1)).alias("__n"))
+    data = df.where(v.isNotNull() & ~F.isnan(v)).select(*keys, v.alias("__v"))
+    found = stable(_pick(_bracketed(data, probs, keys), probs, keys))
+    missed = F.lit(False)
+    for out in probs:
+        missed = missed | F.col(out).isNull()
+    if found.where(missed).limit(1).count():
+        whole = data.groupBy(*keys, "__v").agg(F.count(F.lit(1)).alias("__n")).withColumn("__p", F.lit(-1))
+        sizes = data.groupBy(*keys).agg(F.count(F.lit(1)).alias("__size"))
+        found = _pick(_null_safe(whole, sizes, keys), probs, keys)
+    return found
+
+
+def _null_safe(left: DataFrame, right: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Inner join on keys that may be NULL; without keys ``right`` is one row of numbers."""
+    extra = [c for c in right.columns if c not in keys]
+    if not keys:
+        one = right.first()
+        return left.withColumns({c: F.lit(one[c]) for c in extra})
+    cond = F.lit(True)
+    for k in keys:
+        cond = cond & F.col(f"a.{k}").eqNullSafe(F.col(f"b.{k}"))
+    return left.alias("a").join(right.alias("b"), cond).select("a.*", *[F.col(f"b.{c}") for c in extra])
+
+
+def _bracketed(data: DataFrame, probs: dict[str, float], keys: list[str]) -> DataFrame:
+    """Counts ``(keys, __p, __v, __n, __size)`` of the values that can hold quantile ``__p``.
+
+    ``__v`` is NULL for all rows below the bracket; ``__p`` is -1 for small
+    keys, whose values serve every quantile.
+    """
+    margin = 2.0 / SKETCH_ACCURACY
+    edges = [e for q in probs.values() for e in (max(0.0, q - margin), min(1.0, q + margin))]
+    sketch = data.groupBy(*keys).agg(
+        F.count(F.lit(1)).alias("__size"), F.percentile_approx("__v", edges, SKETCH_ACCURACY).alias("__e")
     )
-    placed = running(counted, keys, ["__v"], sums={"__upto": "__n"})
-    start, end, total = F.col("__upto") - F.col("__n"), F.col("__upto"), F.col("__upto_total")
+    cuts = sketch.select(*keys, "__size", *[F.col("__e")[i].alias(f"__e{i}") for i in range(len(edges))])
+    near = _null_safe(data, cuts, keys)
+    x = F.col("__v")
 
-    def at(index: Column) -> Column:
-        return F.max(F.when((start <= index) & (index < end), F.col("__v")))
+    def entry(p: int, held: Column) -> Column:
+        return F.struct(F.lit(p).alias("p"), held.cast("double").alias("v"))
 
+    hits = [
+        F.when(x < F.col(f"__e{2 * i}"), entry(i, F.lit(None))).when(x <= F.col(f"__e{2 * i + 1}"), entry(i, x))
+        for i in range(len(probs))
+    ]
+    small = F.col("__size") <= SMALL_KEY
+    wanted = F.when(small, F.array(entry(-1, x))).otherwise(F.array_compact(F.array(*hits)))
+    return (
+        near.select(*keys, "__size", F.explode(wanted).alias("__h"))
+        .groupBy(*keys, F.col("__h.p").alias("__p"), F.col("__h.v").alias("__v"))
+        .agg(F.count(F.lit(1)).alias("__n"), F.max("__size").alias("__size"))
+    )
+
+
+def _pick(counted: DataFrame, probs: dict[str, float], keys: list[str]) -> DataFrame:
+    """Quantiles from value counts, in order of value with NULL (all lower rows) first."""
+    placed = running(counted, [*keys, "__p"], [F.asc_nulls_first("__v")], sums={"__upto": "__n"})
+    start, end, total = F.col("__upto") - F.col("__n"), F.col("__upto"), F.col("__size")
     aggs = []
-    for out, q in probs.items():
+    for i, (out, q) in enumerate(probs.items()):
         h = (total - 1) * F.lit(float(q))
+        mine = (F.col("__p") == i) | (F.col("__p") == -1)
+
+        def at(index: Column, mine: Column = mine) -> Column:
+            return F.max(F.when(mine & (start <= index) & (index < end), F.col("__v")))
+
         aggs += [
             at(F.floor(h)).alias(f"__lo_{out}"),
             at(F.ceil(h)).alias(f"__hi_{out}"),

@@ -23,11 +23,6 @@ def group_extremes(df: DataFrame, keys: Sequence[str], value: str) -> DataFrame:
     return df.join(ends, keys).where(hit).drop("__lo", "__hi")
 
 
-def ranked(df: DataFrame, keys: Sequence[str], order: Sequence[Column], name: str = "rank") -> DataFrame:
-    """SQL RANK per group.  Meant for aggregated rows or under a ``<= n`` filter."""
-    return df.withColumn(name, F.rank().over(Window.partitionBy(*keys).orderBy(*order)))
-
-
 def top_n(
     df: DataFrame, keys: Sequence[str], order: Sequence[Column], n: int, ties: bool = True, name: str = "rank"
 ) -> DataFrame:

@@ -6,7 +6,7 @@ from millrace.functions.scalars import in_years
 from millrace.operators import relational as R
 from millrace.operators import reshape, sampling
 from millrace.operators import windows as W
-from millrace.operators.ordering import ntile_global, positions, quantiles
+from millrace.operators.ordering import ntile_global, quantiles, ranks
 from millrace.plans.registry import query
 from millrace.plans.timeseries import MONTHLY_SQL, monthly
 
@@ -32,8 +32,16 @@ def w01(t):
     FROM (SELECT p_type, p_brand, count(*) AS n FROM part GROUP BY 1, 2)""",
 )
 def w02(t):
-    out = W.ranked(R.count_by(t.part, ["p_type", "p_brand"]), ["p_type"], [F.desc("n")])
-    return out.withColumn("rank", F.col("rank").cast("bigint"))
+    return ranks(R.count_by(t.part, ["p_type", "p_brand"]), "n", ["p_type"])
+
+
+@query(
+    "W02_rank_all_rows",
+    "SELECT o_orderkey, rank() OVER (PARTITION BY o_orderstatus ORDER BY o_custkey DESC) AS rank FROM orders",
+)
+def w02_rows(t):
+    out = ranks(t.orders.select("o_orderkey", "o_orderstatus", "o_custkey"), "o_custkey", ["o_orderstatus"])
+    return out.select("o_orderkey", "rank")
 
 
 @query(

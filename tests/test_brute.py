@@ -8,8 +8,8 @@ import pytest
 from pyspark.sql import functions as F
 
 from millrace.functions import tails
-from millrace.operators import charts, forecasting, recommend, regression, sampling, survival, timeseries
-from millrace.operators.ordering import ntile_global, positions, quantiles, running
+from millrace.operators import charts, forecasting, ordering, recommend, regression, sampling, survival, timeseries
+from millrace.operators.ordering import ntile_global, positions, quantiles, ranks, running
 from millrace.operators.windows import top_n
 
 
@@ -62,6 +62,36 @@ def test_quantiles_with_hot_value(many_ranges, skewed):
         assert got.loc[k].to_numpy() == pytest.approx(np.quantile(part["x"], [0, 0.1, 0.5, 0.77, 1]))
 
 
+def test_bracketed_quantiles(many_ranges, skewed, monkeypatch):
+    pdf, df = skewed
+    monkeypatch.setattr(ordering, "SMALL_KEY", 450)  # the small keys are sorted whole, the hot one is bracketed
+    monkeypatch.setattr(ordering, "SKETCH_ACCURACY", 100)
+    probs = {"a": 0.0, "b": 0.1, "c": 0.5, "d": 0.77, "e": 1.0}
+    sizes = pdf.groupby("key").size()
+    assert sizes.min() < 450 < sizes.max()
+    got = quantiles(df, "x", probs, ["key"]).toPandas().set_index("key")
+    for k, part in pdf.groupby("key"):
+        assert got.loc[k].to_numpy() == pytest.approx(np.quantile(part["x"], list(probs.values())))
+    kept = ordering._bracketed(df.select("key", F.col("x").alias("__v")), probs, ["key"]).where("key = 'hot' AND __v IS NOT NULL")
+    assert kept.agg(F.sum("__n")).first()[0] < 5 * sizes["hot"]
+    assert quantiles(df, "x", probs).first() == pytest.approx(np.quantile(pdf["x"], list(probs.values())))
+
+
+def test_quantiles_survive_a_bad_bracket(skewed, monkeypatch):
+    pdf, df = skewed
+    monkeypatch.setattr(ordering, "SMALL_KEY", 0)
+    monkeypatch.setattr(ordering, "SKETCH_ACCURACY", 10**6)  # brackets narrower than one row
+    got = quantiles(df, "id", {"a": 0.333}).first()[0]
+    assert got == pytest.approx(np.quantile(pdf["id"], 0.333))
+
+
+def test_ranks(many_ranges, skewed):
+    pdf, df = skewed
+    got = ranks(df, "x", ["key"]).toPandas().set_index("id")["rank"]
+    want = pdf.set_index("id").groupby("key")["x"].rank(method="min", ascending=False).astype(int)
+    assert got.loc[want.index].tolist() == want.tolist()
+
+
 def test_top_n_limits_before_the_shuffle(skewed):
     _, df = skewed
     plan = top_n(df, ["key"], [F.desc("x")], 3)._jdf.queryExecution().executedPlan().toString()
