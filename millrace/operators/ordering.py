@@ -175,8 +175,8 @@ def ntile_global(
 
 # A sketch with this accuracy misses a rank by at most n / SKETCH_ACCURACY rows.
 SKETCH_ACCURACY = 10_000
-# Keys with fewer rows than this are sorted whole.
-SMALL_KEY = 100_000
+# Keys with no more rows than this are sorted whole.
+SMALL_KEY = 10_000_000
 
 
 def quantiles(
@@ -184,24 +184,25 @@ def quantiles(
 ) -> DataFrame:
     """Exact linearly interpolated quantiles per key; NULL and NaN values are ignored.
 
-    A first scan makes a sketch per key that brackets each quantile between two
-    values; a second scan counts the rows below a bracket and the values inside
-    it, and only those are sorted.  Equal values are counted before the
-    shuffle, so a very common value is one row.  Should a bracket miss its
+    Equal values are counted before the shuffle, so a very common value is one
+    row.  If some key is large, a sketch per key first brackets each quantile
+    between two values; a second scan counts the rows below a bracket and the
+    values inside it, and only those are sorted.  Should a bracket miss its
     quantile, everything is sorted instead.
     """
     keys = list(keys)
     v = F.col(value).cast("double")
     data = df.where(v.isNotNull() & ~F.isnan(v)).select(*keys, v.alias("__v"))
-    found = stable(_pick(_bracketed(data, probs, keys), probs, keys))
-    missed = F.lit(False)
-    for out in probs:
-        missed = missed | F.col(out).isNull()
-    if found.where(missed).limit(1).count():
-        whole = data.groupBy(*keys, "__v").agg(F.count(F.lit(1)).alias("__n")).withColumn("__p", F.lit(-1))
-        sizes = data.groupBy(*keys).agg(F.count(F.lit(1)).alias("__size"))
-        found = _pick(_null_safe(whole, sizes, keys), probs, keys)
-    return found
+    largest = data.groupBy(*keys).agg(F.count(F.lit(1)).alias("n")).agg(F.max("n")).first()[0] or 0
+    if largest > SMALL_KEY:
+        found = stable(_pick(_bracketed(data, probs, keys), probs, keys))
+        missed = F.lit(False)
+        for out in probs:
+            missed = missed | F.col(out).isNull()
+        if not found.where(missed).limit(1).count():
+            return found
+    counted = data.groupBy(*keys, "__v").agg(F.count(F.lit(1)).alias("__n"))
+    return _pick(counted.withColumns({"__p": F.lit(-1), "__size": F.lit(0).cast("bigint")}), probs, keys)
 
 
 def _null_safe(left: DataFrame, right: DataFrame, keys: Sequence[str]) -> DataFrame:
@@ -250,7 +251,8 @@ def _bracketed(data: DataFrame, probs: dict[str, float], keys: list[str]) -> Dat
 def _pick(counted: DataFrame, probs: dict[str, float], keys: list[str]) -> DataFrame:
     """Quantiles from value counts, in order of value with NULL (all lower rows) first."""
     placed = running(counted, [*keys, "__p"], [F.asc_nulls_first("__v")], sums={"__upto": "__n"})
-    start, end, total = F.col("__upto") - F.col("__n"), F.col("__upto"), F.col("__size")
+    start, end = F.col("__upto") - F.col("__n"), F.col("__upto")
+    total = F.when(F.col("__p") == -1, F.col("__upto_total")).otherwise(F.col("__size"))
     aggs = []
     for i, (out, q) in enumerate(probs.items()):
         h = (total - 1) * F.lit(float(q))

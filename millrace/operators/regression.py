@@ -24,6 +24,7 @@ from millrace.session import fetch_small
 
 MAX_GROUPS = 100_000
 MAX_JVM_COLUMNS = 16
+CENTRE_ROWS = 1000
 
 
 @dataclass
@@ -68,8 +69,9 @@ def gram(
 ):
     """Cross products of the complete rows; a dict of them when ``group`` is given.
 
-    Pass one takes the column means, pass two the products about them, which
-    keeps large offsets (years, epoch seconds) from cancelling.
+    Products are taken about the mean of a few rows, which keeps large offsets
+    (years, epoch seconds) from cancelling; the algebra corrects for the rest,
+    so the data are scanned once.
     """
     exprs = _predictors(x)
     names = list(exprs)
@@ -79,7 +81,7 @@ def gram(
     p = len(cols)
     whole = ~F.greatest(*[F.isnan(f"x{i}") | F.col(f"x{i}").isNull() for i in range(p)], F.lit(False))
     data = data.where(whole)
-    first = data.agg(*[F.avg(f"x{i}").alias(f"m{i}") for i in range(p)]).first()
+    first = data.limit(CENTRE_ROWS).agg(*[F.avg(f"x{i}").alias(f"m{i}") for i in range(p)]).first()
     centre = np.array([first[i] if first[i] is not None else 0.0 for i in range(p)])
 
     if p <= MAX_JVM_COLUMNS:
