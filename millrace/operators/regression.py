@@ -16,7 +16,6 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.window import Window
 
 from millrace.functions import tails
 from millrace.operators.ordering import positions, quantiles

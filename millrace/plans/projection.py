@@ -2,7 +2,6 @@
 
 from pyspark.sql import functions as F
 
-from millrace.functions import scalars as S
 from millrace.operators import relational as R
 from millrace.operators import regression as G
 from millrace.plans.registry import query

@@ -7,7 +7,6 @@ from millrace.functions import scalars as S
 from millrace.operators import charts as C
 from millrace.operators import regression as G
 from millrace.operators import relational as R
-from millrace.operators import text as X
 from millrace.operators import windows as W
 from millrace.operators.reshape import bind_tagged
 from millrace.plans.registry import query
