@@ -117,15 +117,15 @@ def op6(t: Tables) -> DataFrame:
     ), b AS (
       SELECT CAST(item_id AS VARCHAR) AS item, regexp_extract_all({ASCII_LOWER}, '[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+') AS words FROM benchmark
     ), bw AS (
-      SELECT DISTINCT item, least(len(words), 10) AS width, array_to_string(words[at:at + least(len(words), 10) - 1], ' ') AS phrase
-      FROM (SELECT *, unnest(range(1, len(words) - least(len(words), 10) + 2)) AS at FROM b WHERE len(words) > 0)
+      SELECT DISTINCT item, least(len(words), 10) AS width, array_to_string(words[pos:pos + least(len(words), 10) - 1], ' ') AS phrase
+      FROM (SELECT *, unnest(range(1, len(words) - least(len(words), 10) + 2)) AS pos FROM b WHERE len(words) > 0)
     ), dw AS (
-      SELECT doc_id, at, width, array_to_string(words[at:at + width - 1], ' ') AS phrase
-      FROM (SELECT doc_id, words, width, unnest(range(1, len(words) - width + 2)) AS at
+      SELECT doc_id, pos, width, array_to_string(words[pos:pos + width - 1], ' ') AS phrase
+      FROM (SELECT doc_id, words, width, unnest(range(1, len(words) - width + 2)) AS pos
             FROM w, (SELECT DISTINCT width FROM bw) WHERE len(words) >= width)
-    ), found AS (SELECT DISTINCT doc_id, at, dw.width, phrase, item FROM dw JOIN bw USING (phrase, width)),
+    ), found AS (SELECT DISTINCT doc_id, pos, dw.width, phrase, item FROM dw JOIN bw USING (phrase, width)),
     hit AS (SELECT doc_id, count(DISTINCT spot) AS n_hit
-            FROM (SELECT doc_id, unnest(range(at, at + width)) AS spot FROM found) GROUP BY doc_id),
+            FROM (SELECT doc_id, unnest(range(pos, pos + width)) AS spot FROM found) GROUP BY doc_id),
     held AS (SELECT doc_id, count(*) AS n_items, string_agg(item, ',' ORDER BY item) AS items
              FROM (SELECT DISTINCT doc_id, item FROM found) GROUP BY doc_id)
     SELECT doc_id, CAST(len(words) AS BIGINT) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items,
