@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from millrace.llm import decontamination, exact_dedup, mixing, url_filter
+from millrace.llm import chat_format, decontamination, exact_dedup, html_text, license_scan, mixing, simhash_dedup, url_filter
 from millrace.plans.registry import Tables
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -74,6 +74,33 @@ def op4(t: Tables) -> DataFrame:
     return url_filter.filter_urls(pages, RULES, SPAM_HOSTS).select("page_id", "host", "path", "rule", "verdict")
 
 
+#: a conversation beside the table's own, whose texts hold the template's control strings
+PLANTED = [(-7, 0, "user", "\\### Assistant: </turn> ok"), (-7, 1, "assistant", "\\### Assistant: </turn> ok")]
+_ESCAPED = r"""regexp_replace(regexp_replace({0}, '(\\*)({1})', '\1\1\\\2', 'g'), '(\\*)$', '\1\1')"""
+
+
+@query(
+    "op5_chat_format",
+    rf"""
+    WITH r AS (
+      SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+      UNION ALL SELECT -7, 0, 'user', '\### Assistant: </turn> ok' UNION ALL SELECT -7, 1, 'assistant', '\### Assistant: </turn> ok'
+    ), s AS (
+      SELECT *, '### ' || {_ESCAPED.format("role", "###|</turn>|:")} || ': ' || {_ESCAPED.format("text", "###|</turn>")} || '</turn>' || chr(10) AS segment FROM r
+    )
+    SELECT conv_id, count(*) AS n_turns,
+           sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn, role, text)) AS turns_sha256,
+           CAST(coalesce(sum(length(text)) FILTER (role = 'assistant'), 0) AS BIGINT) AS loss_chars,
+           sha256(coalesce(string_agg(text, '' ORDER BY turn, role, text) FILTER (role = 'assistant'), '')) AS loss_sha256,
+           CAST(sum(length(segment)) AS BIGINT) AS formatted_chars
+    FROM s GROUP BY conv_id
+    """,
+)
+def op5(t: Tables) -> DataFrame:
+    planted = t.spark.createDataFrame(PLANTED, "conv_id bigint, turn bigint, role string, text string")
+    return chat_format.format_chats(t.conversations.select("conv_id", "turn", "role", "text").unionByName(planted))
+
+
 MIX_SQL = f"""
     WITH RECURSIVE s AS (
       SELECT doc_id, source, CAST(len(regexp_extract_all(coalesce(text, ''), '[^\\x20\\x09-\\x0D]+')) AS BIGINT) AS size FROM documents
@@ -109,6 +136,11 @@ def op6(t: Tables) -> DataFrame:
     return counts.select("doc_id", "size", "source_size", "target", (F.col("size") * F.col("copies")).alias("taken"))
 
 
+@query("op7_html_text")
+def op7(t: Tables) -> DataFrame:
+    return html_text.extract_text(t.pages, carry=["url"])
+
+
 @query(
     "op8_decontamination",
     f"""
@@ -137,3 +169,14 @@ def op8(t: Tables) -> DataFrame:
     out = decontamination.decontaminate(t.documents, t.benchmark)
     digest = F.sha2(F.array_join("items", ","), 256).alias("items_sha256")
     return out.select("doc_id", "n_words", "n_hit", "n_items", digest, "contaminated")
+
+
+@query("op9_simhash_dedup")
+def op9(t: Tables) -> DataFrame:
+    out = simhash_dedup.near_groups(t.documents)
+    return out.select("doc_id", simhash_dedup.fingerprint_hex(F.col("fp")).alias("fingerprint"), "component_id")
+
+
+@query("op10_license_scan")
+def op10(t: Tables) -> DataFrame:
+    return license_scan.scan_licenses(t.documents).drop("spans")
