@@ -57,6 +57,15 @@ LABELLED = (
     (6, 1.0, 40, 0.0, 30, 0.0, 0, 1, 0, 1),
     (25, 0.4, 40, 0.0, 0, 0.0, 0, 1, 0, 1),
     (90, 0.02, 1, 1.0, 12, 0.0, 0, 1, 0, 1),
+    (1, 0.0, 30, 0.0, 12, 0.0, 0, 1, 0, 1),
+    (2, 0.0, 30, 0.0, 1, 0.0, 0, 1, 0, 1),
+    (4, 0.0, 4, 1.0, 1, 1.0, 0, 1, 0, 1),
+    (9, 0.0, 45, 0.0, 1, 0.0, 0, 1, 0, 1),
+    (3, 1.0, 1, 1.0, 2, 1.0, 0, 1, 0, 1),
+    (1, 1.0, 2, 0.0, 0, 0.0, 0, 1, 0, 1),
+    (12, 0.9, 3, 0.0, 1, 0.9, 0, 1, 0, 1),
+    (7, 0.0, 0, 0.0, 0, 0.0, 0, 1, 0, 1),
+    (2, 0.5, 2, 1.0, 9, 1.0, 0, 1, 1, 1),
     (70, 0.0, 9, 0.0, 55, 0.05, 0, 0, 0, 1),
     (55, 0.05, 70, 0.0, 4, 0.5, 0, 0, 0, 1),
     (24, 0.0, 50, 0.0, 60, 0.0, 0, 0, 0, 1),
@@ -66,6 +75,9 @@ LABELLED = (
     (7, 0.0, 3, 1.0, 64, 0.0, 0, 0, 1, 1),
     (6, 0.0, 52, 0.0, 47, 0.0, 0, 0, 1, 1),
     (30, 0.0, 2, 1.0, 5, 0.0, 0, 0, 0, 1),
+    (4, 0.0, 30, 0.0, 1, 0.0, 0, 0, 0, 0),
+    (1, 0.0, 3, 0.0, 2, 0.0, 0, 0, 0, 0),
+    (8, 0.0, 0, 0.0, 0, 0.0, 0, 0, 0, 0),
     (1, 1.0, 1, 1.0, 1, 1.0, 0, 0, 0, 0),
     (2, 1.0, 1, 1.0, 3, 1.0, 0, 0, 0, 0),
     (5, 1.0, 0, 0.0, 4, 1.0, 0, 0, 0, 0),

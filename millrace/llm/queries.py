@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from millrace.llm import chat_format, decontamination, exact_dedup, html_text, license_scan, mixing, simhash_dedup, url_filter
+from millrace.llm import chat_format, decontamination, exact_dedup, html_text, license_scan, mixing, simhash_dedup, toxicity, url_filter
 from millrace.plans.registry import Tables
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -40,6 +40,23 @@ def op1(t: Tables) -> DataFrame:
     return exact_dedup.exact_groups(t.documents, keep="max")
 
 
+def remainder(key: str, by: int):
+    """crc32 of the key as text, modulo ``by``."""
+    return F.crc32(F.col(key).cast("string").cast("binary")) % by
+
+
+@query("op3_toxicity")
+def op3(t: Tables) -> DataFrame:
+    docs = t.documents.select("doc_id", "text")
+    model = toxicity.fit(docs, t.labels, learn=remainder("doc_id", 5) != 0)
+    return toxicity.score(docs, model).select(
+        "doc_id",
+        F.coalesce(remainder("doc_id", 5) == 0, F.lit(False)).alias("held_out"),
+        "score",
+        (F.col("score") >= 0.5).cast("int").alias("predicted"),
+    )
+
+
 RULES = (("block", "net/"), ("allow", "example.net/en/"), ("block", "example.com/de/"), ("allow", "org/fr/"))
 SPAM_NAMES = ("ads-track", "casino-win", "cheap-pills", "free-bets")
 SPAM_HOSTS = tuple(f"{name}.example.{top}" for name in SPAM_NAMES for top in ("com", "net", "org"))

@@ -64,7 +64,7 @@ def split_words(texts: pa.Array, table: bytes) -> tuple[np.ndarray, pa.Array]:
     return before[at], words.filter(pa.array(real))
 
 
-def byte_slices(batches: Iterator[pa.RecordBatch], column: str, most: int = 16 << 20) -> Iterator[pa.RecordBatch]:
+def byte_slices(batches: Iterator[pa.RecordBatch], column: str | int, most: int = 16 << 20) -> Iterator[pa.RecordBatch]:
     """The same rows in batches of about ``most`` bytes of text, at least one row each."""
     for batch in batches:
         size = pc.fill_null(pc.binary_length(batch.column(column)), 0).to_numpy(zero_copy_only=False)
