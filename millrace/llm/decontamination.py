@@ -80,9 +80,10 @@ def hits(
     windows = stable(benchmark_windows(items, item, item_text, window))
     phrases = windows.select("phrase", "width").distinct()
     widths = sorted(r["width"] for r in windows.select("width").distinct().collect())  # at most `window` numbers
-    base = docs.select(F.col(key), F.coalesce(F.col(text), F.lit("")).alias("__text"))
+    raw = docs.select(F.col(key), F.coalesce(F.col(text), F.lit("")).alias("__text"))
+    raw = raw.withColumn("__h", F.xxhash64("__text"))
     words = word_array(ascii_lower(F.col("__text")), NOT_ALNUM)
-    base = base.select(key, F.xxhash64("__text").alias("__h"), words.alias("words"))
+    base = raw.select(key, "__h", words.alias("words"))
     n_words = F.size("words").cast("long").alias("n_words")
     if not widths:
         scan = base.select(key, "__h", n_words, F.lit(False).alias("flagged")).distinct()
@@ -91,7 +92,8 @@ def hits(
     k = min(GRAM, widths[0])
     w = widths[0] - k + 1
     prints = winnowed(with_grams(phrases.select(F.split("phrase", " ").alias("words")), k), w)
-    prints = stable(prints.select(F.explode("kept").alias("print")).distinct())
+    # explode would filter empty arrays by computing each of them a second time, step within step
+    prints = stable(prints.select(F.explode_outer("kept").alias("print")).where("print is not null").distinct())
     known = few_rows(prints.withColumn("known", F.lit(True)))
     marked = winnowed(with_grams(base, k), w).select(key, "__h", n_words, F.explode_outer("kept").alias("print"))
     found = marked.join(known, "print", "left")
@@ -101,7 +103,7 @@ def hits(
     reach = widths[-1] - k
     flagged = few_rows(scan.where("flagged").select(F.col(key).alias("__k"), F.col("__h").alias("__hh")))
     same = F.col(key).eqNullSafe(F.col("__k")) & (F.col("__h") == F.col("__hh"))
-    spots = with_grams(base.join(flagged, same, "left_semi"), k)
+    spots = with_grams(raw.join(flagged, same, "left_semi").select(key, "__h", words.alias("words")), k)
 
     def around(i: Column) -> Column:
         first = F.greatest(i - reach, F.lit(0))
@@ -111,7 +113,7 @@ def hits(
         )
 
     at = F.when(F.size("grams") > 0, F.sequence(F.lit(0), F.size("grams") - 1)).otherwise(F.array().cast("array<int>"))
-    spots = spots.select(key, "__h", F.explode(F.transform(at, around)).alias("s")).select(key, "__h", "s.*")
+    spots = spots.select(key, "__h", F.explode_outer(F.transform(at, around)).alias("s")).select(key, "__h", "s.*")
     spots = spots.join(known.drop("known"), "print", "left_semi")
     tried = None
     for width in widths:

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from millrace.llm import chat_format, decontamination, exact_dedup, html_text, license_scan, mixing, simhash_dedup, toxicity, url_filter
+from millrace.llm import chat_format, decontamination, exact_dedup, html_text, license_scan, mixing, pitman_yor, simhash_dedup, toxicity, url_filter
 from millrace.plans.registry import Tables
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -45,6 +45,13 @@ def remainder(key: str, by: int):
     return F.crc32(F.col(key).cast("string").cast("binary")) % by
 
 
+@query("op2_pitman_yor")
+def op2(t: Tables) -> DataFrame:
+    held_out = F.coalesce(remainder("doc_id", 7) == 2, F.lit(False))
+    out = pitman_yor.score_texts(t.documents, ~held_out)
+    return out.select("doc_id", held_out.alias("held_out"), "n_tokens", "n_known", "train_tokens", "base_score", "score", "perplexity")
+
+
 @query("op3_toxicity")
 def op3(t: Tables) -> DataFrame:
     docs = t.documents.select("doc_id", "text")
