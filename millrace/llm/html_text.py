@@ -75,9 +75,19 @@ LABELLED = (
     (7, 0.0, 3, 1.0, 64, 0.0, 0, 0, 1, 1),
     (6, 0.0, 52, 0.0, 47, 0.0, 0, 0, 1, 1),
     (30, 0.0, 2, 1.0, 5, 0.0, 0, 0, 0, 1),
+    (24, 0.0, 24, 0.0, 1, 1.0, 0, 0, 0, 1),
+    (24, 0.0, 1, 1.0, 24, 0.0, 0, 0, 0, 1),
+    (35, 0.05, 30, 0.0, 2, 1.0, 0, 0, 0, 1),
+    (48, 0.1, 6, 0.0, 3, 0.0, 0, 0, 0, 1),
+    (22, 0.0, 60, 0.1, 0, 0.0, 0, 0, 0, 1),
     (4, 0.0, 30, 0.0, 1, 0.0, 0, 0, 0, 0),
     (1, 0.0, 3, 0.0, 2, 0.0, 0, 0, 0, 0),
     (8, 0.0, 0, 0.0, 0, 0.0, 0, 0, 0, 0),
+    (1, 1.0, 1, 1.0, 24, 0.0, 0, 0, 0, 0),
+    (2, 1.0, 0, 0.0, 60, 0.0, 0, 0, 0, 0),
+    (3, 1.0, 40, 0.0, 30, 0.0, 0, 0, 0, 0),
+    (6, 0.9, 2, 1.0, 70, 0.0, 0, 0, 0, 0),
+    (4, 0.7, 50, 0.0, 2, 1.0, 0, 0, 0, 0),
     (1, 1.0, 1, 1.0, 1, 1.0, 0, 0, 0, 0),
     (2, 1.0, 1, 1.0, 3, 1.0, 0, 0, 0, 0),
     (5, 1.0, 0, 0.0, 4, 1.0, 0, 0, 0, 0),
