@@ -38,10 +38,12 @@ from millrace.llm.texts import SPACE, byte_slices, byte_table, split_words
 from millrace.session import scratch_path, stable
 
 #: context restaurants; rows of a block; sweeps before the first sample, and samples
-CONTEXTS, BLOCK_ROWS, BURN_IN, SAMPLES = 16, 16_384, 2, 3
+CONTEXTS, BLOCK_ROWS, BURN_IN, SAMPLES = 16, 8_192, 2, 3
+#: bytes of text that a task turns into words at a time
+TEXT_BYTES = 6 << 20
 #: strength of every restaurant
 STRENGTH = 1.0
-#: customers of a dish that are seated by the exact distribution of their tables
+#: customers of a dish up to which their tables are drawn exactly
 EXACT = 24
 #: the word that ends every text
 END = ""
@@ -51,9 +53,9 @@ _TABLE = byte_table(SPACE)
 # ---------------------------------------------------------------- words and contexts
 
 
-def _bytes_of(words: pa.Array) -> tuple[np.ndarray, np.ndarray]:
-    """Offsets and bytes of a large string array."""
-    words = pa.concat_arrays([words.cast(pa.large_string())])
+def _bytes_of(words: pa.Array, kind: pa.DataType = pa.large_string()) -> tuple[np.ndarray, np.ndarray]:
+    """Offsets and bytes of an array of strings."""
+    words = words.cast(kind)
     _, offsets, data = words.buffers()
     at = np.frombuffer(offsets, np.int64)[words.offset : words.offset + len(words) + 1]
     return at, np.frombuffer(data, np.uint8) if data is not None else np.zeros(0, np.uint8)
@@ -74,10 +76,10 @@ def tokens(texts: pa.Array, contexts: int) -> tuple[np.ndarray, pa.Array, np.nda
     words = words.take(pa.array(np.where(take < 0, len(words) - 1, take)))
     offsets, data = _bytes_of(words)
     size = np.diff(offsets)
-    padded = np.concatenate([data, [0]]).astype(np.uint32)
-    last = np.where(size > 0, padded[offsets[1:] - 1], 0)
-    second = np.where(size > 1, padded[offsets[1:] - 2], 0)
-    mixed = (last * 256 + second) * np.uint32(2654435761)
+    padded = np.concatenate([np.zeros(2, np.uint8), data])
+    last = np.where(size > 0, padded[offsets[1:] + 1], 0).astype(np.uint32)
+    second = np.where(size > 1, padded[offsets[1:]], 0).astype(np.uint32)
+    mixed = (last * np.uint32(256) + second) * np.uint32(2654435761)
     own = (mixed >> np.uint32(16)).astype(np.int64) % contexts
     before = np.concatenate([[0], own[:-1]])
     at = at + np.arange(n + 1)
@@ -122,32 +124,56 @@ def _log_stirling(most: int, discount: float) -> np.ndarray:
     return out
 
 
+def _beyond(count: np.ndarray, fresh: np.ndarray, discount: float) -> tuple[np.ndarray, np.ndarray]:
+    """Mean and variance of the tables beyond the first, for many customers.
+
+    The weights' generating function is ``exp(fresh * (1 - (1 - z) ** d) / d)``.
+    With ``z`` such that ``count`` customers are expected, tables and customers
+    are jointly near normal, which gives the tables given the customers.
+    """
+    low, high = np.full(len(count), -3000.0), np.full(len(count), -1e-12)  # log of 1 - z
+    goal = np.log(count / fresh)
+    for _ in range(48):
+        middle = (low + high) / 2
+        short = np.log(-np.expm1(middle)) + (discount - 1) * middle < goal
+        low, high = np.where(short, low, middle), np.where(short, middle, high)
+    mean = fresh * -np.expm1(discount * low) / discount
+    odds = -np.expm1(low) * np.exp(np.minimum(-low, 700.0))  # z / (1 - z)
+    return mean, np.maximum(mean - count / (1 + odds * (1 - discount)), 1e-12)
+
+
 def seat(count: np.ndarray, fresh: np.ndarray, discount: float, stirling: np.ndarray, key: np.ndarray) -> np.ndarray:
     """Tables of ``count`` customers of a dish, where a new table has weight ``fresh``.
 
-    Up to ``EXACT`` customers the number of tables is drawn from its exact
-    conditional distribution.  Further ones come in groups that grow with those
-    already seated; of each group the expected number, rounded at random, opens
-    a table.
+    All customers of the dish stand up and are seated anew: ``t`` tables have the
+    weight of all ways to seat them at ``t``, times ``fresh ** t``.  Up to ``EXACT``
+    customers this is drawn exactly, beyond by its saddle point (Poisson where
+    few tables are expected, else normal).
     """
     tables = np.minimum(count, 1)
-    first = np.minimum(count, EXACT)
     draw = _uniform(key, 0)
     for c in range(2, EXACT + 1):
-        at = np.flatnonzero(first == c)
+        at = np.flatnonzero(count == c)
         if len(at):
             t = np.arange(1, c + 1)
             weight = stirling[c, 1 : c + 1][None, :] + t[None, :] * np.log(fresh[at])[:, None]
             total = np.cumsum(np.exp(weight - weight.max(1, keepdims=True)), axis=1)
             tables[at] = 1 + (draw[at, None] * total[:, -1:] > total).sum(1)
-    at, n, step = np.flatnonzero(count > EXACT), EXACT, 0
-    while len(at):
-        group = np.minimum(max(1, n // 8), count[at] - n)
-        chance = fresh[at] / (fresh[at] + n - discount * tables[at])
-        step += 1
-        tables[at] += np.floor(group * chance + _uniform(key[at], step)).astype(np.int64)
-        n += max(1, n // 8)
-        at = at[count[at] > n]
+    at = np.flatnonzero(count > EXACT)
+    if len(at):
+        mean, variance = _beyond(count[at].astype(float), fresh[at], discount)
+        u, more = draw[at], np.zeros(len(at))
+        few = mean < 12
+        chance = np.exp(-mean)
+        below = chance.copy()
+        for k in range(1, 60):
+            more += few & (u > below)
+            chance = chance * mean / k
+            below = below + chance
+        v = _uniform(key[at], 1)
+        normal = np.sqrt(-2 * np.log(u)) * np.cos(2 * np.pi * v)
+        more = np.where(few, more, np.rint(mean + np.sqrt(variance) * normal))
+        tables[at] = np.clip(1 + more, 1, count[at]).astype(np.int64)
     return tables
 
 
@@ -232,28 +258,53 @@ def _blocked(docs: DataFrame, key: str, text: str, train: Column, block_rows: in
         return docs.sparkSession.read.parquet(path).select("id", "text", "train", place.alias("block"))
 
 
+def _merged(parts: list[tuple[pa.Array, np.ndarray]]) -> tuple[pa.Array, np.ndarray]:
+    """Distinct words of several parts with their counts added up."""
+    if len(parts) == 1:
+        return parts[0]
+    coded = pa.concat_arrays([w for w, _ in parts]).dictionary_encode()
+    place = coded.indices.to_numpy()
+    order = np.argsort(place, kind="stable")
+    counts = np.concatenate([c for _, c in parts])[order]
+    return coded.dictionary, np.add.reduceat(counts, np.searchsorted(place[order], np.arange(len(coded.dictionary))), axis=0)
+
+
 def _uses(blocked: DataFrame, contexts: int) -> DataFrame:
     """``block``, ``word``, ``c0`` ..: the words of each block with their training counts per context."""
+    names = [f"c{u}" for u in range(contexts)]
+
+    def counted(part: pa.RecordBatch) -> tuple[pa.Array, np.ndarray]:
+        at, words, before = tokens(part.column("text"), contexts)
+        coded = words.dictionary_encode()
+        learn = np.repeat(pc.fill_null(part.column("train"), False).to_numpy(zero_copy_only=False), np.diff(at))
+        cell = coded.indices.to_numpy().astype(np.int64) * contexts + before
+        size = len(coded.dictionary)
+        counts = np.bincount(cell[learn], minlength=size * contexts).astype(np.int32).reshape(size, contexts)
+        return coded.dictionary, counts
+
+    def out(block: int, parts: list) -> Iterator[pa.RecordBatch]:
+        words, counts = _merged(parts)
+        for lo in range(0, len(words), 1 << 16):
+            w, c = words[lo : lo + (1 << 16)], counts[lo : lo + (1 << 16)]
+            columns = [pa.array(np.full(len(w), block)), w.cast(pa.string()), *[pa.array(c[:, u].astype(np.int64)) for u in range(contexts)]]
+            yield pa.RecordBatch.from_arrays(columns, ["block", "word", *names])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in byte_slices(batches, "text", 32 << 20):
+        block, parts = None, []
+        for batch in byte_slices(batches, "text", TEXT_BYTES):
             # a batch may reach over two blocks
             ids = batch.column("block").to_numpy(zero_copy_only=False)
             cuts = np.concatenate([[0], np.flatnonzero(ids[1:] != ids[:-1]) + 1, [len(ids)]])
             for lo, hi in zip(cuts[:-1], cuts[1:]):
-                part = batch.slice(lo, hi - lo)
-                at, words, before = tokens(part.column("text"), contexts)
-                coded = words.dictionary_encode()
-                learn = np.repeat(pc.fill_null(part.column("train"), False).to_numpy(zero_copy_only=False), np.diff(at))
-                cell = coded.indices.to_numpy() * contexts + before
-                size = len(coded.dictionary)
-                counts = np.bincount(cell[learn], minlength=size * contexts).reshape(size, contexts)
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(np.full(size, ids[lo])), coded.dictionary.cast(pa.string()), *[pa.array(counts[:, u]) for u in range(contexts)]],
-                    ["block", "word", *[f"c{u}" for u in range(contexts)]],
-                )
-
-    kinds = ", ".join(f"c{u} bigint" for u in range(contexts))
+                if block != ids[lo] and parts:
+                    yield from out(block, parts)
+                    parts = []
+                block = int(ids[lo])
+                parts.append(counted(batch.slice(lo, hi - lo)))
+        if parts:
+            yield from out(block, parts)
+
+    kinds = ", ".join(f"{n} bigint" for n in names)
     return blocked.select("text", "train", "block").mapInArrow(run, f"block bigint, word string, {kinds}")
 
 
@@ -335,32 +386,41 @@ class _Block:
     """The answers of one block, made ready to score its texts."""
 
     def __init__(self, model: Model):
-        self.model, self.words, self.n, self.answers = model, [], [], []
+        self.model = model
+        k = len(model.sweeps) - model.burn_in
+        self.words: list[pa.Array] = []
+        self.count: list[np.ndarray] = []
+        self.parents: list[np.ndarray] = []
+        self.own: list[np.ndarray] = []
+        self.back = np.stack([model.back_off(t) for t in model.sweeps[model.burn_in :]], axis=1) / k
         self.ready = False
 
     def add(self, words: pa.Array, n: pa.Array, answers: pa.Array) -> None:
+        """Unpack what :func:`_answers` packed."""
+        k = self.back.shape[1]
+        offsets, data = _bytes_of(answers.cast(pa.large_binary()), pa.large_binary())
+        heads = data[offsets[:-1, None] + np.arange(4 * k)].view("<f4")
+        seen = (np.diff(offsets) - 4 * k) // 5
+        row = np.repeat(np.arange(len(answers)), seen)
+        nth = np.arange(len(row)) - np.repeat(np.cumsum(seen) - seen, seen)
+        context = data[offsets[row] + 4 * k + nth]
+        share = data[(offsets[row] + 4 * k + seen[row] + 4 * nth)[:, None] + np.arange(4)].view("<f4")[:, 0]
+        own = np.zeros((len(answers), self.model.contexts), np.float32)
+        own[row, context] = share
         self.words.append(words.cast(pa.large_string()))
-        self.n.append(n.to_numpy(zero_copy_only=False))
-        self.answers += answers.to_pylist()
+        self.count.append(n.to_numpy(zero_copy_only=False))
+        self.parents.append(heads)
+        self.own.append(own)
 
     def prepare(self) -> None:
-        m, k = self.model, len(self.model.sweeps) - self.model.burn_in
-        size = len(self.answers)
-        self.vocabulary = pa.concat_arrays(self.words) if self.words else pa.array([], pa.large_string())
-        # one row more than words, for the unknown
-        self.count = np.concatenate([*self.n, [0]]).astype(np.int64)
-        self.parents = np.zeros((size + 1, k), np.float32)
-        self.own = np.zeros((size + 1, m.contexts), np.float32)
-        for i, a in enumerate(self.answers):
-            self.parents[i] = np.frombuffer(a, "<f4", k)
-            seen = (len(a) - 4 * k) // 5
-            at = np.frombuffer(a, np.uint8, seen, 4 * k)
-            self.own[i, at] = np.frombuffer(a, "<f4", seen, 4 * k + seen)
-        self.answers = []
-        none = np.zeros(1)
-        self.parents[size] = [float(m.parent(none, none, t)[0]) for t in m.sweeps[m.burn_in :]]
-        self.back = np.stack([m.back_off(t) for t in m.sweeps[m.burn_in :]], axis=1) / k
-        self.ready = True
+        """Join the parts; one row more than words stands for the unknown word."""
+        m, none = self.model, np.zeros(1)
+        unknown = [float(m.parent(none, none, t)[0]) for t in m.sweeps[m.burn_in :]]
+        self.vocabulary = pa.concat_arrays([*self.words, pa.array([], pa.large_string())])
+        self.count = np.concatenate([*self.count, [0]]).astype(np.int64)
+        self.parents = np.concatenate([*self.parents, np.array([unknown], np.float32)])
+        self.own = np.concatenate([*self.own, np.zeros((1, m.contexts), np.float32)])
+        self.words, self.ready = [], True
 
     def score(self, texts: pa.Array) -> list[np.ndarray]:
         """n_tokens, n_known, base_score and score of every text."""
@@ -368,8 +428,7 @@ class _Block:
             self.prepare()
         m = self.model
         at, words, before = tokens(texts, m.contexts)
-        index = pc.index_in(words, value_set=self.vocabulary).to_numpy(zero_copy_only=False)
-        index = np.where(np.isnan(index), len(self.count) - 1, index).astype(np.int64) if index.dtype.kind == "f" else index
+        index = pc.fill_null(pc.index_in(words, value_set=self.vocabulary), len(self.count) - 1).to_numpy(zero_copy_only=False)
         chance = self.own[index, before] + np.einsum("ij,ij->i", self.parents[index], self.back[before])
         base = (self.count[index] + 1) / (m.tokens + m.known + 1)
         n = np.diff(at)
@@ -423,7 +482,7 @@ def score_texts(
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model, now, block = held.value, None, None
-        for batch in byte_slices(batches, "text"):
+        for batch in byte_slices(batches, "text", TEXT_BYTES):
             group = batch.column("block").to_numpy(zero_copy_only=False)
             kind = batch.column("kind").to_numpy(zero_copy_only=False)
             cuts = np.flatnonzero((group[1:] != group[:-1]) | (kind[1:] != kind[:-1])) + 1
