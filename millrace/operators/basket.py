@@ -11,8 +11,7 @@ from pyspark.sql import functions as F
 from millrace.operators.relational import count_by
 from millrace.session import stable
 
-# Fixed value: arrays longer than this are not expanded into subsets (2^n of them).
-MAX_SUBSET_ITEMS = 16
+SEPARATOR = "\x1f"
 
 
 def transactions(df: DataFrame, tx: str, item: str) -> DataFrame:
@@ -59,7 +58,11 @@ def item_frequency(baskets: DataFrame, top: int | None = None) -> DataFrame:
 
 
 def itemsets(baskets: DataFrame, support: float, maxlen: int = 10) -> DataFrame:
-    """Frequent itemsets of at most ``maxlen`` items with their counts."""
+    """Frequent itemsets of at most ``maxlen`` items with their counts.
+
+    Ten items is the usual default of rule miners; the miner itself counts
+    itemsets of every length.
+    """
     model = FPGrowth(itemsCol="items", minSupport=support, minConfidence=0.0).fit(baskets)
     return model.freqItemsets.where(F.size("items") <= maxlen).select(F.sort_array("items").alias("items"), "freq")
 
@@ -126,31 +129,47 @@ def sort_rules(found: DataFrame, by: str, n: int | None = None) -> DataFrame:
     return out if n is None else out.limit(n)
 
 
+def _subsets_in_use(sets: DataFrame, longest: int) -> DataFrame:
+    """``sets`` and all their nonempty subsets, each once, made by dropping one item at a time."""
+    out = now = sets
+    for size in range(longest, 1, -1):
+        dropped = now.where(F.size("__items") == size)
+        dropped = dropped.select(F.explode(F.transform("__items", lambda x: F.array_remove("__items", x))).alias("__items"))
+        now = stable(now.where(F.size("__items") < size).unionByName(dropped).distinct())
+        out = out.unionByName(now)
+    return out.distinct()
+
+
 def prune_rules(found: DataFrame, by: str) -> DataFrame:
     """Drop every rule whose items include all items of an earlier rule.
 
     Earlier means a greater ``by``, ties by rule text; both sides count as one
-    item set.  Instead of comparing all rules with each other, each rule is
-    expanded into the subsets of its items (few, as rules are short) and
-    matched to the earliest rule of that very item set by an equi join.
+    item set.  Instead of comparing all rules with each other, the earliest rule
+    inside every subset of the rules' items is passed on from subsets of one
+    item less, by equi joins; rules may be of any length.
     """
     found = stable(found)  # mined once, read three times below
     place = F.struct((-F.round(by, 12)).alias("m"), F.array_join("antecedent", ",").alias("l"), F.array_join("consequent", ",").alias("r"))
     keyed = found.withColumn("__items", F.sort_array(F.concat("antecedent", "consequent"))).withColumn("__place", place)
     keyed = keyed.withColumn("__size", F.size("__items"))
-    too_long = keyed.where(F.col("__size") > MAX_SUBSET_ITEMS).limit(1).count()
-    if too_long:
-        raise ValueError(f"rules longer than {MAX_SUBSET_ITEMS} items cannot be pruned")
-    earliest = keyed.groupBy(F.array_join("__items", "\x1f").alias("__set")).agg(F.min("__place").alias("__first"))
-    masks = F.sequence(F.lit(1), (F.pow(F.lit(2.0), F.col("__size")) - 1).cast("int"))
-    subset = F.transform(
-        masks, lambda m: F.array_join(F.filter("__items", lambda x, i: F.floor(m / F.pow(F.lit(2.0), i)) % 2 == 1), "\x1f")
-    )
-    hits = (
-        keyed.select("antecedent", "consequent", "__place", F.explode(subset).alias("__set"))
-        .join(earliest, "__set")
-        .where(F.col("__first") < F.col("__place"))
-        .select("antecedent", "consequent")
-        .distinct()
-    )
+    earliest = stable(keyed.groupBy(F.array_join("__items", SEPARATOR).alias("__set")).agg(F.min("__place").alias("__first")))
+    # an item set's best earlier rule is its own or that of a set with one item less: sets are walked from short to long
+    longest = keyed.agg(F.max("__size")).first()[0] or 0
+    best = None
+    sets = stable(_subsets_in_use(keyed.select("__items").distinct(), longest))
+    for size in range(1, longest + 1):
+        now = sets.where(F.size("__items") == size).select("__items", F.array_join("__items", SEPARATOR).alias("__set"))
+        now = now.join(earliest, "__set", "left")
+        if best is not None:
+            less = now.select("__set", F.explode(F.transform("__items", lambda x: F.array_join(F.array_remove("__items", x), SEPARATOR))).alias("__less"))
+            less = less.join(best.select(F.col("__set").alias("__less"), F.col("__best").alias("__below")), "__less")
+            less = less.groupBy("__set").agg(F.min("__below").alias("__below"))
+            now = now.join(less, "__set", "left").withColumn("__first", F.least("__first", "__below"))
+        step = stable(now.select("__set", F.col("__first").alias("__best")))
+        hit = keyed.where(F.col("__size") == size).withColumn("__set", F.array_join("__items", SEPARATOR)).join(step, "__set")
+        hit = hit.where(F.col("__best") < F.col("__place")).select("antecedent", "consequent")
+        hits = hit if size == 1 else hits.unionByName(hit)
+        best = step.where(F.col("__best").isNotNull())
+    if not longest:
+        return found
     return found.join(hits, ["antecedent", "consequent"], "left_anti")

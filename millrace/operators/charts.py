@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from millrace.operators.ordering import quantiles
+from millrace.operators.ordering import join_null_safe, quantiles
 
 
 def histogram(df: DataFrame, column: str, width: float, keys: Sequence[str] = (), origin: float = 0.0) -> DataFrame:
@@ -20,6 +20,8 @@ def histogram(df: DataFrame, column: str, width: float, keys: Sequence[str] = ()
 def histogram_bins(df: DataFrame, column: str, bins: int, keys: Sequence[str] = ()) -> DataFrame:
     """Counts in ``bins`` equal bins between the least and the greatest value."""
     lo, hi = df.agg(F.min(column), F.max(column)).first()
+    if lo is None:  # no values, no bins
+        return df.where("false").groupBy(*keys, F.lit(0).cast("bigint").alias("bin")).agg(F.count(F.lit(1)).alias("n"))
     width = (hi - lo) / bins or 1.0
     bin_no = F.least(F.floor((F.col(column) - F.lit(lo)) / F.lit(width)), F.lit(bins - 1))
     return df.where(F.col(column).isNotNull()).groupBy(*keys, bin_no.alias("bin")).agg(F.count(F.lit(1)).alias("n"))
@@ -32,7 +34,7 @@ def box_stats(df: DataFrame, column: str, keys: Sequence[str], whisker: float =
     reach = F.lit(whisker) * (F.col("q3") - F.col("q1"))
     inside = (F.col(column) >= F.col("q1") - reach) & (F.col(column) <= F.col("q3") + reach)
     return (
-        df.join(q, keys)
+        join_null_safe(df, q, keys)
         .groupBy(*keys)
         .agg(
             F.max("q1").alias("q1"),
@@ -52,7 +54,7 @@ def box_outliers(df: DataFrame, column: str, keys: Sequence[str], whisker: float
     q = quantiles(df, column, {"__q1": 0.25, "__q3": 0.75}, keys)
     reach = F.lit(whisker) * (F.col("__q3") - F.col("__q1"))
     outside = (F.col(column) < F.col("__q1") - reach) | (F.col(column) > F.col("__q3") + reach)
-    return df.join(q, keys).where(outside).drop("__q1", "__q3")
+    return join_null_safe(df, q, keys).where(outside).drop("__q1", "__q3")
 
 
 def standardise(df: DataFrame, columns: Sequence[str], suffix: str = "_z") -> DataFrame:

@@ -147,7 +147,7 @@ def ranks(df: DataFrame, value: str, keys: Sequence[str] = (), descending: bool
     counted = df.groupBy(*keys, value).agg(F.count(F.lit(1)).alias("__n"))
     placed = running(counted, keys, [order], sums={"__upto": "__n"})
     first = placed.select(*keys, value, (F.col("__upto") - F.col("__n") + 1).alias(name))
-    return _null_safe(df, first, [*keys, value])
+    return join_null_safe(df, first, [*keys, value])
 
 
 def ntile_global(
@@ -173,10 +173,8 @@ def ntile_global(
     return placed.withColumn(name, (tile + 1).cast("int")).drop("__pos", "__pos_total")
 
 
-# A sketch with this accuracy misses a rank by at most n / SKETCH_ACCURACY rows.
+# A sketch with this accuracy misses a rank by at most n / SKETCH_ACCURACY rows; up to so many rows it holds every value.
 SKETCH_ACCURACY = 10_000
-# Keys with no more rows than this are sorted whole.
-SMALL_KEY = 10_000_000
 
 
 def quantiles(
@@ -184,28 +182,19 @@ def quantiles(
 ) -> DataFrame:
     """Exact linearly interpolated quantiles per key; NULL and NaN values are ignored.
 
-    Equal values are counted before the shuffle, so a very common value is one
-    row.  If some key is large, a sketch per key first brackets each quantile
-    between two values; a second scan counts the rows below a bracket and the
-    values inside it, and only those are sorted.  Should a bracket miss its
-    quantile, everything is sorted instead.
+    A sketch per key first brackets each quantile between two values; a second
+    scan counts the rows below a bracket and the values inside it, equal ones
+    before the shuffle, and only those are sorted.  Brackets are wider
+    than the sketch can err, so they hold their quantile; of a key that fits in
+    the sketch every value is counted.
     """
     keys = list(keys)
     v = F.col(value).cast("double")
     data = df.where(v.isNotNull() & ~F.isnan(v)).select(*keys, v.alias("__v"))
-    largest = data.groupBy(*keys).agg(F.count(F.lit(1)).alias("n")).agg(F.max("n")).first()[0] or 0
-    if largest > SMALL_KEY:
-        found = stable(_pick(_bracketed(data, probs, keys), probs, keys))
-        missed = F.lit(False)
-        for out in probs:
-            missed = missed | F.col(out).isNull()
-        if not found.where(missed).limit(1).count():
-            return found
-    counted = data.groupBy(*keys, "__v").agg(F.count(F.lit(1)).alias("__n"))
-    return _pick(counted.withColumns({"__p": F.lit(-1), "__size": F.lit(0).cast("bigint")}), probs, keys)
-
-
-def _null_safe(left: DataFrame, right: DataFrame, keys: Sequence[str]) -> DataFrame:
+    return stable(_pick(_bracketed(data, probs, keys), probs, keys))
+
+
+def join_null_safe(left: DataFrame, right: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Inner join on keys that may be NULL; without keys ``right`` is one row of numbers."""
     extra = [c for c in right.columns if c not in keys]
     if not keys:
@@ -223,13 +212,13 @@ def _bracketed(data: DataFrame, probs: dict[str, float], keys: list[str]) -> Dat
     ``__v`` is NULL for all rows below the bracket; ``__p`` is -1 for small
     keys, whose values serve every quantile.
     """
-    margin = 2.0 / SKETCH_ACCURACY
+    margin = 3.0 / SKETCH_ACCURACY
     edges = [e for q in probs.values() for e in (max(0.0, q - margin), min(1.0, q + margin))]
     sketch = data.groupBy(*keys).agg(
         F.count(F.lit(1)).alias("__size"), F.percentile_approx("__v", edges, SKETCH_ACCURACY).alias("__e")
     )
     cuts = sketch.select(*keys, "__size", *[F.col("__e")[i].alias(f"__e{i}") for i in range(len(edges))])
-    near = _null_safe(data, cuts, keys)
+    near = join_null_safe(data, cuts, keys)
     x = F.col("__v")
 
     def entry(p: int, held: Column) -> Column:
@@ -239,7 +228,7 @@ def _bracketed(data: DataFrame, probs: dict[str, float], keys: list[str]) -> Dat
         F.when(x < F.col(f"__e{2 * i}"), entry(i, F.lit(None))).when(x <= F.col(f"__e{2 * i + 1}"), entry(i, x))
         for i in range(len(probs))
     ]
-    small = F.col("__size") <= SMALL_KEY
+    small = F.col("__size") <= SKETCH_ACCURACY
     wanted = F.when(small, F.array(entry(-1, x))).otherwise(F.array_compact(F.array(*hits)))
     return (
         near.select(*keys, "__size", F.explode(wanted).alias("__h"))

@@ -21,9 +21,10 @@ from millrace.functions import tails
 from millrace.operators.ordering import positions, quantiles
 from millrace.session import fetch_small
 
-MAX_GROUPS = 100_000
+#: groups whose matrices come to the driver: folds, not keys of the data
+MAX_GROUPS = 10_000
+#: up to so many columns one expression per product is faster than matrix products in Python
 MAX_JVM_COLUMNS = 16
-CENTRE_ROWS = 1000
 
 
 @dataclass
@@ -68,9 +69,9 @@ def gram(
 ):
     """Cross products of the complete rows; a dict of them when ``group`` is given.
 
-    Products are taken about the mean of a few rows, which keeps large offsets
-    (years, epoch seconds) from cancelling; the algebra corrects for the rest,
-    so the data are scanned once.
+    Products are taken about the means, which a first scan finds; this keeps
+    large offsets (years, epoch seconds) from cancelling.  ``group`` is for a
+    few groups, such as folds.
     """
     exprs = _predictors(x)
     names = list(exprs)
@@ -80,7 +81,7 @@ def gram(
     p = len(cols)
     whole = ~F.greatest(*[F.isnan(f"x{i}") | F.col(f"x{i}").isNull() for i in range(p)], F.lit(False))
     data = data.where(whole)
-    first = data.limit(CENTRE_ROWS).agg(*[F.avg(f"x{i}").alias(f"m{i}") for i in range(p)]).first()
+    first = data.agg(*[F.avg(f"x{i}").alias(f"m{i}") for i in range(p)]).first()
     centre = np.array([first[i] if first[i] is not None else 0.0 for i in range(p)])
 
     if p <= MAX_JVM_COLUMNS:
@@ -383,14 +384,15 @@ def cross_validate(df: DataFrame, y: str, x, fold: str) -> list[tuple[int, float
 
 
 def regression_report(df: DataFrame, label: str, prediction: str, keys: Sequence[str] = ()) -> DataFrame:
-    """RMSE, MSE, MAE, R2 and row count, one aggregate."""
+    """RMSE, MSE, MAE, R2 and row count over the rows with both numbers, one aggregate."""
     e = F.col(label) - F.col(prediction)
+    judged = F.when(e.isNotNull(), F.col(label))
     return df.groupBy(*keys).agg(
         F.count(e).alias("n"),
         F.sqrt(F.avg(e * e)).alias("rmse"),
         F.avg(e * e).alias("mse"),
         F.avg(F.abs(e)).alias("mae"),
-        (F.lit(1.0) - F.try_divide(F.avg(e * e), F.var_pop(label))).alias("r2"),
+        (F.lit(1.0) - F.try_divide(F.avg(e * e), F.var_pop(judged))).alias("r2"),
     )
 
 

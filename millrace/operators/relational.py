@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from millrace.functions.scalars import is_missing
-from millrace.operators.ordering import quantiles
+from millrace.operators.ordering import join_null_safe, quantiles
 
 
 def select_range(df: DataFrame, first: str, last: str) -> DataFrame:
@@ -86,7 +86,7 @@ def share_of_total(df: DataFrame, keys: Sequence[str], value: str, name: str = "
     """
     keys = list(keys)
     total = df.groupBy(*keys).agg(F.sum(value).alias("__total"))
-    return df.join(total, keys).withColumn(name, F.try_divide(F.col(value), F.col("__total"))).drop("__total")
+    return join_null_safe(df, total, keys).withColumn(name, F.try_divide(F.col(value), F.col("__total"))).drop("__total")
 
 
 def contingency(df: DataFrame, row: str, col: str, levels: Sequence) -> DataFrame:
@@ -125,13 +125,14 @@ def dims(df: DataFrame) -> DataFrame:
 
 
 def key_of_max(df: DataFrame, key: str, value: str, keys: Sequence[str] = ()) -> DataFrame:
-    """The key that holds the largest value; the smallest such key on ties."""
-    best = df.groupBy(*keys).agg(F.max(F.struct(F.col(value), (-F.col(key)).alias("k"))).alias("__b"))
-    return best.select(*keys, (-F.col("__b.k")).alias(key), F.col(f"__b.{value}").alias(value))
+    """The key that holds the largest value, of any type; the smallest such key on ties."""
+    most = df.groupBy(*keys).agg(F.max(value).alias("__most"))
+    held = join_null_safe(df.select(*keys, key, value), most, keys) if keys else df.join(most, F.col(value) == F.col("__most"))
+    return held.where(F.col(value) == F.col("__most")).groupBy(*keys).agg(F.min(key).alias(key), F.max(value).alias(value))
 
 
 def drop_key_of_max(df: DataFrame, key: str, value: str) -> DataFrame:
-    """All rows but the one holding the largest value."""
+    """All rows but the one holding the largest value; rows with a NULL key stay."""
     return df.join(key_of_max(df, key, value).select(key), key, "left_anti")
 
 

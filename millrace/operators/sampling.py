@@ -13,6 +13,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from millrace.operators.ordering import join_null_safe
+
 BUCKETS = 1 << 16
 
 
@@ -45,7 +47,7 @@ def _first_by_hash(df: DataFrame, key: Sequence[str], strata: Sequence[str], tak
         .withColumn("__need", F.col("__take") - (F.col("__upto") - F.col("__c")))
         .select(*strata, "__b", "__need", (F.col("__upto") <= F.col("__take")).alias("__all"))
     )
-    keyed = marked.join(cut, [*strata, "__b"])
+    keyed = join_null_safe(marked, cut, [*strata, "__b"])
     edge = (~F.col("__all")) & (F.col("__need") > 0)
     ranks = Window.partitionBy(*strata).orderBy("__h", *key) if strata else Window.partitionBy("__b").orderBy("__h", *key)
     straddling = keyed.where(edge).withColumn(flag, F.row_number().over(ranks) <= F.col("__need"))

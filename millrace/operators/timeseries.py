@@ -18,7 +18,8 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from millrace.functions import tails
-from millrace.operators.regression import gram, ols
+from millrace.operators.ordering import join_null_safe
+from millrace.operators.regression import Gram, gram, ols
 from millrace.operators.windows import centred_mean
 
 
@@ -27,7 +28,9 @@ def regular_series(
 ) -> DataFrame:
     """Aggregate ``value`` per key and calendar step; ``pos`` counts steps from 1.
 
-    Steps of a day or more give a DATE.  ``start`` and ``end`` bound the raw
+    A step without rows between a key's first and last gets a row with a NULL
+    value, so positions, lags and seasons follow the calendar.  Rows without a
+    timestamp have no step.  Steps of a day or more give a DATE.  ``start`` and ``end`` bound the raw
     timestamps (both inclusive) before anything is shuffled.
     """
     if start is not None:
@@ -37,7 +40,14 @@ def regular_series(
     cut = F.date_trunc(step, ts)
     if step in ("day", "week", "month", "quarter", "year"):
         cut = cut.cast("date")
-    out = df.groupBy(*keys, cut.alias("ts")).agg(value.alias("value"))
+    out = df.where(F.col(ts).isNotNull()).groupBy(*keys, cut.alias("ts")).agg(value.alias("value"))
+    every = F.expr("interval 3 months" if step == "quarter" else f"interval 1 {step}")
+    spans = out.groupBy(*keys).agg(F.sequence(F.min("ts"), F.max("ts"), every).alias("__all"))
+    spans = spans.select(*keys, F.explode("__all").alias("ts"))
+    same = F.col("a.ts") == F.col("b.ts")
+    for k in keys:
+        same = same & F.col(f"a.{k}").eqNullSafe(F.col(f"b.{k}"))
+    out = spans.alias("a").join(out.alias("b"), same, "left").select("a.*", "b.value")
     w = Window.partitionBy(*keys).orderBy("ts")
     return out.withColumn("pos", F.row_number().over(w).cast("bigint"))
 
@@ -283,17 +293,24 @@ SIGNATURE_NUMBERS = [
 def signature_forecast(series: DataFrame, key: str, h: int) -> DataFrame:
     """Regress each series on its calendar columns and predict the next ``h`` steps.
 
-    Columns explained by earlier ones are left out of the fit.
+    Columns explained by earlier ones are left out of the fit.  Every series is
+    solved in its own grouped map, which sees one row per calendar step.
     """
-    past = time_signature(series, "ts")
-    fits = {g: ols(m) for g, m in gram(past, "value", SIGNATURE_NUMBERS, group=key).items()}
-    rows = []
-    for g, fit in fits.items():
-        est = fit.estimates()
-        rows.append((g, est["(Intercept)"], [est.get(c, 0.0) for c in SIGNATURE_NUMBERS]))
+    past = time_signature(series, "ts").select(key, "value", *[F.col(c).cast("double").alias(c) for c in SIGNATURE_NUMBERS])
+
+    def solve(pdf: pd.DataFrame) -> pd.DataFrame:
+        z = pdf[[*SIGNATURE_NUMBERS, "value"]].dropna().to_numpy(float)
+        if not len(z):
+            return pd.DataFrame({key: pdf[key].iloc[:1], "b0": [None], "b": [[0.0] * len(SIGNATURE_NUMBERS)]})
+        centre = z.mean(axis=0)
+        d = z - centre
+        est = ols(Gram(SIGNATURE_NUMBERS, "value", {}, float(len(z)), centre, d.sum(axis=0), d.T @ d)).estimates()
+        slopes = [est.get(c, 0.0) for c in SIGNATURE_NUMBERS]
+        return pd.DataFrame({key: pdf[key].iloc[:1].to_list(), "b0": [est["(Intercept)"]], "b": [slopes]})
+
     kind = series.schema[key].dataType.simpleString()
-    model = series.sparkSession.createDataFrame(rows, f"`{key}` {kind}, b0 double, b array<double>")
-    ahead = time_signature(future_index(series, key, h), "ts").join(model, key)
+    model = past.groupBy(key).applyInPandas(solve, f"`{key}` {kind}, b0 double, b array<double>")
+    ahead = join_null_safe(time_signature(future_index(series, key, h), "ts"), model, [key])
     terms = F.zip_with(F.array(*[F.col(c).cast("double") for c in SIGNATURE_NUMBERS]), F.col("b"), lambda x, b: x * b)
     return ahead.select(key, "ts", "pos", "h", (F.col("b0") + F.aggregate(terms, F.lit(0.0), lambda a, x: a + x)).alias("prediction"))
 

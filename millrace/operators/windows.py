@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from millrace.operators.ordering import ntile_global
+from millrace.operators.ordering import join_null_safe, ntile_global
 
 
 def group_extremes(df: DataFrame, keys: Sequence[str], value: str) -> DataFrame:
@@ -20,7 +20,7 @@ def group_extremes(df: DataFrame, keys: Sequence[str], value: str) -> DataFrame:
     keys = list(keys)
     ends = df.groupBy(*keys).agg(F.min(value).alias("__lo"), F.max(value).alias("__hi"))
     hit = (F.col(value) == F.col("__lo")) | (F.col(value) == F.col("__hi"))
-    return df.join(ends, keys).where(hit).drop("__lo", "__hi")
+    return join_null_safe(df, ends, keys).where(hit).drop("__lo", "__hi")
 
 
 def top_n(

@@ -8,17 +8,18 @@ from millrace.plans.registry import query
 
 SUPPORT, CONFIDENCE = 0.001, 0.05
 PAIRS_SQL = "SELECT DISTINCT l_orderkey AS tx, p_brand AS item FROM lineitem JOIN part ON l_partkey = p_partkey"
-RULES_SQL = f"""WITH b AS ({PAIRS_SQL}), n AS (SELECT count(DISTINCT tx) AS n FROM b), least AS (SELECT ceil({SUPPORT} * n) AS least FROM n),
-s AS (SELECT [item] AS items, count(*) AS freq FROM b GROUP BY item
-    UNION ALL SELECT [x.item, y.item], count(*) FROM b x JOIN b y ON x.tx = y.tx AND x.item < y.item GROUP BY x.item, y.item
-    UNION ALL SELECT [x.item, y.item, z.item], count(*) FROM b x JOIN b y ON x.tx = y.tx AND x.item < y.item
-        JOIN b z ON y.tx = z.tx AND y.item < z.item GROUP BY x.item, y.item, z.item),
-f AS (SELECT items, freq FROM s, least WHERE freq >= least),
+RULES_SQL = f"""WITH RECURSIVE b AS MATERIALIZED ({PAIRS_SQL}), n AS (SELECT count(DISTINCT tx) AS n FROM b),
+least AS (SELECT ceil({SUPPORT} * n) AS least FROM n),
+o(tx, items) AS (SELECT tx, [item] FROM (SELECT *, count(*) OVER (PARTITION BY item) AS freq FROM b), least WHERE freq >= least
+    UNION ALL SELECT tx, items FROM (SELECT tx, items, count(*) OVER (PARTITION BY items) AS freq FROM
+        (SELECT o.tx, list_append(o.items, b.item) AS items FROM o JOIN b ON b.tx = o.tx AND b.item > o.items[-1])), least
+    WHERE freq >= least AND len(items) <= 10),
+f AS MATERIALIZED (SELECT items, count(*) AS freq FROM o GROUP BY items),
 e AS (SELECT items, freq, unnest(items) AS rhs FROM f WHERE len(items) > 1),
 r AS (SELECT list_filter(e.items, lambda i: i <> e.rhs) AS ante, e.rhs, e.freq FROM e),
 m AS (SELECT array_to_string(ante, ',') AS lhs, r.rhs, len(ante) AS size, r.freq / n AS support, r.freq / a.freq AS confidence,
     r.freq / a.freq / (c.freq / n) AS lift, r.freq AS count FROM r JOIN f a ON a.items = r.ante JOIN f c ON c.items = [r.rhs], n),
-k AS (SELECT * FROM m WHERE confidence >= {CONFIDENCE}),
+k AS MATERIALIZED (SELECT * FROM m WHERE confidence >= {CONFIDENCE}),
 z AS (SELECT '' AS lhs, items[1] AS rhs, 0 AS size, freq / n AS support, freq / n AS confidence, 1.0::DOUBLE AS lift, freq AS count FROM f, n
     WHERE len(items) = 1 AND freq / n >= {CONFIDENCE})
 """
@@ -40,7 +41,7 @@ def _shown(table):
 
 
 def _rules(t, **kw):
-    return B.rules(_baskets(t), SUPPORT, CONFIDENCE, maxlen=kw.pop("maxlen", 3), **kw)
+    return B.rules(_baskets(t), SUPPORT, CONFIDENCE, **kw)
 
 
 @query("B01_transactions", f"SELECT tx AS l_orderkey, list_sort(list(item)) AS items FROM ({PAIRS_SQL}) GROUP BY 1")
@@ -91,7 +92,7 @@ def b05(t):
     RULES_SQL + "SELECT array_to_string(items, ',') AS items, freq FROM f",
 )
 def b05_itemsets(t):
-    return B.itemsets(_baskets(t), SUPPORT, maxlen=3).select(F.array_join("items", ",").alias("items"), "freq")
+    return B.itemsets(_baskets(t), SUPPORT).select(F.array_join("items", ",").alias("items"), "freq")
 
 
 @query("B06_rules_with_empty_left", RULES_SQL + f"SELECT {SHOWN} FROM k UNION ALL SELECT {SHOWN} FROM z")
@@ -109,9 +110,9 @@ def b08(t):
     return _shown(B.rule_table(_rules(t, minlen=2, lhs=["Brand#3"])))
 
 
-@query("B09_rule_length", RULES_SQL + f"SELECT {SHOWN} FROM k WHERE size = 2")
+@query("B09_rule_length", RULES_SQL + f"SELECT {SHOWN} FROM k WHERE size <= 4")
 def b09(t):
-    return _shown(B.rule_table(_rules(t, minlen=3)))
+    return _shown(B.rule_table(_rules(t, minlen=2, maxlen=5)))
 
 
 @query("B10_top_rules", RULES_SQL + f"SELECT {SHOWN} FROM k ORDER BY round(m.lift, 8) DESC, lhs, rhs LIMIT 10".replace("m.lift", "k.lift"))

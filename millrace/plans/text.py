@@ -282,12 +282,12 @@ def x20(t):
     return X.associations(dtm, "doc_id", term, t.documents.count(), 0.3).withColumn("corr", F.round("corr", 8))
 
 
-def _english(t):
-    return t.documents.where("lang = 'en'").select("doc_id", "text")
+def _texts(t):
+    return t.documents.select("doc_id", "text")
 
 
 def _model(t):
-    return TP.fit_topics(_english(t), "doc_id", "text")
+    return TP.fit_topics(_texts(t), "doc_id", "text")
 
 
 @query("X21_topic_model")
@@ -303,7 +303,7 @@ def x22(t):
 
 @query("X23_document_topics")
 def x23(t):
-    return _model(t).document_topics(_english(t), "text")
+    return _model(t).document_topics(_texts(t), "text")
 
 
 @query("X24_pasted_terms")
@@ -318,4 +318,4 @@ def x25(t):
 
 @query("X26_term_assignment")
 def x26(t):
-    return R.count_by(_model(t).assign_terms(_english(t), "text"), ["term", "topic"])
+    return R.count_by(_model(t).assign_terms(_texts(t), "text"), ["term", "topic"])
