@@ -140,6 +140,16 @@ def a15(t):
     return R.key_of_max(t.orders, "o_orderkey", "o_totalprice", ["o_orderpriority"])
 
 
+@query(
+    "A15_key_of_max_text",
+    """SELECT p_brand, min(p_name || '#' || p_partkey) AS part, max(p_retailprice) AS p_retailprice FROM part o
+    WHERE p_retailprice = (SELECT max(p_retailprice) FROM part i WHERE i.p_brand = o.p_brand) GROUP BY 1""",
+)
+def a15_text(t):
+    named = t.part.withColumn("part", F.concat("p_name", F.lit("#"), "p_partkey"))
+    return R.key_of_max(named, "part", "p_retailprice", ["p_brand"])
+
+
 @query(
     "A16_contingency",
     """SELECT o_orderpriority, count(*) FILTER (o_orderstatus = 'F') AS "F", count(*) FILTER (o_orderstatus = 'O') AS "O",

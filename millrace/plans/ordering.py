@@ -26,6 +26,18 @@ def w01(t):
     return W.group_extremes(dated, ["y", "m"], "o_totalprice").orderBy("y", "m", "o_totalprice", "o_orderkey")
 
 
+@query(
+    "W01_group_extremes_null_keys",
+    """SELECT status, o_orderkey, o_totalprice FROM (
+    SELECT nullif(o_orderstatus, 'O') AS status, o_orderkey, o_totalprice,
+        min(o_totalprice) OVER w AS lo, max(o_totalprice) OVER w AS hi FROM orders WINDOW w AS (PARTITION BY nullif(o_orderstatus, 'O')))
+    WHERE o_totalprice = lo OR o_totalprice = hi""",
+)
+def w01_null_keys(t):
+    rows = t.orders.select(F.nullif("o_orderstatus", F.lit("O")).alias("status"), "o_orderkey", "o_totalprice")
+    return W.group_extremes(rows, ["status"], "o_totalprice")
+
+
 @query(
     "W02_rank_per_group",
     """SELECT p_type, p_brand, n, rank() OVER (PARTITION BY p_type ORDER BY n DESC) AS rank
@@ -140,6 +152,17 @@ def w09(t):
     return out.select("p_type", "p_brand", F.round("share", 8).alias("share"))
 
 
+@query(
+    "W09_share_of_group_null_keys",
+    """SELECT kind, p_brand, round(n / sum(n) OVER (PARTITION BY kind), 8) AS share
+    FROM (SELECT CASE WHEN p_size > 10 THEN p_type END AS kind, p_brand, count(*) AS n FROM part GROUP BY 1, 2)""",
+)
+def w09_null_keys(t):
+    rows = t.part.select(F.when(F.col("p_size") > 10, F.col("p_type")).alias("kind"), "p_brand")
+    out = R.share_of_total(R.count_by(rows, ["kind", "p_brand"]), ["kind"], "n")
+    return out.select("kind", "p_brand", F.round("share", 8).alias("share"))
+
+
 @query(
     "W10_lag_differences",
     f"""SELECT key, pos, round(d - lag(d, 12) OVER (PARTITION BY key ORDER BY pos), 2) AS diff FROM (
@@ -220,6 +243,17 @@ def o08(t):
     return R.count_by(out, ["label", "data"])
 
 
+@query(
+    "O08_stratified_split_null_keys",
+    """WITH l AS (SELECT CASE WHEN label <> 3 THEN label END AS label, count(*) AS n FROM embeddings GROUP BY 1)
+    SELECT label, 'train' AS data, CAST(ceil(0.8 * n) AS BIGINT) AS n FROM l
+    UNION ALL SELECT label, 'test', n - CAST(ceil(0.8 * n) AS BIGINT) FROM l WHERE n > ceil(0.8 * n)""",
+)
+def o08_null_keys(t):
+    rows = t.embeddings.select("vec_id", F.when(F.col("label") != 3, F.col("label")).alias("label"))
+    return R.count_by(sampling.stratified_split(rows, ["vec_id"], "label", 0.8, 5), ["label", "data"])
+
+
 @query("O08_stratified_split_numeric")
 def o08_numeric(t):
     rows = t.orders.select("o_orderkey", "o_totalprice")

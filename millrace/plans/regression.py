@@ -241,6 +241,18 @@ def r14(t):
     return _r(out, {"rmse": 5, "mse": 3, "mae": 5, "r2": 8})
 
 
+@query(
+    "R14_metrics_with_missing",
+    WITH2 + SCORED_SQL + """, h AS (SELECT *, CASE WHEN gain < 6000 THEN prediction END AS seen FROM sc)
+    SELECT l_returnflag, count(seen) AS n, round(sqrt(avg((gain - seen) ** 2)), 5) AS rmse, round(avg((gain - seen) ** 2), 3) AS mse,
+    round(avg(abs(gain - seen)), 5) AS mae, round(1 - avg((gain - seen) ** 2) / var_pop(gain) FILTER (seen IS NOT NULL), 8) AS r2 FROM h GROUP BY 1""",
+)
+def r14_missing(t):
+    scored = G.score(line_features(t), _two(t)).withColumn("prediction", F.when(F.col("gain") < 6000, F.col("prediction")))
+    out = G.regression_report(scored, "gain", "prediction", ["l_returnflag"])
+    return _r(out, {"rmse": 5, "mse": 3, "mae": 5, "r2": 8})
+
+
 # The decile report: flights-like features with three lookups, a model fitted
 # on the years before 2000 and judged on the later ones.
 FLIGHT_SQL = """WITH line AS (SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey, l_extendedprice, year(o_orderdate) AS year, p_brand AS carrier,

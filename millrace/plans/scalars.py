@@ -215,6 +215,19 @@ def d01(t):
     return t.documents.select("doc_id", S.remove_urls("text").alias("text"))
 
 
+@query(
+    "D01_scalar_udf_on_links",
+    r"""SELECT doc_id, regexp_replace(left(text, 40) || ' https://' || source || '.org/' || doc_id || '?q=' || lang || chr(10) || lang || ' http://x',
+    'https?://[^ \t\r\n]*', '', 'g') AS text FROM documents""",
+)
+def d01_links(t):
+    linked = F.concat(
+        F.substring("text", 1, 40), F.lit(" https://"), "source", F.lit(".org/"), F.col("doc_id").cast("string"), F.lit("?q="), "lang",
+        F.lit("\n"), "lang", F.lit(" http://x"),
+    )
+    return t.documents.select("doc_id", linked.alias("text")).select("doc_id", S.remove_urls("text").alias("text"))
+
+
 @query("D02_elementwise_map", "SELECT event_id, value * 2 + 1 AS mapped FROM events")
 def d02(t):
     @F.pandas_udf("double")
@@ -313,6 +326,25 @@ def g02_outliers(t):
     return C.box_outliers(_priced(t), "l_extendedprice", ["p_brand"]).select("p_brand", "l_orderkey", "l_linenumber", "l_extendedprice")
 
 
+SKEWED_SQL = """WITH x AS (SELECT CASE WHEN p_size > 10 THEN p_brand END AS brand, l_orderkey, l_linenumber,
+    l_extendedprice * CASE WHEN l_quantity > 49 THEN 9 ELSE 1 END AS x FROM lineitem JOIN part ON l_partkey = p_partkey),
+q AS (SELECT brand, quantile_cont(x, 0.25) AS q1, quantile_cont(x, 0.75) AS q3 FROM x GROUP BY 1)
+"""
+
+
+@query(
+    "G02_box_outliers_null_keys",
+    SKEWED_SQL + """SELECT x.brand, l_orderkey, l_linenumber, round(x, 4) AS x FROM x JOIN q ON x.brand IS NOT DISTINCT FROM q.brand
+    WHERE x < q1 - 1.5 * (q3 - q1) OR x > q3 + 1.5 * (q3 - q1)""",
+)
+def g02_null_keys(t):
+    rows = t.lineitem.join(t.part, F.col("l_partkey") == F.col("p_partkey")).select(
+        F.when(F.col("p_size") > 10, F.col("p_brand")).alias("brand"), "l_orderkey", "l_linenumber",
+        (F.col("l_extendedprice") * F.when(F.col("l_quantity") > 49, 9).otherwise(1)).alias("x"),
+    )
+    return C.box_outliers(rows, "x", ["brand"]).withColumn("x", F.round("x", 4))
+
+
 @query(
     "G03_grouped_bars",
     """SELECT 'F' AS data, decile, round(avg(o_totalprice), 4) AS o_totalprice FROM (SELECT o_totalprice,

@@ -174,6 +174,19 @@ def x10(t):
     return X.block_sentiment(X.tokenize(rows, "text"), _lexicon(t), ["doc_id"], "line_no", 8)
 
 
+@query(
+    "X10_block_sentiment_80",
+    f"""WITH l AS (SELECT doc_id, unnest(string_split(text, chr(10))) AS text, unnest(range(1, len(string_split(text, chr(10))) + 1)) AS line_no FROM documents),
+    k AS (SELECT doc_id, line_no // 80 AS block, unnest({WORDS_SQL}) AS word FROM l)
+    SELECT doc_id, block, count(*) FILTER (sentiment = 'negative') AS negative, count(*) FILTER (sentiment = 'positive') AS positive,
+    count(*) FILTER (sentiment = 'positive') - count(*) FILTER (sentiment = 'negative') AS sentiment
+    FROM k JOIN ({LEXICON_SQL}) x USING (word) GROUP BY 1, 2""",
+)
+def x10_80(t):
+    rows = X.lines(t.documents.select("doc_id", "text"), "text", name="text")
+    return X.block_sentiment(X.tokenize(rows, "text"), _lexicon(t), ["doc_id"], "line_no", 80)
+
+
 @query(
     "X11_top_words_per_class",
     f"""SELECT sentiment, word, n FROM (SELECT sentiment, word, n, rank() OVER (PARTITION BY sentiment ORDER BY n DESC) AS r FROM
@@ -228,6 +241,17 @@ def x15(t):
     return t.conversations.where(~native & ~X.is_retweet("text")).select("conv_id", "turn")
 
 
+MARKED_SQL = """SELECT conv_id, turn, CASE turn % 4 WHEN 1 THEN 'RT @a: ' WHEN 2 THEN 'MT ' WHEN 3 THEN 'RTs ' ELSE '' END || text AS text
+    FROM conversations"""
+
+
+@query("X15_retweets_marked", rf"SELECT conv_id, turn FROM ({MARKED_SQL}) WHERE NOT regexp_matches(text, '^(RT|MT)\b')")
+def x15_marked(t):
+    mark = F.element_at(F.array(*[F.lit(x) for x in ("", "RT @a: ", "MT ", "RTs ")]), (F.col("turn") % 4 + 1).cast("int"))
+    marked = t.conversations.withColumn("text", F.concat(mark, "text"))
+    return marked.where(~X.is_retweet("text")).select("conv_id", "turn")
+
+
 @query(
     "X16_source_filter",
     """SELECT page_id, language FROM (SELECT page_id, regexp_extract(html, '<html lang="(.*?)"', 1) AS language FROM pages) WHERE language IN ('en', 'es')""",

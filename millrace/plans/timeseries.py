@@ -32,6 +32,18 @@ def t01(t):
     )
 
 
+@query(
+    "T01_series_with_gaps",
+    """WITH d AS (SELECT event_type AS key, date_trunc('day', ts)::DATE AS ts, round(sum(value), 2) AS value FROM events
+        WHERE dayofweek(ts) NOT IN (0, 6) GROUP BY 1, 2),
+    a AS (SELECT key, CAST(unnest(generate_series(min(ts), max(ts), INTERVAL 1 DAY)) AS DATE) AS ts FROM d GROUP BY 1)
+    SELECT key, ts, value, row_number() OVER (PARTITION BY key ORDER BY ts) AS pos FROM a LEFT JOIN d USING (key, ts)""",
+)
+def t01_gaps(t):
+    rows = t.events.where(~F.dayofweek("ts").isin(1, 7)).withColumnRenamed("event_type", "key")
+    return TS.regular_series(rows, ["key"], "ts", F.round(F.sum("value"), 2), "day")
+
+
 PARTS_SQL = f"""WITH s AS ({MONTHLY_SQL}),
 t AS (SELECT key, pos, ts, value, (pos - 1) % 12 AS season, CASE WHEN count(value) OVER w = 13 THEN
     (sum(value) OVER w - (lag(value, 6) OVER o + lead(value, 6) OVER o) / 2) / 12 END AS trend FROM s
