@@ -7,7 +7,7 @@ catalogue.  Absent rows are unknown cells.
 from __future__ import annotations
 
 import math
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 import numpy as np
 import pandas as pd
@@ -19,6 +19,8 @@ from millrace.operators import sampling
 from millrace.operators.ordering import positions
 
 ITEM_CHUNK = 1024
+#: users that meet one copy of an item list, popular items in such a list
+USER_SALT, PLACES = 4096, 64
 SIM_DIGITS = 10
 
 
@@ -45,23 +47,35 @@ def popular_items(ratings: DataFrame) -> DataFrame:
     return centre(ratings).groupBy("item").agg(F.sum("centred").alias("score"), F.avg("centred").alias("offset"))
 
 
+def _salts(users: DataFrame) -> int:
+    """How many copies of an item list keep a join on list and user salt even."""
+    return max(1, math.ceil(users.select("user").distinct().count() / USER_SALT))
+
+
+def _salt(n: int) -> Column:
+    return F.pmod(F.xxhash64("user"), F.lit(n)).cast("int").alias("salt")
+
+
 def unknown_cells(known: DataFrame, items: DataFrame) -> DataFrame:
     """``(user, item)`` for every item a user has not rated.
 
-    Items are gathered in hash chunks of bounded size; users meet the chunks
-    by an equi join on the chunk number, and only the missing items of a chunk
-    are expanded, so the rows made are exactly the rows asked for.
+    The result is as large as users times items by its nature.  Items are
+    gathered in hash chunks of bounded size, and every chunk is copied once per
+    few thousand users, so that a chunk's copy meets only those users; only the
+    missing items of a chunk are expanded.
     """
-    n_items = items.select("item").distinct().count()
-    chunks = max(1, math.ceil(n_items / ITEM_CHUNK))
+    distinct = items.select("item").distinct()
+    chunks, salts = max(1, math.ceil(distinct.count() / ITEM_CHUNK)), _salts(known)
 
     def chunk() -> Column:
         return F.pmod(F.xxhash64("item"), F.lit(chunks)).alias("chunk")
 
-    lists = items.select("item").distinct().groupBy(chunk()).agg(F.collect_list("item").alias("all"))
+    lists = distinct.groupBy(chunk()).agg(F.collect_list("item").alias("all"))
+    lists = lists.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
     rated = known.groupBy("user", chunk()).agg(F.collect_set("item").alias("rated"))
-    everyone = known.select("user").distinct().withColumn("chunk", F.explode(F.sequence(F.lit(0).cast("bigint"), F.lit(chunks - 1).cast("bigint"))))
-    pairs = everyone.join(lists, "chunk").join(rated, ["user", "chunk"], "left")
+    every = F.explode(F.sequence(F.lit(0).cast("bigint"), F.lit(chunks - 1).cast("bigint")))
+    everyone = known.select("user").distinct().withColumn("chunk", every).withColumn("salt", _salt(salts))
+    pairs = everyone.join(lists, ["chunk", "salt"]).join(rated, ["user", "chunk"], "left")
     nothing = F.array().cast(lists.schema["all"].dataType)
     return pairs.select("user", F.explode(F.array_except("all", F.coalesce("rated", nothing))).alias("item"))
 
@@ -91,9 +105,14 @@ def popular_top_n(train: DataFrame, known: DataFrame, n: int) -> DataFrame:
     ones, so only that many candidates are made per user.
     """
     items = popular_items(train).withColumn("__s", F.round("score", SIM_DIGITS))
-    placed = positions(items, [F.desc("__s"), F.asc("item")], name="place").select("item", "place")
+    placed = positions(items, [F.desc("__s"), F.asc("item")], name="place").select("item", (F.col("place") - 1).alias("place"))
+    salts = _salts(known)
+    lists = placed.groupBy(F.floor(F.col("place") / PLACES).alias("part")).agg(F.collect_list(F.struct("place", "item")).alias("held"))
+    lists = lists.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
     reach = known.groupBy("user").agg((F.count(F.lit(1)) + n).alias("c"))
-    candidates = reach.select("user", F.explode(F.sequence(F.lit(1).cast("bigint"), "c")).alias("place")).join(placed, "place")
+    parts = F.explode(F.sequence(F.lit(0).cast("bigint"), F.floor((F.col("c") - 1) / PLACES))).alias("part")
+    candidates = reach.select("user", "c", parts, _salt(salts)).join(lists, ["part", "salt"])
+    candidates = candidates.select("user", "c", F.explode("held").alias("h")).select("user", "c", "h.*").where("place < c").drop("c")
     fresh = candidates.join(known.select("user", "item"), ["user", "item"], "left_anti")
     w = Window.partitionBy("user").orderBy("place")
     return fresh.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= n).drop("place")
@@ -118,14 +137,17 @@ def _vectors(centred: DataFrame) -> DataFrame:
     )
 
 
+def _flat(frame: pd.DataFrame) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Row numbers, items and values of all cells of a sparse frame."""
+    rows = np.repeat(np.arange(len(frame)), [len(x) for x in frame["items"]])
+    return rows, np.concatenate(frame["items"].to_list() or [[]]), np.concatenate(frame["values"].to_list() or [[]]).astype(float)
+
+
 def _dense_slices(frames: Sequence[pd.DataFrame], width: int):
     """Yield dense (rows x items) slices of several sparse frames over the same items."""
-    vocabulary = np.unique(np.concatenate([np.concatenate(f["items"].to_list() or [[]]) for f in frames]))
-    coords = []
-    for f in frames:
-        rows = np.repeat(np.arange(len(f)), [len(x) for x in f["items"]])
-        cols = np.searchsorted(vocabulary, np.concatenate(f["items"].to_list() or [[]]))
-        coords.append((rows, cols, np.concatenate(f["values"].to_list() or [[]]).astype(float), len(f)))
+    flat = [_flat(f) for f in frames]
+    vocabulary = np.unique(np.concatenate([items for _, items, _ in flat]))
+    coords = [(rows, np.searchsorted(vocabulary, items), values, len(f)) for (rows, items, values), f in zip(flat, frames)]
     for start in range(0, len(vocabulary), width):
         out = []
         for rows, cols, values, n in coords:
@@ -136,13 +158,38 @@ def _dense_slices(frames: Sequence[pd.DataFrame], width: int):
         yield vocabulary[start : start + width], out
 
 
+def _co_rated(frame: pd.DataFrame, most: int = 1 << 20):
+    """Yield ``(item, other, dot)`` over the pairs of items that a user rated both, added up.
+
+    Users are taken together as long as their pairs stay under ``most``; one
+    user's pairs are made in pieces of that size.
+    """
+    sizes = frame["items"].map(len).to_numpy()
+    group = np.cumsum(sizes.astype(np.int64) ** 2) // most
+    for _, part in frame.groupby(group, sort=False):
+        firsts, seconds, products = [], [], []
+        for items, values in zip(part["items"], part["values"]):
+            step = max(1, most // max(1, len(items)))
+            for lo in range(0, len(items), step):
+                firsts.append(np.repeat(items[lo : lo + step], len(items)))
+                seconds.append(np.tile(items, len(items[lo : lo + step])))
+                products.append(np.outer(values[lo : lo + step], values).ravel())
+                if len(items) > step:
+                    yield pd.DataFrame({"item": firsts.pop(), "other": seconds.pop(), "dot": products.pop()})
+        if firsts:
+            pairs = pd.DataFrame({"item": np.concatenate(firsts), "other": np.concatenate(seconds), "dot": np.concatenate(products)})
+            yield pairs.groupby(["item", "other"], sort=False, as_index=False)["dot"].sum()
+
+
 def nearest_users(queries: DataFrame, train: DataFrame, nn: int, block: int = 1024) -> DataFrame:
     """The ``nn`` most similar training users per query user, by exact cosine.
 
     Inputs hold ``(user, item, centred)``; a vector's norm is over all its own
     cells.  Both sides are cut into hash blocks of about ``block`` users, a
     task multiplies one block pair and keeps the ``nn`` best per query, and the
-    few kept rows of all pairs are ranked once more.  No pair list is shuffled.
+    few kept rows of all pairs are ranked once more.  No pair list is shuffled,
+    but every vector is sent once to each block of the other side, so both work
+    and shuffle grow with queries times users: ask for a stated set of users.
     Similar users rank by similarity rounded to ten digits, then by id.
     """
     kind = train.schema["user"].dataType.simpleString()
@@ -215,23 +262,16 @@ def user_cf(train: DataFrame, known: DataFrame, nn: int = 50, block: int = 1024)
 def item_similarity(train: DataFrame, k: int) -> DataFrame:
     """The ``k`` most similar items per item, by cosine of centred ratings.
 
-    Each task multiplies batches of whole user vectors into item x item
-    products and emits their sums, so co-rated pairs are added up before the
-    shuffle.
+    Each task makes the products of co-rated pairs from its users' sparse
+    vectors and adds them up before the shuffle.
     """
     vectors = _vectors(centre(train))
     kind = train.schema["item"].dataType.simpleString()
 
     def products(batches):
         for pdf in batches:
-            if pdf.empty:
-                continue
-            slices = list(_dense_slices([pdf], 2048))
-            for names_a, (a,) in slices:
-                for names_b, (b,) in slices:
-                    m = a.T @ b
-                    i, j = np.nonzero(m)
-                    yield pd.DataFrame({"item": names_a[i], "other": names_b[j], "dot": m[i, j]})
+            if not pdf.empty:
+                yield from _co_rated(pdf)
 
     dots = (
         vectors.mapInPandas(products, f"item {kind}, other {kind}, dot double")
@@ -328,6 +368,32 @@ def top_n_counts(lists: DataFrame, hidden: DataFrame, ns: Sequence[int], good: f
     )
 
 
+def evaluate_folds(
+    ratings: DataFrame,
+    fold: Column,
+    k: int,
+    given: int,
+    order: Sequence[Column],
+    lists: Callable[[DataFrame, DataFrame, int], DataFrame],
+    ns: Sequence[int],
+    good: float,
+) -> DataFrame:
+    """Averages over users per fold and list length, each fold judged by a model of the others.
+
+    ``lists(train, known, longest)`` recommends; ``k`` folds are few, so each is
+    a plan of its own.
+    """
+    out = None
+    for f in range(k):
+        parts = split_given(ratings, fold == f, given, order)
+        train, known, hidden = (parts.where(F.col("part") == p).select("user", "item", "rating") for p in ("train", "known", "hidden"))
+        n_items = train.select("item").distinct().count()
+        counts = top_n_counts(lists(train, known, max(ns)), hidden, ns, good, n_items, given)
+        part = average_counts(counts).withColumn("fold", F.lit(f))
+        out = part if out is None else out.unionByName(part)
+    return out
+
+
 MEASURES = ["tp", "fp", "fn", "tn", "precision", "recall", "tpr", "fpr"]
 
 

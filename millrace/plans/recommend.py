@@ -118,14 +118,14 @@ def k10(t):
     CENTRED_SQL + """, norm AS (SELECT item, sqrt(sum(centred * centred)) AS len FROM c GROUP BY 1),
     d AS (SELECT a.item AS i, b.item AS j, sum(a.centred * b.centred) AS dot FROM c a JOIN c b ON a."user" = b."user" AND a.item <> b.item GROUP BY 1, 2),
     s AS (SELECT i, j, round(dot / (x.len * y.len), 10) AS sim FROM d JOIN norm x ON x.item = i JOIN norm y ON y.item = j),
-    n AS (SELECT i, j, sim FROM (SELECT *, row_number() OVER (PARTITION BY i ORDER BY sim DESC, j) AS k FROM s) WHERE k <= 10),
+    n AS (SELECT i, j, sim FROM (SELECT *, row_number() OVER (PARTITION BY i ORDER BY sim DESC, j) AS k FROM s) WHERE k <= 50),
     p AS (SELECT c."user", n.i AS item, sum(sim * centred) / nullif(sum(abs(sim)), 0) AS p FROM n JOIN c ON n.j = c.item GROUP BY 1, 2)
     SELECT p."user", p.item, round(mean + p, 6) AS prediction FROM p JOIN m ON p."user" = m."user"
     WHERE p IS NOT NULL AND NOT EXISTS (SELECT 1 FROM r WHERE r."user" = p."user" AND r.item = p.item)""",
 )
 def k11(t):
     known = stable(ratings(t))
-    return K.item_cf(known, known, 10).withColumn("prediction", F.round("prediction", 6))
+    return K.item_cf(known, known, 50).withColumn("prediction", F.round("prediction", 6))
 
 
 @query("K12_random_baseline")
@@ -221,3 +221,90 @@ def k18_all(t):
         "item based": K.top_n_items(K.item_cf(train, known, 50), longest),
     }
     return K.roc_points({k: K.top_n_counts(v, hidden, LENGTHS, GOOD, n_items, GIVEN) for k, v in lists.items()})
+
+
+# Four folds by customer number, each judged by a model fitted on the other three.
+FOLDS, FOLD_LENGTHS = 4, [1, 3, 5, 10, 15, 20]
+FOLD_SQL = f"""WITH r AS ({RATINGS_SQL}), o AS (SELECT f, r.*, "user" % {FOLDS} = f AS test,
+    row_number() OVER (PARTITION BY f, "user" ORDER BY item) AS k FROM r, range({FOLDS}) x(f)),
+train AS (SELECT * FROM o WHERE NOT test), known AS (SELECT * FROM o WHERE test AND k <= {GIVEN}), hidden AS (SELECT * FROM o WHERE test AND k > {GIVEN}),
+tm AS (SELECT f, "user", avg(rating) AS mean FROM train GROUP BY 1, 2), km AS (SELECT f, "user", avg(rating) AS mean FROM known GROUP BY 1, 2),
+i AS (SELECT f, item, sum(rating - mean) AS score FROM train JOIN tm USING (f, "user") GROUP BY 1, 2),
+cand AS (SELECT f, km."user", i.item, row_number() OVER (PARTITION BY f, km."user" ORDER BY round(score, 10) DESC, i.item) AS rank
+    FROM km JOIN i USING (f) WHERE NOT EXISTS (SELECT 1 FROM known WHERE known.f = km.f AND known."user" = km."user" AND known.item = i.item)),
+g AS (SELECT f, "user", count(*) FILTER (rating >= {GOOD}) AS good FROM hidden GROUP BY 1, 2),
+x AS (SELECT g.f, g."user", n, good, count(cand.item) AS shown, count(h.item) AS tp FROM g CROSS JOIN (SELECT unnest({FOLD_LENGTHS}) AS n) l
+    LEFT JOIN cand ON cand.f = g.f AND cand."user" = g."user" AND rank <= n
+    LEFT JOIN hidden h ON h.f = g.f AND h."user" = g."user" AND h.item = cand.item AND h.rating >= {GOOD} GROUP BY 1, 2, 3, 4),
+y AS (SELECT f, "user", n, tp, shown - tp AS fp, good - tp AS fn, (SELECT count(*) FROM i WHERE i.f = x.f) - {GIVEN} - shown - good + tp AS tn,
+    tp / nullif(shown, 0) AS precision, tp / nullif(good, 0) AS recall, tp / nullif(good, 0) AS tpr FROM x),
+z AS (SELECT *, fp / nullif(fp + tn, 0) AS fpr FROM y),
+v AS (SELECT f, n, {", ".join(f"avg({m}) AS {m}" for m in K.MEASURES)} FROM z GROUP BY 1, 2),
+w AS (SELECT n, {", ".join(f"avg({m}) AS {m}" for m in K.MEASURES)} FROM v GROUP BY 1)
+"""
+
+
+def _by_fold(t, lists):
+    return K.evaluate_folds(stable(ratings(t)), F.pmod("user", F.lit(FOLDS)), FOLDS, GIVEN, [F.col("item")], lists, FOLD_LENGTHS, GOOD)
+
+
+@query("K14_evaluated_folds", FOLD_SQL + f"SELECT CAST(f AS INTEGER) AS fold, CAST(n AS INTEGER) AS n, {AVERAGES} FROM v")
+def k14_evaluated(t):
+    out = _by_fold(t, K.popular_top_n)
+    return out.select("fold", "n", *[F.round(m, 8).alias(m) for m in K.MEASURES])
+
+
+@query("K17_average_over_folds", FOLD_SQL + f"SELECT CAST(n AS INTEGER) AS n, {AVERAGES} FROM w")
+def k17_folds(t):
+    out = K.average_counts(_by_fold(t, K.popular_top_n))
+    return out.select("n", *[F.round(m, 8).alias(m) for m in K.MEASURES])
+
+
+@query("K18_roc_over_folds", FOLD_SQL + "SELECT 'popular' AS algorithm, CAST(n AS INTEGER) AS n, round(fpr, 8) AS fpr, round(tpr, 8) AS tpr FROM w")
+def k18_folds(t):
+    out = K.roc_points({"popular": _by_fold(t, K.popular_top_n)})
+    return out.select("algorithm", "n", F.round("fpr", 8).alias("fpr"), F.round("tpr", 8).alias("tpr"))
+
+
+@query("K18_roc_item_based_over_folds")
+def k18_item_folds(t):
+    return K.roc_points({"item based": _by_fold(t, lambda train, known, n: K.top_n_items(K.item_cf(train, known, 50), n))})
+
+
+NEAR_SQL = SPLIT_SQL + """, tc AS (SELECT train."user", item, rating - mean AS centred FROM train JOIN tm USING ("user")),
+kc AS (SELECT known."user", item, rating - mean AS centred FROM known JOIN km USING ("user")),
+"""
+
+
+@query(
+    "K15_errors_item_based",
+    NEAR_SQL + """norm AS (SELECT item, sqrt(sum(centred * centred)) AS len FROM tc GROUP BY 1),
+    d AS (SELECT a.item AS i, b.item AS j, sum(a.centred * b.centred) AS dot FROM tc a JOIN tc b ON a."user" = b."user" AND a.item <> b.item GROUP BY 1, 2),
+    s AS (SELECT d.i, j, round(dot / (x.len * y.len), 10) AS sim FROM d JOIN norm x ON x.item = d.i JOIN norm y ON y.item = j),
+    near AS (SELECT i, j, sim FROM (SELECT *, row_number() OVER (PARTITION BY i ORDER BY sim DESC, j) AS k FROM s) WHERE k <= 50),
+    p AS (SELECT kc."user", near.i AS item, sum(sim * centred) / nullif(sum(abs(sim)), 0) AS p FROM near JOIN kc ON near.j = kc.item GROUP BY 1, 2),
+    e AS (SELECT rating - (mean + p) AS e FROM hidden JOIN km USING ("user") JOIN p USING ("user", item) WHERE p IS NOT NULL)
+    SELECT count(*) AS n, round(sqrt(avg(e * e)), 6) AS rmse, round(avg(e * e), 6) AS mse, round(avg(abs(e)), 6) AS mae FROM e""",
+)
+def k15_items(t):
+    train, known, hidden = _parts(t)
+    out = K.rating_errors(K.item_cf(train, known, 50), hidden)
+    return out.select("n", *[F.round(c, 6).alias(c) for c in ("rmse", "mse", "mae")])
+
+
+@query(
+    "K15_errors_user_based",
+    NEAR_SQL + """tn AS (SELECT "user", sqrt(sum(centred * centred)) AS len FROM tc GROUP BY 1 HAVING sum(centred * centred) > 0),
+    kn AS (SELECT "user", sqrt(sum(centred * centred)) AS len FROM kc GROUP BY 1 HAVING sum(centred * centred) > 0),
+    d AS (SELECT a."user" AS u, b."user" AS v, sum(a.centred * b.centred) AS dot FROM kc a JOIN tc b ON a.item = b.item GROUP BY 1, 2),
+    allp AS (SELECT x."user" AS u, y."user" AS v, x.len * y.len AS len FROM kn x, tn y),
+    s AS (SELECT allp.u, allp.v, round(coalesce(dot, 0) / len, 10) AS sim FROM allp LEFT JOIN d ON d.u = allp.u AND d.v = allp.v),
+    near AS (SELECT u, v, sim FROM (SELECT *, row_number() OVER (PARTITION BY u ORDER BY sim DESC, v) AS k FROM s) WHERE k <= 50),
+    p AS (SELECT near.u AS "user", tc.item, sum(sim * centred) / nullif(sum(abs(sim)), 0) AS p FROM near JOIN tc ON near.v = tc."user" GROUP BY 1, 2),
+    e AS (SELECT rating - (mean + p) AS e FROM hidden JOIN km USING ("user") JOIN p USING ("user", item) WHERE p IS NOT NULL)
+    SELECT count(*) AS n, round(sqrt(avg(e * e)), 6) AS rmse, round(avg(e * e), 6) AS mse, round(avg(abs(e)), 6) AS mae FROM e""",
+)
+def k15_users(t):
+    train, known, hidden = _parts(t)
+    out = K.rating_errors(K.user_cf(train, known, 50), hidden)
+    return out.select("n", *[F.round(c, 6).alias(c) for c in ("rmse", "mse", "mae")])
