@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 from dataclasses import dataclass
+from multiprocessing.pool import ThreadPool
 
 import numpy as np
 import pandas as pd
@@ -26,7 +27,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from millrace.operators import sampling
-from millrace.operators.evaluation import accuracy, overall_report
+from millrace.operators.evaluation import accuracy, confusion
 
 
 def features_from_array(df: DataFrame, column: str, name: str = "features") -> DataFrame:
@@ -77,15 +78,31 @@ def grid_search(train: DataFrame, estimator, grid: dict, label: str = "label", f
 
 
 def fold_metrics(df: DataFrame, key: Sequence[str], estimator, label: str = "label", folds: int = 5, seed: int = 1) -> DataFrame:
-    """Accuracy and kappa per held-out fold, long ``(resample, metric, value)``."""
-    tagged = sampling.assign_folds(df, key, folds, seed)
-    out = None
-    for k in range(folds):
+    """Accuracy and kappa per held-out fold, long ``(resample, metric, value)``.
+
+    The folds are kept while they are in use, fitted four at a time, and each is
+    scored once: both metrics follow from its confusion counts.
+    """
+    tagged = sampling.assign_folds(df, key, folds, seed).persist()
+
+    def judge(k: int) -> list[tuple[int, str, float]]:
         model = estimator.fit(tagged.where(F.col("fold") != k))
-        held = model.transform(tagged.where(F.col("fold") == k))
-        part = overall_report(held, label, "prediction").select(F.lit(k).alias("resample"), "accuracy", "kappa")
-        out = part if out is None else out.unionByName(part)
-    return out.unpivot(["resample"], ["accuracy", "kappa"], "metric", "value")
+        cells = confusion(model.transform(tagged.where(F.col("fold") == k)), label, "prediction")
+        counts = {(float(r[0]), float(r[1])): r["n"] for r in cells.collect()}  # classes squared
+        n = sum(counts.values())
+        seen = sum(c for (a, b), c in counts.items() if a == b) / n
+        levels = {v for pair in counts for v in pair}
+        rows, columns = ({v: sum(c for p, c in counts.items() if p[i] == v) for v in levels} for i in (0, 1))
+        chance = sum(rows[v] * columns[v] for v in levels) / (n * n)
+        kappa = (seen - chance) / (1 - chance) if chance < 1 else None
+        return [(k, "accuracy", seen), (k, "kappa", kappa)]
+
+    try:
+        with ThreadPool(min(folds, 4)) as pool:
+            rows = [r for part in pool.map(judge, range(folds)) for r in part]
+    finally:
+        tagged.unpersist()
+    return df.sparkSession.createDataFrame(rows, "resample int, metric string, value double")
 
 
 def metric_summary(metrics: DataFrame) -> DataFrame:

@@ -19,12 +19,14 @@ BUCKETS = 1 << 16
 
 
 def hash_order(key: Sequence[str], seed: int) -> Column:
-    return F.xxhash64(*[F.col(k) for k in key], F.lit(seed))
+    """A whole number below 2^60 from the key and the seed, which any SQL engine with MD5 can make too."""
+    parts = [F.coalesce(F.col(k).cast("string"), F.lit("")) for k in key]
+    return F.conv(F.substring(F.md5(F.concat_ws("|", *parts, F.lit(str(seed)))), 1, 15), 16, 10).cast("long")
 
 
 def hash_unit(key: Sequence[str], seed: int) -> Column:
     """Uniform number in [0, 1) per key."""
-    return F.pmod(hash_order(key, seed), F.lit(1 << 52)).cast("double") / float(1 << 52)
+    return hash_order(key, seed).cast("double") / float(1 << 60)
 
 
 def _first_by_hash(df: DataFrame, key: Sequence[str], strata: Sequence[str], take: Column, seed: int, flag: str) -> DataFrame:

@@ -115,12 +115,12 @@ def c01(t):
 @query("C03_random_forest")
 def c03(t):
     train, test = _split(t)
-    return _judge(C.forest(trees=50).fit(train), test)
+    return _judge(C.forest(trees=300).fit(train), test)
 
 
 @query("C04_grid_search")
 def c04(t):
-    return C.grid_search(_split(t)[0], C.forest(trees=20), {"featureSubsetStrategy": ["sqrt", "onethird"]}, folds=3)[1]
+    return C.grid_search(_split(t)[0], C.forest(trees=300), {"featureSubsetStrategy": ["10", "30", "64"]}, folds=5)[1]
 
 
 @query("C05_forest_cross_validation")
@@ -131,12 +131,12 @@ def c05(t):
 @query("C06_boosting")
 def c06(t):
     train, test = _split(t)
-    return _judge(C.boosted(rounds=5).fit(train), test)
+    return _judge(C.boosted(rounds=20).fit(train), test)
 
 
 @query("C07_importance")
 def c07(t):
-    model = C.forest(trees=50).fit(_vectors(t))
+    model = C.forest(trees=300).fit(_vectors(t))
     return C.importance(model, [f"x{i}" for i in range(WIDTH)], t.spark)
 
 
@@ -198,7 +198,7 @@ def c10(t):
 
 @query("C10_cluster_by_class")
 def c10_classes(t):
-    model = C.best_kmeans(_vectors(t), 3, 5)
+    model = C.best_kmeans(_vectors(t), 3, 20)
     return R.contingency(model.transform(_vectors(t)), "label", "prediction", [0, 1, 2])
 
 

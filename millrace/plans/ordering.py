@@ -1,5 +1,7 @@
 """O and W: sorting, limits, samples, splits, windows."""
 
+import math
+
 from pyspark.sql import functions as F
 
 from millrace.functions.scalars import in_years
@@ -218,17 +220,34 @@ def o04(t):
     return t.orders.select("o_orderkey", "o_totalprice").orderBy(F.desc("o_orderkey")).limit(30)
 
 
-@query("O05_sample_n")
+def hash_sql(seed, *keys):
+    """SQL of ``sampling.hash_order``."""
+    return f"CAST('0x' || substr(md5(concat_ws('|', {', '.join(keys)}, '{seed}')), 1, 15) AS BIGINT)"
+
+
+def unit_sql(seed, *keys):
+    """SQL of ``sampling.hash_unit``."""
+    return f"({hash_sql(seed, *keys)}::DOUBLE / {1 << 60}::DOUBLE)"
+
+
+@query(
+    "O05_sample_n",
+    f"""SELECT o_orderkey, o_totalprice FROM (SELECT *, {hash_sql(7, 'o_orderkey')} AS h FROM orders)
+    ORDER BY h % {sampling.BUCKETS}, h, o_orderkey LIMIT 500""",
+)
 def o05(t):
     return sampling.sample_n(t.orders.select("o_orderkey", "o_totalprice"), ["o_orderkey"], 500, 7)
 
 
-@query("O06_sample_frac")
+@query("O06_sample_frac", f"SELECT o_orderkey, o_totalprice FROM orders WHERE {unit_sql(7, 'o_orderkey')} < 0.1")
 def o06(t):
     return sampling.sample_frac(t.orders.select("o_orderkey", "o_totalprice"), ["o_orderkey"], 0.1, 7)
 
 
-@query("O07_random_split")
+@query(
+    "O07_random_split",
+    f"SELECT o_orderkey, CASE WHEN {unit_sql(1234, 'o_orderkey')} < 0.8 THEN 'train' ELSE 'valid' END AS data FROM orders",
+)
 def o07(t):
     return sampling.hash_split(t.orders.select("o_orderkey"), ["o_orderkey"], {"train": 0.8, "valid": 0.2}, 1234)
 
@@ -254,7 +273,14 @@ def o08_null_keys(t):
     return R.count_by(sampling.stratified_split(rows, ["vec_id"], "label", 0.8, 5), ["label", "data"])
 
 
-@query("O08_stratified_split_numeric")
+@query(
+    "O08_stratified_split_numeric",
+    f"""WITH q AS (SELECT quantile_cont(o_totalprice, [0.2, 0.4, 0.6, 0.8]) AS e FROM orders),
+    b AS (SELECT o_orderkey, o_totalprice, CAST(len(list_filter(e, lambda x: x < o_totalprice)) AS INTEGER) AS band,
+        {hash_sql(5, 'o_orderkey')} AS h FROM orders, q)
+    SELECT o_orderkey, o_totalprice, band, CASE WHEN row_number() OVER (PARTITION BY band ORDER BY h % {sampling.BUCKETS}, h, o_orderkey)
+        <= ceil(0.7 * count(*) OVER (PARTITION BY band)) THEN 'train' ELSE 'test' END AS data FROM b""",
+)
 def o08_numeric(t):
     rows = t.orders.select("o_orderkey", "o_totalprice")
     edges = quantiles(rows, "o_totalprice", {f"q{i}": i / 5 for i in range(1, 5)}).first()
@@ -262,12 +288,20 @@ def o08_numeric(t):
     return sampling.stratified_split(grouped, ["o_orderkey"], "band", 0.7, 5)
 
 
-@query("O09_folds")
+@query("O09_folds", f"SELECT o_orderkey, CAST({hash_sql(3, 'o_orderkey')} % 10 AS INTEGER) AS fold FROM orders")
 def o09(t):
     return sampling.assign_folds(t.orders.select("o_orderkey"), ["o_orderkey"], 10, 3)
 
 
-@query("O10_bootstrap")
+POISSON = [sum(math.exp(-1.0) / math.factorial(j) for j in range(i + 1)) for i in range(18)]
+
+
+@query(
+    "O10_bootstrap",
+    f"""WITH d AS (SELECT CAST(resample AS INTEGER) AS resample, o_totalprice, {' + '.join(f'CASE WHEN u >= {c!r}::DOUBLE THEN 1 ELSE 0 END' for c in POISSON)} AS draws
+    FROM (SELECT r.resample, o_totalprice, {unit_sql(3, 'o_orderkey', 'r.resample')} AS u FROM orders, range(1, 26) r(resample)))
+    SELECT resample, CAST(sum(draws) AS BIGINT) AS n, round(sum(draws * o_totalprice) / sum(draws), 2) AS mean_price FROM d GROUP BY 1""",
+)
 def o10(t):
     draws = sampling.bootstrap(t.orders.select("o_orderkey", "o_totalprice"), ["o_orderkey"], 25, 3)
     return draws.groupBy("resample").agg(

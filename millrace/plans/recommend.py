@@ -4,6 +4,7 @@ from pyspark.sql import functions as F
 
 from millrace.operators import charts as C
 from millrace.operators import recommend as K
+from millrace.plans.ordering import hash_sql, unit_sql
 from millrace.plans.registry import query
 from millrace.session import stable
 
@@ -128,20 +129,32 @@ def k11(t):
     return K.item_cf(known, known, 50).withColumn("prediction", F.round("prediction", 6))
 
 
-@query("K12_random_baseline")
+@query(
+    "K12_random_baseline",
+    CENTRED_SQL + f""", p AS (SELECT cells."user", cells.item, 0.1::DOUBLE + {unit_sql(9, 'cells."user"', 'cells.item')} * 4.9::DOUBLE AS prediction FROM cells)
+    SELECT "user", item, CAST(rank AS INTEGER) AS rank FROM
+    (SELECT *, row_number() OVER (PARTITION BY "user" ORDER BY round(prediction, 10) DESC, item) AS rank FROM p) WHERE rank <= 5""",
+)
 def k12(t):
     known = stable(ratings(t))
     return K.top_n_items(K.random_ratings(known, known, 0.1, 5.0, 9), 5)
 
 
-@query("K13_evaluation_split")
+@query(
+    "K13_evaluation_split",
+    f"""WITH r AS ({RATINGS_SQL}), o AS (SELECT *, row_number() OVER (PARTITION BY "user" ORDER BY {hash_sql(11, '"user"', 'item')}, item) AS k FROM r)
+    SELECT "user", item, round(rating, 8) AS rating, CASE WHEN {unit_sql(11, '"user"')} < 0.9 THEN 'train' WHEN k <= 5 THEN 'known' ELSE 'hidden' END AS part FROM o""",
+)
 def k13(t):
-    return K.rating_split(ratings(t), 0.9, 5, 11)
+    return K.rating_split(ratings(t), 0.9, 5, 11).withColumn("rating", F.round("rating", 8))
 
 
-@query("K14_user_folds")
+@query(
+    "K14_user_folds",
+    f"""SELECT "user", item, round(rating, 8) AS rating, CAST({hash_sql(11, '"user"')} % 4 AS INTEGER) AS fold FROM ({RATINGS_SQL})""",
+)
 def k14(t):
-    return K.user_folds(ratings(t), 4, 11)
+    return K.user_folds(ratings(t), 4, 11).withColumn("rating", F.round("rating", 8))
 
 
 # For the SQL-checked evaluations the test users are the customers of one

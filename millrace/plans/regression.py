@@ -10,6 +10,7 @@ from millrace.operators import relational as R
 from millrace.operators import sampling
 from millrace.operators import windows as W
 from millrace.plans.projection import flights
+from millrace.plans.ordering import hash_sql
 from millrace.plans.registry import query
 from millrace.session import stable
 
@@ -218,6 +219,24 @@ def r12(t):
     return t.spark.createDataFrame(rows, "fold int, n double, rmse double, r2 double")
 
 
+@query(
+    "R12_cross_validation_two",
+    f"""WITH {LINE_SQL}, h AS (SELECT *, CAST({hash_sql(5, 'l_orderkey', 'l_linenumber', 'l_partkey', 'l_suppkey')} % 10 AS INTEGER) AS own FROM line),
+    s AS (SELECT fold, avg(quantity) AS mq, avg(discount) AS md, avg(gain) AS mg, var_pop(quantity) AS qq, var_pop(discount) AS dd,
+        covar_pop(quantity, discount) AS qd, covar_pop(quantity, gain) AS qg, covar_pop(discount, gain) AS dg
+        FROM h, range(10) f(fold) WHERE own <> fold GROUP BY 1),
+    b AS (SELECT *, (qg * dd - dg * qd) / (qq * dd - qd * qd) AS b1, (dg * qq - qg * qd) / (qq * dd - qd * qd) AS b2 FROM s),
+    e AS (SELECT fold, gain, gain - (mg + b1 * (quantity - mq) + b2 * (discount - md)) AS e FROM h JOIN b ON own = fold)
+    SELECT CAST(fold AS INTEGER) AS fold, count(*)::DOUBLE AS n, round(sqrt(avg(e * e)), 5) AS rmse, round(1 - sum(e * e) / (var_pop(gain) * count(*)), 7) AS r2
+    FROM e GROUP BY 1""",
+)
+def r12_two(t):
+    tagged = sampling.assign_folds(line_features(t), KEY[:4], 10, 5)
+    rows = G.cross_validate(tagged, "gain", ["quantity", "discount"], "fold")
+    out = t.spark.createDataFrame(rows, "fold int, n double, rmse double, r2 double")
+    return out.select("fold", "n", F.round("rmse", 5).alias("rmse"), F.round("r2", 7).alias("r2"))
+
+
 @query(
     "R13_score",
     WITH2 + "SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey, round(b0 + b1 * quantity + b2 * discount, 5) AS prediction FROM line, fit",

@@ -3,6 +3,7 @@
 import uuid
 
 from pyspark.ml.regression import LinearRegression, LinearRegressionModel
+from pyspark.ml.functions import vector_to_array
 from pyspark.ml.feature import VectorAssembler
 from pyspark.sql import functions as F
 
@@ -74,7 +75,7 @@ def s07(t):
     )
 
 
-@query("S08_wide_csv_to_vector")
+@query("S08_wide_csv_to_vector", "SELECT vec_id, label, list_transform(embedding, lambda x: round(x::DOUBLE, 6)) AS features FROM embeddings")
 def s08(t):
     width = 64
     names = [f"x{i}" for i in range(width)]
@@ -82,7 +83,9 @@ def s08(t):
     path = files.write_csv(wide, scratch_path(t.spark, "wide"))
     schema = "vec_id bigint, label int, " + ", ".join(f"{n} double" for n in names)
     back = files.read_csv(t.spark, path, schema)
-    return VectorAssembler(inputCols=names, outputCol="features").transform(back).select("vec_id", "label", "features")
+    return VectorAssembler(inputCols=names, outputCol="features").transform(back).select(
+        "vec_id", "label", F.transform(vector_to_array("features"), lambda x: F.round(x, 6)).alias("features")
+    )
 
 
 @query("S09_write_csv_table", "SELECT o_custkey, p_brand, round(avg(l_quantity) / 10, 6) AS rating FROM lineitem JOIN orders ON l_orderkey = o_orderkey JOIN part ON l_partkey = p_partkey GROUP BY 1, 2")
@@ -207,7 +210,7 @@ def s27(t):
     return tables.load_into(t.customer.select("c_custkey", "c_name"), name)
 
 
-@query("S28_drop_table")
+@query("S28_drop_table", "SELECT r_regionkey, r_name, false AS still_there FROM region")
 def s28(t):
     name = _fresh("region_dropped")
     tables.save_table(t.region, name, scratch_path(t.spark, "region"))
@@ -229,7 +232,14 @@ def s29(t):
     ).drop("s_suppkey")
 
 
-@query("S31_save_load_model")
+@query(
+    "S31_save_load_model",
+    """WITH s AS (SELECT avg(l_quantity) AS mq, avg(l_discount) AS md, avg(l_extendedprice) AS mp, var_pop(l_quantity) AS qq, var_pop(l_discount) AS dd,
+        covar_pop(l_quantity, l_discount) AS qd, covar_pop(l_quantity, l_extendedprice) AS qp, covar_pop(l_discount, l_extendedprice) AS dp FROM lineitem),
+    p AS (SELECT l_orderkey, l_linenumber, round(mp + (qp * dd - dp * qd) / (qq * dd - qd * qd) * (l_quantity - mq)
+        + (dp * qq - qp * qd) / (qq * dd - qd * qd) * (l_discount - md), 3) AS fitted FROM lineitem, s)
+    SELECT l_orderkey, l_linenumber, fitted, fitted AS reloaded FROM p""",
+)
 def s31(t):
     data = VectorAssembler(inputCols=["l_quantity", "l_discount"], outputCol="features").transform(
         t.lineitem.select("l_orderkey", "l_linenumber", "l_quantity", "l_discount", "l_extendedprice")
@@ -237,7 +247,7 @@ def s31(t):
     model = LinearRegression(labelCol="l_extendedprice", solver="normal").fit(data)
     again = LinearRegressionModel.load(tables.save_model(model, scratch_path(t.spark, "model")))
     both = again.setPredictionCol("reloaded").transform(model.setPredictionCol("fitted").transform(data))
-    return both.select("l_orderkey", "l_linenumber", "fitted", "reloaded")
+    return both.select("l_orderkey", "l_linenumber", F.round("fitted", 3).alias("fitted"), F.round("reloaded", 3).alias("reloaded"))
 
 
 @query("S33_glimpse")
