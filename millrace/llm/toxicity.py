@@ -17,6 +17,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import xxhash
 import zstandard
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -83,6 +84,16 @@ def _trained(samples: list[bytes], size: int) -> bytes:
         return b"".join(samples)[-size:]
 
 
+def _unlike(texts: Sequence[bytes], width: int = 5) -> list[bytes]:
+    """One text of each group of copies: those whose smallest shingle hash is the same."""
+    kept: dict[int, bytes] = {}
+    for t in texts:
+        words = t.translate(_TABLE).split()
+        shingles = zip(*(words[i:] for i in range(width))) if len(words) > width else [words]
+        kept.setdefault(min(xxhash.xxh64_intdigest(b" ".join(s)) for s in shingles), t)
+    return list(kept.values())
+
+
 def train(ordinary: Sequence[bytes], toxic: Sequence[bytes]) -> Dictionaries:
     """Dictionaries from whole texts of either class."""
     common: Counter[bytes] = Counter()
@@ -188,7 +199,8 @@ def fit(
     rows = docs.select(F.col(key).alias("__k"), F.coalesce(F.col(text).cast("string"), F.lit("")).alias("__t"))
     rows = rows.join(picked, "__k").groupBy("__k", "__y").agg(F.max("__t").alias("__t"))
     got = sorted(fetch_small(rows, 2 * sample, "labelled sample"), key=lambda r: str(r["__k"]))
-    ordinary, toxic = ([r["__t"].encode() for r in got if r["__y"] == y] for y in (False, True))
+    # words of one text copied many times must not stand out
+    ordinary, toxic = (_unlike([r["__t"].encode() for r in got if r["__y"] == y]) for y in (False, True))
     return _model(ordinary, toxic, sizes.get(False, 0), sizes.get(True, 0))
 
 
