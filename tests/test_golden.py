@@ -10,6 +10,7 @@ from millrace.operators import relational as R
 from millrace.operators import text as X
 from millrace.sources import files, tables
 
+# The public table of 32 cars.
 CARS = """Mazda RX4,21,6,160,110,3.9,2.62,16.46,0,1,4,4
 Mazda RX4 Wag,21,6,160,110,3.9,2.875,17.02,0,1,4,4
 Datsun 710,22.8,4,108,93,3.85,2.32,18.61,1,1,4,1
