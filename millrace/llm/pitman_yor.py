@@ -39,6 +39,8 @@ from millrace.session import scratch_path, stable
 
 #: context restaurants; rows of a block; sweeps before the first sample, and samples
 CONTEXTS, BLOCK_ROWS, BURN_IN, SAMPLES = 16, 8_192, 2, 3
+#: answers that a task packs together
+PACK_ROWS = 400_000
 #: bytes of text that a task turns into words at a time
 TEXT_BYTES = 6 << 20
 #: strength of every restaurant
@@ -382,6 +384,32 @@ def _answers(words: DataFrame, model: Model) -> DataFrame:
     return words.mapInArrow(run, "word string, n bigint, answer binary")
 
 
+def _packed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """``block``, ``pack`` from rows of ``block``, ``word``, ``n``, ``answer``: the rows of a block as compressed Arrow data."""
+    held: list[pa.RecordBatch] = []
+
+    def out() -> pa.RecordBatch:
+        rows = pa.Table.from_batches(held)
+        rows = rows.take(pa.array(np.argsort(rows.column("block").to_numpy(), kind="stable"))).combine_chunks()
+        ids = rows.column("block").to_numpy()
+        cuts = np.concatenate([[0], np.flatnonzero(ids[1:] != ids[:-1]) + 1, [len(ids)]])
+        packs = []
+        for lo, hi in zip(cuts[:-1], cuts[1:]):
+            sink, part = pa.BufferOutputStream(), rows.slice(lo, hi - lo).drop_columns(["block"])
+            with pa.ipc.new_stream(sink, part.schema, options=pa.ipc.IpcWriteOptions(compression="zstd")) as stream:
+                stream.write_table(part)
+            packs.append(sink.getvalue().to_pybytes())
+        return pa.RecordBatch.from_arrays([pa.array(ids[cuts[:-1]]), pa.array(packs, pa.binary())], ["block", "pack"])
+
+    for batch in batches:
+        held.append(batch)
+        if sum(b.num_rows for b in held) >= PACK_ROWS:
+            yield out()
+            held.clear()
+    if any(b.num_rows for b in held):
+        yield out()
+
+
 class _Block:
     """The answers of one block, made ready to score its texts."""
 
@@ -469,13 +497,11 @@ def score_texts(
     words = spark.read.parquet(path)
     model = fit(words, contexts, burn_in, samples)
 
-    asked = uses.select("block", "word")
-    lookups = asked.join(_answers(words, model), "word").select(
-        "block", F.lit(0).alias("kind"), "word", "n", "answer", F.lit(None).cast(blocked.schema["id"].dataType).alias("id"), F.lit(None).cast("string").alias("text")
-    )
-    texts = blocked.select(
-        "block", F.lit(1).alias("kind"), F.lit(None).cast("string").alias("word"), F.lit(None).cast("bigint").alias("n"), F.lit(None).cast("binary").alias("answer"), "id", "text"
+    answers = uses.select("block", "word").join(_answers(words, model), "word").select("block", "word", "n", "answer")
+    lookups = answers.mapInArrow(_packed, "block bigint, pack binary").select(
+        "block", F.lit(0).alias("kind"), "pack", F.lit(None).cast(blocked.schema["id"].dataType).alias("id"), F.lit(None).cast("string").alias("text")
     )
+    texts = blocked.select("block", F.lit(1).alias("kind"), F.lit(None).cast("binary").alias("pack"), "id", "text")
     met = lookups.unionByName(texts).repartition("block").sortWithinPartitions("block", "kind")
     held = spark.sparkContext.broadcast(model)
     measures = ["n_tokens", "n_known", "base_score", "score"]
@@ -492,7 +518,9 @@ def score_texts(
                 if now is None or group[lo] != block:
                     now, block = _Block(model), group[lo]
                 if kind[lo] == 0:
-                    now.add(part.column("word"), part.column("n"), part.column("answer"))
+                    for pack in part.column("pack"):
+                        for rows in pa.ipc.open_stream(pack.as_buffer()):
+                            now.add(rows.column("word"), rows.column("n"), rows.column("answer"))
                 else:
                     out = now.score(part.column("text"))
                     yield pa.RecordBatch.from_arrays([part.column("id"), *[pa.array(x) for x in out]], ["id", *measures])
