@@ -153,8 +153,8 @@ def shares(tokens: DataFrame, corpus: str, term: str = "word") -> DataFrame:
 
 def lexicon_counts(tokens: DataFrame, lexicon: DataFrame, keys: Sequence[str], classes: Sequence[str]) -> DataFrame:
     """Words per key and sentiment class, one column per class, absent ones 0."""
-    hit = tokens.join(lexicon, "word")
-    wide = hit.groupBy(*keys).pivot("sentiment", list(classes)).agg(F.count(F.lit(1)))
+    counts = tokens.groupBy(*keys, "word").agg(F.count(F.lit(1)).alias("__n"))
+    wide = counts.join(lexicon, "word").groupBy(*keys).pivot("sentiment", list(classes)).agg(F.sum("__n"))
     return wide.na.fill(0, list(classes))
 
 

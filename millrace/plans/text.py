@@ -108,13 +108,14 @@ def x04(t):
     (SELECT 1 FROM {STOP_SQL} WHERE stop.lang = w.lang AND stop.word = w.word) GROUP BY 1, 2""",
 )
 def x05(t):
-    return R.count_by(X.remove_stop_words(_tokens(t), _stop(t), ["lang", "word"]), ["lang", "word"])
+    # words are counted before they meet a list, so a common word is a row per task
+    return X.remove_stop_words(R.count_by(_tokens(t), ["lang", "word"]), _stop(t), ["lang", "word"])
 
 
 @query("X05_default_stop_words")
 def x05_default(t):
     lists = X.stop_words(t.spark, {"en": "english", "de": "german", "fr": "french", "es": "spanish"}, ["lorem"])
-    return R.count_by(X.remove_stop_words(_tokens(t), lists, ["lang", "word"]), ["lang", "word"])
+    return X.remove_stop_words(R.count_by(_tokens(t), ["lang", "word"]), lists, ["lang", "word"])
 
 
 @query("X06_word_ranking", f"SELECT word, count(*) AS n FROM ({TOKENS_SQL}) GROUP BY 1 HAVING count(*) > 600 ORDER BY n DESC, word")
@@ -158,7 +159,7 @@ def x08(t):
 )
 def x09(t):
     positive = _lexicon(t).where("sentiment = 'positive'").select("word")
-    return R.count_by(_tokens(t).where("source = 'src1'").join(positive, "word"), ["word"])
+    return R.count_by(_tokens(t).where("source = 'src1'"), ["word"]).join(positive, "word")
 
 
 @query(
@@ -193,7 +194,8 @@ def x10_80(t):
     (SELECT sentiment, word, count(*) AS n FROM ({TOKENS_SQL}) JOIN ({LEXICON_SQL}) USING (word) GROUP BY 1, 2)) WHERE r <= 10""",
 )
 def x11(t):
-    counts = R.count_by(_tokens(t).join(_lexicon(t), "word"), ["sentiment", "word"])
+    counts = R.count_by(_tokens(t), ["word"]).join(_lexicon(t).groupBy("word", "sentiment").agg(F.count(F.lit(1)).alias("times")), "word")
+    counts = counts.select("sentiment", "word", (F.col("n") * F.col("times")).alias("n"))
     return W.top_n(counts, ["sentiment"], [F.desc("n")], 10).drop("rank")
 
 
@@ -204,7 +206,8 @@ def x11(t):
 )
 def x12(t):
     scores = _lexicon(t).select("word", (F.length("word") % 11 - 5).alias("score"))
-    return _tokens(t).join(scores, "word").groupBy("doc_id").agg(F.sum("score").alias("score"))
+    held = R.count_by(_tokens(t), ["doc_id", "word"]).join(scores, "word")
+    return held.groupBy("doc_id").agg(F.sum(F.col("n") * F.col("score")).alias("score"))
 
 
 @query(
@@ -217,8 +220,10 @@ def x12(t):
 )
 def x13(t):
     tokens, keys = _tokens(t), ["source", "doc_id"]
-    negative = tokens.join(_lexicon(t).where("sentiment = 'negative'").select("word"), "word", "left_semi")
-    both = R.count_by(tokens, keys, "words").join(R.count_by(negative, keys, "negative"), keys).where("doc_id <> 0")
+    listed = _lexicon(t).where("sentiment = 'negative'").select("word").distinct().withColumn("listed", F.lit(True))
+    counts = R.count_by(tokens, [*keys, "word"]).join(listed, "word", "left").groupBy(*keys)
+    both = counts.agg(F.sum("n").alias("words"), F.sum(F.when(F.col("listed"), F.col("n"))).alias("negative"))
+    both = both.where("negative is not null and doc_id <> 0")
     top = W.top_n(both.withColumn("ratio", F.col("negative") / F.col("words")), ["source"], [F.desc("ratio")], 3)
     return top.drop("rank").withColumn("ratio", F.round("ratio", 10))
 
