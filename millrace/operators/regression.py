@@ -346,10 +346,7 @@ def qq_points(df: DataFrame, value: str, key: str) -> DataFrame:
 
     @F.pandas_udf("double")
     def normal_quantile(p: pd.Series) -> pd.Series:
-        import statistics
-
-        inv = statistics.NormalDist().inv_cdf
-        return p.map(inv)
+        return pd.Series(tails.normal_quantiles(p.to_numpy()))
 
     prob = (F.col("i") - 0.5) / F.col("i_total")
     return placed.select(key, F.col(value).alias("sample"), prob.alias("p"), normal_quantile(prob).alias("theoretical"))
