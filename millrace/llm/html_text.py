@@ -2,9 +2,10 @@
 
 A page is cut into blocks of text between block-level tags.  A block is
 described by its own word count and link density, by those of the blocks
-before and after it, and by where it stands: under an element that says by tag,
-class or id that it is no article text, under an article or main element, or
-as a heading.  A decision tree trained on the labelled blocks below judges it.
+before and after it, by those of all blocks in the element around it, and by
+where it stands: under an element that says by tag, class or id that it is no
+article text, under one that says it is, or as a heading.  A decision tree
+trained on the labelled blocks below judges it.
 """
 
 from __future__ import annotations
@@ -44,68 +45,117 @@ CUES = frozenset(
     "notices pagination pager popup promo promoted promotion recommended related replies respond search share sharing sidebar "
     "sidebars signup social sponsor sponsored subscribe tags toolbar topbar widget widgets".split()
 )
-FEATURES = ("words", "links", "words_before", "links_before", "words_after", "links_after", "apart", "main", "heading")
+#: class and id words of elements that hold the article
+MAIN_CUES = frozenset("article articlebody content entry main maincontent post story".split())
+FEATURES = ("words", "links", "words_before", "links_before", "words_after", "links_after", "apart", "main", "heading", "box_words", "box_links")
 
 # Blocks labelled by hand, in the order of FEATURES; the last number is 1 for article text.
 LABELLED = (
-    (60, 0.0, 8, 0.0, 45, 0.0, 0, 1, 0, 1),
-    (45, 0.0, 60, 0.0, 30, 0.1, 0, 1, 0, 1),
-    (3, 0.0, 60, 0.0, 45, 0.0, 0, 1, 0, 1),
-    (1, 0.0, 0, 0.0, 80, 0.0, 0, 1, 0, 1),
-    (8, 0.0, 6, 0.0, 60, 0.0, 0, 1, 1, 1),
-    (5, 0.0, 1, 1.0, 3, 0.0, 0, 1, 1, 1),
-    (6, 1.0, 40, 0.0, 30, 0.0, 0, 1, 0, 1),
-    (25, 0.4, 40, 0.0, 0, 0.0, 0, 1, 0, 1),
-    (90, 0.02, 1, 1.0, 12, 0.0, 0, 1, 0, 1),
-    (1, 0.0, 30, 0.0, 12, 0.0, 0, 1, 0, 1),
-    (2, 0.0, 30, 0.0, 1, 0.0, 0, 1, 0, 1),
-    (4, 0.0, 4, 1.0, 1, 1.0, 0, 1, 0, 1),
-    (9, 0.0, 45, 0.0, 1, 0.0, 0, 1, 0, 1),
-    (3, 1.0, 1, 1.0, 2, 1.0, 0, 1, 0, 1),
-    (1, 1.0, 2, 0.0, 0, 0.0, 0, 1, 0, 1),
-    (12, 0.9, 3, 0.0, 1, 0.9, 0, 1, 0, 1),
-    (7, 0.0, 0, 0.0, 0, 0.0, 0, 1, 0, 1),
-    (2, 0.5, 2, 1.0, 9, 1.0, 0, 1, 1, 1),
-    (70, 0.0, 9, 0.0, 55, 0.05, 0, 0, 0, 1),
-    (55, 0.05, 70, 0.0, 4, 0.5, 0, 0, 0, 1),
-    (24, 0.0, 50, 0.0, 60, 0.0, 0, 0, 0, 1),
-    (18, 0.1, 40, 0.0, 35, 0.0, 0, 0, 0, 1),
-    (9, 0.0, 45, 0.0, 50, 0.0, 0, 0, 0, 1),
-    (4, 0.0, 38, 0.0, 42, 0.0, 0, 0, 0, 1),
-    (7, 0.0, 3, 1.0, 64, 0.0, 0, 0, 1, 1),
-    (6, 0.0, 52, 0.0, 47, 0.0, 0, 0, 1, 1),
-    (30, 0.0, 2, 1.0, 5, 0.0, 0, 0, 0, 1),
-    (24, 0.0, 24, 0.0, 1, 1.0, 0, 0, 0, 1),
-    (24, 0.0, 1, 1.0, 24, 0.0, 0, 0, 0, 1),
-    (35, 0.05, 30, 0.0, 2, 1.0, 0, 0, 0, 1),
-    (48, 0.1, 6, 0.0, 3, 0.0, 0, 0, 0, 1),
-    (22, 0.0, 60, 0.1, 0, 0.0, 0, 0, 0, 1),
-    (4, 0.0, 30, 0.0, 1, 0.0, 0, 0, 0, 0),
-    (1, 0.0, 3, 0.0, 2, 0.0, 0, 0, 0, 0),
-    (8, 0.0, 0, 0.0, 0, 0.0, 0, 0, 0, 0),
-    (1, 1.0, 1, 1.0, 24, 0.0, 0, 0, 0, 0),
-    (2, 1.0, 0, 0.0, 60, 0.0, 0, 0, 0, 0),
-    (3, 1.0, 40, 0.0, 30, 0.0, 0, 0, 0, 0),
-    (6, 0.9, 2, 1.0, 70, 0.0, 0, 0, 0, 0),
-    (4, 0.7, 50, 0.0, 2, 1.0, 0, 0, 0, 0),
-    (1, 1.0, 1, 1.0, 1, 1.0, 0, 0, 0, 0),
-    (2, 1.0, 1, 1.0, 3, 1.0, 0, 0, 0, 0),
-    (5, 1.0, 0, 0.0, 4, 1.0, 0, 0, 0, 0),
-    (12, 0.9, 6, 1.0, 8, 1.0, 0, 0, 0, 0),
-    (4, 0.0, 2, 1.0, 1, 1.0, 0, 0, 0, 0),
-    (6, 0.0, 3, 0.0, 0, 0.0, 0, 0, 0, 0),
-    (9, 0.3, 4, 0.5, 0, 0.0, 0, 0, 0, 0),
-    (30, 0.8, 5, 1.0, 6, 1.0, 0, 0, 0, 0),
-    (3, 0.0, 2, 1.0, 2, 1.0, 0, 0, 1, 0),
-    (1, 1.0, 1, 1.0, 1, 1.0, 1, 0, 0, 0),
-    (12, 0.0, 80, 0.0, 0, 0.0, 1, 0, 0, 0),
-    (40, 0.0, 30, 0.0, 25, 0.0, 1, 0, 0, 0),
-    (25, 0.0, 40, 0.0, 60, 0.0, 1, 1, 0, 0),
-    (60, 0.0, 50, 0.0, 45, 0.0, 1, 1, 0, 0),
-    (4, 0.0, 5, 0.0, 50, 0.0, 1, 1, 1, 0),
-    (5, 0.0, 3, 1.0, 44, 0.0, 1, 0, 1, 0),
-    (7, 0.0, 1, 1.0, 9, 0.0, 1, 0, 0, 0),
-    (90, 0.1, 70, 0.0, 80, 0.0, 1, 0, 0, 0),
+    (60, 0.0, 8, 0.0, 45, 0.0, 0, 1, 0, 60, 0.0, 1),
+    (45, 0.0, 60, 0.0, 30, 0.1, 0, 1, 0, 420, 0.02, 1),
+    (3, 0.0, 60, 0.0, 45, 0.0, 0, 1, 0, 15, 0.3, 1),
+    (1, 0.0, 0, 0.0, 80, 0.0, 0, 1, 0, 260, 0.05, 1),
+    (8, 0.0, 6, 0.0, 60, 0.0, 0, 1, 1, 60, 0.1, 1),
+    (5, 0.0, 1, 1.0, 3, 0.0, 0, 1, 1, 33, 0.0, 1),
+    (6, 1.0, 40, 0.0, 30, 0.0, 0, 1, 0, 900, 0.3, 1),
+    (25, 0.4, 40, 0.0, 0, 0.0, 0, 1, 0, 25, 0.3, 1),
+    (90, 0.02, 1, 1.0, 12, 0.0, 0, 1, 0, 420, 0.05, 1),
+    (1, 0.0, 30, 0.0, 12, 0.0, 0, 1, 0, 15, 0.1, 1),
+    (2, 0.0, 30, 0.0, 1, 0.0, 0, 1, 0, 260, 0.0, 1),
+    (4, 0.0, 4, 1.0, 1, 1.0, 0, 1, 0, 60, 0.02, 1),
+    (9, 0.0, 45, 0.0, 1, 0.0, 0, 1, 0, 33, 0.3, 1),
+    (3, 1.0, 1, 1.0, 2, 1.0, 0, 1, 0, 900, 0.3, 1),
+    (1, 1.0, 2, 0.0, 0, 0.0, 0, 1, 0, 9, 0.3, 1),
+    (12, 0.9, 3, 0.0, 1, 0.9, 0, 1, 0, 420, 0.0, 1),
+    (7, 0.0, 0, 0.0, 0, 0.0, 0, 1, 0, 15, 0.02, 1),
+    (2, 0.5, 2, 1.0, 9, 1.0, 0, 1, 1, 260, 0.3, 1),
+    (70, 0.0, 9, 0.0, 55, 0.05, 0, 0, 0, 590, 0.0, 1),
+    (55, 0.05, 70, 0.0, 4, 0.5, 0, 0, 0, 295, 0.02, 1),
+    (24, 0.0, 50, 0.0, 60, 0.0, 0, 0, 0, 204, 0.05, 1),
+    (18, 0.1, 40, 0.0, 35, 0.0, 0, 0, 0, 358, 0.0, 1),
+    (9, 0.0, 45, 0.0, 50, 0.0, 0, 0, 0, 529, 0.02, 1),
+    (4, 0.0, 38, 0.0, 42, 0.0, 0, 0, 0, 244, 0.05, 1),
+    (7, 0.0, 3, 1.0, 64, 0.0, 0, 0, 1, 187, 0.0, 1),
+    (6, 0.0, 52, 0.0, 47, 0.0, 0, 0, 1, 346, 0.02, 1),
+    (30, 0.0, 2, 1.0, 5, 0.0, 0, 0, 0, 550, 0.05, 1),
+    (24, 0.0, 24, 0.0, 1, 1.0, 0, 0, 0, 264, 0.0, 1),
+    (24, 0.0, 1, 1.0, 24, 0.0, 0, 0, 0, 204, 0.02, 1),
+    (35, 0.05, 30, 0.0, 2, 1.0, 0, 0, 0, 375, 0.05, 1),
+    (48, 0.1, 6, 0.0, 3, 0.0, 0, 0, 0, 568, 0.0, 1),
+    (22, 0.0, 60, 0.1, 0, 0.0, 0, 0, 0, 262, 0.02, 1),
+    (4, 0.0, 30, 0.0, 1, 0.0, 0, 0, 0, 13, 0.9, 0),
+    (1, 0.0, 3, 0.0, 2, 0.0, 0, 0, 0, 1, 0.0, 0),
+    (8, 0.0, 0, 0.0, 0, 0.0, 0, 0, 0, 11, 0.6, 0),
+    (1, 1.0, 1, 1.0, 24, 0.0, 0, 0, 0, 10, 1.0, 0),
+    (2, 1.0, 0, 0.0, 60, 0.0, 0, 0, 0, 2, 0.5, 0),
+    (3, 1.0, 40, 0.0, 30, 0.0, 0, 0, 0, 6, 1.0, 0),
+    (6, 0.9, 2, 1.0, 70, 0.0, 0, 0, 0, 15, 0.9, 0),
+    (4, 0.7, 50, 0.0, 2, 1.0, 0, 0, 0, 4, 0.7, 0),
+    (1, 1.0, 1, 1.0, 1, 1.0, 0, 0, 0, 4, 0.5, 0),
+    (2, 1.0, 1, 1.0, 3, 1.0, 0, 0, 0, 11, 1.0, 0),
+    (5, 1.0, 0, 0.0, 4, 1.0, 0, 0, 0, 5, 0.5, 0),
+    (12, 0.9, 6, 1.0, 8, 1.0, 0, 0, 0, 15, 0.6, 0),
+    (4, 0.0, 2, 1.0, 1, 1.0, 0, 0, 0, 13, 0.9, 0),
+    (6, 0.0, 3, 0.0, 0, 0.0, 0, 0, 0, 6, 0.0, 0),
+    (9, 0.3, 4, 0.5, 0, 0.0, 0, 0, 0, 12, 0.6, 0),
+    (30, 0.8, 5, 1.0, 6, 1.0, 0, 0, 0, 39, 0.9, 0),
+    (3, 0.0, 2, 1.0, 2, 1.0, 0, 0, 1, 3, 0.0, 0),
+    (1, 1.0, 1, 1.0, 1, 1.0, 1, 0, 0, 7, 1.0, 0),
+    (12, 0.0, 80, 0.0, 0, 0.0, 1, 0, 0, 52, 0.4, 0),
+    (40, 0.0, 30, 0.0, 25, 0.0, 1, 0, 0, 200, 0.0, 0),
+    (25, 0.0, 40, 0.0, 60, 0.0, 1, 1, 0, 25, 0.0, 0),
+    (60, 0.0, 50, 0.0, 45, 0.0, 1, 1, 0, 66, 0.4, 0),
+    (4, 0.0, 5, 0.0, 50, 0.0, 1, 1, 1, 44, 0.0, 0),
+    (5, 0.0, 3, 1.0, 44, 0.0, 1, 0, 1, 165, 0.0, 0),
+    (7, 0.0, 1, 1.0, 9, 0.0, 1, 0, 0, 7, 0.4, 0),
+    (90, 0.1, 70, 0.0, 80, 0.0, 1, 0, 0, 96, 0.1, 0),
+    (1, 0.0, 1, 0.0, 2, 0.0, 0, 0, 0, 400, 0.0, 1),
+    (2, 0.0, 1, 0.0, 1, 0.0, 0, 0, 0, 150, 0.02, 1),
+    (6, 0.0, 2, 1.0, 3, 0.0, 0, 0, 1, 310, 0.01, 1),
+    (3, 0.0, 2, 0.0, 5, 0.3, 0, 0, 0, 220, 0.05, 1),
+    (12, 0.2, 3, 0.0, 0, 0.0, 0, 0, 0, 260, 0.04, 1),
+    (1, 0.0, 40, 0.0, 9, 0.0, 0, 0, 0, 180, 0.0, 1),
+    (1, 1.0, 1, 1.0, 1, 1.0, 0, 0, 0, 300, 0.08, 0),
+    (2, 1.0, 2, 1.0, 60, 0.0, 0, 0, 0, 420, 0.04, 0),
+    (4, 0.8, 3, 1.0, 2, 1.0, 0, 0, 0, 200, 0.1, 0),
+    (9, 0.0, 30, 0.0, 0, 0.0, 0, 0, 0, 9, 0.0, 0),
+    (11, 0.0, 45, 0.0, 3, 0.0, 0, 0, 0, 14, 0.0, 0),
+    (8, 0.0, 1, 1.0, 50, 0.0, 0, 0, 0, 8, 0.0, 0),
+    (16, 0.0, 2, 1.0, 60, 0.0, 0, 0, 0, 16, 0.0, 0),
+    (4, 1.0, 3, 1.0, 5, 1.0, 0, 1, 0, 12, 1.0, 1),
+    (2, 0.0, 5, 1.0, 3, 1.0, 0, 1, 0, 10, 0.8, 1),
+    (11, 0.6, 40, 0.0, 2, 0.0, 0, 1, 0, 11, 0.6, 1),
+    (1, 0.0, 1, 0.0, 1, 0.0, 0, 1, 0, 3, 0.0, 1),
+    (5, 1.0, 60, 0.0, 70, 0.0, 0, 1, 0, 140, 0.4, 1),
+    (18, 0.0, 0, 0.0, 0, 0.0, 0, 1, 0, 18, 0.0, 1),
+    (7, 0.9, 7, 0.9, 8, 0.9, 0, 1, 0, 60, 0.9, 1),
+    (3, 0.0, 3, 0.0, 40, 0.0, 0, 1, 1, 46, 0.0, 1),
+    (15, 0.5, 2, 1.0, 2, 1.0, 0, 1, 0, 19, 0.6, 1),
+    (9, 1.0, 9, 1.0, 30, 0.0, 0, 1, 0, 18, 1.0, 1),
+    (30, 0.7, 20, 0.0, 20, 0.0, 0, 1, 0, 90, 0.5, 1),
+    (2, 1.0, 8, 0.0, 6, 0.0, 0, 1, 0, 4, 0.5, 1),
+    (70, 0.0, 60, 0.0, 80, 0.0, 1, 0, 0, 700, 0.0, 0),
+    (45, 0.02, 30, 0.0, 50, 0.0, 1, 1, 0, 400, 0.02, 0),
+    (5, 0.0, 45, 0.0, 60, 0.0, 1, 1, 0, 300, 0.0, 0),
+    (28, 0.0, 30, 0.0, 0, 0.0, 1, 0, 0, 240, 0.03, 0),
+    (6, 0.0, 20, 0.0, 35, 0.0, 1, 0, 1, 500, 0.01, 0),
+    (33, 0.0, 35, 0.0, 40, 0.0, 1, 1, 0, 180, 0.0, 0),
+    (90, 0.0, 2, 1.0, 75, 0.0, 1, 0, 0, 900, 0.01, 0),
+    (14, 0.1, 26, 0.0, 31, 0.0, 1, 0, 0, 210, 0.02, 0),
+    (20, 0.0, 2, 1.0, 1, 1.0, 0, 0, 0, 20, 0.0, 0),
+    (24, 0.1, 1, 1.0, 0, 0.0, 0, 0, 0, 24, 0.1, 0),
+    (22, 0.0, 40, 0.0, 0, 0.0, 0, 0, 0, 22, 0.0, 0),
+    (30, 0.05, 12, 0.0, 0, 0.0, 0, 0, 0, 30, 0.05, 0),
+    (19, 0.0, 3, 1.0, 2, 1.0, 0, 0, 0, 19, 0.0, 0),
+    (26, 0.0, 1, 1.0, 3, 1.0, 0, 0, 0, 26, 0.0, 0),
+    (60, 0.0, 1, 1.0, 2, 1.0, 0, 0, 0, 60, 0.0, 1),
+    (48, 0.0, 3, 1.0, 9, 0.0, 0, 0, 0, 48, 0.0, 1),
+    (25, 0.0, 8, 0.0, 30, 0.0, 0, 0, 0, 25, 0.0, 1),
+    (28, 0.0, 35, 0.0, 42, 0.0, 0, 0, 0, 28, 0.0, 1),
+    (3, 0.7, 24, 0.0, 0, 0.0, 0, 0, 0, 52, 0.1, 0),
+    (5, 0.6, 40, 0.0, 1, 1.0, 0, 0, 0, 160, 0.06, 0),
+    (20, 0.4, 30, 0.0, 25, 0.0, 0, 0, 0, 300, 0.05, 1),
+    (14, 0.45, 8, 0.0, 40, 0.0, 0, 0, 0, 190, 0.08, 1),
 )
 
 
@@ -116,6 +166,7 @@ class Block:
     apart: bool
     main: bool
     heading: bool
+    box: int
 
 
 def blocks(page: str) -> list[Block]:
@@ -123,15 +174,16 @@ def blocks(page: str) -> list[Block]:
     out: list[Block] = []
     parts: list[str] = []
     linked: list[str] = []
-    # open elements: tag, apart, main, heading, link
-    stack: list[tuple[str, bool, bool, bool, bool]] = [("", False, False, False, False)]
+    # open elements: tag, apart, main, heading, link, own number and that of the element around it
+    stack: list[tuple[str, bool, bool, bool, bool, int, int]] = [("", False, False, False, False, 0, 0)]
+    opened = 0
 
     def flush() -> None:
         text = " ".join(html.unescape("".join(parts)).split())
         if text:
             in_links = len(" ".join(html.unescape("".join(linked)).split()))
-            _, apart, main, heading, _ = stack[-1]
-            out.append(Block(text, min(1.0, in_links / len(text)), apart, main, heading))
+            _, apart, main, heading, _, _, box = stack[-1]
+            out.append(Block(text, min(1.0, in_links / len(text)), apart, main, heading, box))
         parts.clear()
         linked.clear()
 
@@ -192,14 +244,18 @@ def blocks(page: str) -> list[Block]:
                 stack.pop()
         elif tag not in ("a", "span"):
             continue
-        _, apart, main, heading, link = stack[-1]
-        said = tag in APART
+        _, apart, main, heading, link, own, box = stack[-1]
+        said, holds = tag in APART, tag in MAIN
         if rest and tag not in ("html", "body", "article", "main"):
             cues = {w for c in _CUE.findall(rest) for w in re.split(r"[^a-z0-9]+", c.lower())}
             said = said or not cues.isdisjoint(CUES) or bool(_HIDDEN.search(rest))
+            holds = holds or not inline and not cues.isdisjoint(MAIN_CUES)
+        if not inline:
+            opened += 1
+            own, box = opened, own
         if said and inline:  # an inline element apart is no part of the block around it
             flush()
-        stack.append((tag, apart or said, main or tag in MAIN, heading or tag in HEADING, link or tag == "a"))
+        stack.append((tag, apart or said, main or holds, heading or tag in HEADING, link or tag == "a", own, box))
     flush()
     return out
 
@@ -208,8 +264,13 @@ def described(found: Sequence[Block]) -> np.ndarray:
     """One row of FEATURES per block."""
     own = [(len(b.text.split(" ")), b.links) for b in found]
     around = [(0, 0.0), *own, (0, 0.0)]
+    boxes: dict[int, tuple[int, float]] = {}
+    for b, (n, links) in zip(found, own):
+        held, linked = boxes.get(b.box, (0, 0.0))
+        boxes[b.box] = (held + n, linked + n * links)
     rows = [
-        (*own[i], *around[i], *around[i + 2], float(b.apart), float(b.main), float(b.heading)) for i, b in enumerate(found)
+        (*own[i], *around[i], *around[i + 2], float(b.apart), float(b.main), float(b.heading), boxes[b.box][0], boxes[b.box][1] / boxes[b.box][0])
+        for i, b in enumerate(found)
     ]
     return np.array(rows, float).reshape(-1, len(FEATURES))
 
@@ -233,7 +294,7 @@ class Node:
         return out
 
 
-def train(rows: np.ndarray, labels: np.ndarray, depth: int = 5) -> Node:
+def train(rows: np.ndarray, labels: np.ndarray, depth: int = 7) -> Node:
     """Decision tree by Gini impurity; among equal splits the first feature and the lowest cut win."""
     share = float(labels.mean())
     if depth == 0 or share in (0.0, 1.0):
