@@ -17,7 +17,7 @@ replays the earlier ones of its words instead of storing their tables.
 
 Texts are cut into blocks of rows that lie together in a file.  A block asks
 for its distinct words once, and the answers meet the block's texts in one
-partition, words first.  What is shuffled is the texts and each block's
+partition, words first, both packed.  What is shuffled is the texts and each block's
 vocabulary; a task holds the vocabulary of one block, never that of the corpus.
 """
 
@@ -39,8 +39,8 @@ from millrace.session import scratch_path, stable
 
 #: context restaurants; rows of a block; sweeps before the first sample, and samples
 CONTEXTS, BLOCK_ROWS, BURN_IN, SAMPLES = 16, 8_192, 2, 3
-#: answers that a task packs together
-PACK_ROWS = 400_000
+#: bytes of rows that a task packs together
+PACK_BYTES = 32 << 20
 #: bytes of text that a task turns into words at a time
 TEXT_BYTES = 6 << 20
 #: strength of every restaurant
@@ -385,7 +385,7 @@ def _answers(words: DataFrame, model: Model) -> DataFrame:
 
 
 def _packed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """``block``, ``pack`` from rows of ``block``, ``word``, ``n``, ``answer``: the rows of a block as compressed Arrow data."""
+    """``block``, ``pack`` from rows with a ``block``: the other columns of a block's rows as compressed Arrow data."""
     held: list[pa.RecordBatch] = []
 
     def out() -> pa.RecordBatch:
@@ -403,7 +403,7 @@ def _packed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
     for batch in batches:
         held.append(batch)
-        if sum(b.num_rows for b in held) >= PACK_ROWS:
+        if sum(b.nbytes for b in held) >= PACK_BYTES:
             yield out()
             held.clear()
     if any(b.num_rows for b in held):
@@ -498,32 +498,26 @@ def score_texts(
     model = fit(words, contexts, burn_in, samples)
 
     answers = uses.select("block", "word").join(_answers(words, model), "word").select("block", "word", "n", "answer")
-    lookups = answers.mapInArrow(_packed, "block bigint, pack binary").select(
-        "block", F.lit(0).alias("kind"), "pack", F.lit(None).cast(blocked.schema["id"].dataType).alias("id"), F.lit(None).cast("string").alias("text")
-    )
-    texts = blocked.select("block", F.lit(1).alias("kind"), F.lit(None).cast("binary").alias("pack"), "id", "text")
+    lookups = answers.mapInArrow(_packed, "block bigint, pack binary").withColumn("kind", F.lit(0))
+    texts = blocked.select("block", "id", "text").mapInArrow(_packed, "block bigint, pack binary").withColumn("kind", F.lit(1))
     met = lookups.unionByName(texts).repartition("block").sortWithinPartitions("block", "kind")
     held = spark.sparkContext.broadcast(model)
     measures = ["n_tokens", "n_known", "base_score", "score"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model, now, block = held.value, None, None
-        for batch in byte_slices(batches, "text", TEXT_BYTES):
-            group = batch.column("block").to_numpy(zero_copy_only=False)
-            kind = batch.column("kind").to_numpy(zero_copy_only=False)
-            cuts = np.flatnonzero((group[1:] != group[:-1]) | (kind[1:] != kind[:-1])) + 1
-            cuts = np.concatenate([[0], cuts, [len(group)]])
-            for lo, hi in zip(cuts[:-1], cuts[1:]):
-                part = batch.slice(lo, hi - lo)
-                if now is None or group[lo] != block:
-                    now, block = _Block(model), group[lo]
-                if kind[lo] == 0:
-                    for pack in part.column("pack"):
-                        for rows in pa.ipc.open_stream(pack.as_buffer()):
-                            now.add(rows.column("word"), rows.column("n"), rows.column("answer"))
+        for batch in batches:
+            for group, kind, pack in zip(*(batch.column(c) for c in ("block", "kind", "pack"))):
+                if now is None or group.as_py() != block:
+                    now, block = _Block(model), group.as_py()
+                rows = pa.ipc.open_stream(pack.as_buffer())
+                if kind.as_py() == 0:
+                    for part in rows:
+                        now.add(part.column("word"), part.column("n"), part.column("answer"))
                 else:
-                    out = now.score(part.column("text"))
-                    yield pa.RecordBatch.from_arrays([part.column("id"), *[pa.array(x) for x in out]], ["id", *measures])
+                    for part in byte_slices(rows, "text", TEXT_BYTES):
+                        out = now.score(part.column("text"))
+                        yield pa.RecordBatch.from_arrays([part.column("id"), *[pa.array(x) for x in out]], ["id", *measures])
 
     id_kind = blocked.schema["id"].dataType.simpleString()
     out = met.mapInArrow(run, f"id {id_kind}, n_tokens bigint, n_known bigint, base_score double, score double")
