@@ -20,6 +20,14 @@ from millrace.operators.timeseries import future_index
 Z80, Z95 = 1.2815515655446004, 1.959963984540054
 
 
+def _values(pdf: pd.DataFrame) -> tuple[np.ndarray, np.ndarray]:
+    """Values and positions in order; a step without a value lies on the line between its neighbours."""
+    pdf = pdf.sort_values("pos")
+    x, pos = pdf["value"].to_numpy(float), pdf["pos"].to_numpy()
+    known = ~np.isnan(x)
+    return (x if known.all() or not known.any() else np.interp(pos, pos[known], x[known])), pos
+
+
 def _difference(x: np.ndarray, d: int, seasonal: int, period: int) -> np.ndarray:
     for _ in range(d):
         x = np.diff(x)
@@ -105,7 +113,7 @@ def seasonal_ar_forecast(
     kind = series.schema[key].dataType.simpleString()
 
     def solve(pdf: pd.DataFrame) -> pd.DataFrame:
-        x = pdf.sort_values("pos")["value"].to_numpy()
+        x = _values(pdf)[0]
         diffed = _difference(x, d, sd, period)
         phi, sea, w, rss, n = _fit_seasonal_ar(diffed, p, sp, period, p + sp * period)
         point, se = _forecast_ar(x, w, rss / n, d, sd, period, h)
@@ -128,7 +136,7 @@ def choose_order(series: DataFrame, key: str, period: int, max_p: int = 2, max_s
     kind = series.schema[key].dataType.simpleString()
 
     def solve(pdf: pd.DataFrame) -> pd.DataFrame:
-        x = _difference(pdf.sort_values("pos")["value"].to_numpy(), d, sd, period)
+        x = _difference(_values(pdf)[0], d, sd, period)
         start = max_p + max_sp * period
         rows = []
         for p, sp in itertools.product(range(max_p + 1), range(max_sp + 1)):
@@ -178,8 +186,7 @@ def ets(series: DataFrame, key: str, period: int, h: int) -> DataFrame:
     kind = series.schema[key].dataType.simpleString()
 
     def solve(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values("pos")
-        x, pos = pdf["value"].to_numpy(), pdf["pos"].to_numpy()
+        x, pos = _values(pdf)
         if len(x) < 2 * period:
             raise ValueError("a seasonal series needs two periods")
         centre, width = np.array([0.5, 0.25, 0.25]), np.array([0.49, 0.249, 0.249])
@@ -225,6 +232,80 @@ def ets(series: DataFrame, key: str, period: int, h: int) -> DataFrame:
     )
 
 
+FORMS = [e + t + s for e in "AM" for t in "NA" for s in "NAM"]
+
+
+def _smooth_form(x: np.ndarray, period: int, form: str, alpha, beta, gamma) -> np.ndarray:
+    """One-step forecasts of a form (error, trend, season; N none, A additive, M multiplicative), one column per weight set."""
+    _, trend, season_kind = form
+    k = len(alpha)
+    first, second = x[:period].mean(), x[period : 2 * period].mean()
+    step = (second - first) / period if trend == "A" else 0.0
+    level, slope = np.full(k, first - step * (period + 1) / 2), np.full(k, step)
+    line = first + (np.arange(period) - (period - 1) / 2) * step
+    figure = x[:period] / line if season_kind == "M" else x[:period] - line
+    figure = figure / figure.mean() if season_kind == "M" else figure - figure.mean()
+    season = np.tile(figure, (k, 1))
+    fitted = np.empty((len(x), k))
+    for t, value in enumerate(x):
+        s, base = season[:, t % period], level + slope
+        point = base * s if season_kind == "M" else base + s if season_kind == "A" else base
+        fitted[t] = point
+        e = value - point
+        share = e / s if season_kind == "M" else e
+        level, slope = base + alpha * share, slope + (beta * share if trend == "A" else 0.0)
+        if season_kind != "N":
+            season[:, t % period] = s + gamma * (e / base if season_kind == "M" else e)
+    return fitted
+
+
+def choose_form(series: DataFrame, key: str, period: int, forms: list[str] = FORMS) -> DataFrame:
+    """AICc of every form of exponential smoothing per series, the least marked ``chosen``.
+
+    Forms are named by error, trend and season; each is fitted by a weight grid
+    refined twice.  Multiplicative forms are left out for series with values of
+    zero or less.  A series needs two periods.
+    """
+    kind = series.schema[key].dataType.simpleString()
+
+    def solve(pdf: pd.DataFrame) -> pd.DataFrame:
+        x, _ = _values(pdf)
+        n = len(x)
+        if n < 2 * period:
+            raise ValueError("a seasonal series needs two periods")
+        rows = []
+        for form in forms:
+            if "M" in form and x.min() <= 0:
+                continue
+            axes_used = np.array([True, form[1] == "A", form[2] != "N"])
+            centre, width, best = np.array([0.5, 0.25, 0.25]), np.array([0.49, 0.249, 0.249]), math.inf
+            for _ in range(3):
+                axes = [
+                    np.clip(np.linspace(c - w, c + w, 7), 1e-4, 0.9999) if used else np.zeros(1)
+                    for c, w, used in zip(centre, width, axes_used, strict=True)
+                ]
+                grid = np.array([g for g in itertools.product(*axes) if g[1] <= g[0] and g[2] <= 1 - g[0]] or [centre * axes_used])
+                with np.errstate(all="ignore"):
+                    fitted = _smooth_form(x, period, form, *grid.T)
+                    e = x[:, None] - fitted
+                    if form[0] == "M":
+                        cost = n * np.log(np.square(e / fitted).sum(axis=0)) + 2 * np.log(np.abs(fitted)).sum(axis=0)
+                        cost = np.where((fitted > 0).all(axis=0), cost, np.inf)
+                    else:
+                        cost = n * np.log(np.maximum(np.square(e).sum(axis=0), 1e-300))
+                cost = np.where(np.isfinite(cost), cost, np.inf)
+                at = int(np.argmin(cost))
+                centre, width, best = np.where(axes_used, grid[at], centre), width / 3, min(best, float(cost[at]))
+            k = 3 + 2 * int(axes_used[1]) + (period if axes_used[2] else 0)  # weights, states and variance
+            rows.append((form, best + 2 * k + (2 * k * (k + 1) / (n - k - 1) if n > k + 1 else math.inf)))
+        out = pd.DataFrame(rows, columns=["form", "aicc"])
+        out.insert(0, key, pdf[key].iloc[0])
+        out["chosen"] = out.index == out["aicc"].idxmin()
+        return out
+
+    return _numbers(series, key).groupBy(key).applyInPandas(solve, f"`{key}` {kind}, form string, aicc double, chosen boolean")
+
+
 def tidy(model: DataFrame, key: str) -> DataFrame:
     """Model parameters as rows."""
     return model.where("kind = 'parameter'").select(key, F.col("name").alias("term"), F.col("value").alias("estimate"))

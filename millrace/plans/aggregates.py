@@ -44,8 +44,7 @@ WHERE p_size BETWEEN 5 AND 40 GROUP BY p_type ORDER BY mean_price DESC, p_type L
 
 @query("A04_sql_group_order_limit", A04)
 def a04(t):
-    t.part.createOrReplaceTempView("part")
-    return t.spark.sql(A04)
+    return t.spark.sql(A04.replace("FROM part", "FROM {part}"), part=t.part)
 
 
 @query(

@@ -162,6 +162,11 @@ def t13(t):
     return FC.ets(monthly(t), "key", PERIOD, 12)
 
 
+@query("T13_ets_forms")
+def t13_forms(t):
+    return FC.choose_form(monthly(t), "key", PERIOD)
+
+
 @query("T14_tidy")
 def t14(t):
     return FC.tidy(FC.ets(monthly(t), "key", PERIOD, 12), "key")
