@@ -28,6 +28,7 @@ from pyspark.sql import functions as F
 
 from millrace.operators import sampling
 from millrace.operators.evaluation import accuracy, confusion
+from millrace.operators.ordering import positions
 
 
 def features_from_array(df: DataFrame, column: str, name: str = "features") -> DataFrame:
@@ -119,18 +120,13 @@ def importance(model, names: Sequence[str], spark) -> DataFrame:
 def permutation_importance(model, df: DataFrame, key: Sequence[str], column: str, label: str, width: int, seed: int = 1) -> DataFrame:
     """Loss of accuracy when one element of the array ``column`` takes another row's value.
 
-    Rows exchange values with the row next to them in a hash order, inside
-    bounded hash buckets, so no column is gathered in one place.
+    Every row takes the values of the row before it in a hash order of all
+    rows; the order comes from a distributed sort, so no column is gathered.
     """
-    from pyspark.sql.window import Window
-
-    buckets = max(1, df.count() // 1000)
-    spread = df.withColumn("__b", F.pmod(sampling.hash_order(key, seed), F.lit(buckets)))
-    w = Window.partitionBy("__b").orderBy(sampling.hash_order(key, seed + 1), *key)
-    whole = Window.partitionBy("__b").orderBy(sampling.hash_order(key, seed + 1), *key).rowsBetween(
-        Window.unboundedPreceding, Window.unboundedFollowing
-    )
-    shuffled = spread.withColumn("__o", F.coalesce(F.lag(column).over(w), F.last(column).over(whole)))
+    order = [sampling.hash_order(key, seed), *[F.col(k) for k in key]]
+    placed = positions(df.select(*key, column, label), order, name="__pos")
+    before = placed.select((F.col("__pos") % F.col("__pos_total") + 1).alias("__pos"), F.col(column).alias("__o"))
+    shuffled = placed.join(before, "__pos").drop("__pos", "__pos_total")
     base = accuracy(model.transform(features_from_array(df, column)), label, "prediction").first()[0]
     each = shuffled.withColumn("feature", F.explode(F.sequence(F.lit(0), F.lit(width - 1))))
     mixed = F.transform(F.col(column), lambda x, i: F.when(i == F.col("feature"), F.get("__o", i)).otherwise(x))
