@@ -95,9 +95,17 @@ def t04(t):
     return _rounded(TS.acf(monthly(t), "key", LAGS), ["key", "lag", "n"], {"acf": 8})
 
 
-@query("T05_pacf")
+@query(
+    "T05_pacf",
+    ACF_SQL.replace("WITH ", "WITH RECURSIVE ", 1) + f""", g AS (SELECT key, list(acf ORDER BY lag) AS rho FROM r WHERE lag > 0 GROUP BY 1),
+    p(key, k, phi, rho) AS (SELECT key, 1, [rho[1]], rho FROM g
+        UNION ALL SELECT key, k + 1, list_append(list_transform(range(1, k + 1), lambda j: phi[j] - x * phi[k + 1 - j]), x), rho FROM
+        (SELECT *, (rho[k + 1] - list_sum(list_transform(range(1, k + 1), lambda j: phi[j] * rho[k + 1 - j])))
+            / (1 - list_sum(list_transform(range(1, k + 1), lambda j: phi[j] * rho[j]))) AS x FROM p WHERE k < {LAGS}))
+    SELECT key, CAST(k AS INTEGER) AS lag, round(phi[k], 7) AS pacf FROM p""",
+)
 def t05(t):
-    return TS.pacf(monthly(t), "key", LAGS)
+    return _rounded(TS.pacf(monthly(t), "key", LAGS), ["key", "lag"], {"pacf": 7})
 
 
 @query(
