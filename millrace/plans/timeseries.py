@@ -7,11 +7,17 @@ from millrace.operators import timeseries as TS
 from millrace.operators import windows as W
 from millrace.plans.registry import query
 
-MONTHLY_SQL = """SELECT key, ts, value, row_number() OVER (PARTITION BY key ORDER BY ts) AS pos FROM (
-    SELECT o_orderpriority AS key, date_trunc('month', o_orderdate)::DATE AS ts, round(sum(o_totalprice), 2) AS value
-    FROM orders GROUP BY 1, 2)"""
-DAILY_SQL = """SELECT key, ts, value, row_number() OVER (PARTITION BY key ORDER BY ts) AS pos FROM (
-    SELECT event_type AS key, date_trunc('day', ts)::DATE AS ts, round(sum(value), 2) AS value FROM events GROUP BY 1, 2)"""
+
+def series_sql(table, key, ts, value, step):
+    """SQL of a regular series: a row for every step between a key's first and last."""
+    return f"""SELECT key, ts, value, row_number() OVER (PARTITION BY key ORDER BY ts) AS pos FROM
+    (SELECT key, CAST(unnest(generate_series(min(ts), max(ts), INTERVAL 1 {step})) AS DATE) AS ts FROM
+        (SELECT {key} AS key, date_trunc('{step}', {ts})::DATE AS ts FROM {table}) GROUP BY 1)
+    LEFT JOIN (SELECT {key} AS key, date_trunc('{step}', {ts})::DATE AS ts, {value} AS value FROM {table} GROUP BY 1, 2) USING (key, ts)"""
+
+
+MONTHLY_SQL = series_sql("orders", "o_orderpriority", "o_orderdate", "round(sum(o_totalprice), 2)", "month")
+DAILY_SQL = series_sql("events", "event_type", "ts", "round(sum(value), 2)", "day")
 PERIOD = 12
 
 
@@ -84,7 +90,7 @@ def t03_log(t):
 
 LAGS = 15
 ACF_SQL = f"""WITH s AS ({MONTHLY_SQL}), d AS (SELECT key, pos, value - avg(value) OVER (PARTITION BY key) AS d FROM s),
-v AS (SELECT key, sum(d * d) AS v, count(*) AS n FROM d GROUP BY 1),
+v AS (SELECT key, sum(d * d) AS v, count(d) AS n FROM d GROUP BY 1),
 a AS (SELECT x.key, x.pos - y.pos AS lag, sum(x.d * y.d) AS c FROM d x JOIN d y ON x.key = y.key AND x.pos - y.pos BETWEEN 0 AND {LAGS} GROUP BY 1, 2),
 r AS (SELECT a.key, CAST(lag AS INTEGER) AS lag, c / v AS acf, n FROM a JOIN v ON a.key = v.key)
 """
