@@ -19,7 +19,7 @@ from pyspark.sql.window import Window
 
 from millrace.functions import tails
 from millrace.operators.ordering import join_null_safe
-from millrace.operators.regression import Gram, gram, ols
+from millrace.operators.regression import Gram, ols
 from millrace.operators.windows import centred_mean
 
 
