@@ -106,10 +106,6 @@ def _suffixes(host: Column) -> Column:
     return F.transform(F.sequence(F.lit(1), F.size(labels)), lambda i: F.array_join(F.slice(labels, i, F.size(labels)), "."))
 
 
-def _key(host: Column, path: Column) -> Column:
-    return F.concat(host, path)
-
-
 def filter_urls(
     pages: DataFrame,
     rules: Sequence[tuple[str, str]],
