@@ -41,8 +41,10 @@ from millrace.session import scratch_path
 CONTEXTS, BLOCK_ROWS, BURN_IN, SAMPLES = 16, 8_192, 2, 3
 #: bytes of rows that a task packs together
 PACK_BYTES = 32 << 20
+#: parts of a block's counts that are kept before they are added up
+MERGE = 4
 #: bytes of text that a task turns into words at a time
-TEXT_BYTES = 6 << 20
+TEXT_BYTES = 3 << 20
 #: strength of every restaurant
 STRENGTH = 1.0
 #: customers of a dish up to which their tables are drawn exactly
@@ -290,6 +292,7 @@ def _uses(blocked: DataFrame, contexts: int) -> DataFrame:
             w, c = words[lo : lo + (1 << 16)], counts[lo : lo + (1 << 16)]
             columns = [pa.array(np.full(len(w), block)), w.cast(pa.string()), *[pa.array(c[:, u].astype(np.int64)) for u in range(contexts)]]
             yield pa.RecordBatch.from_arrays(columns, ["block", "word", *names])
+        pa.default_memory_pool().release_unused()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         block, parts = None, []
@@ -303,6 +306,8 @@ def _uses(blocked: DataFrame, contexts: int) -> DataFrame:
                     parts = []
                 block = int(ids[lo])
                 parts.append(counted(batch.slice(lo, hi - lo)))
+                if len(parts) == MERGE:
+                    parts = [_merged(parts)]
         if parts:
             yield from out(block, parts)
 
@@ -406,6 +411,7 @@ def _packed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         if sum(b.nbytes for b in held) >= PACK_BYTES:
             yield out()
             held.clear()
+            pa.default_memory_pool().release_unused()
     if any(b.num_rows for b in held):
         yield out()
 
@@ -510,6 +516,7 @@ def score_texts(
             for group, kind, pack in zip(*(batch.column(c) for c in ("block", "kind", "pack"))):
                 if now is None or group.as_py() != block:
                     now, block = _Block(model), group.as_py()
+                    pa.default_memory_pool().release_unused()
                 rows = pa.ipc.open_stream(pack.as_buffer())
                 if kind.as_py() == 0:
                     for part in rows:
