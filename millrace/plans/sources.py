@@ -191,16 +191,36 @@ def s24(t):
     return handle.groupBy("l_shipmonth").agg(F.count(F.lit(1)).alias("n"))
 
 
-@query("S25_list_tables")
+@query(
+    "S25_list_tables",
+    """SELECT 'orders' AS label, 'TEMPORARY' AS kind, true AS temporary, count(*) AS n FROM orders
+    UNION ALL SELECT 'customer', 'TEMPORARY', true, count(*) FROM customer""",
+)
 def s25(t):
-    name = _fresh("orders_listed")
-    tables.register(t.orders, name)
-    return tables.list_tables(t.spark).where(F.col("name") == name)
+    names = {_fresh(label): label for label in ("orders", "customer")}
+    counts = None
+    for name, label in names.items():
+        part = tables.register(getattr(t, label), name).agg(F.lit(name).alias("name"), F.lit(label).alias("label"), F.count(F.lit(1)).alias("n"))
+        counts = part if counts is None else counts.unionByName(part)
+    return tables.list_tables(t.spark).join(counts, "name").select("label", "kind", "temporary", "n")
+
+
+DESCRIBED = "l_orderkey bigint, l_linenumber int, l_quantity double, l_returnflag string"
 
 
-@query("S26_describe_columns")
+@query(
+    "S26_describe_columns",
+    " UNION ALL ".join(
+        f"SELECT CAST({i} AS INTEGER) AS position, '{c.split()[0]}' AS \"column\", '{c.split()[1]}' AS type, count({c.split()[0]}) AS filled, "
+        f"count(DISTINCT {c.split()[0]}) AS kinds FROM lineitem"
+        for i, c in enumerate(DESCRIBED.split(", "), start=1)
+    ),
+)
 def s26(t):
-    return tables.describe_columns(t.lineitem)
+    rows = t.lineitem.select(*[c.split()[0] for c in DESCRIBED.split(", ")])
+    long = rows.select(*[F.col(c).cast("string").alias(c) for c in rows.columns]).unpivot([], rows.columns, "column", "value")
+    counts = long.groupBy("column").agg(F.count("value").alias("filled"), F.count_distinct("value").alias("kinds"))
+    return tables.describe_columns(rows).join(counts, "column").select("position", "column", "type", "filled", "kinds")
 
 
 @query("S27_create_table", "SELECT c_custkey, c_name FROM customer WHERE c_acctbal < 0 UNION ALL SELECT c_custkey, c_name FROM customer WHERE c_acctbal >= 0")
@@ -250,6 +270,13 @@ def s31(t):
     return both.select("l_orderkey", "l_linenumber", F.round("fitted", 3).alias("fitted"), F.round("reloaded", 3).alias("reloaded"))
 
 
-@query("S33_glimpse")
+@query(
+    "S33_glimpse",
+    "WITH h AS (SELECT * FROM orders ORDER BY o_orderkey LIMIT 3) "
+    + " UNION ALL ".join(
+        f"SELECT CAST({i} AS INTEGER) AS position, '{c}' AS \"column\", '{kind}' AS type, list_sort(list({c}::VARCHAR)) AS values FROM h"
+        for i, (c, kind) in enumerate({"o_orderkey": "bigint", "o_totalprice": "double", "o_orderstatus": "string"}.items(), start=1)
+    ),
+)
 def s33(t):
     return tables.glimpse(t.orders.select("o_orderkey", "o_totalprice", "o_orderstatus"), ["o_orderkey"])
