@@ -41,10 +41,8 @@ from millrace.session import scratch_path
 CONTEXTS, BLOCK_ROWS, BURN_IN, SAMPLES = 16, 8_192, 2, 3
 #: bytes of rows that a task packs together
 PACK_BYTES = 32 << 20
-#: parts of a block's counts that are kept before they are added up
-MERGE = 4
 #: bytes of text that a task turns into words at a time
-TEXT_BYTES = 3 << 20
+TEXT_BYTES = 5 << 20
 #: strength of every restaurant
 STRENGTH = 1.0
 #: customers of a dish up to which their tables are drawn exactly
@@ -74,10 +72,11 @@ def tokens(texts: pa.Array, contexts: int) -> tuple[np.ndarray, pa.Array, np.nda
     at, words = split_words(texts, _TABLE)
     n = len(at) - 1
     ends = at[1:] + np.arange(n)  # where the ends come to stand
-    take = np.full(at[-1] + n, -1, np.int64)
-    take[np.setdiff1d(np.arange(len(take)), ends, assume_unique=True)] = np.arange(at[-1])
-    words = pa.concat_arrays([words.cast(pa.large_string()), pa.array([END], pa.large_string())])
-    words = words.take(pa.array(np.where(take < 0, len(words) - 1, take)))
+    inside = np.ones(at[-1] + n, bool)
+    inside[ends] = False
+    take = np.full(len(inside), at[-1], np.int64)
+    take[inside] = np.arange(at[-1])
+    words = pa.concat_arrays([words.cast(pa.large_string()), pa.array([END], pa.large_string())]).take(pa.array(take))
     offsets, data = _bytes_of(words)
     size = np.diff(offsets)
     padded = np.concatenate([np.zeros(2, np.uint8), data])
@@ -262,36 +261,45 @@ def _blocked(docs: DataFrame, key: str, text: str, train: Column, block_rows: in
         return docs.sparkSession.read.parquet(path).select("id", "text", "train", place.alias("block"))
 
 
-def _merged(parts: list[tuple[pa.Array, np.ndarray]]) -> tuple[pa.Array, np.ndarray]:
-    """Distinct words of several parts with their counts added up."""
-    if len(parts) == 1:
-        return parts[0]
-    coded = pa.concat_arrays([w for w, _ in parts]).dictionary_encode()
-    place = coded.indices.to_numpy()
-    order = np.argsort(place, kind="stable")
-    counts = np.concatenate([c for _, c in parts])[order]
-    return coded.dictionary, np.add.reduceat(counts, np.searchsorted(place[order], np.arange(len(coded.dictionary))), axis=0)
+#: distinct words, sorted numbers of their cells (word times contexts plus context), and the count of each
+Cells = tuple[pa.Array, np.ndarray, np.ndarray]
+
+
+def _merged(parts: list[Cells], contexts: int) -> Cells:
+    """The words of several parts, each once, with their counts added up."""
+    coded = pa.concat_arrays([w for w, _, _ in parts]).dictionary_encode()
+    place, cells, start = coded.indices.to_numpy().astype(np.int64), [], 0
+    for words, cell, _ in parts:
+        cells.append(place[start + cell // contexts] * contexts + cell % contexts)
+        start += len(words)
+    cell, count = np.concatenate(cells), np.concatenate([c for _, _, c in parts])
+    order = np.argsort(cell, kind="stable")
+    cell, count = cell[order], count[order]
+    first = np.flatnonzero(np.concatenate([[True], cell[1:] != cell[:-1]])) if len(cell) else np.zeros(0, np.int64)
+    return coded.dictionary, cell[first], np.add.reduceat(count, first) if len(first) else count
 
 
 def _uses(blocked: DataFrame, contexts: int) -> DataFrame:
     """``block``, ``word``, ``c0`` ..: the words of each block with their training counts per context."""
     names = [f"c{u}" for u in range(contexts)]
 
-    def counted(part: pa.RecordBatch) -> tuple[pa.Array, np.ndarray]:
+    def counted(part: pa.RecordBatch) -> Cells:
         at, words, before = tokens(part.column("text"), contexts)
         coded = words.dictionary_encode()
         learn = np.repeat(pc.fill_null(part.column("train"), False).to_numpy(zero_copy_only=False), np.diff(at))
-        cell = coded.indices.to_numpy().astype(np.int64) * contexts + before
-        size = len(coded.dictionary)
-        counts = np.bincount(cell[learn], minlength=size * contexts).astype(np.int32).reshape(size, contexts)
-        return coded.dictionary, counts
-
-    def out(block: int, parts: list) -> Iterator[pa.RecordBatch]:
-        words, counts = _merged(parts)
-        for lo in range(0, len(words), 1 << 16):
-            w, c = words[lo : lo + (1 << 16)], counts[lo : lo + (1 << 16)]
-            columns = [pa.array(np.full(len(w), block)), w.cast(pa.string()), *[pa.array(c[:, u].astype(np.int64)) for u in range(contexts)]]
-            yield pa.RecordBatch.from_arrays(columns, ["block", "word", *names])
+        counts = np.bincount((coded.indices.to_numpy().astype(np.int64) * contexts + before)[learn])
+        cell = np.flatnonzero(counts)
+        return coded.dictionary, cell, counts[cell]
+
+    def out(block: int, parts: list[Cells]) -> Iterator[pa.RecordBatch]:
+        words, cell, count = _merged(parts, contexts)
+        for lo in range(0, len(words), 1 << 15):
+            w = words[lo : lo + (1 << 15)]
+            a, b = np.searchsorted(cell, [lo * contexts, (lo + len(w)) * contexts])
+            dense = np.zeros(len(w) * contexts, np.int64)
+            dense[cell[a:b] - lo * contexts] = count[a:b]
+            columns = [pa.array(c) for c in dense.reshape(-1, contexts).T]
+            yield pa.RecordBatch.from_arrays([pa.array(np.full(len(w), block)), w.cast(pa.string()), *columns], ["block", "word", *names])
         pa.default_memory_pool().release_unused()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -306,8 +314,6 @@ def _uses(blocked: DataFrame, contexts: int) -> DataFrame:
                     parts = []
                 block = int(ids[lo])
                 parts.append(counted(batch.slice(lo, hi - lo)))
-                if len(parts) == MERGE:
-                    parts = [_merged(parts)]
         if parts:
             yield from out(block, parts)
 
