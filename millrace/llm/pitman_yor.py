@@ -1,35 +1,35 @@
 """Hierarchical Pitman-Yor language model.
 
-A word is drawn in the restaurant of its context, a hash class of the end of
-the word before it.  All context restaurants share one parent, the restaurant
-of words without context, whose own parent is uniform over the known words and
-one unknown.  A dish's customers sit at tables; every table is a customer of
-the parent.  Gibbs sampling seats the customers of one word in one restaurant
-anew, given all other tables; after a few sweeps the predictive probabilities
-of further sweeps are averaged.
-
-How it runs: given each restaurant's totals, the seating of a word does not
-depend on any other word, so a sweep is one pass over the table of words with
-their counts per context, and only the totals (two numbers per restaurant)
-come back to the driver between sweeps.  Random numbers are hashes of word,
-sweep and restaurant, so a lost task seats the same way again, and a sweep
-replays the earlier ones of its words instead of storing their tables.
+A word is drawn in the restaurant of its context, the word before it; the end
+of a text stands before the first word of the next.  All context restaurants
+share one parent, the restaurant of words without context, whose own parent is
+uniform over the known words and one unknown.  A dish's customers sit at
+tables; every table is a customer of the parent.  A sweep seats the customers
+of every word in every restaurant anew, given the tables of the sweep before;
+after a few sweeps the predictive probabilities of further sweeps are averaged.
+
+How it runs: a cell is a pair of context and word with its training count and
+its tables.  A sweep sums the tables per word and per context, joins both sums
+back to the cells and seats every cell; only a few totals come to the driver.
+Words are known by 64-bit hashes.  Random numbers are hashes of cell and sweep,
+so a lost task seats the same way again.
 
 Texts are cut into blocks of rows that lie together in a file.  A block asks
-for its distinct words once, and the answers meet the block's texts in one
-partition, words first, both packed.  What is shuffled is the texts and each block's
-vocabulary; a task holds the vocabulary of one block, never that of the corpus.
+for its distinct pairs once, and the answers meet the block's texts in one
+partition, answers first, both packed.  A task holds the pairs of one block,
+never those of the corpus.
 """
 
 from __future__ import annotations
 
 import math
 from collections.abc import Iterator
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
+import xxhash
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -37,8 +37,8 @@ from pyspark.sql import functions as F
 from millrace.llm.texts import SPACE, byte_slices, byte_table, split_words
 from millrace.session import scratch_path
 
-#: context restaurants; rows of a block; sweeps before the first sample, and samples
-CONTEXTS, BLOCK_ROWS, BURN_IN, SAMPLES = 16, 8_192, 2, 3
+#: rows of a block; sweeps before the first sample, and samples
+BLOCK_ROWS, BURN_IN, SAMPLES = 8_192, 2, 3
 #: bytes of rows that a task packs together
 PACK_BYTES = 32 << 20
 #: bytes of text that a task turns into words at a time
@@ -90,6 +90,17 @@ def tokens(texts: pa.Array, contexts: int) -> tuple[np.ndarray, pa.Array, np.nda
     return at, words, before
 
 
+def pairs(texts: pa.Array, contexts: int | None) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Offsets, and the numbers of every word and of its context: the word before, or its class of ``contexts``."""
+    at, words, before = tokens(texts, contexts or 1)
+    coded = words.dictionary_encode()
+    numbers = np.array([xxhash.xxh64_intdigest(w) for w in coded.dictionary.cast(pa.large_binary()).to_pylist()], np.uint64).view(np.int64)
+    own = numbers[coded.indices.to_numpy()]
+    if contexts is None:
+        before = np.concatenate([own[-1:], own[:-1]])  # every text ends with an end, which stands before the next
+    return at, own, before
+
+
 # ---------------------------------------------------------------- random numbers
 
 
@@ -182,68 +193,24 @@ def seat(count: np.ndarray, fresh: np.ndarray, discount: float, stirling: np.nda
 
 @dataclass(frozen=True)
 class Totals:
-    """Customers and tables of the context restaurants, tables of the parent, after a sweep."""
-
-    customers: np.ndarray  # per context
-    tables: np.ndarray  # per context
-    parent_tables: int
-
+    """What all tasks share: words with training counts, their tokens, discounts; customers and tables of the parent."""
 
-@dataclass(frozen=True)
-class Model:
-    """What all tasks share: a few numbers per restaurant and sweep."""
-
-    customers: np.ndarray
     known: int
     tokens: int
     discount: float
     parent_discount: float
-    sweeps: tuple[Totals, ...]  # the first is the start: one table per word and context
-    burn_in: int
+    served: int
+    parent_tables: int
 
     @property
-    def contexts(self) -> int:
-        return len(self.customers)
-
-    def parent(self, tables: np.ndarray, parent_tables: np.ndarray, totals: Totals) -> np.ndarray:
-        """Probability of words in the parent restaurant; zeros give that of an unknown word."""
-        served = totals.tables.sum()
-        back = STRENGTH + self.parent_discount * totals.parent_tables
-        return (tables - self.parent_discount * parent_tables + back / (self.known + 1)) / (STRENGTH + served)
-
-    def back_off(self, totals: Totals) -> np.ndarray:
-        """Weight of the parent in every context."""
-        return (STRENGTH + self.discount * totals.tables) / (STRENGTH + self.customers)
-
-    def replay(self, counts: np.ndarray, key: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-        """Tables per word and context, and the parent's tables per word, after the start and every further sweep.
-
-        One more sweep than there are totals is played, from the last totals.
-        """
-        tables = np.minimum(counts, 1)
-        word, context = np.nonzero(counts)
-        served = counts[word, context]
-        own, root = _log_stirling(EXACT, self.discount), _log_stirling(EXACT, self.parent_discount)
-        parent_tables = np.minimum(tables.sum(1), 1)
-        yield tables, parent_tables
-        for s, totals in enumerate(self.sweeps):
-            q = self.parent(tables.sum(1), parent_tables, totals)
-            fresh = (STRENGTH + self.discount * totals.tables)[context] * q[word]
-            tables = tables.copy()
-            tables[word, context] = seat(served, fresh, self.discount, own, _hashed(key[word], s, context))
-            back = np.full(len(counts), (STRENGTH + self.parent_discount * totals.parent_tables) / (self.known + 1))
-            parent_tables = seat(tables.sum(1), back, self.parent_discount, root, _hashed(key, s, self.contexts))
-            yield tables, parent_tables
+    def back(self) -> float:
+        """Weight of a new table in the parent, for one word."""
+        return (STRENGTH + self.parent_discount * self.parent_tables) / (self.known + 1)
 
 
 # ---------------------------------------------------------------- corpus passes
 
 
-def _counts_of(batch: pa.RecordBatch, contexts: int) -> tuple[np.ndarray, np.ndarray]:
-    counts = np.stack([batch.column(f"c{u}").to_numpy(zero_copy_only=False) for u in range(contexts)], axis=1)
-    return counts, batch.column("key").to_numpy(zero_copy_only=False).view(np.uint64)
-
-
 def _blocked(docs: DataFrame, key: str, text: str, train: Column, block_rows: int) -> DataFrame:
     """``id``, ``text``, ``train``, ``block``: rows that lie together in a file share a block.
 
@@ -261,45 +228,29 @@ def _blocked(docs: DataFrame, key: str, text: str, train: Column, block_rows: in
         return docs.sparkSession.read.parquet(path).select("id", "text", "train", place.alias("block"))
 
 
-#: distinct words, sorted numbers of their cells (word times contexts plus context), and the count of each
-Cells = tuple[pa.Array, np.ndarray, np.ndarray]
+def _merged(parts: list[np.ndarray]) -> np.ndarray:
+    """Rows of context, word and count, each pair once, with their counts added up."""
+    rows = np.concatenate(parts)
+    rows = rows[np.lexsort((rows[:, 1], rows[:, 0]))]
+    first = np.flatnonzero(np.concatenate([[True], (rows[1:, :2] != rows[:-1, :2]).any(1)]))
+    return np.column_stack([rows[first, :2], np.add.reduceat(rows[:, 2], first)])
 
 
-def _merged(parts: list[Cells], contexts: int) -> Cells:
-    """The words of several parts, each once, with their counts added up."""
-    coded = pa.concat_arrays([w for w, _, _ in parts]).dictionary_encode()
-    place, cells, start = coded.indices.to_numpy().astype(np.int64), [], 0
-    for words, cell, _ in parts:
-        cells.append(place[start + cell // contexts] * contexts + cell % contexts)
-        start += len(words)
-    cell, count = np.concatenate(cells), np.concatenate([c for _, _, c in parts])
-    order = np.argsort(cell, kind="stable")
-    cell, count = cell[order], count[order]
-    first = np.flatnonzero(np.concatenate([[True], cell[1:] != cell[:-1]])) if len(cell) else np.zeros(0, np.int64)
-    return coded.dictionary, cell[first], np.add.reduceat(count, first) if len(first) else count
+def _uses(blocked: DataFrame, contexts: int | None) -> DataFrame:
+    """``block``, ``u``, ``w``, ``c``: the pairs of context and word in each block with their training counts."""
 
-
-def _uses(blocked: DataFrame, contexts: int) -> DataFrame:
-    """``block``, ``word``, ``c0`` ..: the words of each block with their training counts per context."""
-    names = [f"c{u}" for u in range(contexts)]
-
-    def counted(part: pa.RecordBatch) -> Cells:
-        at, words, before = tokens(part.column("text"), contexts)
-        coded = words.dictionary_encode()
+    def counted(part: pa.RecordBatch) -> np.ndarray:
+        at, words, before = pairs(part.column("text"), contexts)
         learn = np.repeat(pc.fill_null(part.column("train"), False).to_numpy(zero_copy_only=False), np.diff(at))
-        counts = np.bincount((coded.indices.to_numpy().astype(np.int64) * contexts + before)[learn])
-        cell = np.flatnonzero(counts)
-        return coded.dictionary, cell, counts[cell]
-
-    def out(block: int, parts: list[Cells]) -> Iterator[pa.RecordBatch]:
-        words, cell, count = _merged(parts, contexts)
-        for lo in range(0, len(words), 1 << 15):
-            w = words[lo : lo + (1 << 15)]
-            a, b = np.searchsorted(cell, [lo * contexts, (lo + len(w)) * contexts])
-            dense = np.zeros(len(w) * contexts, np.int64)
-            dense[cell[a:b] - lo * contexts] = count[a:b]
-            columns = [pa.array(c) for c in dense.reshape(-1, contexts).T]
-            yield pa.RecordBatch.from_arrays([pa.array(np.full(len(w), block)), w.cast(pa.string()), *columns], ["block", "word", *names])
+        return _merged([np.column_stack([before, words, learn.astype(np.int64)])])
+
+    def out(block: int, parts: list[np.ndarray]) -> Iterator[pa.RecordBatch]:
+        rows = _merged(parts)
+        parts.clear()
+        for lo in range(0, len(rows), 1 << 16):
+            part = rows[lo : lo + (1 << 16)]
+            columns = [pa.array(np.ascontiguousarray(c)) for c in part.T]
+            yield pa.RecordBatch.from_arrays([pa.array(np.full(len(part), block)), *columns], ["block", "u", "w", "c"])
         pa.default_memory_pool().release_unused()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -309,90 +260,77 @@ def _uses(blocked: DataFrame, contexts: int) -> DataFrame:
             ids = batch.column("block").to_numpy(zero_copy_only=False)
             cuts = np.concatenate([[0], np.flatnonzero(ids[1:] != ids[:-1]) + 1, [len(ids)]])
             for lo, hi in zip(cuts[:-1], cuts[1:]):
+                if hi == lo:
+                    continue
                 if block != ids[lo] and parts:
                     yield from out(block, parts)
                     parts = []
                 block = int(ids[lo])
                 parts.append(counted(batch.slice(lo, hi - lo)))
+                if len(parts) == 8:
+                    parts = [_merged(parts)]
         if parts:
             yield from out(block, parts)
 
-    kinds = ", ".join(f"{n} bigint" for n in names)
-    return blocked.select("text", "train", "block").mapInArrow(run, f"block bigint, word string, {kinds}")
-
+    return blocked.select("text", "train", "block").mapInArrow(run, "block bigint, u bigint, w bigint, c bigint")
 
-def _sums(names: list[str]) -> list[Column]:
-    return [F.coalesce(F.sum(n), F.lit(0)).alias(n) for n in names]
 
+def _stored(table: DataFrame, name: str) -> DataFrame:
+    path = scratch_path(table.sparkSession, name)
+    table.write.parquet(path)
+    return table.sparkSession.read.parquet(path)
 
-def fit(words: DataFrame, contexts: int, burn_in: int, samples: int) -> Model:
-    """Totals of every sweep over ``words`` (``word``, ``key``, ``c0`` .. with training counts)."""
-    names = [f"c{u}" for u in range(contexts)]
-    ones = [F.sum(sum(F.when(F.col(n) == k, 1).otherwise(0) for n in names)).alias(f"n{k}") for k in (1, 2)]
-    spread = sum(F.when(F.col(n) > 0, 1).otherwise(0) for n in names)
-    shared = [F.sum(F.when(spread == k, 1).otherwise(0)).alias(f"s{k}") for k in (1, 2)]
-    seen = [F.coalesce(F.sum(F.when(F.col(n) > 0, 1).otherwise(0)), F.lit(0)).alias(f"t{n}") for n in names]
-    r = words.agg(F.count(F.lit(1)).alias("known"), *_sums(names), *seen, *ones, *shared).first()
 
-    def discount(one: int | None, two: int | None) -> float:
-        return min(0.95, max(0.05, (one or 0) / ((one or 0) + 2 * (two or 0) + 1e-9)))
-
-    customers = np.array([r[n] for n in names], float)
-    start = Totals(customers, np.array([r[f"t{n}"] for n in names], float), r["known"])
-    model = Model(
-        customers, r["known"], int(customers.sum()), discount(r["n1"], r["n2"]), discount(r["s1"], r["s2"]), (start,), burn_in
-    )
-    while len(model.sweeps) < burn_in + samples:
-        held = words.sparkSession.sparkContext.broadcast(model)  # a few numbers per restaurant and sweep
-
-        def run(batches: Iterator[pa.RecordBatch], held=held) -> Iterator[pa.RecordBatch]:
-            model, total, parents = held.value, np.zeros(contexts, np.int64), 0
-            for batch in batches:
-                counts, key = _counts_of(batch, contexts)
-                for tables, parent_tables in model.replay(counts, key):
-                    pass
-                total += tables.sum(0)
-                parents += int(parent_tables.sum())
-            yield pa.RecordBatch.from_arrays([pa.array([int(v)]) for v in (*total, parents)], [*names, "parents"])
-
-        kinds = ", ".join(f"{n} bigint" for n in [*names, "parents"])
-        r = words.select("key", *names).mapInArrow(run, kinds).agg(*_sums([*names, "parents"])).first()
-        totals = Totals(customers, np.array([r[n] for n in names], float), r["parents"])
-        model = Model(model.customers, model.known, model.tokens, model.discount, model.parent_discount, (*model.sweeps, totals), burn_in)
-    return model
-
-
-def _answers(words: DataFrame, model: Model) -> DataFrame:
-    """``word``, ``n`` (training count), ``answer``: what a block needs to score the word.
-
-    An answer holds the parent's probability in every sample, then the contexts
-    that saw the word and their own share, averaged over the samples.
-    """
-    contexts = model.contexts
-    held = words.sparkSession.sparkContext.broadcast(model)
+def _seated(rows: DataFrame, count: str, fresh: str, keys: list[str], sweep: int, discount: float, out: str) -> DataFrame:
+    """``rows`` with column ``out`` instead of ``fresh``: the tables of ``count`` customers, drawn by ``keys`` and sweep."""
+    names = [n for n in rows.columns if n not in (fresh, out)]
+    kinds = ", ".join(f"{n} {rows.schema[n].dataType.simpleString()}" for n in names)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        model = held.value
+        stirling = _log_stirling(EXACT, discount)
         for batch in batches:
-            counts, key = _counts_of(batch, contexts)
-            parents, own, n = [], np.zeros(counts.shape), 0
-            # totals of a sweep go with the tables of that sweep
-            for s, (tables, parent_tables) in zip(range(len(model.sweeps)), model.replay(counts, key)):
-                if s >= model.burn_in:
-                    parents.append(model.parent(tables.sum(1), parent_tables, model.sweeps[s]))
-                    own += (counts - model.discount * tables) / (STRENGTH + model.customers)
-                    n += 1
-            heads = np.stack(parents, axis=1).astype("<f4")
-            own = (own / max(1, n)).astype("<f4")
-            answers = []
-            for i in range(len(counts)):
-                at = np.flatnonzero(counts[i])
-                answers.append(heads[i].tobytes() + at.astype(np.uint8).tobytes() + own[i, at].tobytes())
-            yield pa.RecordBatch.from_arrays(
-                [batch.column("word"), pa.array(counts.sum(1)), pa.array(answers, pa.binary())], ["word", "n", "answer"]
-            )
-
-    return words.mapInArrow(run, "word string, n bigint, answer binary")
+            key = np.zeros(batch.num_rows, np.uint64)
+            for k in keys:
+                key = _hashed(key, batch.column(k).to_numpy(zero_copy_only=False).view(np.uint64))
+            customers, weight = (batch.column(n).to_numpy(zero_copy_only=False) for n in (count, fresh))
+            tables = seat(customers, weight, discount, stirling, _hashed(key, sweep))
+            yield pa.RecordBatch.from_arrays([*[batch.column(n) for n in names], pa.array(tables, pa.int64())], [*names, out])
+
+    return rows.select(*names, fresh).mapInArrow(run, f"{kinds}, {out} bigint")
+
+
+def _sum(name: str) -> Column:
+    return F.coalesce(F.sum(name), F.lit(0))
+
+
+def fit(counts: DataFrame, burn_in: int, samples: int) -> tuple[DataFrame, Totals]:
+    """``u``, ``w``, ``n`` (training count of the word), ``chance`` of every pair in ``counts`` (``u``, ``w``, ``c``)."""
+    cells = _stored(counts.select("u", "w", "c", F.least("c", F.lit(1)).alias("t"), F.lit(0.0).alias("chance")), "cells")
+    totals = None
+    for s in range(burn_in + samples):
+        words = cells.groupBy("w").agg(F.sum("c").alias("n"), F.sum("t").alias("tw"))
+        if totals is None:  # the start: one table per word and context, and one per word in the parent
+            words = _stored(words.withColumn("tp", F.least("tw", F.lit(1))), "words")
+            ones = [_sum(F.when(F.col("c") == k, 1)).alias(f"n{k}") for k in (1, 2)]
+            shared = [_sum(F.when(F.col("tw") == k, 1)).alias(f"s{k}") for k in (1, 2)]
+            r, v = cells.agg(*ones).first(), words.agg(*shared, _sum("n").alias("n"), _sum("tp").alias("known")).first()
+            own, parent = (min(0.95, max(0.05, a / (a + 2 * b + 1e-9))) for a, b in ((r["n1"], r["n2"]), (v["s1"], v["s2"])))
+            totals = Totals(v["known"], v["n"], own, parent, 0, 0)
+        else:
+            words = _seated(words.withColumn("fresh", F.lit(totals.back)), "tw", "fresh", ["w"], s, totals.parent_discount, "tp")
+            words = _stored(words, "words")
+        v = words.agg(_sum("tw").alias("served"), _sum("tp").alias("parent_tables")).first()
+        totals = replace(totals, served=v["served"], parent_tables=v["parent_tables"])
+        parent = (F.col("tw") - totals.parent_discount * F.col("tp") + totals.back) / (STRENGTH + totals.served)
+        rooms = cells.groupBy("u").agg((STRENGTH + F.sum("c")).alias("all"), (STRENGTH + totals.discount * F.sum("t")).alias("new"))
+        rows = cells.join(words.select("w", "n", parent.alias("q")).hint("shuffle_hash"), "w").join(rooms.hint("shuffle_hash"), "u")
+        if s >= burn_in:
+            now = (F.col("c") - totals.discount * F.col("t") + F.col("new") * F.col("q")) / F.col("all")
+            rows = rows.withColumn("chance", F.col("chance") + now / samples)
+        if s == burn_in + samples - 1:
+            return rows.select("u", "w", "n", F.col("chance").cast("float").alias("chance")), totals
+        rows = rows.select("u", "w", "c", "chance", (F.col("new") * F.col("q")).alias("fresh"))
+        cells = _stored(_seated(rows, "c", "fresh", ["u", "w"], s, totals.discount, "t"), "cells")
 
 
 def _packed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -422,58 +360,39 @@ def _packed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield out()
 
 
+def _pair_key(u: np.ndarray, w: np.ndarray) -> np.ndarray:
+    return _hashed(u.view(np.uint64), w.view(np.uint64))
+
+
 class _Block:
     """The answers of one block, made ready to score its texts."""
 
-    def __init__(self, model: Model):
-        self.model = model
-        k = len(model.sweeps) - model.burn_in
-        self.words: list[pa.Array] = []
-        self.count: list[np.ndarray] = []
-        self.parents: list[np.ndarray] = []
-        self.own: list[np.ndarray] = []
-        self.back = np.stack([model.back_off(t) for t in model.sweeps[model.burn_in :]], axis=1) / k
+    def __init__(self, totals: Totals, contexts: int | None):
+        self.totals, self.contexts = totals, contexts
+        self.parts: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
         self.ready = False
 
-    def add(self, words: pa.Array, n: pa.Array, answers: pa.Array) -> None:
-        """Unpack what :func:`_answers` packed."""
-        k = self.back.shape[1]
-        offsets, data = _bytes_of(answers.cast(pa.large_binary()), pa.large_binary())
-        heads = data[offsets[:-1, None] + np.arange(4 * k)].view("<f4")
-        seen = (np.diff(offsets) - 4 * k) // 5
-        row = np.repeat(np.arange(len(answers)), seen)
-        nth = np.arange(len(row)) - np.repeat(np.cumsum(seen) - seen, seen)
-        context = data[offsets[row] + 4 * k + nth]
-        share = data[(offsets[row] + 4 * k + seen[row] + 4 * nth)[:, None] + np.arange(4)].view("<f4")[:, 0]
-        own = np.zeros((len(answers), self.model.contexts), np.float32)
-        own[row, context] = share
-        self.words.append(words.cast(pa.large_string()))
-        self.count.append(n.to_numpy(zero_copy_only=False))
-        self.parents.append(heads)
-        self.own.append(own)
+    def add(self, part: pa.RecordBatch) -> None:
+        u, w, n, chance = (part.column(c).to_numpy(zero_copy_only=False) for c in ("u", "w", "n", "chance"))
+        self.parts.append((_pair_key(u, w), n.copy(), chance.copy()))
 
     def prepare(self) -> None:
-        """Join the parts; one row more than words stands for the unknown word."""
-        m, none = self.model, np.zeros(1)
-        unknown = [float(m.parent(none, none, t)[0]) for t in m.sweeps[m.burn_in :]]
-        self.vocabulary = pa.concat_arrays([*self.words, pa.array([], pa.large_string())])
-        self.count = np.concatenate([*self.count, [0]]).astype(np.int64)
-        self.parents = np.concatenate([*self.parents, np.array([unknown], np.float32)])
-        self.own = np.concatenate([*self.own, np.zeros((1, m.contexts), np.float32)])
-        self.words, self.ready = [], True
+        """Join the parts, sorted by pair."""
+        key, n, chance = (np.concatenate(c) for c in zip(*self.parts))
+        order = np.argsort(key)
+        self.key, self.n, self.chance = key[order], n[order], np.log10(chance[order].astype(float))
+        self.parts, self.ready = [], True
 
     def score(self, texts: pa.Array) -> list[np.ndarray]:
         """n_tokens, n_known, base_score and score of every text."""
         if not self.ready:
             self.prepare()
-        m = self.model
-        at, words, before = tokens(texts, m.contexts)
-        index = pc.fill_null(pc.index_in(words, value_set=self.vocabulary), len(self.count) - 1).to_numpy(zero_copy_only=False)
-        chance = self.own[index, before] + np.einsum("ij,ij->i", self.parents[index], self.back[before])
-        base = (self.count[index] + 1) / (m.tokens + m.known + 1)
-        n = np.diff(at)
-        sums = [np.add.reduceat(x, at[:-1]) for x in ((self.count[index] > 0).astype(np.int64), np.log10(base), np.log10(chance))]
-        return [n, *sums]
+        at, words, before = pairs(texts, self.contexts)
+        distinct, back = np.unique(_pair_key(before, words), return_inverse=True)
+        index = np.searchsorted(self.key, distinct)[back]
+        base = np.log10((self.n[index] + 1) / (self.totals.tokens + self.totals.known + 1))
+        sums = [np.add.reduceat(x, at[:-1]) for x in ((self.n[index] > 0).astype(np.int64), base, self.chance[index])]
+        return [np.diff(at), *sums]
 
 
 def score_texts(
@@ -481,7 +400,7 @@ def score_texts(
     train: Column,
     key: str = "doc_id",
     text: str = "text",
-    contexts: int = CONTEXTS,
+    contexts: int | None = None,
     burn_in: int = BURN_IN,
     samples: int = SAMPLES,
     block_rows: int = BLOCK_ROWS,
@@ -493,40 +412,33 @@ def score_texts(
     the log10 probability of the whole text, ``base_score`` that of single words
     with one added to every count.  Null and empty texts are an end alone.
     Without training rows every word is the unknown one.  Repeated rows count
-    and score each for itself; other columns are left out.
+    and score each for itself; other columns are left out.  ``contexts`` puts
+    the words before into so many classes instead of a context for each.
     """
-    if not 1 <= contexts <= 256 or burn_in < 1 or samples < 1:
-        raise ValueError("contexts must be 1 to 256, burn_in and samples at least 1")
+    if contexts is not None and contexts < 1 or burn_in < 1 or samples < 1:
+        raise ValueError("contexts, burn_in and samples must be at least 1")
     spark = docs.sparkSession
-    names = [f"c{u}" for u in range(contexts)]
     blocked = _blocked(docs, key, text, train, block_rows)
-    path = scratch_path(spark, "uses")
-    _uses(blocked, contexts).write.parquet(path)
-    uses = spark.read.parquet(path)
-    counted = uses.groupBy("word").agg(*_sums(names)).where(" + ".join(names) + " > 0")
-    path = scratch_path(spark, "words")
-    counted.select("word", F.xxhash64("word").alias("key"), *names).write.parquet(path)
-    words = spark.read.parquet(path)
-    model = fit(words, contexts, burn_in, samples)
-
-    answers = uses.select("block", "word").join(_answers(words, model), "word").select("block", "word", "n", "answer")
+    uses = _stored(_uses(blocked, contexts), "uses")
+    chances, totals = fit(uses.groupBy("u", "w").agg(F.sum("c").alias("c")), burn_in, samples)
+
+    answers = uses.select("block", "u", "w").join(chances, ["u", "w"]).select("block", "u", "w", "n", "chance")
     lookups = answers.mapInArrow(_packed, "block bigint, pack binary").withColumn("kind", F.lit(0))
     texts = blocked.select("block", "id", "text").mapInArrow(_packed, "block bigint, pack binary").withColumn("kind", F.lit(1))
     met = lookups.unionByName(texts).repartition("block").sortWithinPartitions("block", "kind")
-    held = spark.sparkContext.broadcast(model)
     measures = ["n_tokens", "n_known", "base_score", "score"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        model, now, block = held.value, None, None
+        now, block = None, None
         for batch in batches:
             for group, kind, pack in zip(*(batch.column(c) for c in ("block", "kind", "pack"))):
                 if now is None or group.as_py() != block:
-                    now, block = _Block(model), group.as_py()
+                    now, block = _Block(totals, contexts), group.as_py()
                     pa.default_memory_pool().release_unused()
                 rows = pa.ipc.open_stream(pack.as_buffer())
                 if kind.as_py() == 0:
                     for part in rows:
-                        now.add(part.column("word"), part.column("n"), part.column("answer"))
+                        now.add(part)
                 else:
                     for part in byte_slices(rows, "text", TEXT_BYTES):
                         out = now.score(part.column("text"))
@@ -538,7 +450,7 @@ def score_texts(
         F.col("id").alias(key),
         "n_tokens",
         "n_known",
-        F.lit(model.tokens).cast("bigint").alias("train_tokens"),
+        F.lit(totals.tokens).cast("bigint").alias("train_tokens"),
         "base_score",
         "score",
         F.pow(F.lit(10.0), -F.col("score") / F.col("n_tokens")).alias("perplexity"),

@@ -128,3 +128,11 @@ def test_many_customers_seat_about_as_the_exact_distribution(discount, fresh):
     assert got.mean() == pytest.approx(mean, rel=0.04)
     assert got.std() == pytest.approx(spread, rel=0.15, abs=0.05)
     assert (1 <= got).all() and (got <= count).all()
+
+
+def test_the_whole_word_before_is_the_context(spark):
+    """Words that end alike lead to different words; only the words before tell which."""
+    rows = [(i, "red xxing north blue yying south", 0, True) for i in range(40)]
+    rows += [(100, "xxing north", 0, False), (101, "yying north", 0, False)]
+    got = {r["doc_id"]: r["score"] for r in P.score_texts(spark.createDataFrame(rows, DOC), F.col("train")).collect()}
+    assert got[100] > got[101] + 1
