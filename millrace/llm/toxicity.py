@@ -1,9 +1,10 @@
 """Toxicity by compression distance: two zstandard dictionaries, one of toxic text.
 
-A dictionary is trained on windows of ordinary text, another on the words that
-stand out in toxic text.  Every window of a document is compressed with the
-ordinary dictionary and with both; what the toxic one saves beyond as much
-ordinary text is the window's distance.  Shares of windows above calibrated
+A dictionary is trained on windows of ordinary text and another on windows of
+toxic text.  A third has the words that stand out in toxic text before the
+ordinary one.  Every window of a document is compressed with each; what the
+toxic dictionary and the words save beyond as much ordinary text are the
+window's distances.  Shares of windows above calibrated
 thresholds and the mean saving go through a logistic curve fitted on labelled
 documents that the dictionaries did not see.
 """
@@ -28,8 +29,8 @@ from millrace.session import fetch_small
 
 #: words in a window, and from one window to the next
 WINDOW, STEP = 8, 4
-#: bytes of ordinary dictionary; most words of the toxic one
-ORDINARY_BYTES, TOXIC_WORDS = 16_384, 512
+#: bytes of a trained dictionary
+DICTIONARY_BYTES = 16_384
 #: saved bytes from which a window counts, one share for each
 THRESHOLDS = (1, 2, 3, 4, 6)
 #: how far a word's count in toxic documents must exceed chance, in standard deviations, and its least count
@@ -49,24 +50,29 @@ def windows(text: bytes) -> list[bytes]:
 
 @dataclass(frozen=True)
 class Dictionaries:
-    """Raw dictionary content; both end in the same ordinary text, so that it is found at the same distance."""
+    """Raw dictionary content; ``words`` and ``usual`` end in the same ordinary text, so that it is found at the same distance."""
 
     ordinary: bytes
     toxic: bytes
+    usual: bytes
+    words: bytes
 
     def savings(self):
-        """A function from a text to the bytes that the toxic dictionary saves in each of its windows."""
-        plain, toxic = _compressor(self.ordinary), _compressor(self.toxic)
+        """A function from a text to the bytes that the toxic dictionary and the words save in each of its windows."""
+        contents = (self.ordinary, self.toxic, self.usual, self.words)
+        reach = max(16, max(map(len, contents)).bit_length())  # no part out of reach
+        packs = [_compressor(c, reach).compress for c in contents]
 
         def run(text: bytes) -> np.ndarray:
-            return np.array([len(plain.compress(w)) - len(toxic.compress(w)) for w in windows(text)], np.int64)
+            sizes = np.array([[len(pack(w)) for pack in packs] for w in windows(text)], np.int64).reshape(-1, len(packs))
+            return sizes[:, ::2] - sizes[:, 1::2]
 
         return run
 
 
-def _compressor(content: bytes) -> zstandard.ZstdCompressor:
+def _compressor(content: bytes, reach: int) -> zstandard.ZstdCompressor:
     params = zstandard.ZstdCompressionParameters(
-        window_log=16, chain_log=15, hash_log=14, search_log=5, min_match=4, target_length=16,
+        window_log=reach, chain_log=reach, hash_log=reach - 1, search_log=5, min_match=4, target_length=16,
         strategy=zstandard.STRATEGY_GREEDY, write_content_size=0, write_checksum=0, write_dict_id=0,
         format=zstandard.FORMAT_ZSTD1_MAGICLESS,
     )
@@ -109,20 +115,23 @@ def train(ordinary: Sequence[bytes], toxic: Sequence[bytes]) -> Dictionaries:
         if k >= LEAST and k - m * share > STANDS_OUT * spread:
             surplus[word] = (k - m * share) / max(spread, 1e-9)
     # what stands out most lies next to the shared text, at the shortest distance
-    chosen = sorted(surplus, key=lambda w: (-surplus[w], w))[:TOXIC_WORDS]
-    toxic_part = b" " + b" ".join(reversed(chosen)) + b" "
+    chosen = sorted(surplus, key=lambda w: (-surplus[w], w))
+    words = b" " + b" ".join(reversed(chosen)) + b" "
     usual = sorted((w for w, k in common.items() if k >= 2 and w not in surplus), key=lambda w: (common[w], w))
-    filler = (b" " + b" ".join(usual))[: len(toxic_part)]
-    shared = _trained([w for t in ordinary for w in windows(t)], ORDINARY_BYTES)
-    return Dictionaries(filler + shared, toxic_part + shared)
+    filler = (b" " + b" ".join(usual))[: len(words)]
+    shared, marks = (_trained([w for t in texts for w in windows(t)], DICTIONARY_BYTES) for texts in (ordinary, toxic))
+    return Dictionaries(shared, marks, filler + shared, words + shared)
 
 
 def features(saved: np.ndarray) -> np.ndarray:
-    """Mean saving, shares of windows above each threshold, their number, and the largest saving."""
-    if not len(saved):
-        return np.zeros(len(THRESHOLDS) + 3)
-    shares = [(saved >= t).mean() for t in THRESHOLDS]
-    return np.array([saved.mean(), *shares, math.log1p((saved >= THRESHOLDS[2]).sum()), min(saved.max(), 12)], float)
+    """Of either distance: mean saving, shares of windows above each threshold, their number, and the largest saving."""
+    out = []
+    for x in saved.T:
+        if not len(x):
+            out += [0.0] * (len(THRESHOLDS) + 3)
+            continue
+        out += [x.mean(), *[(x >= t).mean() for t in THRESHOLDS], math.log1p((x >= THRESHOLDS[2]).sum()), min(x.max(), 12)]
+    return np.array(out, float)
 
 
 @dataclass(frozen=True)

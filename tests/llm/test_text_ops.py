@@ -201,3 +201,22 @@ def test_labels_of_the_held_out_rows_do_not_matter(spark):
     flipped = labels.withColumn("toxic", F.when(learn, F.col("toxic")).otherwise(1 - F.col("toxic")))
     a, b = (toxicity.fit(table, x, learn=learn) for x in (labels, flipped))
     assert a.dictionaries == b.dictionaries and (a.weights == b.weights).all()
+
+
+def test_toxic_phrases_of_usual_words():
+    """Every word is as usual in ordinary documents; only the phrase is toxic."""
+    import random
+
+    draw = random.Random(3)
+    names = [f"{a}{b}" for a in ("mor", "tal", "vek", "sun", "dri", "pol") for b in ("een", "ick", "ath", "own", "ule")]
+    phrase = names[:8]
+
+    def text(toxic):
+        words = [draw.choice(names) for _ in range(18)]
+        loose = phrase[:] if toxic else draw.sample(phrase, 8)
+        return " ".join(words[:9] + loose + words[9:]).encode()
+
+    model = toxicity._model([text(False) for _ in range(300)], [text(True) for _ in range(300)], 300, 300)
+    judge = model.scorer()
+    right = [(judge(text(y)) >= 0.5) == y for y in (False, True) * 100]
+    assert sum(right) / len(right) > 0.7
