@@ -12,6 +12,7 @@ from __future__ import annotations
 
 import html
 import re
+from collections import Counter
 from collections.abc import Iterator, Sequence
 from dataclasses import dataclass
 
@@ -30,7 +31,8 @@ _CUE = re.compile(r"\b(?:class|id|role)\s*=\s*(\"[^\"]*\"|'[^']*'|[^\s>]+)", re.
 _HIDDEN = re.compile(r"(?:^|\s)hidden(?:\s|=|$)|aria-hidden\s*=\s*[\"']?true|display\s*:\s*none", re.I)
 
 # Elements without text of the page, elements that are no article, and words that say so.
-SILENT = frozenset("script style noscript template head title svg math iframe object canvas select textarea button audio video map".split())
+SILENT = frozenset("script style noscript template title svg math iframe object canvas select textarea button audio video map".split())
+RAW = frozenset("script style title textarea iframe".split())  # of these, elements that hold no other elements
 APART = frozenset("nav header footer aside form menu dialog".split())
 MAIN = frozenset(("article", "main"))
 HEADING = frozenset(("h1", "h2", "h3", "h4", "h5", "h6"))
@@ -169,6 +171,42 @@ class Block:
     box: int
 
 
+def _raw_end(page: str, tag: str, at: int) -> int:
+    over = re.compile(rf"</{tag}\b[^>]*(?:>|\Z)", re.I).search(page, at)
+    return over.end() if over else len(page)
+
+
+def closings(page: str) -> dict[int, int]:
+    """Where the closing tags of silent elements end, by the end of their start tags; unclosed ones are left out.
+
+    An element that is open when one around it closes has no closing tag of its own.
+    """
+    out: dict[int, int] = {}
+    stack: list[tuple[str, int]] = []
+    count: Counter[str] = Counter()
+    at = 0
+    while m := _TOKEN.search(page, at):
+        at = m.end()
+        tag, end, rest = (m[2] or m[5] or "").lower(), m[1] or m[4], m[3] or m[6] or ""
+        if tag in RAW:
+            if not end and not rest.endswith("/"):
+                at = _raw_end(page, tag, at)
+        elif end:
+            while count[tag]:
+                name, start = stack.pop()
+                count[name] -= 1
+                if name == tag:
+                    out[start] = at
+                    break
+        elif tag and tag not in VOID and tag not in INLINE and not rest.endswith("/"):
+            if tag in ("button", "select"):  # never one inside another
+                while count[tag]:
+                    count[stack.pop()[0]] -= 1
+            stack.append((tag, at))
+            count[tag] += 1
+    return out
+
+
 def blocks(page: str) -> list[Block]:
     """Text blocks of a page in order, references decoded and white space made single."""
     out: list[Block] = []
@@ -177,6 +215,8 @@ def blocks(page: str) -> list[Block]:
     # open elements: tag, apart, main, heading, link, own number and that of the element around it
     stack: list[tuple[str, bool, bool, bool, bool, int, int]] = [("", False, False, False, False, 0, 0)]
     opened = 0
+    closed: dict[int, int] | None = None
+    muted = False  # behind an unclosed silent element, up to the next block
 
     def flush() -> None:
         text = " ".join(html.unescape("".join(parts)).split())
@@ -188,6 +228,8 @@ def blocks(page: str) -> list[Block]:
         linked.clear()
 
     def add(text: str) -> None:
+        if muted:
+            return
         parts.append(text)
         if stack[-1][4]:
             linked.append(text)
@@ -217,8 +259,16 @@ def blocks(page: str) -> list[Block]:
             if not end and not rest.endswith("/"):
                 if tag not in INLINE and tag not in ("button", "select"):
                     flush()
-                over = re.compile(rf"</{tag}\b[^>]*(?:>|\Z)", re.I).search(page, at)
-                at = over.end() if over else n
+                if tag in RAW:
+                    at = _raw_end(page, tag, at)
+                    continue
+                closed = closings(page) if closed is None else closed
+                muted, at = at not in closed, closed.get(at, at)
+            elif end:
+                muted = False
+            continue
+        if tag == "head":  # its text is in silent elements; any other begins the body
+            flush()
             continue
         if tag in ("br", "wbr", "img", "input"):
             add(" " if tag != "wbr" else "")
@@ -228,6 +278,7 @@ def blocks(page: str) -> list[Block]:
             flush()
             if tag in VOID:
                 continue
+            muted = muted and tag in ("option", "optgroup")
         if end:
             if inline and stack[-1][1]:
                 flush()

@@ -220,3 +220,21 @@ def test_toxic_phrases_of_usual_words():
     judge = model.scorer()
     right = [(judge(text(y)) >= 0.5) == y for y in (False, True) * 100]
     assert sum(right) / len(right) > 0.7
+
+
+ARTICLE = "many words of running text that go on and on for quite a while, as articles do, and then some more of them too"
+
+
+def test_omitted_end_of_the_head():
+    page = f"<html><head><title>x</title><meta charset=utf-8><style>p{{}}</style><body><article><p>{ARTICLE}</p></article></body></html>"
+    assert html_text.main_text(page, tree()) == ARTICLE
+    assert html_text.main_text(page.replace("<body>", ""), tree()) == ARTICLE
+
+
+@pytest.mark.parametrize("tag", ["button", "select", "object", "audio", "video", "map", "noscript"])
+def test_silent_elements_without_their_end(tag):
+    page = f"<article><p>{ARTICLE}</p><div><{tag}>Share</div><p>{ARTICLE}</p></article><footer><{tag}>x</{tag}></footer>"
+    assert html_text.main_text(page, tree()) == f"{ARTICLE}\n\n{ARTICLE}"
+    bare = f"<article><{tag}>Share<p>{ARTICLE}</p><{tag}><div>Hide</div></{tag}></article>"
+    assert html_text.main_text(bare, tree()).endswith(ARTICLE)
+    assert "Share" not in html_text.main_text(bare.replace(f"<{tag}><div>Hide</div></{tag}>", ""), tree())
