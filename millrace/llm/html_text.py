@@ -27,8 +27,8 @@ _TOKEN = re.compile(
     r"<!--.*?(?:-->|\Z)|<(/?)([a-zA-Z][a-zA-Z0-9:-]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)>|<(/?)([a-zA-Z][a-zA-Z0-9:-]*)([^>]*)(?:>|\Z)|<[!?/][^>]*(?:>|\Z)",
     re.S,
 )
-_CUE = re.compile(r"\b(?:class|id|role)\s*=\s*(\"[^\"]*\"|'[^']*'|[^\s>]+)", re.I)
-_HIDDEN = re.compile(r"(?:^|\s)hidden(?:\s|=|$)|aria-hidden\s*=\s*[\"']?true|display\s*:\s*none", re.I)
+_ATTRIBUTE = re.compile(r"([^\s\"'>/=]+)(?:\s*=\s*(\"[^\"]*\"|'[^']*'|[^\s>]+))?")
+_NOT_SHOWN = re.compile(r"(?:^|;)\s*display\s*:\s*none")
 
 # Elements without text of the page, elements that are no article, and words that say so.
 SILENT = frozenset("script style noscript template title svg math iframe object canvas select textarea button audio video map".split())
@@ -158,6 +158,10 @@ LABELLED = (
     (5, 0.6, 40, 0.0, 1, 1.0, 0, 0, 0, 160, 0.06, 0),
     (20, 0.4, 30, 0.0, 25, 0.0, 0, 0, 0, 300, 0.05, 1),
     (14, 0.45, 8, 0.0, 40, 0.0, 0, 0, 0, 190, 0.08, 1),
+    (120, 0.0, 100, 0.0, 110, 0.0, 1, 0, 0, 1500, 0.0, 1),
+    (140, 0.01, 120, 0.0, 90, 0.0, 1, 1, 0, 1800, 0.01, 1),
+    (130, 0.0, 2, 1.0, 115, 0.0, 1, 0, 0, 1250, 0.02, 1),
+    (160, 0.02, 125, 0.0, 4, 0.0, 1, 1, 0, 1400, 0.01, 1),
 )
 
 
@@ -169,6 +173,41 @@ class Block:
     main: bool
     heading: bool
     box: int
+    cue: int  # innermost element around it whose class, id or role says apart; 0 for none
+
+
+def _attributes(rest: str) -> tuple[set[str], bool]:
+    """Words of class, id and role, and whether the element is hidden."""
+    cues: set[str] = set()
+    hidden = False
+    for name, value in _ATTRIBUTE.findall(rest.lower()):
+        value = value.strip("\"'")
+        if name in ("class", "id", "role"):
+            cues.update(re.split(r"[^a-z0-9]+", value))
+        hidden = hidden or name == "hidden" or name == "aria-hidden" and value.strip() == "true" or name == "style" and bool(_NOT_SHOWN.search(value))
+    return cues, hidden
+
+
+def _spread(found: list[Block], parents: list[int], articles: list[int]) -> None:
+    """Set blocks apart by the cues around them, but not by those of a wrapper.
+
+    A wrapper holds every article and main element of the page, or, where there
+    are none, most of the words with few links and all text marked as main.
+    """
+    words, mains = [0] * len(parents), [0] * len(parents)
+    for b in found:
+        if not b.apart:
+            words[b.cue] += len(b.text.split(" ")) if b.links < 0.3 else 0
+            mains[b.cue] += b.main
+    for i in range(len(parents) - 1, 0, -1):  # an element comes after those around it
+        for held in (words, mains, articles):
+            held[parents[i]] += held[i]
+    apart = [False] * len(parents)
+    for i in range(1, len(parents)):
+        wraps = articles[i] == articles[0] if articles[0] else 2 * words[i] > words[0] and mains[i] == mains[0]
+        apart[i] = not wraps or apart[parents[i]]
+    for b in found:
+        b.apart = b.apart or apart[b.cue]
 
 
 def _raw_end(page: str, tag: str, at: int) -> int:
@@ -212,9 +251,11 @@ def blocks(page: str) -> list[Block]:
     out: list[Block] = []
     parts: list[str] = []
     linked: list[str] = []
-    # open elements: tag, apart, main, heading, link, own number and that of the element around it
-    stack: list[tuple[str, bool, bool, bool, bool, int, int]] = [("", False, False, False, False, 0, 0)]
+    # open elements: tag, apart, main, heading, link, own number and that of the element around it, innermost cue
+    stack: list[tuple[str, bool, bool, bool, bool, int, int, int]] = [("", False, False, False, False, 0, 0, 0)]
     opened = 0
+    # elements with a cue: the one around, and article and main elements inside; the first stands for the page
+    parents, articles = [0], [0]
     closed: dict[int, int] | None = None
     muted = False  # behind an unclosed silent element, up to the next block
 
@@ -222,8 +263,8 @@ def blocks(page: str) -> list[Block]:
         text = " ".join(html.unescape("".join(parts)).split())
         if text:
             in_links = len(" ".join(html.unescape("".join(linked)).split()))
-            _, apart, main, heading, _, _, box = stack[-1]
-            out.append(Block(text, min(1.0, in_links / len(text)), apart, main, heading, box))
+            _, apart, main, heading, _, _, box, cue = stack[-1]
+            out.append(Block(text, min(1.0, in_links / len(text)), apart, main, heading, box, cue))
         parts.clear()
         linked.clear()
 
@@ -280,7 +321,7 @@ def blocks(page: str) -> list[Block]:
                 continue
             muted = muted and tag in ("option", "optgroup")
         if end:
-            if inline and stack[-1][1]:
+            if inline and (stack[-1][1] or stack[-1][7]):
                 flush()
             if tag in ("a", "span") or not inline:
                 close(tag)
@@ -295,19 +336,26 @@ def blocks(page: str) -> list[Block]:
                 stack.pop()
         elif tag not in ("a", "span"):
             continue
-        _, apart, main, heading, link, own, box = stack[-1]
-        said, holds = tag in APART, tag in MAIN
+        _, apart, main, heading, link, own, box, cue = stack[-1]
+        said, holds, cued = tag in APART, tag in MAIN, False
         if rest and tag not in ("html", "body", "article", "main"):
-            cues = {w for c in _CUE.findall(rest) for w in re.split(r"[^a-z0-9]+", c.lower())}
-            said = said or not cues.isdisjoint(CUES) or bool(_HIDDEN.search(rest))
+            cues, hidden = _attributes(rest)
+            said, cued = said or hidden, not cues.isdisjoint(CUES)
             holds = holds or not inline and not cues.isdisjoint(MAIN_CUES)
+        if cued:
+            parents.append(cue)
+            articles.append(0)
+            cue = len(parents) - 1
+        if tag in MAIN and not (apart or said):
+            articles[cue] += 1
         if not inline:
             opened += 1
             own, box = opened, own
-        if said and inline:  # an inline element apart is no part of the block around it
+        if (said or cued) and inline:  # an inline element apart is no part of the block around it
             flush()
-        stack.append((tag, apart or said, main or holds, heading or tag in HEADING, link or tag == "a", own, box))
+        stack.append((tag, apart or said, main or holds, heading or tag in HEADING, link or tag == "a", own, box, cue))
     flush()
+    _spread(out, parents, articles)
     return out
 
 

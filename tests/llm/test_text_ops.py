@@ -238,3 +238,24 @@ def test_silent_elements_without_their_end(tag):
     bare = f"<article><{tag}>Share<p>{ARTICLE}</p><{tag}><div>Hide</div></{tag}></article>"
     assert html_text.main_text(bare, tree()).endswith(ARTICLE)
     assert "Share" not in html_text.main_text(bare.replace(f"<{tag}><div>Hide</div></{tag}>", ""), tree())
+
+
+@pytest.mark.parametrize("start", ["<div class='layout has-sidebar'>", "<div id='page' class='no-comments'>", "<section class='content with-header'>"])
+def test_wrappers_whose_names_hold_a_cue(start):
+    end = f"</{start[1:].split()[0]}>"
+    for inner in (f"<article><p>{ARTICLE}</p></article>", f"<p>{ARTICLE}</p><p>{ARTICLE}</p>"):
+        page = f"<body>{start}{inner}<div class='sidebar'><p>Read also this short piece.</p></div>{end}<footer>c</footer></body>"
+        assert html_text.main_text(page, tree()) == "\n\n".join(re.findall("<p>(many.*?)</p>", inner))
+
+
+def test_hidden_is_an_attribute_of_its_own():
+    for said in ("title='the hidden cost'", "style='overflow: hidden !important'", "data-id='comments'"):
+        assert html_text.main_text(f"<article><div {said}><p>{ARTICLE}</p></div></article>", tree()) == ARTICLE
+    for said in ("hidden", "aria-hidden=true", "style='color:red; display : none'"):
+        assert html_text.main_text(f"<article><div {said}><p>{ARTICLE}</p></div></article>", tree()) == ""
+
+
+def test_long_text_apart_is_kept():
+    long = " ".join([ARTICLE] * 6)
+    page = f"<article><p>{ARTICLE}</p></article><div class='related'>" + f"<p>{long}</p>" * 10 + "<p>short</p></div>"
+    assert html_text.main_text(page, tree()) == "\n\n".join([ARTICLE] + [long] * 10)
