@@ -49,3 +49,16 @@ def fetch_small(df: DataFrame, limit: int, what: str) -> list[Row]:
     if len(rows) > limit:
         raise ValueError(f"{what}: more than {limit} rows")
     return rows
+
+
+def stored(df: DataFrame, label: str) -> tuple[DataFrame, str]:
+    """``df`` written as Parquet below the shared folder and read again, with its path for :func:`discard`."""
+    path = scratch_path(df.sparkSession, label)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path), path
+
+
+def discard(spark: SparkSession, path: str) -> None:
+    """Delete a folder that :func:`stored` wrote, in whatever store holds it."""
+    where = spark._jvm.org.apache.hadoop.fs.Path(path)
+    where.getFileSystem(spark._jsc.hadoopConfiguration()).delete(where, True)
