@@ -7,7 +7,9 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from millrace.llm import chat_format, decontamination, exact_dedup, html_text, license_scan, mixing, pitman_yor, simhash_dedup, toxicity, url_filter
+from millrace.llm import (
+    chat_format, decontamination, exact_dedup, html_text, license_scan, merkle, mixing, pitman_yor, simhash_dedup, toxicity, url_filter,
+)
 from millrace.plans.registry import Tables
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -204,3 +206,66 @@ def op9(t: Tables) -> DataFrame:
 @query("op10_license_scan")
 def op10(t: Tables) -> DataFrame:
     return license_scan.scan_licenses(t.documents).drop("spans")
+
+
+#: unsigned crc32 of a decimal number's text, bit by bit
+SQL_CRC32 = """xor(4294967295::BIGINT, list_reduce(
+  list_prepend(4294967295::BIGINT, list_transform(string_split(CAST(doc_id AS VARCHAR), ''), lambda ch: CAST(ascii(ch) AS BIGINT))),
+  lambda c, b: list_reduce(list_prepend(xor(c, b), range(8)), lambda x, i: CASE WHEN x & 1 = 1 THEN xor(x >> 1, 3988292384::BIGINT) ELSE x >> 1 END)))"""
+LEAF_FIELDS = ("doc_id", "source", "lang", "n_chars", "text")
+
+
+def _sql_leaf(n_chars: str) -> str:
+    texts = [f"CAST({n_chars if f == 'n_chars' else f} AS VARCHAR)" for f in LEAF_FIELDS]
+    return "sha256(" + " || ".join(f"coalesce(strlen({t})::VARCHAR || ':' || {t}, '-')" for t in texts) + ")"
+
+
+MERKLE_SQL = f"""
+    WITH RECURSIVE leaf AS (
+      SELECT doc_id, lang, {_sql_leaf("n_chars")} AS leaf,
+             {_sql_leaf(f"CASE WHEN {SQL_CRC32} % 7 = 0 THEN n_chars + 1 ELSE n_chars END")} AS again,
+             row_number() OVER (PARTITION BY lang ORDER BY doc_id NULLS FIRST) - 1 AS pos, count(*) OVER (PARTITION BY lang) AS n
+      FROM documents
+    ), tree(lang, lvl, idx, n, d) AS (
+      SELECT lang, 0, pos, n, leaf FROM leaf
+      UNION ALL
+      SELECT lang, max(lvl) + 1, idx // 2, (max(n) + 1) // 2, sha256(string_agg(d, '' ORDER BY idx)) FROM tree WHERE n > 1 GROUP BY lang, idx // 2
+    ), sub AS (
+      SELECT lang, d AS subroot, row_number() OVER (ORDER BY lang NULLS FIRST) - 1 AS gpos, count(*) OVER () AS gn FROM tree WHERE n = 1
+    ), top(lvl, idx, n, d) AS (
+      SELECT 0, gpos, gn, subroot FROM sub
+      UNION ALL
+      SELECT max(lvl) + 1, idx // 2, (max(n) + 1) // 2, sha256(string_agg(d, '' ORDER BY idx)) FROM top WHERE n > 1 GROUP BY idx // 2
+    ), every AS (
+      SELECT l.doc_id, t.lvl, l.pos >> t.lvl AS at, t.d AS sibling FROM leaf l JOIN tree t
+        ON l.lang IS NOT DISTINCT FROM t.lang AND t.idx = xor(l.pos >> t.lvl, 1)
+      UNION ALL
+      SELECT l.doc_id, 1000 + t.lvl, s.gpos >> t.lvl, t.d FROM leaf l JOIN sub s ON l.lang IS NOT DISTINCT FROM s.lang
+        JOIN top t ON t.idx = xor(s.gpos >> t.lvl, 1)
+    ), proof AS (
+      SELECT doc_id, sha256(string_agg(sibling, '' ORDER BY lvl)) AS proof_sha256 FROM every GROUP BY doc_id
+    ), step(doc_id, lvl, pos, n, gpos, gn, d) AS (
+      SELECT l.doc_id, 0, l.pos, l.n, s.gpos, s.gn, l.again FROM leaf l JOIN sub s ON l.lang IS NOT DISTINCT FROM s.lang
+      UNION ALL
+      SELECT * FROM (
+        SELECT f.doc_id, CASE WHEN n > 1 THEN f.lvl + 1 WHEN f.lvl < 1000 THEN 1000 ELSE f.lvl + 1 END,
+               CASE WHEN n > 1 THEN pos // 2 ELSE gpos END, CASE WHEN n > 1 THEN (n + 1) // 2 ELSE gn END, gpos,
+               CASE WHEN n = 1 THEN 1 ELSE gn END,
+               CASE WHEN n = 1 THEN d WHEN e.sibling IS NULL THEN sha256(d) WHEN pos % 2 = 1 THEN sha256(e.sibling || d) ELSE sha256(d || e.sibling) END
+        FROM step f LEFT JOIN every e ON f.doc_id = e.doc_id AND f.lvl = e.lvl
+        WHERE n > 1 OR (f.lvl < 1000 AND gn > 1))
+    )
+    SELECT l.doc_id, l.leaf, s.subroot, (SELECT d FROM top WHERE n = 1) AS root, coalesce(p.proof_sha256, sha256('')) AS proof_sha256,
+           f.d AS folded_root, f.d = (SELECT d FROM top WHERE n = 1) AS verified
+    FROM leaf l JOIN sub s ON l.lang IS NOT DISTINCT FROM s.lang LEFT JOIN proof p ON l.doc_id = p.doc_id
+    JOIN (SELECT doc_id, arg_max(d, lvl) AS d FROM step GROUP BY doc_id) f ON l.doc_id = f.doc_id
+    """
+
+
+@query("op12_merkle_manifest", MERKLE_SQL)
+def op12(t: Tables) -> DataFrame:
+    touched = F.coalesce(remainder("doc_id", 7) == 0, F.lit(False))
+    docs = t.documents.select(*LEAF_FIELDS, (F.col("n_chars") + touched.cast("int")).alias("n_chars_again"))
+    again = merkle.leaf_digest([f"{f}_again" if f == "n_chars" else f for f in LEAF_FIELDS])
+    rows = merkle.verify(merkle.manifest(docs, LEAF_FIELDS, again=again))
+    return rows.select("doc_id", "leaf", "subroot", "root", merkle.proof_digest().alias("proof_sha256"), "folded_root", "verified")
