@@ -8,7 +8,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from millrace.llm import (
-    chat_format, decontamination, exact_dedup, html_text, license_scan, merkle, mixing, pitman_yor, simhash_dedup, toxicity, url_filter,
+    chat_format, decontamination, exact_dedup, heap_kmeans, html_text, license_scan, line_dedup, merkle, mixing, pitman_yor,
+    simhash_dedup, toxicity, url_filter,
 )
 from millrace.plans.registry import Tables
 
@@ -208,6 +209,40 @@ def op10(t: Tables) -> DataFrame:
     return license_scan.scan_licenses(t.documents).drop("spans")
 
 
+CLUSTERS, ROUNDS, WIDTH, SCALE = 40, 5, 64, 256
+
+
+def _sql_kmeans() -> str:
+    far = "CAST(list_sum(list_transform(range(1, 65), lambda i: (v[i] - m[i]) * (v[i] - m[i]))) AS BIGINT)"
+    steps = []
+    for r in range(ROUNDS + 1):
+        steps.append(f"a{r} AS MATERIALIZED (SELECT row, min({far} * 1000 + c) AS best FROM v, c{r} GROUP BY row)")
+        if r < ROUNDS:
+            steps.append(f"""s{r} AS (SELECT best % 1000 AS c, i, CAST(sum(v[i]) AS BIGINT) AS s, count(*) AS n
+                             FROM a{r} JOIN v USING (row), (SELECT unnest(range(1, 65)) AS i) GROUP BY ALL)""")
+            steps.append(f"""c{r + 1} AS MATERIALIZED (SELECT c, coalesce(moved, m) AS m FROM c{r} LEFT JOIN
+                             (SELECT c, list((s - ((s % n) + n) % n) // n ORDER BY i) AS moved FROM s{r} GROUP BY c) USING (c))""")
+    return f"""
+    WITH v AS MATERIALIZED (
+      SELECT row_number() OVER () AS row, vec_id, list_transform(embedding, lambda x: CAST(floor(256 * CAST(x AS DOUBLE)) AS BIGINT)) AS v
+      FROM embeddings WHERE len(embedding) = 64 AND len(list_filter(embedding, lambda x: x IS NOT NULL AND isfinite(x))) = 64
+    ), c0 AS MATERIALIZED (
+      SELECT row_number() OVER (ORDER BY draw, v) - 1 AS c, v AS m FROM (SELECT sha256('2:' || vec_id) AS draw, v FROM v ORDER BY draw, v LIMIT {CLUSTERS})
+    ), {", ".join(steps)}
+    SELECT vec_id, CAST(best % 1000 AS INTEGER) AS cluster, best // 1000 AS distance,
+           CAST(sum(best // 1000) OVER (PARTITION BY best % 1000) AS BIGINT) AS cluster_inertia,
+           CAST(sum(best // 1000) OVER () AS BIGINT) AS inertia, sha256(array_to_string(m, ',')) AS centroid_sha256
+    FROM a{ROUNDS} JOIN v USING (row) JOIN c{ROUNDS} ON c = best % 1000
+    """
+
+
+@query("op11_heap_kmeans", _sql_kmeans())
+def op11(t: Tables) -> DataFrame:
+    out = heap_kmeans.cluster_vectors(t.embeddings, CLUSTERS, ROUNDS, WIDTH, SCALE, seed="2:")
+    digest = F.sha2(F.array_join(F.col("centroid").cast("array<string>"), ",").cast("binary"), 256).alias("centroid_sha256")
+    return out.select("vec_id", "cluster", "distance", "cluster_inertia", "inertia", digest)
+
+
 #: unsigned crc32 of a decimal number's text, bit by bit
 SQL_CRC32 = """xor(4294967295::BIGINT, list_reduce(
   list_prepend(4294967295::BIGINT, list_transform(string_split(CAST(doc_id AS VARCHAR), ''), lambda ch: CAST(ascii(ch) AS BIGINT))),
@@ -269,3 +304,25 @@ def op12(t: Tables) -> DataFrame:
     again = merkle.leaf_digest([f"{f}_again" if f == "n_chars" else f for f in LEAF_FIELDS])
     rows = merkle.verify(merkle.manifest(docs, LEAF_FIELDS, again=again))
     return rows.select("doc_id", "leaf", "subroot", "root", merkle.proof_digest().alias("proof_sha256"), "folded_root", "verified")
+
+
+@query(
+    "op13_line_dedup",
+    """
+    WITH t AS (SELECT doc_id, string_split(coalesce(text, ''), chr(10)) AS lines FROM documents),
+    l AS (
+      SELECT doc_id, ord, line, translate(trim(line, chr(32) || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)),
+                                         'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS key
+      FROM (SELECT doc_id, unnest(lines) AS line, generate_subscripts(lines, 1) AS ord FROM t)
+    ), k AS (
+      SELECT key, max(doc_id) AS top FROM l WHERE length(key) >= 20 GROUP BY key HAVING count(DISTINCT doc_id) >= 3
+    )
+    SELECT doc_id, count(*) AS n_lines, count(*) FILTER (top <> doc_id) AS n_dropped,
+           sha256(coalesce(string_agg(line, chr(10) ORDER BY ord) FILTER (top IS NULL OR top = doc_id), '')) AS kept_sha256
+    FROM l LEFT JOIN k USING (key) GROUP BY doc_id
+    """,
+)
+def op13(t: Tables) -> DataFrame:
+    index = line_dedup.insert(line_dedup.new_index(t.spark, min_docs=3, min_chars=20), t.documents)
+    out = line_dedup.clean(index, t.documents)
+    return out.select("doc_id", "n_lines", "n_dropped", F.sha2(F.col("text").cast("binary"), 256).alias("kept_sha256"))
