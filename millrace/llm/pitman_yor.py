@@ -8,16 +8,21 @@ tables; every table is a customer of the parent.  A sweep seats the customers
 of every word in every restaurant anew, given the tables of the sweep before;
 after a few sweeps the predictive probabilities of further sweeps are averaged.
 
-How it runs: a cell is a pair of context and word with its training count and
-its tables.  A sweep sums the tables per word and per context, joins both sums
-back to the cells and seats every cell; only a few totals come to the driver.
-Words are known by 64-bit hashes.  Random numbers are hashes of cell and sweep,
-so a lost task seats the same way again.
-
-Texts are cut into blocks of rows that lie together in a file.  A block asks
-for its distinct pairs once, and the answers meet the block's texts in one
-partition, answers first, both packed.  A task holds the pairs of one block,
-never those of the corpus.
+How it runs: a cell is a pair of context and word with its training count.  A
+cell without customers has no table and one with a single customer has one,
+whatever is drawn; those are counted once, per word and per context.  Only
+cells of two customers or more are seated anew in every sweep, which sums their
+tables per word and per context, joins both sums back and draws.  A sweep's
+tables replace those of the sweep before, which are deleted; only a few totals
+come to the driver.  Words are known by 64-bit hashes.  Random numbers are hashes of
+cell and sweep, so a lost task seats the same way again.
+
+A probability needs the mean over the samples of one number per cell, and the
+samples' numbers per context and per word.  Texts are cut into blocks of rows
+that lie together in a file, bounded in rows and bytes.  A block is told the
+cells and words that are not met just once in training, and meets its texts in one
+partition, both packed.  A task holds the pairs of one block, never those of
+the corpus.
 """
 
 from __future__ import annotations
@@ -35,10 +40,14 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from millrace.llm.texts import SPACE, byte_slices, byte_table, split_words
-from millrace.session import scratch_path
-
-#: rows of a block; sweeps before the first sample, and samples
-BLOCK_ROWS, BURN_IN, SAMPLES = 8_192, 2, 3
+from millrace.session import discard, stored
+
+#: rows and bytes of text of a block
+BLOCK_ROWS, BLOCK_BYTES = 8_192, 64 << 20
+#: sweeps before the first sample, and samples
+BURN_IN, SAMPLES = 12, 4
+#: blocks named in one row of a table
+BLOCK_LIST = 4_096
 #: bytes of rows that a task packs together
 PACK_BYTES = 32 << 20
 #: bytes of text that a task turns into words at a time
@@ -55,20 +64,8 @@ _TABLE = byte_table(SPACE)
 # ---------------------------------------------------------------- words and contexts
 
 
-def _bytes_of(words: pa.Array, kind: pa.DataType = pa.large_string()) -> tuple[np.ndarray, np.ndarray]:
-    """Offsets and bytes of an array of strings."""
-    words = words.cast(kind)
-    _, offsets, data = words.buffers()
-    at = np.frombuffer(offsets, np.int64)[words.offset : words.offset + len(words) + 1]
-    return at, np.frombuffer(data, np.uint8) if data is not None else np.zeros(0, np.uint8)
-
-
-def tokens(texts: pa.Array, contexts: int) -> tuple[np.ndarray, pa.Array, np.ndarray]:
-    """Offsets, words with an end after each text, and the context of every word.
-
-    The context is a hash class of the last two bytes of the word before;
-    the first word of a text has class 0.
-    """
+def tokens(texts: pa.Array) -> tuple[np.ndarray, pa.Array]:
+    """Offsets, and the words of every text with an end after them."""
     at, words = split_words(texts, _TABLE)
     n = len(at) - 1
     ends = at[1:] + np.arange(n)  # where the ends come to stand
@@ -77,28 +74,17 @@ def tokens(texts: pa.Array, contexts: int) -> tuple[np.ndarray, pa.Array, np.nda
     take = np.full(len(inside), at[-1], np.int64)
     take[inside] = np.arange(at[-1])
     words = pa.concat_arrays([words.cast(pa.large_string()), pa.array([END], pa.large_string())]).take(pa.array(take))
-    offsets, data = _bytes_of(words)
-    size = np.diff(offsets)
-    padded = np.concatenate([np.zeros(2, np.uint8), data])
-    last = np.where(size > 0, padded[offsets[1:] + 1], 0).astype(np.uint32)
-    second = np.where(size > 1, padded[offsets[1:]], 0).astype(np.uint32)
-    mixed = (last * np.uint32(256) + second) * np.uint32(2654435761)
-    own = (mixed >> np.uint32(16)).astype(np.int64) % contexts
-    before = np.concatenate([[0], own[:-1]])
-    at = at + np.arange(n + 1)
-    before[at[:-1]] = 0
-    return at, words, before
-
-
-def pairs(texts: pa.Array, contexts: int | None) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Offsets, and the numbers of every word and of its context: the word before, or its class of ``contexts``."""
-    at, words, before = tokens(texts, contexts or 1)
+    return at + np.arange(n + 1), words
+
+
+def pairs(texts: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Offsets, and the numbers of every word and of its context, the word before."""
+    at, words = tokens(texts)
     coded = words.dictionary_encode()
     numbers = np.array([xxhash.xxh64_intdigest(w) for w in coded.dictionary.cast(pa.large_binary()).to_pylist()], np.uint64).view(np.int64)
     own = numbers[coded.indices.to_numpy()]
-    if contexts is None:
-        before = np.concatenate([own[-1:], own[:-1]])  # every text ends with an end, which stands before the next
-    return at, own, before
+    # every text ends with an end, which stands before the next
+    return at, own, np.concatenate([own[-1:], own[:-1]])
 
 
 # ---------------------------------------------------------------- random numbers
@@ -211,21 +197,28 @@ class Totals:
 # ---------------------------------------------------------------- corpus passes
 
 
-def _blocked(docs: DataFrame, key: str, text: str, train: Column, block_rows: int) -> DataFrame:
+def _blocked(docs: DataFrame, key: str, text: str, train: Column, block_rows: int, block_bytes: int) -> DataFrame:
     """``id``, ``text``, ``train``, ``block``: rows that lie together in a file share a block.
 
-    Rows that do not come from files are written to the shared folder first.
+    A block has at most ``block_rows`` rows.  Texts above ``block_bytes / block_rows``
+    bytes are blocked by size class, the fewer together the longer they are, so
+    that no block but that of a single text is above ``block_bytes``.  Rows that
+    do not come from files are written to the shared folder first.
     """
-    rows = docs.select(F.col(key).alias("id"), F.col(text).cast("string").alias("text"), train.alias("train"))
-    place = F.xxhash64(F.col("_metadata.file_path"), F.floor(F.col("_metadata.row_index") / block_rows))
+    body = F.col(text).cast("string")
+    usual = max(1, block_bytes // block_rows)
+    size = F.greatest(F.coalesce(F.octet_length(body), F.lit(0)), F.lit(1))
+    halvings = F.greatest(F.ceil(F.log2(size / usual)), F.lit(0)).cast("int")
+    together = F.greatest(F.floor(F.lit(block_rows) / F.pow(F.lit(2.0), halvings)), F.lit(1))
+    place = F.xxhash64(F.col("_metadata.file_path"), halvings, F.floor(F.col("_metadata.row_index") / together))
+    columns = [F.col(key).alias("id"), body.alias("text"), train.alias("train")]
     try:
-        marked = docs.select(F.col(key).alias("id"), F.col(text).cast("string").alias("text"), train.alias("train"), place.alias("block"))
+        marked = docs.select(*columns, place.alias("block"))
         marked.schema
         return marked
     except AnalysisException:
-        path = scratch_path(docs.sparkSession, "texts")
-        rows.write.parquet(path)
-        return docs.sparkSession.read.parquet(path).select("id", "text", "train", place.alias("block"))
+        rows, _ = stored(docs.select(*columns), "texts")
+        return _blocked(rows, "id", "text", F.col("train"), block_rows, block_bytes)
 
 
 def _merged(parts: list[np.ndarray]) -> np.ndarray:
@@ -236,49 +229,120 @@ def _merged(parts: list[np.ndarray]) -> np.ndarray:
     return np.column_stack([rows[first, :2], np.add.reduceat(rows[:, 2], first)])
 
 
-def _uses(blocked: DataFrame, contexts: int | None) -> DataFrame:
-    """``block``, ``u``, ``w``, ``c``: the pairs of context and word in each block with their training counts."""
+def _uses(blocked: DataFrame) -> DataFrame:
+    """``u``, ``w``, ``block``, ``c``: each block's pairs of context and word, and its words with null ``w``, with training counts.
+
+    A block that reaches over two tasks, or is not read in one go, has a row from each part.
+    """
 
     def counted(part: pa.RecordBatch) -> np.ndarray:
-        at, words, before = pairs(part.column("text"), contexts)
+        at, words, before = pairs(part.column("text"))
         learn = np.repeat(pc.fill_null(part.column("train"), False).to_numpy(zero_copy_only=False), np.diff(at))
         return _merged([np.column_stack([before, words, learn.astype(np.int64)])])
 
     def out(block: int, parts: list[np.ndarray]) -> Iterator[pa.RecordBatch]:
         rows = _merged(parts)
-        parts.clear()
-        for lo in range(0, len(rows), 1 << 16):
-            part = rows[lo : lo + (1 << 16)]
-            columns = [pa.array(np.ascontiguousarray(c)) for c in part.T]
-            yield pa.RecordBatch.from_arrays([pa.array(np.full(len(part), block)), *columns], ["block", "u", "w", "c"])
-        pa.default_memory_pool().release_unused()
+        order = np.argsort(rows[:, 1], kind="stable")
+        first = np.flatnonzero(np.concatenate([[True], np.diff(rows[order, 1]) != 0]))
+        alone = rows[order[first], 1], np.add.reduceat(rows[order, 2], first)
+        for u, w, c in ((rows[:, 0], rows[:, 1], rows[:, 2]), (alone[0], None, alone[1])):
+            for lo in range(0, len(u), 1 << 16):
+                now = slice(lo, lo + (1 << 16))
+                n = len(u[now])
+                words = pa.nulls(n, pa.int64()) if w is None else pa.array(np.ascontiguousarray(w[now]))
+                columns = [pa.array(np.ascontiguousarray(u[now])), words, pa.array(np.full(n, block)), pa.array(np.ascontiguousarray(c[now]))]
+                yield pa.RecordBatch.from_arrays(columns, ["u", "w", "block", "c"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        block, parts = None, []
+        held: dict[int, list[np.ndarray]] = {}
+        size = 0
         for batch in byte_slices(batches, "text", TEXT_BYTES):
-            # a batch may reach over two blocks
             ids = batch.column("block").to_numpy(zero_copy_only=False)
-            cuts = np.concatenate([[0], np.flatnonzero(ids[1:] != ids[:-1]) + 1, [len(ids)]])
+            order = np.argsort(ids, kind="stable")
+            cuts = np.concatenate([[0], np.flatnonzero(np.diff(ids[order])) + 1, [len(ids)]])
             for lo, hi in zip(cuts[:-1], cuts[1:]):
-                if hi == lo:
-                    continue
-                if block != ids[lo] and parts:
+                if hi > lo:
+                    parts = held.setdefault(int(ids[order[lo]]), [])
+                    parts.append(counted(batch.take(pa.array(order[lo:hi]))))
+                    if len(parts) == 8:
+                        parts[:] = [_merged(parts)]
+            size += batch.nbytes
+            if size > BLOCK_BYTES:  # a block read in several goes has several rows for a pair
+                for block, parts in held.items():
                     yield from out(block, parts)
-                    parts = []
-                block = int(ids[lo])
-                parts.append(counted(batch.slice(lo, hi - lo)))
-                if len(parts) == 8:
-                    parts = [_merged(parts)]
-        if parts:
+                held, size = {}, 0
+                pa.default_memory_pool().release_unused()
+        for block, parts in held.items():
             yield from out(block, parts)
 
-    return blocked.select("text", "train", "block").mapInArrow(run, "block bigint, u bigint, w bigint, c bigint")
-
-
-def _stored(table: DataFrame, name: str) -> DataFrame:
-    path = scratch_path(table.sparkSession, name)
-    table.write.parquet(path)
-    return table.sparkSession.read.parquet(path)
+    return blocked.select("text", "train", "block").mapInArrow(run, "u bigint, w bigint, block bigint, c bigint")
+
+
+#: rows of the tally: a pair or a word that is not met just once in training, with the blocks that hold it; the number of
+#: pairs met once that have the word ``u`` as context, and as word
+PAIR, WORD, ONCE_AFTER, ONCE_AS = 0, 1, 2, 3
+TALLY = "kind int, u bigint, w bigint, n bigint, part int, blocks array<bigint>"
+
+
+def _tallied(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """From rows of :func:`_uses` sorted by ``u`` and ``w``: a row per pair and word, see ``TALLY``."""
+    singles: list[np.ndarray] = []
+
+    def rows(t: pa.Table) -> Iterator[pa.RecordBatch]:
+        u, c, block = (t.column(x).to_numpy() for x in ("u", "c", "block"))
+        word = pc.is_null(t.column("w")).to_numpy()
+        w = pc.fill_null(t.column("w"), 0).to_numpy()
+        first = np.flatnonzero(np.concatenate([[True], (u[1:] != u[:-1]) | (w[1:] != w[:-1]) | (word[1:] != word[:-1])]))
+        n, size = np.add.reduceat(c, first), np.diff([*first, len(u)])
+        once = (n == 1) & ~word[first]
+        singles.append(np.column_stack([u[first][once], w[first][once]]))
+        kept = n != 1
+        # a row of the list for every so many blocks
+        parts = -(-size[kept] // BLOCK_LIST)
+        owner = np.repeat(np.flatnonzero(kept), parts)
+        part = np.arange(len(owner)) - np.repeat(np.cumsum(parts) - parts, parts)
+        inside = np.repeat(kept, size)
+        lengths = np.minimum(size[owner] - part * BLOCK_LIST, BLOCK_LIST)
+        lists = pa.ListArray.from_arrays(pa.array(np.concatenate([[0], np.cumsum(lengths)]), pa.int32()), pa.array(block[inside]))
+        at = first[owner]
+        columns = [np.where(word[at], WORD, PAIR).astype(np.int32), u[at], None, n[owner], part.astype(np.int32), None]
+        columns[2], columns[5] = pa.array(w[at], mask=word[at]), lists
+        yield pa.RecordBatch.from_arrays([x if isinstance(x, pa.Array) else pa.array(x) for x in columns], ["kind", "u", "w", "n", "part", "blocks"])
+
+    def flush() -> Iterator[pa.RecordBatch]:
+        both = np.concatenate(singles) if singles else np.zeros((0, 2), np.int64)
+        singles.clear()
+        for kind, side in ((ONCE_AFTER, 0), (ONCE_AS, 1)):
+            value, n = np.unique(both[:, side], return_counts=True)
+            empty = pa.ListArray.from_arrays(pa.array(np.zeros(len(value) + 1), pa.int32()), pa.array([], pa.int64()))
+            columns = [pa.array(np.full(len(value), kind, np.int32)), pa.array(value), pa.nulls(len(value), pa.int64()), pa.array(n)]
+            columns += [pa.array(np.zeros(len(value), np.int32)), empty]
+            yield pa.RecordBatch.from_arrays(columns, ["kind", "u", "w", "n", "part", "blocks"])
+
+    held = None
+    for batch in batches:
+        t = pa.Table.from_batches([batch])
+        t = pa.concat_tables([held, t]).combine_chunks() if held is not None else t
+        if not t.num_rows:
+            continue
+        # the last pair may go on in the next batch
+        u, w = t.column("u"), t.column("w")
+        as_last = pc.is_null(w) if not w[-1].is_valid else pc.fill_null(pc.equal(w, w[-1]), False)
+        cut = int(pc.and_(pc.equal(u, u[-1]), as_last).to_numpy().argmax())
+        held = t.slice(cut)
+        if cut:
+            yield from rows(t.slice(0, cut).combine_chunks())
+        if sum(map(len, singles)) > 1 << 20:
+            yield from flush()
+    if held is not None:
+        yield from rows(held.combine_chunks())
+    yield from flush()
+
+
+def _tally(blocked: DataFrame) -> tuple[DataFrame, str]:
+    """The stored tally of blocked texts; a frequent context is split by its words, the rows of others stay together."""
+    dealt = _uses(blocked).repartition("u", F.pmod("w", F.lit(64))).sortWithinPartitions("u", "w")
+    return stored(dealt.mapInArrow(_tallied, TALLY), "tally")
 
 
 def _seated(rows: DataFrame, count: str, fresh: str, keys: list[str], sweep: int, discount: float, out: str) -> DataFrame:
@@ -303,34 +367,82 @@ def _sum(name: str) -> Column:
     return F.coalesce(F.sum(name), F.lit(0))
 
 
-def fit(counts: DataFrame, burn_in: int, samples: int) -> tuple[DataFrame, Totals]:
-    """``u``, ``w``, ``n`` (training count of the word), ``chance`` of every pair in ``counts`` (``u``, ``w``, ``c``)."""
-    cells = _stored(counts.select("u", "w", "c", F.least("c", F.lit(1)).alias("t"), F.lit(0.0).alias("chance")), "cells")
-    totals = None
+@dataclass(frozen=True)
+class Model:
+    """``cells``: ``u``, ``w``, ``m``, the mean of ``count - discount * tables``, of cells with two customers or more.
+
+    ``words``: ``word``, ``n``, and per sample ``q``, its probability without
+    context, and ``new``, the weight of a new table after it, of words met
+    twice or more.  ``totals`` has an entry per sample.
+    """
+
+    cells: DataFrame
+    words: DataFrame
+    totals: list[Totals]
+    paths: list[str]
+
+
+def fit(tally: DataFrame, burn_in: int, samples: int) -> Model:
+    """Seat the cells of a tally in ``burn_in + samples`` states and keep what the last ones say."""
+    spark = tally.sparkSession
+    kind = F.col("kind")
+    count = [_sum(F.when(kind == k, F.col("n"))).alias(name) for k, name in ((WORD, "n"), (ONCE_AFTER, "after"), (ONCE_AS, "as_word"))]
+    # words met once are not in the tally as words: one table, and one in the parent, whatever is drawn
+    heads = tally.where((F.col("part") == 0) & (kind != PAIR)).groupBy(F.col("u").alias("word")).agg(*count)
+    words, words_path = stored(heads.withColumn("q", F.array().cast("array<double>")).withColumn("new", F.array().cast("array<double>")), "words")
+    many = tally.where((kind == PAIR) & (F.col("part") == 0) & (F.col("n") >= 2)).select("u", "w", F.col("n").alias("c"))
+    ones = words.agg(_sum("as_word").alias("n1"), _sum(F.when(F.col("n") >= 2, F.col("n"))).alias("n"), F.count_if(F.col("n") >= 2).alias("known")).first()
+    # a word met once has one cell, of one customer
+    lone = words.where("n = 0 and as_word > 0").agg(F.count(F.lit(1)).alias("n")).first()["n"]
+    n2 = many.where("c = 2").count()
+    words, old = stored(words.where("n >= 2"), "words")
+    discard(spark, words_path)
+    words_path = old
+
+    def ratio(a: int, b: int) -> float:
+        return min(0.95, max(0.05, a / (a + 2 * b + 1e-9)))
+
+    start = F.least(F.col("c"), F.greatest(F.lit(1), F.rint(F.pow(F.col("c"), F.lit(ratio(ones["n1"], n2)))))).cast("long")
+    cells, path = stored(many.select("u", "w", "c", start.alias("t"), F.lit(0.0).alias("m")), "cells")
+    totals, kept = None, []
     for s in range(burn_in + samples):
-        words = cells.groupBy("w").agg(F.sum("c").alias("n"), F.sum("t").alias("tw"))
-        if totals is None:  # the start: one table per word and context, and one per word in the parent
-            words = _stored(words.withColumn("tp", F.least("tw", F.lit(1))), "words")
-            ones = [_sum(F.when(F.col("c") == k, 1)).alias(f"n{k}") for k in (1, 2)]
-            shared = [_sum(F.when(F.col("tw") == k, 1)).alias(f"s{k}") for k in (1, 2)]
-            r, v = cells.agg(*ones).first(), words.agg(*shared, _sum("n").alias("n"), _sum("tp").alias("known")).first()
-            own, parent = (min(0.95, max(0.05, a / (a + 2 * b + 1e-9))) for a, b in ((r["n1"], r["n2"]), (v["s1"], v["s2"])))
-            totals = Totals(v["known"], v["n"], own, parent, 0, 0)
+        sampled = s >= burn_in
+        per_word = cells.groupBy(F.col("w").alias("word")).agg(F.sum("t").alias("in_cells"), F.count(F.lit(1)).alias("n_cells"))
+        per_context = cells.groupBy(F.col("u").alias("word")).agg(F.sum("t").alias("behind"))
+        tw = (F.col("as_word") + F.coalesce("in_cells", F.lit(0))).alias("tw")
+        new_tables = (F.col("after") + F.coalesce("behind", F.lit(0))).alias("tables")
+        now = words.join(per_word, "word", "left").join(per_context, "word", "left")
+        now = now.select("word", "n", "after", "as_word", "q", "new", tw, new_tables, (F.col("as_word") + F.coalesce("n_cells", F.lit(0))).alias("contexts"))
+        if totals is None:  # one table per word in the parent
+            now = now.withColumn("tp", F.least("tw", F.lit(1)))
+            now, held = stored(now, "words")
+            v = now.agg(*[_sum(F.when(F.col("contexts") == k, 1)).alias(f"s{k}") for k in (1, 2)]).first()
+            totals = Totals(ones["known"] + lone, ones["n"] + lone, ratio(ones["n1"], n2), ratio(v["s1"] + lone, v["s2"]), 0, 0)
         else:
-            words = _seated(words.withColumn("fresh", F.lit(totals.back)), "tw", "fresh", ["w"], s, totals.parent_discount, "tp")
-            words = _stored(words, "words")
-        v = words.agg(_sum("tw").alias("served"), _sum("tp").alias("parent_tables")).first()
-        totals = replace(totals, served=v["served"], parent_tables=v["parent_tables"])
-        parent = (F.col("tw") - totals.parent_discount * F.col("tp") + totals.back) / (STRENGTH + totals.served)
-        rooms = cells.groupBy("u").agg((STRENGTH + F.sum("c")).alias("all"), (STRENGTH + totals.discount * F.sum("t")).alias("new"))
-        rows = cells.join(words.select("w", "n", parent.alias("q")).hint("shuffle_hash"), "w").join(rooms.hint("shuffle_hash"), "u")
-        if s >= burn_in:
-            now = (F.col("c") - totals.discount * F.col("t") + F.col("new") * F.col("q")) / F.col("all")
-            rows = rows.withColumn("chance", F.col("chance") + now / samples)
+            now, held = stored(_seated(now.withColumn("fresh", F.lit(totals.back)), "tw", "fresh", ["word"], s, totals.parent_discount, "tp"), "words")
+        v = now.agg(_sum("tw").alias("served"), _sum("tp").alias("parent_tables")).first()
+        totals = replace(totals, served=v["served"] + lone, parent_tables=v["parent_tables"] + lone)
+        q = (F.col("tw") - totals.parent_discount * F.col("tp") + totals.back) / (STRENGTH + totals.served)
+        new = STRENGTH + totals.discount * F.col("tables")
+        rates = now.select("word", q.alias("now_q"), new.alias("now_new"))
+        if sampled:
+            kept.append(totals)
+            more = [F.array_append("q", q).alias("q"), F.array_append("new", new).alias("new")]
+            words, next_path = stored(now.select("word", "n", "after", "as_word", *more), "words")
+            discard(spark, words_path)
+            words_path = next_path
+        m = F.col("m") + (F.col("c") - totals.discount * F.col("t")) / samples if sampled else F.col("m")
         if s == burn_in + samples - 1:
-            return rows.select("u", "w", "n", F.col("chance").cast("float").alias("chance")), totals
-        rows = rows.select("u", "w", "c", "chance", (F.col("new") * F.col("q")).alias("fresh"))
-        cells = _stored(_seated(rows, "c", "fresh", ["u", "w"], s, totals.discount, "t"), "cells")
+            means, final = stored(cells.select("u", "w", m.alias("m")), "cells")
+            for gone in (path, held):
+                discard(spark, gone)
+            return Model(means, words, kept, [final, words_path])
+        fresh = cells.join(rates.select(F.col("word").alias("w"), "now_q"), "w").join(rates.select(F.col("word").alias("u"), "now_new"), "u")
+        fresh = fresh.select("u", "w", "c", m.alias("m"), (F.col("now_new") * F.col("now_q")).alias("fresh"))
+        cells, after = stored(_seated(fresh, "c", "fresh", ["u", "w"], s, totals.discount, "t"), "cells")
+        for gone in (path, held):
+            discard(spark, gone)
+        path = after
 
 
 def _packed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -364,46 +476,110 @@ def _pair_key(u: np.ndarray, w: np.ndarray) -> np.ndarray:
     return _hashed(u.view(np.uint64), w.view(np.uint64))
 
 
-class _Block:
-    """The answers of one block, made ready to score its texts."""
+class _Answers:
+    """What the texts of one block need: pairs and words that are not met just once in training."""
 
-    def __init__(self, totals: Totals, contexts: int | None):
-        self.totals, self.contexts = totals, contexts
-        self.parts: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
+    def __init__(self, totals: list[Totals]):
+        self.totals = totals
+        self.parts: tuple[list, list] = ([], [])
         self.ready = False
 
     def add(self, part: pa.RecordBatch) -> None:
-        u, w, n, chance = (part.column(c).to_numpy(zero_copy_only=False) for c in ("u", "w", "n", "chance"))
-        self.parts.append((_pair_key(u, w), n.copy(), chance.copy()))
+        pair = part.column("n").is_null().to_numpy(zero_copy_only=False)
+        numbers = part.column("x").to_numpy()
+        self.parts[0].append((numbers[pair], part.column("m").to_numpy(zero_copy_only=False)[pair]))
+        words = part.filter(pa.array(~pair))
+        rates = []
+        for name in ("q", "new"):
+            values = words.column(name)
+            rate = np.full((len(values), len(self.totals)), np.nan)  # a word never met has none
+            rate[values.is_valid().to_numpy(zero_copy_only=False)] = values.flatten().to_numpy().reshape(-1, len(self.totals))
+            rates.append(rate)
+        self.parts[1].append((numbers[~pair], words.column("n").to_numpy(zero_copy_only=False).astype(np.int64), *rates))
 
     def prepare(self) -> None:
-        """Join the parts, sorted by pair."""
-        key, n, chance = (np.concatenate(c) for c in zip(*self.parts))
-        order = np.argsort(key)
-        self.key, self.n, self.chance = key[order], n[order], np.log10(chance[order].astype(float))
-        self.parts, self.ready = [], True
+        """Join the parts, sorted."""
+        pair, word = ([np.concatenate(c) for c in zip(*parts)] for parts in self.parts)
+        if not pair:  # nothing was met but just once
+            none, rates = np.zeros(0, np.int64), np.zeros((0, len(self.totals)))
+            pair, word = [none, np.zeros(0)], [none, none, rates, rates]
+        order = np.argsort(pair[0], kind="stable")
+        self.pair, self.m = pair[0][order], pair[1][order]
+        order = np.argsort(word[0], kind="stable")
+        self.word, self.n, self.q, self.new = (x[order] for x in word)
+        self.parts, self.ready = ([], []), True
+
+    def _words(self, words: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Count, probabilities and new-table weights of words."""
+        t = self.totals
+        n = np.ones(len(words), np.int64)
+        q = np.tile([(1 - x.parent_discount + x.back) / (STRENGTH + x.served) for x in t], (len(words), 1))
+        new = np.tile([STRENGTH + x.discount for x in t], (len(words), 1))
+        at, hit = _found(self.word, words)
+        n[hit], q[hit], new[hit] = self.n[at], self.q[at], self.new[at]
+        never = n == 0
+        q[never] = [x.back / (STRENGTH + x.served) for x in t]
+        new[never] = STRENGTH
+        return n, q, new
 
     def score(self, texts: pa.Array) -> list[np.ndarray]:
         """n_tokens, n_known, base_score and score of every text."""
         if not self.ready:
             self.prepare()
-        at, words, before = pairs(texts, self.contexts)
-        distinct, back = np.unique(_pair_key(before, words), return_inverse=True)
-        index = np.searchsorted(self.key, distinct)[back]
-        base = np.log10((self.n[index] + 1) / (self.totals.tokens + self.totals.known + 1))
-        sums = [np.add.reduceat(x, at[:-1]) for x in ((self.n[index] > 0).astype(np.int64), base, self.chance[index])]
+        at, words, before = pairs(texts)
+        key = _pair_key(before, words).view(np.int64)
+        distinct, first, back = np.unique(key, return_index=True, return_inverse=True)
+        vocabulary, code = np.unique(words, return_inverse=True)
+        n, q, new = self._words(vocabulary)
+        context = code[(first - 1) % len(code)]  # the word before, with an end before the first
+        m = np.full(len(distinct), 1 - self.totals[0].discount)
+        spot, hit = _found(self.pair, distinct)
+        m[hit] = self.m[spot]
+        chance = (m + (new[context] * q[code[first]]).mean(1)) / (STRENGTH + n[context])
+        base = np.log10((n + 1) / (self.totals[0].tokens + self.totals[0].known + 1))
+        sums = [np.add.reduceat(x, at[:-1]) for x in ((n[code] > 0).astype(np.int64), base[code], np.log10(chance)[back])]
         return [np.diff(at), *sums]
 
 
+def _found(sorted_keys: np.ndarray, wanted: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Where the wanted keys that are there stand, and which of the wanted those are."""
+    if not len(sorted_keys):
+        return np.zeros(0, np.int64), np.zeros(0, np.int64)
+    at = np.minimum(np.searchsorted(sorted_keys, wanted), len(sorted_keys) - 1)
+    hit = np.flatnonzero(sorted_keys[at] == wanted)
+    return at[hit], hit
+
+
+def _answered(tally: DataFrame, model: Model) -> DataFrame:
+    """``block``, ``x`` (word, or hash of a pair), ``m``, ``n``, ``q``, ``new`` for every block that needs it."""
+    pair = tally.where((F.col("kind") == PAIR)).select("u", "w", "n", "blocks")
+    seated = pair.where("n >= 2").join(model.cells, ["u", "w"]).select("u", "w", "m", "blocks")
+    never = pair.where("n = 0").select("u", "w", F.lit(0.0).alias("m"), "blocks")
+    held = seated.unionByName(never).select("u", "w", "m", F.explode("blocks").alias("block"))
+
+    def named(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            x = _pair_key(b.column("u").to_numpy(), b.column("w").to_numpy()).view(np.int64)
+            yield pa.RecordBatch.from_arrays([b.column("block"), pa.array(x), b.column("m")], ["block", "x", "m"])
+
+    pairs_out = held.mapInArrow(named, "block bigint, x bigint, m double")
+    blank = [F.lit(None).cast("long").alias("n"), *[F.lit(None).cast("array<double>").alias(c) for c in ("q", "new")]]
+    word = tally.where((F.col("kind") == WORD)).select(F.col("u").alias("x"), "n", "blocks")
+    known = word.where("n >= 2").drop("n").join(model.words.select(F.col("word").alias("x"), "n", "q", "new"), "x")
+    none = word.where("n = 0").select("x", "blocks", "n", *blank[1:])
+    words_out = known.unionByName(none).select(F.explode("blocks").alias("block"), "x", F.lit(None).cast("double").alias("m"), "n", "q", "new")
+    return pairs_out.select("block", "x", "m", *blank).unionByName(words_out)
+
+
 def score_texts(
     docs: DataFrame,
     train: Column,
     key: str = "doc_id",
     text: str = "text",
-    contexts: int | None = None,
     burn_in: int = BURN_IN,
     samples: int = SAMPLES,
     block_rows: int = BLOCK_ROWS,
+    block_bytes: int = BLOCK_BYTES,
 ) -> DataFrame:
     """Per row: key, ``n_tokens``, ``n_known``, ``train_tokens``, ``base_score``, ``score``, ``perplexity``.
 
@@ -412,18 +588,21 @@ def score_texts(
     the log10 probability of the whole text, ``base_score`` that of single words
     with one added to every count.  Null and empty texts are an end alone.
     Without training rows every word is the unknown one.  Repeated rows count
-    and score each for itself; other columns are left out.  ``contexts`` puts
-    the words before into so many classes instead of a context for each.
+    and score each for itself; other columns are left out, whatever their names.
+    A text of any length is whole in one task.
     """
-    if contexts is not None and contexts < 1 or burn_in < 1 or samples < 1:
-        raise ValueError("contexts, burn_in and samples must be at least 1")
+    if burn_in < 1 or samples < 1 or block_rows < 1:
+        raise ValueError("burn_in, samples and block_rows must be at least 1")
     spark = docs.sparkSession
-    blocked = _blocked(docs, key, text, train, block_rows)
-    uses = _stored(_uses(blocked, contexts), "uses")
-    chances, totals = fit(uses.groupBy("u", "w").agg(F.sum("c").alias("c")), burn_in, samples)
-
-    answers = uses.select("block", "u", "w").join(chances, ["u", "w"]).select("block", "u", "w", "n", "chance")
-    lookups = answers.mapInArrow(_packed, "block bigint, pack binary").withColumn("kind", F.lit(0))
+    blocked = _blocked(docs, key, text, train, block_rows, block_bytes)
+    tally, tallied = _tally(blocked)
+    model = fit(tally, burn_in, samples)
+    answers, _ = stored(_answered(tally, model).mapInArrow(_packed, "block bigint, pack binary"), "answers")
+    for path in (tallied, *model.paths):
+        discard(spark, path)
+
+    totals = model.totals
+    lookups = answers.withColumn("kind", F.lit(0))
     texts = blocked.select("block", "id", "text").mapInArrow(_packed, "block bigint, pack binary").withColumn("kind", F.lit(1))
     met = lookups.unionByName(texts).repartition("block").sortWithinPartitions("block", "kind")
     measures = ["n_tokens", "n_known", "base_score", "score"]
@@ -433,7 +612,7 @@ def score_texts(
         for batch in batches:
             for group, kind, pack in zip(*(batch.column(c) for c in ("block", "kind", "pack"))):
                 if now is None or group.as_py() != block:
-                    now, block = _Block(totals, contexts), group.as_py()
+                    now, block = _Answers(totals), group.as_py()
                     pa.default_memory_pool().release_unused()
                 rows = pa.ipc.open_stream(pack.as_buffer())
                 if kind.as_py() == 0:
@@ -450,7 +629,7 @@ def score_texts(
         F.col("id").alias(key),
         "n_tokens",
         "n_known",
-        F.lit(totals.tokens).cast("bigint").alias("train_tokens"),
+        F.lit(totals[0].tokens).cast("bigint").alias("train_tokens"),
         "base_score",
         "score",
         F.pow(F.lit(10.0), -F.col("score") / F.col("n_tokens")).alias("perplexity"),
