@@ -1,4 +1,4 @@
-"""Per-series solvers: seasonal autoregression and exponential smoothing.
+"""Per-series solvers: seasonal autoregression, and tables from fitted models.
 
 Input is a frame of :func:`millrace.operators.timeseries.regular_series`; one
 grouped-map call handles one series, whose length is bounded by the calendar.
@@ -20,7 +20,7 @@ from millrace.operators.timeseries import future_index
 Z80, Z95 = 1.2815515655446004, 1.959963984540054
 
 
-def _values(pdf: pd.DataFrame) -> tuple[np.ndarray, np.ndarray]:
+def regular_values(pdf: pd.DataFrame) -> tuple[np.ndarray, np.ndarray]:
     """Values and positions in order; a step without a value lies on the line between its neighbours."""
     pdf = pdf.sort_values("pos")
     x, pos = pdf["value"].to_numpy(float), pdf["pos"].to_numpy()
@@ -94,11 +94,18 @@ def _forecast_ar(x: np.ndarray, w: np.ndarray, s2: float, d: int, sd: int, perio
     return np.array(path[len(x) :]), np.sqrt(s2 * np.cumsum(np.square(psi)))
 
 
+def _long_enough(x: np.ndarray, p: int, d: int, sp: int, sd: int, period: int) -> bool:
+    """At least one more error than weights after differencing, and some value."""
+    return len(x) - d - sd * period - p - sp * period > p + sp and bool(np.isfinite(x).all())
+
+
 def _with_dates(points: DataFrame, series: DataFrame, key: str, h: int) -> DataFrame:
-    return future_index(series, key, h).join(points, [key, "h"])
+    at = future_index(series, key, h)
+    points = points.withColumnsRenamed({key: "__key", "h": "__h"})
+    return at.join(points, F.col(key).eqNullSafe(F.col("__key")) & (F.col("h") == F.col("__h"))).drop("__key", "__h")
 
 
-def _numbers(series: DataFrame, key: str) -> DataFrame:
+def series_numbers(series: DataFrame, key: str) -> DataFrame:
     return series.select(key, "pos", F.col("value").cast("double").alias("value"))
 
 
@@ -108,15 +115,19 @@ def seasonal_ar_forecast(
     """Forecast table of an order (p,d,0)(sp,sd,0)[period] autoregression.
 
     Fitted by conditional least squares on the differenced series, forecast
-    recursively and transformed back.
+    recursively and transformed back.  A series without values, or with too few
+    steps for one more error than weights, has NULL forecasts.
     """
     kind = series.schema[key].dataType.simpleString()
 
     def solve(pdf: pd.DataFrame) -> pd.DataFrame:
-        x = _values(pdf)[0]
-        diffed = _difference(x, d, sd, period)
-        phi, sea, w, rss, n = _fit_seasonal_ar(diffed, p, sp, period, p + sp * period)
-        point, se = _forecast_ar(x, w, rss / n, d, sd, period, h)
+        x = regular_values(pdf)[0]
+        if _long_enough(x, p, d, sp, sd, period):
+            diffed = _difference(x, d, sd, period)
+            phi, sea, w, rss, n = _fit_seasonal_ar(diffed, p, sp, period, p + sp * period)
+            point, se = _forecast_ar(x, w, rss / n, d, sd, period, h)
+        else:
+            point = se = np.full(h, math.nan)
         return pd.DataFrame(
             {
                 key: pdf[key].iloc[0], "h": np.arange(1, h + 1), "point": point,
@@ -125,190 +136,42 @@ def seasonal_ar_forecast(
         )
 
     schema = f"`{key}` {kind}, h int, point double, lo80 double, hi80 double, lo95 double, hi95 double"
-    return _with_dates(_numbers(series, key).groupBy(key).applyInPandas(solve, schema), series, key, h)
+    return _with_dates(series_numbers(series, key).groupBy(key).applyInPandas(solve, schema), series, key, h)
 
 
 def choose_order(series: DataFrame, key: str, period: int, max_p: int = 2, max_sp: int = 1, d: int = 1, sd: int = 1) -> DataFrame:
     """AIC of every candidate order per series, the least marked ``chosen``.
 
-    All candidates of a series are fitted on the same rows, so their AIC values compare.
+    All candidates of a series are fitted on the same rows, so their AIC values
+    compare.  In a series without values, or too short for the largest of them,
+    none has one and none is chosen.
     """
     kind = series.schema[key].dataType.simpleString()
 
     def solve(pdf: pd.DataFrame) -> pd.DataFrame:
-        x = _difference(_values(pdf)[0], d, sd, period)
-        start = max_p + max_sp * period
+        x = regular_values(pdf)[0]
+        fine = _long_enough(x, max_p, d, max_sp, sd, period)
+        x = _difference(x, d, sd, period) if fine else x
         rows = []
         for p, sp in itertools.product(range(max_p + 1), range(max_sp + 1)):
-            *_, rss, n = _fit_seasonal_ar(x, p, sp, period, start)
+            if not fine:
+                rows.append((p, sp, math.nan))
+                continue
+            *_, rss, n = _fit_seasonal_ar(x, p, sp, period, max_p + max_sp * period)
             rows.append((p, sp, n * math.log(max(rss, 1e-300) / n) + 2 * (p + sp + 1)))
         out = pd.DataFrame(rows, columns=["p", "sp", "aic"])
         out.insert(0, key, pdf[key].iloc[0])
-        out["chosen"] = out.index == out["aic"].idxmin()
+        out["chosen"] = fine & (out.index == (out["aic"].idxmin() if fine else -1))
         return out
 
-    return _numbers(series, key).groupBy(key).applyInPandas(
+    return series_numbers(series, key).groupBy(key).applyInPandas(
         solve, f"`{key}` {kind}, p int, sp int, aic double, chosen boolean"
     )
 
 
-def _smooth(x: np.ndarray, period: int, alpha, beta, gamma):
-    """Additive level, slope and season recursions for arrays of parameters at once."""
-    k = len(alpha)
-    first, second = x[:period].mean(), x[period : 2 * period].mean()
-    slope = np.full(k, (second - first) / period)
-    level = np.full(k, first) - slope * (period + 1) / 2
-    line = first + (np.arange(period) - (period - 1) / 2) * (second - first) / period
-    figure = x[:period] - line
-    season = np.tile(figure - figure.mean(), (k, 1))
-    states = np.empty((len(x), 3, k))
-    fitted = np.empty((len(x), k))
-    for t, value in enumerate(x):
-        s = season[:, t % period]
-        fitted[t] = level + slope + s
-        e = value - fitted[t]
-        level = level + slope + alpha * e
-        slope = slope + beta * e
-        season[:, t % period] = s + gamma * e
-        states[t] = level, slope, season[:, t % period]
-    return fitted, states, season
-
-
-def ets(series: DataFrame, key: str, period: int, h: int) -> DataFrame:
-    """Additive error, trend and season smoothing per series, in long form.
-
-    Columns ``(key, kind, pos, name, value)``: kind ``state`` holds actual,
-    fitted, level, slope and season per step, ``parameter`` the smoothing
-    weights, ``fit`` sigma and the likelihood, ``forecast`` the point and
-    interval values with ``pos`` the step ahead.  The weights come from a grid
-    refined twice around the least squared error.  A series needs two periods.
-    """
-    kind = series.schema[key].dataType.simpleString()
-
-    def solve(pdf: pd.DataFrame) -> pd.DataFrame:
-        x, pos = _values(pdf)
-        if len(x) < 2 * period:
-            raise ValueError("a seasonal series needs two periods")
-        centre, width = np.array([0.5, 0.25, 0.25]), np.array([0.49, 0.249, 0.249])
-        for _ in range(3):
-            axes = [np.clip(np.linspace(c - w, c + w, 7), 1e-4, 0.9999) for c, w in zip(centre, width, strict=True)]
-            grid = np.array([g for g in itertools.product(*axes) if g[1] <= g[0] and g[2] <= 1 - g[0]] or [centre])
-            sse = np.square(x[:, None] - _smooth(x, period, *grid.T)[0]).sum(axis=0)
-            centre, width = grid[int(np.argmin(sse))], width / 3
-        a, b, g = centre
-        fitted, states, season = _smooth(x, period, *(np.array([v]) for v in centre))
-        fitted, states = fitted[:, 0], states[:, :, 0]
-        e = x - fitted
-        n, k = len(x), 3 + 2 + period
-        sigma2 = e @ e / max(n - 5, 1)
-        rows = []
-        for i in range(n):
-            rows += [
-                ("state", pos[i], "actual", x[i]), ("state", pos[i], "fitted", fitted[i]),
-                ("state", pos[i], "level", states[i, 0]), ("state", pos[i], "slope", states[i, 1]),
-                ("state", pos[i], "season", states[i, 2]),
-            ]
-        rows += [("parameter", 0, m, v) for m, v in zip(("alpha", "beta", "gamma"), centre, strict=True)]
-        loglik = -0.5 * n * math.log(max(e @ e, 1e-300))
-        rows += [
-            ("fit", 0, "sigma", math.sqrt(sigma2)), ("fit", 0, "loglik", loglik),
-            ("fit", 0, "aic", -2 * loglik + 2 * k), ("fit", 0, "bic", -2 * loglik + math.log(n) * k),
-        ]
-        spread = 0.0
-        for j in range(1, h + 1):
-            point = states[-1, 0] + j * states[-1, 1] + season[0, (n + j - 1) % period]
-            se = math.sqrt(sigma2 * (1.0 + spread))
-            rows += [
-                ("forecast", j, "point", point), ("forecast", j, "lo80", point - Z80 * se), ("forecast", j, "hi80", point + Z80 * se),
-                ("forecast", j, "lo95", point - Z95 * se), ("forecast", j, "hi95", point + Z95 * se),
-            ]
-            spread += (a + b * j + (g if j % period == 0 else 0.0)) ** 2
-        out = pd.DataFrame(rows, columns=["kind", "pos", "name", "value"])
-        out.insert(0, key, pdf[key].iloc[0])
-        return out
-
-    return _numbers(series, key).groupBy(key).applyInPandas(
-        solve, f"`{key}` {kind}, kind string, pos long, name string, value double"
-    )
-
-
-FORMS = [e + t + s for e in "AM" for t in "NA" for s in "NAM"]
-
-
-def _smooth_form(x: np.ndarray, period: int, form: str, alpha, beta, gamma) -> np.ndarray:
-    """One-step forecasts of a form (error, trend, season; N none, A additive, M multiplicative), one column per weight set."""
-    _, trend, season_kind = form
-    k = len(alpha)
-    first, second = x[:period].mean(), x[period : 2 * period].mean()
-    step = (second - first) / period if trend == "A" else 0.0
-    level, slope = np.full(k, first - step * (period + 1) / 2), np.full(k, step)
-    line = first + (np.arange(period) - (period - 1) / 2) * step
-    figure = x[:period] / line if season_kind == "M" else x[:period] - line
-    figure = figure / figure.mean() if season_kind == "M" else figure - figure.mean()
-    season = np.tile(figure, (k, 1))
-    fitted = np.empty((len(x), k))
-    for t, value in enumerate(x):
-        s, base = season[:, t % period], level + slope
-        point = base * s if season_kind == "M" else base + s if season_kind == "A" else base
-        fitted[t] = point
-        e = value - point
-        share = e / s if season_kind == "M" else e
-        level, slope = base + alpha * share, slope + (beta * share if trend == "A" else 0.0)
-        if season_kind != "N":
-            season[:, t % period] = s + gamma * (e / base if season_kind == "M" else e)
-    return fitted
-
-
-def choose_form(series: DataFrame, key: str, period: int, forms: list[str] = FORMS) -> DataFrame:
-    """AICc of every form of exponential smoothing per series, the least marked ``chosen``.
-
-    Forms are named by error, trend and season; each is fitted by a weight grid
-    refined twice.  Multiplicative forms are left out for series with values of
-    zero or less.  A series needs two periods.
-    """
-    kind = series.schema[key].dataType.simpleString()
-
-    def solve(pdf: pd.DataFrame) -> pd.DataFrame:
-        x, _ = _values(pdf)
-        n = len(x)
-        if n < 2 * period:
-            raise ValueError("a seasonal series needs two periods")
-        rows = []
-        for form in forms:
-            if "M" in form and x.min() <= 0:
-                continue
-            axes_used = np.array([True, form[1] == "A", form[2] != "N"])
-            centre, width, best = np.array([0.5, 0.25, 0.25]), np.array([0.49, 0.249, 0.249]), math.inf
-            for _ in range(3):
-                axes = [
-                    np.clip(np.linspace(c - w, c + w, 7), 1e-4, 0.9999) if used else np.zeros(1)
-                    for c, w, used in zip(centre, width, axes_used, strict=True)
-                ]
-                grid = np.array([g for g in itertools.product(*axes) if g[1] <= g[0] and g[2] <= 1 - g[0]] or [centre * axes_used])
-                with np.errstate(all="ignore"):
-                    fitted = _smooth_form(x, period, form, *grid.T)
-                    e = x[:, None] - fitted
-                    if form[0] == "M":
-                        cost = n * np.log(np.square(e / fitted).sum(axis=0)) + 2 * np.log(np.abs(fitted)).sum(axis=0)
-                        cost = np.where((fitted > 0).all(axis=0), cost, np.inf)
-                    else:
-                        cost = n * np.log(np.maximum(np.square(e).sum(axis=0), 1e-300))
-                cost = np.where(np.isfinite(cost), cost, np.inf)
-                at = int(np.argmin(cost))
-                centre, width, best = np.where(axes_used, grid[at], centre), width / 3, min(best, float(cost[at]))
-            k = 3 + 2 * int(axes_used[1]) + (period if axes_used[2] else 0)  # weights, states and variance
-            rows.append((form, best + 2 * k + (2 * k * (k + 1) / (n - k - 1) if n > k + 1 else math.inf)))
-        out = pd.DataFrame(rows, columns=["form", "aicc"])
-        out.insert(0, key, pdf[key].iloc[0])
-        out["chosen"] = out.index == out["aicc"].idxmin()
-        return out
-
-    return _numbers(series, key).groupBy(key).applyInPandas(solve, f"`{key}` {kind}, form string, aicc double, chosen boolean")
-
-
 def tidy(model: DataFrame, key: str) -> DataFrame:
-    """Model parameters as rows."""
-    return model.where("kind = 'parameter'").select(key, F.col("name").alias("term"), F.col("value").alias("estimate"))
+    """Model parameters as rows; a form without one has none."""
+    return model.where("kind = 'parameter' AND value IS NOT NULL").select(key, F.col("name").alias("term"), F.col("value").alias("estimate"))
 
 
 def augment(model: DataFrame, key: str) -> DataFrame:
@@ -359,7 +222,8 @@ def glance(model: DataFrame, key: str, period: int) -> DataFrame:
         F.try_divide(F.sum((e - F.col("m")) * (F.col("before") - F.col("m"))), F.sum((e - F.col("m")) * (e - F.col("m")))).alias("acf1"),
     )
     fit = model.where("kind = 'fit'").groupBy(key).pivot("name", ["sigma", "loglik", "aic", "bic"]).agg(F.first("value"))
-    return fit.join(quality, key)
+    quality = quality.withColumnRenamed(key, "__key")
+    return fit.join(quality, F.col(key).eqNullSafe(F.col("__key"))).drop("__key")
 
 
 def sweep(model: DataFrame, series: DataFrame, key: str, h: int) -> DataFrame:
@@ -367,7 +231,8 @@ def sweep(model: DataFrame, series: DataFrame, key: str, h: int) -> DataFrame:
     states = model.where("kind = 'state' AND name IN ('actual', 'fitted')").select(
         key, "pos", F.col("name").alias("series_kind"), "value"
     )
-    past = states.join(series.select(key, "pos", "ts"), [key, "pos"])
+    dated = series.select(F.col(key).alias("__key"), F.col("pos").alias("__pos"), "ts")
+    past = states.join(dated, F.col(key).eqNullSafe(F.col("__key")) & (F.col("pos") == F.col("__pos"))).drop("__key", "__pos")
     ahead = forecast_table(model, series, key, h).select(
         key, "pos", F.lit("forecast").alias("series_kind"), F.col("point").alias("value"), "ts", "lo80", "hi80", "lo95", "hi95"
     )

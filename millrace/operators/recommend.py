@@ -16,12 +16,12 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from millrace.operators import sampling
+from millrace.operators.neighbours import SIM_DIGITS, nearest_users, sparse_vectors
 from millrace.operators.ordering import positions
 
 ITEM_CHUNK = 1024
 #: users that meet one copy of an item list, popular items in such a list
 USER_SALT, PLACES = 4096, 64
-SIM_DIGITS = 10
 
 
 def binarise(ratings: DataFrame, at_least: float) -> DataFrame:
@@ -130,34 +130,6 @@ def random_ratings(known: DataFrame, items: DataFrame, lo: float, hi: float, see
     return unknown_cells(known, items).withColumn("prediction", F.lit(lo) + u * F.lit(hi - lo))
 
 
-def _vectors(centred: DataFrame) -> DataFrame:
-    cells = F.sort_array(F.collect_list(F.struct("item", "centred")))
-    return centred.groupBy("user").agg(cells.alias("cells")).select(
-        "user", F.col("cells.item").alias("items"), F.col("cells.centred").alias("values")
-    )
-
-
-def _flat(frame: pd.DataFrame) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Row numbers, items and values of all cells of a sparse frame."""
-    rows = np.repeat(np.arange(len(frame)), [len(x) for x in frame["items"]])
-    return rows, np.concatenate(frame["items"].to_list() or [[]]), np.concatenate(frame["values"].to_list() or [[]]).astype(float)
-
-
-def _dense_slices(frames: Sequence[pd.DataFrame], width: int):
-    """Yield dense (rows x items) slices of several sparse frames over the same items."""
-    flat = [_flat(f) for f in frames]
-    vocabulary = np.unique(np.concatenate([items for _, items, _ in flat]))
-    coords = [(rows, np.searchsorted(vocabulary, items), values, len(f)) for (rows, items, values), f in zip(flat, frames)]
-    for start in range(0, len(vocabulary), width):
-        out = []
-        for rows, cols, values, n in coords:
-            hit = (cols >= start) & (cols < start + width)
-            dense = np.zeros((n, min(width, len(vocabulary) - start)))
-            dense[rows[hit], cols[hit] - start] = values[hit]
-            out.append(dense)
-        yield vocabulary[start : start + width], out
-
-
 def _co_rated(frame: pd.DataFrame, most: int = 1 << 20):
     """Yield ``(item, other, dot)`` over the pairs of items that a user rated both, added up.
 
@@ -181,63 +153,6 @@ def _co_rated(frame: pd.DataFrame, most: int = 1 << 20):
             yield pairs.groupby(["item", "other"], sort=False, as_index=False)["dot"].sum()
 
 
-def nearest_users(queries: DataFrame, train: DataFrame, nn: int, block: int = 1024) -> DataFrame:
-    """The ``nn`` most similar training users per query user, by exact cosine.
-
-    Inputs hold ``(user, item, centred)``; a vector's norm is over all its own
-    cells.  Both sides are cut into hash blocks of about ``block`` users, a
-    task multiplies one block pair and keeps the ``nn`` best per query, and the
-    few kept rows of all pairs are ranked once more.  No pair list is shuffled,
-    but every vector is sent once to each block of the other side, so both work
-    and shuffle grow with queries times users: ask for a stated set of users.
-    Similar users rank by similarity rounded to ten digits, then by id.
-    """
-    kind = train.schema["user"].dataType.simpleString()
-    q, s = _vectors(queries), _vectors(train)
-    q_blocks = max(1, math.ceil(queries.select("user").distinct().count() / block))
-    s_blocks = max(1, math.ceil(train.select("user").distinct().count() / block))
-
-    def block_of(n: int) -> Column:
-        return F.pmod(F.xxhash64("user"), F.lit(n)).cast("int")
-
-    def every(n: int) -> Column:
-        return F.explode(F.sequence(F.lit(0), F.lit(n - 1)))
-
-    left = q.withColumn("qb", block_of(q_blocks)).withColumn("sb", every(s_blocks))
-    right = s.withColumn("sb", block_of(s_blocks)).withColumn("qb", every(q_blocks))
-    right = right.select(*[F.col(c).alias(f"r_{c}") for c in right.columns])
-
-    def best(a: pd.DataFrame, b: pd.DataFrame) -> pd.DataFrame:
-        empty = pd.DataFrame({"user": [], "other": [], "sim": []})
-        if a.empty or b.empty:
-            return empty
-        b = b.rename(columns=lambda c: c.removeprefix("r_"))
-        dots = np.zeros((len(a), len(b)))
-        for _, (x, y) in _dense_slices([a, b], 4096):
-            dots += x @ y.T
-        norm_a = np.array([np.sqrt(np.dot(v, v)) for v in a["values"]])
-        norm_b = np.array([np.sqrt(np.dot(v, v)) for v in b["values"]])
-        scale = np.outer(norm_a, norm_b)
-        sims = np.divide(dots, scale, out=np.full_like(dots, -np.inf), where=scale > 0)
-        ids = b["user"].to_numpy()
-        order = np.argsort(ids, kind="stable")
-        ids, sims = ids[order], np.round(sims[:, order], SIM_DIGITS)
-        sims[a["user"].to_numpy()[:, None] == ids[None, :]] = -np.inf
-        keep = np.argsort(-sims, axis=1, kind="stable")[:, :nn]
-        found = np.take_along_axis(sims, keep, axis=1)
-        rows = np.repeat(np.arange(len(a)), keep.shape[1])
-        out = pd.DataFrame(
-            {"user": a["user"].to_numpy()[rows], "other": ids[keep.ravel()], "sim": found.ravel()}
-        )
-        return out[np.isfinite(out["sim"])]
-
-    cells = left.groupBy("qb", "sb").cogroup(right.groupBy("r_qb", "r_sb")).applyInPandas(
-        best, f"user {kind}, other {kind}, sim double"
-    )
-    w = Window.partitionBy("user").orderBy(F.desc("sim"), "other")
-    return cells.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= nn)
-
-
 def user_cf(train: DataFrame, known: DataFrame, nn: int = 50, block: int = 1024) -> DataFrame:
     """User-based predictions of the unknown cells.
 
@@ -265,7 +180,7 @@ def item_similarity(train: DataFrame, k: int) -> DataFrame:
     Each task makes the products of co-rated pairs from its users' sparse
     vectors and adds them up before the shuffle.
     """
-    vectors = _vectors(centre(train))
+    vectors = sparse_vectors(centre(train))
     kind = train.schema["item"].dataType.simpleString()
 
     def products(batches):

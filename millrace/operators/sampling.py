@@ -9,11 +9,14 @@ from __future__ import annotations
 import math
 from collections.abc import Sequence
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from millrace.operators.ordering import join_null_safe
+from millrace.session import stable
 
 BUCKETS = 1 << 16
 
@@ -98,7 +101,7 @@ def assign_folds(df: DataFrame, key: Sequence[str], k: int, seed: int = 1, name:
 
 
 def bootstrap(df: DataFrame, key: Sequence[str], resamples: int, seed: int = 1) -> DataFrame:
-    """Rows with their draw count per resample, Poisson(1) from a hash.
+    """Rows with their draw count per resample, Poisson(1) from a hash; see :func:`bootstrap_exact` for resamples of exact size.
 
     Each row is drawn independently, which is the form of resampling with
     replacement that needs no exchange of rows; a resample's size is the row
@@ -111,3 +114,66 @@ def bootstrap(df: DataFrame, key: Sequence[str], resamples: int, seed: int = 1)
         cumulative += math.exp(-1.0) / math.factorial(i)
         weight = weight + (u >= cumulative).cast("int")
     return draws.withColumn("draws", weight).where("draws > 0")
+
+
+#: bits of a bucket's number that one level of the splitting tree settles
+SPLIT_BITS = 10
+
+
+def _dealt(seed: int, level: int):
+    """Deal each node's draws to its children in proportion to their rows, by a generator seeded with the node."""
+
+    def run(batches):
+        for batch in batches:
+            out = []
+            for resample, node, draws, sizes in zip(*(batch.column(c).to_pylist() for c in ("resample", "node", "draws", "sizes"))):
+                rng = np.random.Generator(np.random.Philox(key=[(seed << 32 | resample) & (1 << 64) - 1, level << 60 | node]))
+                share = np.asarray(sizes, float)
+                out.append(rng.multinomial(draws, share / share.sum()).tolist())
+            columns = [batch.column("resample"), batch.column("node"), pa.array(out, pa.list_(pa.int64()))]
+            yield pa.RecordBatch.from_arrays(columns, ["resample", "node", "given"])
+
+    return run
+
+
+def bootstrap_exact(df: DataFrame, key: Sequence[str], resamples: int, seed: int = 1, bucket_rows: int = 256) -> DataFrame:
+    """Rows with their draw count per resample, drawn with replacement, as many draws as rows in every resample.
+
+    Rows lie in hash buckets of about ``bucket_rows``.  A resample's draws go
+    down a tree over the buckets: a node splits its draws among its children by
+    a multinomial draw over their row counts, seeded by the node, and a bucket
+    among its rows.  That is the distribution of independent draws, without a
+    row per draw, and a task that runs again deals the same.  ``key`` is unique;
+    rows that share one are drawn each for itself.  Rows without a draw are left out.
+    """
+    if resamples < 1 or bucket_rows < 1:
+        raise ValueError("resamples and bucket_rows start at 1")
+    n = df.count()
+    bits = max(0, math.ceil(math.log2(max(1, n) / bucket_rows)))
+    whole = F.struct(*[F.col(c) for c in df.columns]).alias("row")
+    marked = df.select(F.shiftright(hash_order(key, seed), 60 - bits).alias("node"), F.struct(*key).alias("key"), whole)
+    in_order = F.array_sort(
+        F.collect_list(F.struct("key", "row")), lambda a, b: F.when(a["key"] < b["key"], -1).when(a["key"] > b["key"], 1).otherwise(0)
+    )
+    buckets = stable(marked.groupBy("node").agg(in_order.alias("rows")))
+    sizes = buckets.select("node", F.size("rows").cast("long").alias("rows"))
+    nodes = df.sparkSession.range(1, resamples + 1).select(F.col("id").cast("int").alias("resample"), F.lit(0).cast("long").alias("node"), F.lit(n).cast("long").alias("draws"))
+    done = level = 0
+    while done < bits:
+        width = min(SPLIT_BITS, bits - done)
+        done += width
+        child = F.shiftright("node", bits - done)
+        below = sizes.groupBy(child.alias("child")).agg(F.sum("rows").alias("rows"))
+        below = below.groupBy(F.shiftright("child", width).alias("node")).agg(F.sort_array(F.collect_list(F.struct("child", "rows"))).alias("below"))
+        below = below.select("node", F.col("below.child").alias("children"), F.col("below.rows").alias("sizes"))
+        dealt = nodes.join(below, "node").select("resample", "node", "draws", "sizes").mapInArrow(
+            _dealt(seed, level), "resample int, node bigint, given array<bigint>"
+        )
+        parts = dealt.join(below, "node").select("resample", F.explode(F.arrays_zip("children", "given")).alias("p"))
+        nodes = stable(parts.select("resample", F.col("p.children").alias("node"), F.col("p.given").alias("draws")).where("draws > 0"))
+        level += 1
+    one_each = F.array_repeat(F.lit(1).cast("long"), F.col("rows").cast("int")).alias("sizes")
+    last = nodes.join(sizes, "node").select("resample", "node", "draws", one_each)
+    dealt = last.mapInArrow(_dealt(seed, level), "resample int, node bigint, given array<bigint>")
+    drawn = dealt.join(buckets, "node").select("resample", F.explode(F.arrays_zip("rows", "given")).alias("d"))
+    return drawn.select("d.rows.row.*", "resample", F.col("d.given").cast("int").alias("draws")).where("draws > 0")

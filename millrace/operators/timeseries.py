@@ -11,6 +11,8 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
+import math
+
 import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame
@@ -174,21 +176,25 @@ def adf_statistic(x: np.ndarray, lags: int) -> float:
     left = d[rows] - a @ coef
     s2 = left @ left / (len(rows) - a.shape[1])
     se = np.sqrt(s2 * np.linalg.pinv(a.T @ a)[2, 2])
-    return float(coef[2] / se)
+    return float(coef[2] / se) if se > 0 else math.nan
 
 
 def adf_test(series: DataFrame, key: str, lags: int | None = None) -> DataFrame:
     """Augmented Dickey-Fuller test per series, NULLs removed.
 
     Default lag order trunc((n-1)^(1/3)); p by interpolation in the table,
-    clipped to its ends.
+    clipped to its ends.  A series without values, or too short for one degree
+    of freedom, has NULL for statistic and p, and so has a constant one.
     """
     kind = series.schema[key].dataType.simpleString()
 
     def solve(pdf: pd.DataFrame) -> pd.DataFrame:
         x = pdf.sort_values("pos")["value"].dropna().to_numpy(dtype=float)
-        k = int((len(x) - 1) ** (1 / 3)) if lags is None else lags
-        stat = adf_statistic(x, k)
+        k = int(max(len(x) - 1, 0) ** (1 / 3)) if lags is None else lags
+        spare = len(x) - 1 - k - (3 + k)
+        stat = adf_statistic(x, k) if spare > 0 else math.nan
+        if not math.isfinite(stat):
+            return pd.DataFrame({key: [pdf[key].iloc[0]], "lags": [k], "statistic": [math.nan], "p": [math.nan]})
         crit = [np.interp(len(x), ADF_LENGTHS, [row[j] for row in ADF_CRITICAL]) for j in range(len(ADF_PROBS))]
         p = float(np.interp(stat, crit, ADF_PROBS))
         return pd.DataFrame({key: [pdf[key].iloc[0]], "lags": [k], "statistic": [stat], "p": [p]})

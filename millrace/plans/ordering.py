@@ -309,6 +309,21 @@ def o10(t):
     )
 
 
+@query(
+    "O10_bootstrap_exact_size",
+    """SELECT CAST(resample AS INTEGER) AS resample, count(*) AS n, true AS repeats, true AS within_5_sd FROM orders, range(1, 26) r(resample) GROUP BY 1""",
+)
+def o10_exact(t):
+    """Draws per resample; whether some row is drawn twice, and whether the mean lies where a mean of n draws must."""
+    orders = t.orders.select("o_orderkey", F.col("o_totalprice").cast("double").alias("price"))
+    facts = orders.agg(F.avg("price").alias("mu"), (F.stddev_pop("price") / F.sqrt(F.count("price"))).alias("se")).first()
+    draws = sampling.bootstrap_exact(orders, ["o_orderkey"], 25, 3)
+    mean = F.sum(F.col("draws") * F.col("price")) / F.sum("draws")
+    return draws.groupBy("resample").agg(
+        F.sum("draws").alias("n"), (F.max("draws") > 1).alias("repeats"), (F.abs(mean - facts["mu"]) < 5 * facts["se"]).alias("within_5_sd")
+    )
+
+
 @query("O11_first_n_training", "SELECT vec_id, label FROM embeddings ORDER BY vec_id LIMIT 100")
 def o11(t):
     return t.embeddings.select("vec_id", "label").orderBy("vec_id").limit(100)

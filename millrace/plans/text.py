@@ -9,6 +9,7 @@ from millrace.operators import reshape
 from millrace.operators import text as X
 from millrace.operators import topics as TP
 from millrace.operators import windows as W
+from millrace.plans.ordering import unit_sql
 from millrace.plans.registry import query
 from millrace.session import scratch_path, stable
 from millrace.sources import files
@@ -315,36 +316,92 @@ def _texts(t):
     return t.documents.select("doc_id", "text")
 
 
+TOPICS, STEPS, SEED, TERM_PRIOR = 2, 20, 1234, "0.1::DOUBLE"
+
+
+def _topics_sql() -> str:
+    """The steps of ``topics.fit_topics`` for two topics, one after the other."""
+    first = f"CASE WHEN floor({unit_sql(SEED, 'doc_id')} * 2) = {{0}} THEN 0.9::DOUBLE ELSE 0.1::DOUBLE END"
+    steps = [f"cells AS MATERIALIZED ({DTM_SQL})", "size AS (SELECT count(DISTINCT term)::DOUBLE AS v FROM cells)"]
+    steps.append(f"g0 AS (SELECT doc_id, term, n * {first.format(0)} AS r0, n * {first.format(1)} AS r1 FROM cells)")
+    for s in range(STEPS + 1):
+        steps.append(f"t{s} AS MATERIALIZED (SELECT term, sum(r0) AS t0, sum(r1) AS t1 FROM g{s} GROUP BY 1)")
+        steps.append(f"o{s} AS MATERIALIZED (SELECT sum(t0) AS o0, sum(t1) AS o1 FROM t{s})")
+        if s == STEPS:
+            break
+        steps.append(f"d{s} AS MATERIALIZED (SELECT doc_id, sum(r0) AS d0, sum(r1) AS d1 FROM g{s} GROUP BY 1)")
+        pull = [f"(t{i} + {TERM_PRIOR}) / (o{i} + v * {TERM_PRIOR}) * (d{i} + 0.5::DOUBLE) AS q{i}" for i in (0, 1)]
+        steps.append(f"""g{s + 1} AS MATERIALIZED (SELECT doc_id, term, n * q0 / (q0 + q1) AS r0, n * q1 / (q0 + q1) AS r1 FROM
+            (SELECT doc_id, term, n, {", ".join(pull)} FROM cells JOIN t{s} USING (term) JOIN d{s} USING (doc_id), o{s}, size))""")
+    beta = [f"(t{i} + {TERM_PRIOR}) / (o{i} + v * {TERM_PRIOR}) AS b{i}" for i in (0, 1)]
+    return f"WITH {', '.join(steps)}, beta AS MATERIALIZED (SELECT term, {', '.join(beta)} FROM t{STEPS}, o{STEPS}, size)"
+
+
+def _mix_sql(cells: str) -> str:
+    """The steps of ``TopicModel.document_topics`` over a table of cells, after :func:`_topics_sql`."""
+    steps = [f"m AS MATERIALIZED (SELECT c.doc_id, n, b0, b1 FROM {cells} c JOIN beta USING (term))"]
+    steps.append(f"h0 AS MATERIALIZED (SELECT DISTINCT doc_id, 0.5::DOUBLE AS h0, 0.5::DOUBLE AS h1 FROM {cells})")
+    for s in range(TP.MIX_STEPS):
+        steps.append(f"""h{s + 1} AS MATERIALIZED (SELECT doc_id, x0 / (x0 + x1) AS h0, x1 / (x0 + x1) AS h1 FROM (SELECT h.doc_id,
+            0.5::DOUBLE + sum(coalesce(n * b0 * h0 / (b0 * h0 + b1 * h1), 0)) AS x0, 0.5::DOUBLE + sum(coalesce(n * b1 * h1 / (b0 * h0 + b1 * h1), 0)) AS x1
+            FROM h{s} h LEFT JOIN m ON h.doc_id = m.doc_id GROUP BY 1))""")
+    return f"{', '.join(steps)}, mix AS (SELECT * FROM h{TP.MIX_STEPS})"
+
+
+TOPICS_SQL = _topics_sql()
+LONG_SQL = "(SELECT 1 AS topic, term, b0 AS beta FROM beta UNION ALL SELECT 2, term, b1 FROM beta)"
+MIX_OUT_SQL = "SELECT doc_id, round(h0, 5) AS share_1, round(h1, 5) AS share_2 FROM mix"
+
+
 def _model(t):
-    return TP.fit_topics(_texts(t), "doc_id", "text")
+    return TP.fit_topics(_texts(t), "doc_id", "text", TOPICS, SEED, STEPS)
+
 
+def _shares(mixed):
+    return mixed.select("doc_id", *[F.round(F.col("gamma")[i], 5).alias(f"share_{i + 1}") for i in range(TOPICS)])
 
-@query("X21_topic_model")
+
+@query(
+    "X21_topic_model",
+    TOPICS_SQL + f"""SELECT topic, term, round(beta, 9) AS beta, CAST(rank AS INTEGER) AS rank FROM
+    (SELECT *, rank() OVER (PARTITION BY topic ORDER BY round(beta, 12) DESC) AS rank FROM {LONG_SQL}) WHERE rank <= 20""",
+)
 def x21(t):
-    model = _model(t)
-    return TP.top_terms(model.topic_terms(t.spark), 20)
+    return TP.top_terms(_model(t).topic_terms(), 20).withColumn("beta", F.round("beta", 9))
 
 
-@query("X22_topic_terms")
+@query("X22_topic_terms", TOPICS_SQL + f"SELECT topic, term, round(beta, 9) AS beta FROM {LONG_SQL}")
 def x22(t):
-    return _model(t).topic_terms(t.spark)
+    return _model(t).topic_terms().withColumn("beta", F.round("beta", 9))
 
 
-@query("X23_document_topics")
+@query("X23_document_topics", f"{TOPICS_SQL}, {_mix_sql('cells')} {MIX_OUT_SQL}")
 def x23(t):
-    return _model(t).document_topics(_texts(t), "text")
+    return _shares(_model(t).document_topics(_texts(t), "text"))
 
 
-@query("X24_pasted_terms")
+@query(
+    "X24_pasted_terms",
+    TOPICS_SQL + f"""SELECT topic, string_agg(term, ', ' ORDER BY rank) AS terms FROM
+    (SELECT *, row_number() OVER (PARTITION BY topic ORDER BY round(beta, 12) DESC, term) AS rank FROM {LONG_SQL}) WHERE rank <= 6 GROUP BY 1""",
+)
 def x24(t):
-    return TP.pasted_terms(_model(t).topic_terms(t.spark), 6)
+    return TP.pasted_terms(_model(t).topic_terms(), 6)
 
 
-@query("X25_score_unseen")
+UNSEEN_SQL = f"""unseen AS (SELECT item_id AS doc_id, word AS term, count(*) AS n FROM (SELECT item_id, unnest({WORDS_SQL}) AS word FROM benchmark)
+    WHERE length(word) >= 3 GROUP BY 1, 2)"""
+
+
+@query("X25_score_unseen", f"{TOPICS_SQL}, {UNSEEN_SQL}, {_mix_sql('unseen')} {MIX_OUT_SQL}")
 def x25(t):
-    return _model(t).document_topics(t.benchmark.select(F.col("item_id").alias("doc_id"), "text"), "text")
+    return _shares(_model(t).document_topics(t.benchmark.select(F.col("item_id").alias("doc_id"), "text"), "text"))
 
 
-@query("X26_term_assignment")
+@query(
+    "X26_term_assignment",
+    f"""{TOPICS_SQL}, {_mix_sql('cells')} SELECT term, CASE WHEN round(h1 * b1, 15) > round(h0 * b0, 15) THEN 2 ELSE 1 END AS topic, count(*) AS n
+    FROM cells JOIN beta USING (term) JOIN mix USING (doc_id) GROUP BY 1, 2""",
+)
 def x26(t):
     return R.count_by(_model(t).assign_terms(_texts(t), "text"), ["term", "topic"])

@@ -1,8 +1,10 @@
 """T: time-series queries."""
 
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from millrace.operators import forecasting as FC
+from millrace.operators import smoothing as SM
 from millrace.operators import timeseries as TS
 from millrace.operators import windows as W
 from millrace.plans.registry import query
@@ -165,46 +167,122 @@ def t11(t):
     return FC.choose_order(monthly(t), "key", PERIOD)
 
 
+def _with_short(t):
+    """The monthly series, and of each a copy of its first months: 2 to 30 steps, the second one without values."""
+    rank = F.dense_rank().over(Window.orderBy("key"))
+    keys = monthly(t).select("key").distinct().withColumn("i", rank)
+    short = monthly(t).join(keys, "key").where("pos <= 7 * i - 5").select(
+        F.concat(F.lit("short "), "key").alias("key"), "ts", "pos", F.when(F.col("i") != 2, F.col("value")).alias("value")
+    )
+    return monthly(t).select("key", "ts", "pos", "value").unionByName(short)
+
+
+@query("T07_adf_short_series")
+def t07_short(t):
+    return TS.adf_test(_with_short(t), "key")
+
+
+@query("T10_short_series")
+def t10_short(t):
+    return FC.seasonal_ar_forecast(_with_short(t), "key", PERIOD, 24)
+
+
+@query("T11_short_series")
+def t11_short(t):
+    return FC.choose_order(_with_short(t), "key", PERIOD)
+
+
 @query("T12_forecast_table")
 def t12(t):
     series = monthly(t)
-    return FC.forecast_table(FC.ets(series, "key", PERIOD, 12), series, "key", 12)
+    return FC.forecast_table(SM.ets(series, "key", PERIOD, 12), series, "key", 12)
+
+
+@query("T12_forecast_short_series")
+def t12_short(t):
+    series = _with_short(t)
+    return FC.forecast_table(SM.ets(series, "key", PERIOD, 12), series, "key", 12)
 
 
 @query("T13_ets")
 def t13(t):
-    return FC.ets(monthly(t), "key", PERIOD, 12)
+    return SM.ets(monthly(t), "key", PERIOD, 12, "AAA")
+
+
+@query("T13_ets_chosen_form")
+def t13_chosen(t):
+    return SM.ets(monthly(t), "key", PERIOD, 12)
+
+
+FIXED = (0.3, 0.1, 0.2, 0.9)
+FIXED_SQL = f"""WITH RECURSIVE s AS ({MONTHLY_SQL}), v AS (SELECT key, list(value ORDER BY pos) AS x, max(pos) AS n FROM s GROUP BY 1),
+i AS (SELECT key, x, n, list_avg(x[1:12]) AS first, (list_avg(x[13:24]) - list_avg(x[1:12])) / 12 AS step FROM v),
+f AS (SELECT *, list_transform(range(1, 13), lambda j: x[j] - (first + (j - 1 - 5.5::DOUBLE) * step)) AS raw FROM i),
+r(key, x, n, t, fitted, level, slope, season) AS (
+    SELECT key, x, n, 0::BIGINT, NULL::DOUBLE, first - step * 6.5::DOUBLE, step, list_transform(raw, lambda y: y - list_avg(raw)) FROM f
+    UNION ALL SELECT key, x, n, t + 1, point, level + phi * slope + a * (x[t + 1] - point), phi * slope + b * (x[t + 1] - point),
+        list_transform(range(1, 13), lambda j: CASE WHEN j = t % 12 + 1 THEN season[j] + g * (x[t + 1] - point) ELSE season[j] END)
+    FROM (SELECT *, level + phi * slope + season[t % 12 + 1] AS point FROM r,
+        (SELECT {FIXED[0]}::DOUBLE AS a, {FIXED[1]}::DOUBLE AS b, {FIXED[2]}::DOUBLE AS g, {FIXED[3]}::DOUBLE AS phi)) WHERE t < n),
+e AS (SELECT key, sqrt(sum(power(x[t] - fitted, 2)) / (max(n) - 17)) AS sigma FROM r WHERE t > 0 GROUP BY 1)
+"""
+
+
+@query(
+    "T16_fixed_weights",
+    FIXED_SQL + """SELECT key, t AS pos, round(x[t], 4) AS actual, round(fitted, 4) AS fitted, round(x[t] - fitted, 4) AS residual FROM r WHERE t > 0""",
+)
+def t16_fixed(t):
+    model = SM.ets(monthly(t), "key", PERIOD, 24, "AAdA", FIXED)
+    return _rounded(FC.augment(model, "key"), ["key", "pos"], dict.fromkeys(("actual", "fitted", "residual"), 4))
+
+
+@query(
+    "T12_fixed_weights",
+    FIXED_SQL + f""", c AS (SELECT h, {FIXED[0]}::DOUBLE + {FIXED[1]}::DOUBLE * sum(power({FIXED[3]}::DOUBLE, h)) OVER (ORDER BY h)
+        + CASE WHEN h % 12 = 0 THEN {FIXED[2]}::DOUBLE ELSE 0::DOUBLE END AS c FROM range(1, 25) q(h)),
+    w AS (SELECT h, sqrt(1 + coalesce(sum(c * c) OVER (ORDER BY h ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)) AS wide,
+        sum(power({FIXED[3]}::DOUBLE, h)) OVER (ORDER BY h) AS reach FROM c),
+    p AS (SELECT r.key, CAST(h AS INTEGER) AS h, n + h AS pos, level + reach * slope + season[(n + h - 1) % 12 + 1] AS point, wide * sigma AS sd
+        FROM r JOIN e ON r.key = e.key, w WHERE t = n)
+    SELECT key, pos, h, round(point, 3) AS point, round(point - {FC.Z80} * sd, 3) AS lo80, round(point + {FC.Z80} * sd, 3) AS hi80,
+        round(point - {FC.Z95} * sd, 3) AS lo95, round(point + {FC.Z95} * sd, 3) AS hi95 FROM p""",
+)
+def t12_fixed(t):
+    series = monthly(t)
+    out = FC.forecast_table(SM.ets(series, "key", PERIOD, 24, "AAdA", FIXED), series, "key", 24)
+    return _rounded(out, ["key", "pos", "h"], dict.fromkeys(("point", "lo80", "hi80", "lo95", "hi95"), 3))
 
 
 @query("T13_ets_forms")
 def t13_forms(t):
-    return FC.choose_form(monthly(t), "key", PERIOD)
+    return SM.choose_form(monthly(t), "key", PERIOD)
 
 
 @query("T14_tidy")
 def t14(t):
-    return FC.tidy(FC.ets(monthly(t), "key", PERIOD, 12), "key")
+    return FC.tidy(SM.ets(monthly(t), "key", PERIOD, 12), "key")
 
 
 @query("T15_glance")
 def t15(t):
-    return FC.glance(FC.ets(monthly(t), "key", PERIOD, 12), "key", PERIOD)
+    return FC.glance(SM.ets(monthly(t), "key", PERIOD, 12), "key", PERIOD)
 
 
 @query("T16_augment")
 def t16(t):
-    return FC.augment(FC.ets(monthly(t), "key", PERIOD, 12), "key")
+    return FC.augment(SM.ets(monthly(t), "key", PERIOD, 12), "key")
 
 
 @query("T17_components")
 def t17(t):
-    return FC.components(FC.ets(monthly(t), "key", PERIOD, 12), "key")
+    return FC.components(SM.ets(monthly(t), "key", PERIOD, 12), "key")
 
 
 @query("T18_sweep")
 def t18(t):
     series = monthly(t)
-    return FC.sweep(FC.ets(series, "key", PERIOD, 12), series, "key", 12)
+    return FC.sweep(SM.ets(series, "key", PERIOD, 12), series, "key", 12)
 
 
 @query(

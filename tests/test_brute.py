@@ -8,7 +8,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from millrace.functions import tails
-from millrace.operators import charts, forecasting, ordering, recommend, regression, sampling, survival, timeseries
+from millrace.operators import charts, forecasting, neighbours, ordering, recommend, regression, sampling, smoothing, survival, timeseries
 from millrace.operators.ordering import ntile_global, positions, quantiles, ranks, running
 from millrace.operators.windows import top_n
 
@@ -261,7 +261,7 @@ def cells(spark):
 def test_nearest_users_in_blocks(cells):
     pdf, df = cells
     centred = recommend.centre(df).select("user", "item", "centred")
-    got = recommend.nearest_users(centred, centred, 5, block=9).toPandas()
+    got = neighbours.nearest_users(centred, centred, 5, block=9).toPandas()
     wide = pdf.assign(c=pdf["rating"] - pdf.groupby("user")["rating"].transform("mean")).pivot(index="user", columns="item", values="c").fillna(0)
     m = wide.to_numpy()
     sims = np.round(m @ m.T / np.outer(np.linalg.norm(m, axis=1), np.linalg.norm(m, axis=1)), 10)
@@ -273,6 +273,57 @@ def test_nearest_users_in_blocks(cells):
         assert mine["other"].tolist() == [users[k] for k in order]
 
 
+def nearest_by_hand(pdf, nn):
+    """The nearest users of each, from all pairs."""
+    wide = pdf.pivot(index="user", columns="item", values="centred").fillna(0)
+    m = wide.to_numpy()
+    norms = np.linalg.norm(m, axis=1)
+    users = wide.index.to_numpy()
+    out = {}
+    for r, u in enumerate(users):
+        if norms[r] > 0:
+            sims = {users[k]: round(float(m[r] @ m[k] / norms[r] / norms[k]), 10) + 0.0 for k in range(len(users)) if k != r and norms[k] > 0}
+            out[u] = sorted(sims.items(), key=lambda x: (-x[1], x[0]))[:nn]
+    return out
+
+
+def sparse_ratings(n_users, n_items, per_user, seed):
+    """Groups of users who like and dislike the same of 20 items, one item that a third of all rated, and a user without any deviation."""
+    rng = np.random.default_rng(seed)
+    taste = rng.choice([-2.0, -1.0, 1.0, 2.0], n_items)
+    rows = [(10_000, "i0000", 0.0)]
+    for u in range(n_users):
+        group = rng.integers(0, n_items // 20) * 20
+        items = set((group + rng.integers(0, 20, per_user)).tolist()) | set(rng.integers(0, n_items, 2).tolist()) | ({0} if u % 3 == 0 else set())
+        rows += [(u, f"i{i:04d}", (0.5 if i == 0 else taste[i]) + 0.125 * int(rng.integers(-3, 4))) for i in items]
+    return pd.DataFrame(rows, columns=["user", "item", "centred"])
+
+
+@pytest.mark.parametrize("n_items,per_user,nn", [(600, 9, 5), (4_000, 4, 20)])
+def test_nearest_users_by_index(spark, n_items, per_user, nn):
+    pdf = sparse_ratings(400, n_items, per_user, nn)
+    df = spark.createDataFrame(pdf)
+    got = neighbours.nearest_users(df, df, nn, block=64).toPandas()
+    mine = {u: [(r.other, r.sim + 0.0) for r in g.sort_values("rank").itertuples()] for u, g in got.groupby("user")}
+    assert mine == nearest_by_hand(pdf, nn)
+
+
+def test_index_meets_few_pairs(spark):
+    """Pairs met and pairs that bounds leave over, against all pairs of users."""
+    pdf = sparse_ratings(900, 2_000, 10, 3)
+    df = spark.createDataFrame(pdf)
+    cells, users = neighbours._unit(df), 900
+    postings = cells.groupBy("item").agg(F.count(F.lit(1)).alias("n"))
+    probes = neighbours.probe_heads(cells, postings, 3, users).agg(F.sum("n")).first()[0]
+    heads = neighbours.query_heads(cells, neighbours.answer_bounds(cells, cells, postings, 3, users), postings)
+    met, left = heads.agg(F.sum("n")).first()[0], neighbours.candidate_pairs(heads, cells).count()
+    assert probes < users * 60
+    assert left <= met < users * users / 20
+    assert left < users * users / 40
+    # the list of the item that a third rated is asked by few
+    assert heads.where("item = 'i0000'").count() < users / 20
+
+
 def test_unknown_cells(cells, monkeypatch):
     pdf, df = cells
     monkeypatch.setattr(recommend, "ITEM_CHUNK", 7)
@@ -314,7 +365,8 @@ def seasonal(spark):
 def test_forecasts_follow_trend_and_season(seasonal):
     for table in (
         forecasting.seasonal_ar_forecast(seasonal, "key", 12, 24),
-        forecasting.forecast_table(forecasting.ets(seasonal, "key", 12, 24), seasonal, "key", 24),
+        forecasting.forecast_table(smoothing.ets(seasonal, "key", 12, 24, "AAA"), seasonal, "key", 24),
+        forecasting.forecast_table(smoothing.ets(seasonal, "key", 12, 24), seasonal, "key", 24),
     ):
         pdf = table.toPandas().sort_values(["key", "h"])
         assert pdf.groupby("key").size().tolist() == [24, 24]
@@ -327,7 +379,7 @@ def test_forecasts_follow_trend_and_season(seasonal):
 
 
 def test_ets_tables(seasonal):
-    model = forecasting.ets(seasonal, "key", 12, 6)
+    model = smoothing.ets(seasonal, "key", 12, 6, "AAA")
     assert forecasting.augment(model, "key").count() == 144
     assert forecasting.tidy(model, "key").count() == 6
     fit = forecasting.glance(model, "key", 12).toPandas()
@@ -365,3 +417,112 @@ def test_adf_separates_walk_from_noise(spark):
 def test_signature_forecast_drops_aliased_columns(seasonal):
     pdf = timeseries.signature_forecast(seasonal, "key", 12).toPandas()
     assert len(pdf) == 24 and pdf["prediction"].between(50, 170).all()
+
+
+@pytest.mark.parametrize("bucket_rows", [1, 16, 10_000])
+def test_bootstrap_of_exact_size(spark, monkeypatch, bucket_rows):
+    """Every resample has as many draws as rows, runs agree, and draws per row are distributed as by a plain sampler."""
+    monkeypatch.setattr(sampling, "SPLIT_BITS", 3)
+    n, resamples = 700, 30
+    df = spark.createDataFrame([(i, "x", float(i), None) for i in range(n)], "id bigint, node string, draw double, rows string")
+    runs = [sampling.bootstrap_exact(d, ["id"], resamples, 4, bucket_rows).select("resample", "id", "draws").toPandas() for d in (df, df.repartition(5))]
+    key = ["resample", "id"]
+    assert runs[0].sort_values(key).to_numpy().tolist() == runs[1].sort_values(key).to_numpy().tolist()
+    got = runs[0].pivot(index="id", columns="resample", values="draws").reindex(range(n)).fillna(0).to_numpy()
+    assert (got.sum(0) == n).all() and got.shape == (n, resamples)
+    rng = np.random.default_rng(9)
+    plain = np.stack([np.bincount(rng.integers(0, n, n), minlength=n) for _ in range(resamples)], axis=1)
+    cells = n * resamples
+    for k in range(5):
+        p = (plain == k).mean()
+        assert abs((got == k).mean() - p) < 5 * np.sqrt(2 * p * (1 - p) / cells)
+    # resamples and neighbouring rows do not depend on each other
+    assert np.abs(np.corrcoef(got.T)[np.triu_indices(resamples, 1)]).max() < 5 / np.sqrt(n)
+    assert abs(np.corrcoef(got[:-1].ravel(), got[1:].ravel())[0, 1]) < 5 / np.sqrt(cells)
+    again = sampling.bootstrap_exact(df, ["id"], 2, 5, bucket_rows)
+    assert again.columns == [*df.columns, "resample", "draws"]
+    assert sampling.bootstrap_exact(df.where("false"), ["id"], 2).count() == 0
+
+
+def plain_smoothing(x, form, period, weights, h):
+    """Fitted values, forecasts and c (the effect of an error j steps later, by disturbing one), step by step."""
+    error, trend, season = form[0], form[1:-1], form[-1]
+    a, b, g, phi = weights
+    phi = {"N": 0.0, "A": 1.0, "Ad": phi}[trend]
+    level, slope, figure = smoothing.first_states(x, form, period)
+    figure, fitted = list(figure), []
+    for t in range(len(x) + h):
+        s = figure[t % period]
+        base = level + phi * slope
+        point = base * s if season == "M" else base + s
+        fitted.append(point)
+        e = (x[t] - point) if t < len(x) else 0.0
+        level = base + a * (e / s if season == "M" else e)
+        slope = phi * slope + (b * (e / s if season == "M" else e) if trend != "N" else 0.0)
+        if season != "N":
+            figure[t % period] = s + g * (e / base if season == "M" else e)
+    return np.array(fitted[: len(x)]), np.array(fitted[len(x) :])
+
+
+@pytest.mark.parametrize("form", smoothing.FORMS)
+def test_smoothing_forms_equal_plain_recursion(form):
+    rng = np.random.default_rng(2)
+    t, period, h, weights = np.arange(40), 4, 9, np.array([0.4, 0.1, 0.2, 0.9])
+    x = (30 + 0.5 * t) * (1 + 0.2 * np.sin(np.pi * t / 2)) + rng.normal(0, 0.5, 40)
+    fitted, ahead = plain_smoothing(x, form, period, weights, h)
+    assert smoothing.smooth(x, form, period, weights[None, :])[0][:, 0] == pytest.approx(fitted)
+    out = smoothing.forecasts(x, form, weights, period, h, 0.02 if form[0] == "M" else 0.5, 1)
+    assert out["point"] == pytest.approx(ahead)
+    wide = smoothing.spread(form, weights, period, h)
+    if wide is not None:
+        # an error of one at the last step moves the forecasts by its effect on them
+        moved = np.append(x[:-1], x[-1] + 1.0)
+        effect = plain_smoothing(moved, form, period, weights, h)[1] - ahead
+        first = smoothing.first_states(x, form, period)
+        assert smoothing.first_states(moved, form, period)[0] == pytest.approx(first[0])
+        assert np.square(wide[1:]) - np.square(wide[:-1]) == pytest.approx(np.square(effect[:-1]))
+    # simulated bounds agree with the formula, and with a plain simulation in all forms
+    _, states, season = smoothing.smooth(x, form, period, weights[None, :])
+    sd = 0.02 if form[0] == "M" else 0.5
+    paths = smoothing.ahead(form, weights, period, len(x), states[-1, :, 0], season[0], np.random.default_rng(3).normal(0, sd, (20_000, h)))
+    assert out["lo95"] == pytest.approx(np.percentile(paths, 2.5, axis=0), rel=0.02)
+    assert out["hi80"] == pytest.approx(np.percentile(paths, 90, axis=0), rel=0.02)
+
+
+def test_short_series_beside_a_long_one(spark, seasonal):
+    """NULL results for series without values or steps enough; the others are not touched."""
+    import datetime as dt
+
+    def months(key, n, values):
+        return [(key, dt.date(2010 + i // 12, i % 12 + 1, 1), values(i), i + 1) for i in range(n)]
+
+    rows = months("one", 1, float) + months("three", 3, float) + months("year", 13, lambda i: 5.0 + i % 3) + months("nulls", 40, lambda i: None)
+    rows += months("two years", 26, lambda i: 5.0 + i % 12) + months("flat", 40, lambda i: 2.0) + months(None, 40, lambda i: 2.0 + i % 5)
+    both = seasonal.unionByName(spark.createDataFrame(rows, seasonal.schema))
+    short = {"one", "three", "year", "nulls"}
+
+    ar = forecasting.seasonal_ar_forecast(both, "key", 12, 6).toPandas()
+    alone = forecasting.seasonal_ar_forecast(seasonal, "key", 12, 6).toPandas()
+    assert set(ar[ar["point"].isna()]["key"]) == short | {"two years"}
+    assert ar.groupby("key", dropna=False).size().unique().tolist() == [6]
+    same = ar[ar["key"].isin(["a", "b"])].sort_values(["key", "h"])["point"].to_numpy()
+    assert same == pytest.approx(alone.sort_values(["key", "h"])["point"].to_numpy())
+
+    orders = forecasting.choose_order(both, "key", 12).toPandas()
+    assert set(orders[orders["aic"].isna()]["key"]) == short | {"two years"}
+    assert not orders[orders["aic"].isna()]["chosen"].any() and orders["chosen"].sum() == 4
+
+    adf = timeseries.adf_test(both, "key").toPandas()
+    assert len(adf) == 9 and set(adf[adf["p"].isna()]["key"]) == {"one", "three", "nulls", "flat"}
+
+    table = forecasting.forecast_table(smoothing.ets(both, "key", 12, 6), both, "key", 6).toPandas()
+    assert len(table) == 54
+    assert set(table[table["point"].isna()]["key"]) == {"one", "three", "nulls"}
+    seasonal_only = forecasting.forecast_table(smoothing.ets(both, "key", 12, 6, "AAA"), both, "key", 6).toPandas()
+    assert set(seasonal_only[seasonal_only["point"].isna()]["key"]) == short
+    forms = smoothing.choose_form(both, "key", 12).toPandas()
+    assert set(forms[forms["form"].isna()]["key"]) == {"one", "three", "nulls"}
+    model = smoothing.ets(both, "key", 12, 6)
+    assert forecasting.augment(model, "key").where("key = 'nulls'").count() == 40
+    assert forecasting.glance(model, "key", 12).count() == 9
+    assert forecasting.sweep(model, both, "key", 6).count() == 2 * both.count() + 54

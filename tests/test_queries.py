@@ -34,9 +34,42 @@ def test_topic_probabilities(spark):
     assert all(r["s"] == pytest.approx(1.0) for r in sums)
 
 
-def test_document_mix(spark):
-    total = F.aggregate("gamma", F.lit(0.0), lambda a, x: a + x)
-    assert run(spark, "X23_document_topics").where(F.abs(total - 1) > 1e-6).count() == 0
+def test_topics_explain_the_words_as_well_as_the_library_model(spark):
+    """The log-likelihood of a corpus with known topics, against MLlib's model with the same number of steps."""
+    from pyspark.ml.clustering import LDA
+    from pyspark.ml.feature import CountVectorizer
+
+    from millrace.operators import topics
+
+    rng = np.random.default_rng(6)
+    vocabulary = [f"word{i:03d}" for i in range(150)]
+    kinds = rng.dirichlet(np.full(150, 0.1), 3)
+    mixes = rng.dirichlet([0.3] * 3, 300)
+    drawn = [rng.choice(150, 60, p=m @ kinds) for m in mixes]
+    rows = [(i, " ".join(vocabulary[j] for j in words)) for i, words in enumerate(drawn)]
+    rows += [(1000, None), (1001, ""), (1002, "ab c"), (None, "word001 word001")]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string")
+    model = topics.fit_topics(docs, "doc_id", "text", 3)
+    ours = topics.log_likelihood(model, docs, "text")
+
+    held = docs.select("doc_id", topics.term_list("text").alias("terms")).where("size(terms) > 0")
+    counter = CountVectorizer(inputCol="terms", outputCol="features").fit(held)
+    lda = LDA(k=3, seed=1, maxIter=20, optimizer="online", subsamplingRate=1.0).fit(counter.transform(held))
+    beta = lda.topicsMatrix().toArray()
+    beta = beta / beta.sum(axis=0)
+    theirs = 0.0
+    for r in lda.transform(counter.transform(held)).collect():
+        for i, n in zip(r["features"].indices, r["features"].values):
+            theirs += n * np.log(beta[i] @ r["topicDistribution"].toArray())
+    assert ours >= theirs
+    truth = sum(np.log((m @ kinds)[words]).sum() for m, words in zip(mixes, drawn))
+    assert ours >= 1.01 * truth
+
+    mixed = {r["doc_id"]: r for r in model.document_topics(docs, "text").collect()}
+    assert set(mixed) == {*range(300), None}
+    assert all(sum(r["gamma"]) == pytest.approx(1.0) for r in mixed.values())
+    new = model.document_topics(spark.createDataFrame([(1, "never seen")], docs.schema), "text").first()
+    assert new["gamma"] == pytest.approx([1 / 3] * 3) and new["topic"] == 1
 
 
 def test_folds_cover_all_rows(spark):
