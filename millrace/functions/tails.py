@@ -58,6 +58,48 @@ def t_two_sided(t: float, df: float) -> float:
     return beta_cdf(df / (df + t * t), df / 2.0, 0.5)
 
 
+def _beta_fractions(p: np.ndarray, q: np.ndarray, z: np.ndarray) -> np.ndarray:
+    """The continued fraction of many arguments; those that have settled are left out of further steps."""
+    tiny = 1e-300
+
+    def away(x):
+        return np.where(np.abs(x) > tiny, x, tiny)
+
+    c, d = np.ones_like(z), 1.0 / away(1.0 - (p + q) * z / (p + 1.0))
+    out, value, at = d.copy(), d.copy(), np.arange(len(z))
+    for m in range(1, 500):
+        for numerator in (m * (q - m) * z / ((p + 2 * m - 1) * (p + 2 * m)), -(p + m) * (p + q + m) * z / ((p + 2 * m) * (p + 2 * m + 1))):
+            d = 1.0 / away(1.0 + numerator * d)
+            c = away(1.0 + numerator / c)
+            value = value * d * c
+        out[at] = value
+        more = np.abs(d * c - 1.0) > 1e-15
+        if not more.any():
+            break
+        c, d, p, q, z, value, at = (x[more] for x in (c, d, p, q, z, value, at))
+    return out
+
+
+def t_two_sided_many(t: np.ndarray, df: float) -> np.ndarray:
+    """P(|T| > |t|) of many values at once; NaN stays NaN."""
+    t = np.asarray(t, float)
+    if df <= 0:
+        return np.full(t.shape, math.nan)
+    a, b = df / 2.0, 0.5
+    x = df / (df + t * t)
+    swap = x >= (a + 1.0) / (a + b + 2.0)
+    p, q, z = np.where(swap, b, a), np.where(swap, a, b), np.where(swap, 1.0 - x, x)
+    with np.errstate(all="ignore"):
+        # 1 - x is t^2 / (df + t^2), which loses no digits for small t
+        z = np.where(swap, t * t / (df + t * t), z)
+        front = np.exp(math.lgamma(a + b) - math.lgamma(a) - math.lgamma(b) + p * np.log(z) + q * np.log1p(-z)) / p
+        value = np.ones_like(t)
+        going = np.flatnonzero(np.isfinite(t) & (t != 0))
+        value[going] = _beta_fractions(p[going], q[going], z[going])
+        out = np.where(swap, 1.0 - front * value, front * value)
+    return np.where(np.isinf(t), 0.0, np.where(t == 0, 1.0, out))
+
+
 def f_tail(f: float, d1: float, d2: float) -> float:
     """P(F > f)."""
     if f <= 0:

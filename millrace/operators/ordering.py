@@ -40,21 +40,24 @@ def scan_ranges(
     sums: dict[str, str | Column] | None = None,
     products: dict[str, str | Column] | None = None,
     descending: bool = False,
+    maxima: dict[str, str | Column] | None = None,
 ) -> DataFrame:
-    """Running sums and products over a frame made by :func:`ranged`.
+    """Running sums, products and maxima over a frame made by :func:`ranged`.
 
-    ``sums`` and ``products`` map output names to expressions.  Each sum ``s``
-    also yields ``s_total``, its total over the key.  ``descending`` runs from
+    ``sums``, ``products`` and ``maxima`` map output names to expressions.  Each
+    sum ``s`` also yields ``s_total``, its total over the key.  ``descending`` runs from
     the last row to the first; ``order`` must then be plain ascending columns.
     """
     keys = list(keys)
     sums = dict(sums or {})
     products = dict(products or {})
-    exprs = {n: F.col(e) if isinstance(e, str) else e for n, e in {**sums, **products}.items()}
+    maxima = dict(maxima or {})
+    exprs = {n: F.col(e) if isinstance(e, str) else e for n, e in {**sums, **products, **maxima}.items()}
 
     parts = df.groupBy(_RANGE, *keys).agg(
         *[F.sum(exprs[n]).alias(f"__p_{n}") for n in sums],
         *[F.product(exprs[n]).alias(f"__p_{n}") for n in products],
+        *[F.max(exprs[n]).alias(f"__p_{n}") for n in maxima],
     )
     across = Window.partitionBy(*keys) if keys else Window.partitionBy(F.lit(0))
     step = F.col(_RANGE).desc() if descending else F.col(_RANGE).asc()
@@ -65,6 +68,7 @@ def scan_ranges(
         *[F.coalesce(F.sum(f"__p_{n}").over(before), F.lit(0)).alias(f"__o_{n}") for n in sums],
         *[F.sum(f"__p_{n}").over(across).alias(f"{n}_total") for n in sums],
         *[F.coalesce(F.product(F.col(f"__p_{n}")).over(before), F.lit(1.0)).alias(f"__o_{n}") for n in products],
+        *[F.max(f"__p_{n}").over(before).alias(f"__o_{n}") for n in maxima],
     )
     local_order = [F.desc(o) for o in order] if descending else _as_columns(order)
     inside = (
@@ -76,6 +80,7 @@ def scan_ranges(
         "*",
         *[F.sum(exprs[n]).over(inside).alias(f"__l_{n}") for n in sums],
         *[F.product(exprs[n]).over(inside).alias(f"__l_{n}") for n in products],
+        *[F.max(exprs[n]).over(inside).alias(f"__l_{n}") for n in maxima],
     )
     cond = F.col("a." + _RANGE) == F.col("b." + _RANGE)
     for k in keys:
@@ -86,6 +91,7 @@ def scan_ranges(
         *[(F.col(f"a.__l_{n}") + F.col(f"b.__o_{n}")).alias(n) for n in sums],
         *[F.col(f"b.{n}_total").alias(f"{n}_total") for n in sums],
         *[(F.col(f"a.__l_{n}") * F.col(f"b.__o_{n}")).alias(n) for n in products],
+        *[F.greatest(f"a.__l_{n}", f"b.__o_{n}").alias(n) for n in maxima],
     )
 
 

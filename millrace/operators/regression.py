@@ -1,9 +1,11 @@
 """Least squares from one distributed cross-product aggregate.
 
-:func:`gram` reduces the rows to sums of (centred) products, a p x p matrix
-per group.  Every model on a subset of the columns, every nested test, every
-information criterion and every cross-validation fold then follows on the
-driver from these small matrices, with no further scan.
+:func:`gram` reduces the rows to sums of (centred) products, a p x p matrix.
+Every model on a subset of the columns, every nested test and every
+information criterion then follows on the driver from that small matrix, with
+no further scan.  :func:`grouped_grams` has such a matrix per group as rows; models
+of any number of groups, and of cross-validation folds, are solved where those
+rows lie.
 """
 
 from __future__ import annotations
@@ -14,15 +16,14 @@ from dataclasses import dataclass, field
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from millrace.functions import tails
-from millrace.operators.ordering import positions, quantiles
-from millrace.session import fetch_small
+from millrace.operators.ordering import positions, quantiles, ranged, scan_ranges
+from millrace.session import stable
 
-#: groups whose matrices come to the driver: folds, not keys of the data
-MAX_GROUPS = 10_000
 #: up to so many columns one expression per product is faster than matrix products in Python
 MAX_JVM_COLUMNS = 16
 
@@ -61,91 +62,184 @@ def _predictors(x: Sequence[str] | dict[str, Column]) -> dict[str, Column]:
     return dict(x) if isinstance(x, dict) else {c: F.col(c) for c in x}
 
 
-def gram(
-    df: DataFrame,
-    y: str,
-    x: Sequence[str] | dict[str, Column],
-    group: str | None = None,
-):
-    """Cross products of the complete rows; a dict of them when ``group`` is given.
+def _numbers(df: DataFrame, y: str, exprs: dict[str, Column], keys: Sequence[str]) -> DataFrame:
+    """Keys as ``g0`` .., predictors and response as ``x0`` .., of the complete rows."""
+    cols = [e.cast("double").alias(f"x{i}") for i, e in enumerate([*exprs.values(), F.col(y)])]
+    data = df.select(*[F.col(k).alias(f"g{i}") for i, k in enumerate(keys)], *cols)
+    return data.where(~F.greatest(*[F.isnan(f"x{i}") | F.col(f"x{i}").isNull() for i in range(len(cols))], F.lit(False)))
+
+
+def gram(df: DataFrame, y: str, x: Sequence[str] | dict[str, Column]) -> Gram:
+    """Cross products of the complete rows.
 
     Products are taken about the means, which a first scan finds; this keeps
-    large offsets (years, epoch seconds) from cancelling.  ``group`` is for a
-    few groups, such as folds.
+    large offsets (years, epoch seconds) from cancelling.
     """
     exprs = _predictors(x)
     names = list(exprs)
-    cols = [e.cast("double").alias(f"x{i}") for i, e in enumerate(exprs.values())]
-    cols.append(F.col(y).cast("double").alias(f"x{len(names)}"))
-    data = df.select(*([F.col(group).alias("g")] if group else []), *cols)
-    p = len(cols)
-    whole = ~F.greatest(*[F.isnan(f"x{i}") | F.col(f"x{i}").isNull() for i in range(p)], F.lit(False))
-    data = data.where(whole)
+    p = len(names) + 1
+    data = _numbers(df, y, exprs, [])
     first = data.agg(*[F.avg(f"x{i}").alias(f"m{i}") for i in range(p)]).first()
     centre = np.array([first[i] if first[i] is not None else 0.0 for i in range(p)])
-
-    if p <= MAX_JVM_COLUMNS:
-        parts = _cross_columns(data, centre, bool(group))
-    else:
-        parts = _cross_batches(data, centre, bool(group))
-    out = {
-        g: Gram(names, y, exprs, n, centre, s, c)
-        for g, (n, s, c) in parts.items()
-    }
-    if group:
-        return out
-    if None not in out:
+    row = (_cross_columns if p <= MAX_JVM_COLUMNS else _cross_batches)(data, centre).first()
+    if row is None or not row["n"]:
         raise ValueError("no complete rows")
-    return out[None]
+    return Gram(names, y, exprs, *_unpacked(row["n"], centre, np.array(row["sums"]), np.array(row["upper"])))
+
+
+def grouped_grams(df: DataFrame, y: str, x: Sequence[str] | dict[str, Column], keys: Sequence[str]) -> DataFrame:
+    """``g0`` .. (the keys), ``n``, ``means`` and ``upper`` (the triangle of products about the group's own means) per group."""
+    exprs = _predictors(x)
+    data = _numbers(df, y, exprs, keys)
+    names = [f"g{i}" for i in range(len(keys))]
+    p = len(exprs) + 1
+    if p > MAX_JVM_COLUMNS // 2:
+        return _moment_batches(data, p, names)
+    n = F.count(F.lit(1))
+    upper = F.array(*[F.covar_pop(f"x{i}", f"x{j}") * n for i in range(p) for j in range(i, p)])
+    return data.groupBy(*names).agg(n.alias("n"), F.array(*[F.avg(f"x{i}") for i in range(p)]).alias("means"), upper.alias("upper"))
+
+
+def _joined(a: tuple, b: tuple) -> tuple:
+    """Count, means and products about the means of two sets together."""
+    n = a[0] + b[0]
+    d = b[1] - a[1]
+    return n, a[1] + d * (b[0] / n), a[2] + b[2] + np.outer(d, d) * (a[0] * b[0] / n)
+
+
+#: groups that a task adds up before it hands them on
+HELD_GROUPS = 4_096
+
+
+def _moment_batches(data: DataFrame, p: int, keys: list[str]) -> DataFrame:
+    """The same for many columns: one matrix product per Arrow batch and group, joined in the task and then per group."""
+    columns = [f"x{i}" for i in range(p)]
+    kinds = [f"{f.name} {f.dataType.simpleString()}" for f in data.schema if f.name in keys]
+    at = np.triu_indices(p)
+    schema = ", ".join([*kinds, "n long", "means array<double>", "upper array<double>"])
 
+    def rows(held):
+        heads = {k: [g[i] for g in held] for i, k in enumerate(keys)}
+        body = {"n": [m[0] for m in held.values()], "means": [m[1] for m in held.values()], "upper": [m[2][at] for m in held.values()]}
+        return pd.DataFrame(heads | body)
 
-def _cross_columns(data: DataFrame, centre: np.ndarray, grouped: bool) -> dict:
+    def partial(batches):
+        held: dict = {}
+        for pdf in batches:
+            for g, part in pdf.groupby(keys, sort=False, dropna=False):
+                z = part[columns].to_numpy()
+                mean = z.mean(axis=0)
+                g = tuple(None if v != v else v for v in (g if isinstance(g, tuple) else (g,)))
+                now = len(z), mean, (z - mean).T @ (z - mean)
+                held[g] = _joined(held[g], now) if g in held else now
+            if len(held) > HELD_GROUPS:
+                yield rows(held)
+                held = {}
+        if held:
+            yield rows(held)
+
+    def joined(pdf):
+        total = None
+        for n, mean, upper in zip(pdf["n"], pdf["means"], pdf["upper"]):
+            now = _unpacked(n, np.asarray(mean), np.zeros(p), np.asarray(upper))
+            now = now[0], now[1], now[3]
+            total = now if total is None else _joined(total, now)
+        head = {k: [pdf[k].iloc[0]] for k in keys}
+        return pd.DataFrame(head | {"n": [int(total[0])], "means": [total[1]], "upper": [total[2][at]]})
+
+    return data.mapInPandas(partial, schema).groupBy(*keys).applyInPandas(joined, schema)
+
+
+def _about(names: list[str], response: str, n: float, means, upper, centre: np.ndarray | None = None) -> Gram:
+    """The sums of a row of :func:`grouped_grams` about its means, or about ``centre``."""
+    means = np.asarray(means, float)
+    n, _, sums, cross = _unpacked(n, means, np.zeros(len(means)), np.asarray(upper, float))
+    if centre is None:
+        return Gram(names, response, {}, n, means, sums, cross)
+    d = means - centre
+    return Gram(names, response, {}, n, centre, n * d, cross + n * np.outer(d, d))
+
+
+def _unpacked(n: float, centre: np.ndarray, sums: np.ndarray, upper: np.ndarray) -> tuple[float, np.ndarray, np.ndarray, np.ndarray]:
+    p = len(centre)
+    cross = np.zeros((p, p))
+    i, j = np.triu_indices(p)
+    cross[i, j] = cross[j, i] = upper
+    return float(n), centre, np.asarray(sums, float), cross
+
+
+def _cross_columns(data: DataFrame, centre: np.ndarray) -> DataFrame:
     p = len(centre)
     d = [F.col(f"x{i}") - F.lit(float(centre[i])) for i in range(p)]
-    aggs = [F.count(F.lit(1)).alias("n")]
-    aggs += [F.sum(d[i]).alias(f"s{i}") for i in range(p)]
-    aggs += [F.sum(d[i] * d[j]).alias(f"c{i}_{j}") for i in range(p) for j in range(i, p)]
-    rows = fetch_small(data.groupBy("g").agg(*aggs) if grouped else data.agg(*aggs), MAX_GROUPS, "groups of a gram")
-    out = {}
-    for r in rows:
-        if not r["n"]:
-            continue
-        cross = np.zeros((p, p))
-        for i in range(p):
-            for j in range(i, p):
-                cross[i, j] = cross[j, i] = r[f"c{i}_{j}"]
-        out[r["g"] if grouped else None] = (float(r["n"]), np.array([r[f"s{i}"] for i in range(p)]), cross)
-    return out
-
-
-def _cross_batches(data: DataFrame, centre: np.ndarray, grouped: bool) -> dict:
+    sums = F.array(*[F.sum(x) for x in d]).alias("sums")
+    upper = F.array(*[F.sum(d[i] * d[j]) for i in range(p) for j in range(i, p)]).alias("upper")
+    return data.agg(F.count(F.lit(1)).alias("n"), sums, upper)
+
+
+def _cross_batches(data: DataFrame, centre: np.ndarray) -> DataFrame:
     """The same sums for many columns: one matrix product per Arrow batch."""
     p = len(centre)
-    columns = [f"x{i}" for i in range(p)]
-    if not grouped:
-        data = data.withColumn("g", F.lit(0))
-    kind = data.schema["g"].dataType.simpleString()
+    at = np.triu_indices(p + 1)
 
     def partial(batches):
-        totals: dict = {}
+        total = 0.0
         for pdf in batches:
-            for g, part in pdf.groupby("g", sort=False):
-                z = np.column_stack([np.ones(len(part)), part[columns].to_numpy() - centre])
-                totals[g] = totals.get(g, 0.0) + z.T @ z
-        for g, m in totals.items():
-            i, j = np.triu_indices(p + 1)
-            yield pd.DataFrame({"g": g, "i": i, "j": j, "v": m[i, j]})
-
-    summed = (
-        data.mapInPandas(partial, f"g {kind}, i int, j int, v double")
-        .groupBy("g", "i", "j")
-        .agg(F.sum("v").alias("v"))
-    )
-    out: dict = {}
-    for r in summed.collect():
-        m = out.setdefault(r["g"], np.zeros((p + 1, p + 1)))
-        m[r["i"], r["j"]] = m[r["j"], r["i"]] = r["v"]
-    return {(g if grouped else None): (m[0, 0], m[0, 1:], m[1:, 1:]) for g, m in out.items()}
+            z = np.column_stack([np.ones(len(pdf)), pdf.to_numpy() - centre])
+            total = total + z.T @ z
+        if not np.isscalar(total):
+            yield pd.DataFrame({"i": range(len(at[0])), "v": total[at]})
+
+    summed = data.mapInPandas(partial, "i int, v double").groupBy("i").agg(F.sum("v").alias("v"))
+    m = summed.agg(F.transform(F.sort_array(F.collect_list(F.struct("i", "v"))), lambda r: r["v"]).alias("m")).where("size(m) > 0")
+    size = (p + 1) * (p + 2) // 2
+    return m.select(F.col("m")[0].cast("long").alias("n"), F.slice("m", 2, p).alias("sums"), F.slice("m", p + 2, size - p - 1).alias("upper"))
+
+
+def _per_group(rows: DataFrame, names: Sequence[str], solve, out: list[tuple[str, pa.DataType, str]]) -> DataFrame:
+    """``solve(n, means, upper)`` for every row of :func:`grouped_grams`: tuples of ``out``, behind the group's keys."""
+    keys = [c for c in rows.columns if c.startswith("g")]
+    kinds = [f"`{n}` {rows.schema[k].dataType.simpleString()}" for k, n in zip(keys, names, strict=True)]
+
+    def run(batches):
+        for batch in batches:
+            found = [solve(*r) for r in zip(*(batch.column(c).to_pylist() for c in ("n", "means", "upper")))]
+            owner = pa.array(np.repeat(np.arange(len(found)), [len(f) for f in found]))
+            flat = [r for f in found for r in f]
+            values = [pa.array([_missing(r[i]) for r in flat], kind) for i, (_, kind, _) in enumerate(out)]
+            yield pa.RecordBatch.from_arrays([*[batch.column(k).take(owner) for k in keys], *values], [*names, *[o[0] for o in out]])
+
+    return rows.select(*keys, "n", "means", "upper").mapInArrow(run, ", ".join([*kinds, *[f"{o[0]} {o[2]}" for o in out]]))
+
+
+def _missing(v):
+    return None if isinstance(v, float) and math.isnan(v) else v
+
+
+_TERM = [("term", pa.string(), "string"), *[(c, pa.float64(), "double") for c in ("estimate", "std_error", "t", "p", "n", "df", "sigma", "r2")]]
+
+
+def ols_by_group(df: DataFrame, y: str, x: Sequence[str] | dict[str, Column], keys: Sequence[str], intercept: bool = True) -> DataFrame:
+    """A least-squares model per group, solved where the group's sums lie: a row per group and term.
+
+    Columns: the keys, ``term``, ``estimate``, ``std_error``, ``t``, ``p``, and
+    the model's ``n``, ``df``, ``sigma`` and ``r2``.  A term explained by earlier ones in its
+    group has NULL for its numbers; tests are NULL without degrees of freedom.
+    Groups without a complete row have no model.  A NULL key is a group.
+    """
+    exprs = _predictors(x)
+    names = list(exprs)
+    rows = grouped_grams(df, y, x, keys)
+
+    def solve(n, means, upper):
+        fit = ols(_about(names, y, n, means, upper), intercept=intercept)
+        whole = float(n), float(fit.df_resid), math.sqrt(fit.sigma2) if fit.df_resid > 0 else math.nan, float(fit.r2)
+        out = []
+        for (term, b), se in zip(fit.estimates().items(), map(float, fit.std_errors), strict=True):
+            t = b / se if se > 0 else math.nan
+            out.append((term, b, se, t, tails.t_two_sided(t, fit.df_resid), *whole))
+        return out + [(a, math.nan, math.nan, math.nan, math.nan, *whole) for a in fit.aliased]
+
+    return _per_group(rows, list(keys), solve, _TERM)
 
 
 @dataclass
@@ -352,32 +446,47 @@ def qq_points(df: DataFrame, value: str, key: str) -> DataFrame:
     return placed.select(key, F.col(value).alias("sample"), prob.alias("p"), normal_quantile(prob).alias("theoretical"))
 
 
-def cross_validate(df: DataFrame, y: str, x, fold: str) -> list[tuple[int, float, float, float]]:
-    """Per-fold (fold, n, RMSE, R2) of models fitted without that fold, from one scan."""
-    parts = gram(df, y, x, group=fold)
-    total = None
-    for g in parts.values():
-        total = g if total is None else Gram(
-            g.names, g.response, g.exprs, total.n + g.n, g.centre, total.sums + g.sums, total.cross + g.cross
-        )
-    rows = []
-    for k in sorted(parts):
-        held = parts[k]
-        fit = ols(total - held)
-        m = held.about_zero()
-        idx = [held.names.index(c) for c in fit.names]
-        last = len(held.names)
-        z = held.means * held.n
-        full = np.zeros((len(idx) + 2, len(idx) + 2))
-        full[0, 0] = held.n
-        full[0, 1:-1] = full[1:-1, 0] = z[idx]
-        full[0, -1] = full[-1, 0] = z[last]
-        full[1:, 1:] = m[np.ix_([*idx, last], [*idx, last])]
-        w = np.concatenate([-fit.coef, [1.0]])
-        sse = float(max(w @ full @ w, 0.0))
+def cross_validate(df: DataFrame, y: str, x, fold: str) -> DataFrame:
+    """``fold``, ``n``, ``rmse``, ``r2`` of models fitted without that fold, from one scan.
+
+    Each model follows from the sums of all rows less those of its fold, and is
+    solved and judged where the fold's sums lie, so there may be as many folds as
+    rows.  A model without a row to learn from has NULL results, and so has the
+    R2 of a fold whose response does not vary.
+    """
+    exprs = _predictors(x)
+    names = list(exprs)
+    parts = stable(grouped_grams(df, y, x, [fold]))
+    p = len(names) + 1
+    # the folds' sums together, about the means of all rows
+    weighed = parts.agg(F.sum("n").alias("n"), *[F.sum(F.col("n") * F.col("means")[i]).alias(f"m{i}") for i in range(p)]).first()
+    centre = np.array(weighed[1:], float) / weighed["n"] if weighed["n"] else np.zeros(p)
+    at = list(zip(*np.triu_indices(p)))
+    d = [F.col("means")[i] - F.lit(float(centre[i])) for i in range(p)]
+    cross = parts.agg(*[F.sum(F.col("upper")[k] + F.col("n") * d[i] * d[j]).alias(f"c{k}") for k, (i, j) in enumerate(at)]).first()
+    whole = _about(names, y, weighed["n"] or 0, centre, np.array([v or 0.0 for v in cross], float))
+
+    def solve(n, means, upper):
+        held = _about(names, y, n, means, upper, centre)
+        rest = whole - held
+        if rest.n < 1:
+            return [(float(n), math.nan, math.nan)]
+        fit = ols(rest)
+        last = len(names)
+        idx = [names.index(c) for c in fit.names]
+        # about the common centre, so that far offsets do not cancel
+        slope, shift = fit.coef[1:], fit.coef[0] + fit.coef[1:] @ centre[idx] - centre[last]
+        w = np.concatenate([[-shift], -slope, [1.0]])
+        m = np.zeros((len(idx) + 2, len(idx) + 2))
+        m[0, 0] = n
+        m[0, 1:] = m[1:, 0] = held.sums[[*idx, last]]
+        m[1:, 1:] = held.cross[np.ix_([*idx, last], [*idx, last])]
+        sse = float(max(w @ m @ w, 0.0))
         tss = float(held.about_mean()[last, last])
-        rows.append((int(k), held.n, math.sqrt(sse / held.n), 1.0 - sse / tss if tss else math.nan))
-    return rows
+        return [(float(n), math.sqrt(sse / n), 1.0 - sse / tss if tss > 0 else math.nan)]
+
+    out = [(c, pa.float64(), "double") for c in ("n", "rmse", "r2")]
+    return _per_group(parts, [fold], solve, out)
 
 
 def regression_report(df: DataFrame, label: str, prediction: str, keys: Sequence[str] = ()) -> DataFrame:
@@ -399,41 +508,56 @@ def fitted_lines(df: DataFrame, y: str, x: str, keys: Sequence[str]) -> DataFram
     return df.groupBy(*keys).agg(F.regr_slope(y, x).alias("slope"), F.regr_intercept(y, x).alias("intercept"))
 
 
-def pairwise_t(df: DataFrame, value: str, group: str, max_levels: int = 1000) -> DataFrame:
+def pairwise_t(df: DataFrame, value: str, group: str) -> DataFrame:
     """t tests between all pairs of group means, pooled SD, Holm adjusted.
 
-    One aggregate gives n, mean and variance per level; the pairs are formed
-    from those few numbers.
+    One aggregate gives n, mean and variance per level.  Levels are numbered,
+    each meets those with smaller numbers by a join on the number, and the
+    running maximum of the adjustment goes over ranges of p, so the levels may
+    be any number.  Without degrees of freedom p is NULL.
     """
-    spark = df.sparkSession
     moments = df.where(F.col(value).isNotNull() & F.col(group).isNotNull()).groupBy(F.col(group).cast("string").alias("g")).agg(
         F.count(value).alias("n"), F.avg(value).alias("m"), F.var_samp(value).alias("v")
     )
-    rows = sorted(fetch_small(moments, max_levels, "levels of a pairwise test"), key=lambda r: r["g"])
-    df_pool = sum(r["n"] - 1 for r in rows)
-    pooled = sum((r["n"] - 1) * (r["v"] or 0.0) for r in rows) / df_pool
-    pairs = []
-    for i, a in enumerate(rows):
-        for b in rows[:i]:
-            t = (a["m"] - b["m"]) / math.sqrt(pooled * (1.0 / a["n"] + 1.0 / b["n"]))
-            pairs.append([a["g"], b["g"], t, tails.t_two_sided(t, df_pool)])
-    running = 0.0
-    by_p = sorted(pairs, key=lambda r: r[3])
-    for k, r in enumerate(by_p):
-        running = max(running, min(1.0, r[3] * (len(by_p) - k)))
-        r.append(running)
-    return spark.createDataFrame(
-        [tuple(r) for r in pairs], "level_a string, level_b string, t double, p double, p_holm double"
-    )
+    levels = stable(positions(moments, ["g"], name="i"))
+    free = F.sum(F.col("n") - 1)
+    pool = levels.agg(free.alias("df"), F.try_divide(F.sum((F.col("n") - 1) * F.coalesce("v", F.lit(0.0))), free).alias("s2"), F.count(F.lit(1)).alias("k")).first()
+    spare, s2, k = pool["df"] or 0, pool["s2"], pool["k"]
+    a = levels.where("i > 1").select(*[F.col(c).alias(f"a_{c}") for c in ("g", "n", "m")], F.explode(F.sequence(F.lit(1).cast("long"), F.col("i") - 1)).alias("j"))
+    b = levels.select(*[F.col(c).alias(f"b_{c}") for c in ("g", "n", "m")], F.col("i").alias("j"))
+    scale = F.sqrt(F.lit(s2).cast("double") * (1.0 / F.col("a_n") + 1.0 / F.col("b_n")))
+    t = F.try_divide(F.col("a_m") - F.col("b_m"), scale)
+
+    @F.pandas_udf("double")
+    def two_sided(t: pd.Series) -> pd.Series:
+        return pd.Series(tails.t_two_sided_many(t.to_numpy(), spare))
+
+    pairs = a.join(b, "j").select(F.col("a_g").alias("level_a"), F.col("b_g").alias("level_b"), t.alias("t"))
+    pairs = pairs.withColumn("p", two_sided("t"))
+    pairs = pairs.withColumn("p", F.when(~F.isnan("p"), F.col("p")))
+    order = [F.asc_nulls_last("p"), "level_a", "level_b"]
+    placed = positions(pairs, order, name="at")
+    scaled = F.least(F.lit(1.0), F.col("p") * (k * (k - 1) // 2 - F.col("at") + 1))
+    top = scan_ranges(ranged(placed.withColumn("scaled", scaled), [], ["at"]), [], ["at"], maxima={"p_holm": "scaled"})
+    return top.select("level_a", "level_b", "t", "p", F.when(F.col("p").isNotNull(), F.col("p_holm")).alias("p_holm"))
 
 
 def correlation_test(df: DataFrame, x: str, y: str, level: float = 0.95) -> DataFrame:
-    """Pearson r with t, p and the Fisher interval, from one aggregate."""
+    """Pearson r with t, p and the Fisher interval, from one aggregate.
+
+    Without a spread in both columns r and all else is NULL; t and p need
+    three rows, the interval four.  A perfect correlation has an infinite t and p of zero.
+    """
     both = df.where(F.col(x).isNotNull() & F.col(y).isNotNull())
-    n, r = both.agg(F.count(F.lit(1)), F.corr(F.col(x).cast("double"), F.col(y).cast("double"))).first()
-    t = r * math.sqrt((n - 2) / (1.0 - r * r)) if abs(r) < 1 else math.inf
-    half = tails.normal_quantile(0.5 + level / 2.0) / math.sqrt(n - 3)
-    lo, hi = math.tanh(math.atanh(r) - half), math.tanh(math.atanh(r) + half)
-    return df.sparkSession.createDataFrame(
-        [(n, r, t, tails.t_two_sided(t, n - 2), lo, hi)], "n long, r double, t double, p double, lo double, hi double"
-    )
+    a, b = F.col(x).cast("double"), F.col(y).cast("double")
+    n, together, sx, sy = both.agg(F.count(F.lit(1)), F.covar_pop(a, b), F.stddev_pop(a), F.stddev_pop(b)).first()
+    r = t = p = lo = hi = None
+    if n and sx > 0 and sy > 0:
+        r = max(-1.0, min(1.0, together / (sx * sy)))
+        if n > 2:
+            t = r * math.sqrt((n - 2) / (1.0 - r * r)) if abs(r) < 1 else math.copysign(math.inf, r)
+            p = tails.t_two_sided(t, n - 2) if math.isfinite(t) else 0.0
+        if n > 3:
+            half = tails.normal_quantile(0.5 + level / 2.0) / math.sqrt(n - 3)
+            lo, hi = (math.tanh(math.atanh(r) - half), math.tanh(math.atanh(r) + half)) if abs(r) < 1 else (r, r)
+    return df.sparkSession.createDataFrame([(n, r, t, p, lo, hi)], "n long, r double, t double, p double, lo double, hi double")

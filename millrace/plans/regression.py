@@ -227,8 +227,23 @@ def r11_residuals(t):
 @query("R12_cross_validation")
 def r12(t):
     tagged = sampling.assign_folds(_wide(t), KEY, 10, 5)
-    rows = G.cross_validate(tagged, "gain", WIDE, "fold")
-    return t.spark.createDataFrame(rows, "fold int, n double, rmse double, r2 double")
+    return G.cross_validate(tagged, "gain", WIDE, "fold")
+
+
+@query(
+    "R12_leave_out_one_part",
+    f"""WITH {LINE_SQL}, p AS (SELECT l_partkey AS part, count(*)::DOUBLE AS n, sum(quantity)::DOUBLE AS q, sum(gain)::DOUBLE AS g,
+        sum(quantity * quantity)::DOUBLE AS qq, sum(quantity * gain)::DOUBLE AS qg FROM line GROUP BY 1),
+    w AS (SELECT sum(n) AS n, sum(q) AS q, sum(g) AS g, sum(qq) AS qq, sum(qg) AS qg FROM p),
+    r AS (SELECT part, p.n, w.n - p.n AS m, w.q - p.q AS q, w.g - p.g AS g, w.qq - p.qq AS qq, w.qg - p.qg AS qg FROM p, w),
+    b AS (SELECT part, n, (qg - q * g / m) / (qq - q * q / m) AS b1, g / m AS mg, q / m AS mq FROM r),
+    e AS (SELECT part, max(n) AS n, sum((gain - (mg + b1 * (quantity - mq))) ** 2) AS sse FROM line JOIN b ON l_partkey = part GROUP BY 1)
+    SELECT part, n, round(sqrt(sse / n), 4) AS rmse FROM e""",
+)
+def r12_parts(t):
+    """One fold per part, as many as the table has parts."""
+    data = line_features(t).withColumnRenamed("l_partkey", "part")
+    return G.cross_validate(data, "gain", ["quantity"], "part").select("part", "n", F.round("rmse", 4).alias("rmse"))
 
 
 @query(
@@ -244,8 +259,7 @@ def r12(t):
 )
 def r12_two(t):
     tagged = sampling.assign_folds(line_features(t), KEY[:4], 10, 5)
-    rows = G.cross_validate(tagged, "gain", ["quantity", "discount"], "fold")
-    out = t.spark.createDataFrame(rows, "fold int, n double, rmse double, r2 double")
+    out = G.cross_validate(tagged, "gain", ["quantity", "discount"], "fold")
     return out.select("fold", "n", F.round("rmse", 5).alias("rmse"), F.round("r2", 7).alias("r2"))
 
 
@@ -381,3 +395,29 @@ def r17_holm(t):
 )
 def r18(t):
     return _r(G.fitted_lines(t.lineitem, "l_extendedprice", "l_quantity", ["l_returnflag", "l_linestatus"]), {"slope": 6, "intercept": 4})
+
+
+@query(
+    "R01_model_per_customer",
+    """WITH o AS (SELECT o_custkey AS k, o_totalprice::DOUBLE AS y, o_orderdate, epoch(o_orderdate::TIMESTAMP) / 86400 AS x FROM orders),
+    g AS (SELECT k, count(*) AS n, regr_slope(y, x) AS b, regr_intercept(y, x) AS a, regr_sxx(x, x) AS sxx, regr_syy(y, x) AS syy, avg(x) AS mx, regr_r2(y, x) AS r2 FROM o GROUP BY 1 HAVING count(*) >= 8),
+    s AS (SELECT *, sqrt(greatest(syy * (1 - r2), 0) / (n - 2)) AS sigma FROM g)
+    SELECT k, 'day' AS term, round(b, 3) AS estimate, round(sigma / sqrt(sxx), 3) AS std_error, n::DOUBLE AS n, round(sigma, 1) AS sigma FROM s""",
+)
+def r01_groups(t):
+    """A trend per customer with eight orders or more."""
+    rows = t.orders.select(F.col("o_custkey").alias("k"), F.col("o_totalprice").cast("double").alias("y"), F.unix_date(F.col("o_orderdate").cast("date")).alias("day"))
+    out = G.ols_by_group(rows, "y", ["day"], ["k"]).where("term = 'day' AND n >= 8")
+    return out.select("k", "term", F.round("estimate", 3).alias("estimate"), F.round("std_error", 3).alias("std_error"), "n", F.round("sigma", 1).alias("sigma"))
+
+
+@query(
+    "R17_pairwise_many_levels",
+    """WITH m AS (SELECT o_custkey::VARCHAR AS g, count(*) AS n, avg(o_totalprice) AS m, var_samp(o_totalprice) AS v FROM orders GROUP BY 1),
+    s AS (SELECT sum((n - 1) * coalesce(v, 0)) / sum(n - 1) AS s2 FROM m)
+    SELECT a.g AS level_a, count(*) AS n, round(sum((a.m - b.m) / sqrt(s2 * (1.0::DOUBLE / a.n + 1.0::DOUBLE / b.n))), 4) AS t FROM m a JOIN m b ON a.g > b.g, s GROUP BY 1""",
+)
+def r17_many(t):
+    """Every customer against every other, summed per customer."""
+    out = G.pairwise_t(t.orders, "o_totalprice", "o_custkey")
+    return out.groupBy("level_a").agg(F.count("p_holm").alias("n"), F.round(F.sum("t"), 4).alias("t"))

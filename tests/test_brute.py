@@ -129,7 +129,7 @@ def test_cross_validation_equals_refits(spark):
     rng = np.random.default_rng(6)
     pdf = pd.DataFrame({"id": np.arange(200), "a": rng.normal(50, 3, 200), "b": rng.normal(size=200), "fold": np.arange(200) % 4})
     pdf["y"] = 3 + 2 * pdf["a"] - pdf["b"] + rng.normal(size=200)
-    got = {r[0]: r[1:] for r in regression.cross_validate(spark.createDataFrame(pdf), "y", ["a", "b"], "fold")}
+    got = {r[0]: r[1:] for r in regression.cross_validate(spark.createDataFrame(pdf), "y", ["a", "b"], "fold").collect()}
     for k in range(4):
         train, held = pdf[pdf["fold"] != k], pdf[pdf["fold"] == k]
         design = np.column_stack([np.ones(len(train)), train[["a", "b"]]])
@@ -154,7 +154,84 @@ def test_pairwise_t(spark):
     assert max(r["p_holm"] for r in rows.values()) >= raw[-1]
 
 
+def test_pairwise_t_of_many_levels(spark, many_ranges):
+    """780,625 pairs; Holm's adjustment against a plain one, ties included."""
+    rng = np.random.default_rng(8)
+    pdf = pd.DataFrame({"g": [f"g{i:04d}" for i in range(1250)] * 2, "x": np.round(rng.normal(size=2500), 1)})
+    pdf.loc[pdf["g"] < "g0030", "x"] += 12.0
+    got = regression.pairwise_t(spark.createDataFrame(pdf), "x", "g").toPandas()
+    assert len(got) == 1250 * 1249 // 2 == got[["level_a", "level_b"]].drop_duplicates().shape[0]
+    stats = pdf.groupby("g")["x"].agg(["mean", "var"])
+    s2 = stats["var"].mean()
+    some = got.sample(300, random_state=1)
+    want = (stats.loc[some["level_a"], "mean"].to_numpy() - stats.loc[some["level_b"], "mean"].to_numpy()) / math.sqrt(s2)
+    assert some["t"].to_numpy() == pytest.approx(want)
+    assert some["p"].to_numpy() == pytest.approx([tails.t_two_sided(t, 1250) for t in want], abs=1e-12)
+    p = np.sort(got["p"].to_numpy())
+    holm = np.maximum.accumulate(np.minimum(1.0, p * (len(p) - np.arange(len(p)))))
+    assert np.sort(got["p_holm"].to_numpy()) == pytest.approx(holm, abs=1e-12)
+    assert 0 < (got["p_holm"] < 0.05).sum() < len(got)
+
+
+def test_model_per_group(spark):
+    """100,000 groups, and small ones against a plain solver: collinear, too short, missing values, a NULL key."""
+    many = spark.range(400_000).select((F.col("id") % 100_000).alias("k"), F.floor(F.col("id") / 100_000).alias("x"))
+    many = many.withColumn("y", F.col("x") * F.col("k") + 1)
+    out = regression.ols_by_group(many, "y", ["x"], ["k"])
+    off = F.when(F.col("term") == "x", F.abs(F.col("estimate") - F.col("k"))).otherwise(F.abs(F.col("estimate") - 1))
+    assert out.agg(F.count(F.lit(1)), F.max(off / (1 + F.col("k")))).first()[0] == 200_000
+    assert out.agg(F.max(off / (1 + F.col("k")))).first()[0] < 1e-6
+
+    rng = np.random.default_rng(2)
+    pdf = pd.DataFrame({"g": rng.choice(["a", "b", None], 90), "u": rng.normal(1e6, 1, 90), "v": rng.normal(size=90), "n": 7})
+    pdf["y"] = 2 * pdf["u"] - pdf["v"] + rng.normal(size=90)
+    pdf.loc[pdf["g"] == "b", "v"] = 2 * pdf["u"]
+    extra = pd.DataFrame({"g": ["one", "two", "two", "gone"], "u": [1.0, 1.0, 2.0, np.nan], "v": [0.0, 3.0, 3.0, 1.0], "n": 7, "y": [5.0, 1.0, 4.0, 1.0]})
+    df = spark.createDataFrame(pd.concat([pdf, extra]))
+    for width in (regression.MAX_JVM_COLUMNS, 1):
+        regression.MAX_JVM_COLUMNS, before = width, regression.MAX_JVM_COLUMNS
+        try:
+            got = regression.ols_by_group(df, "y", ["u", "v"], ["g"]).toPandas()
+        finally:
+            regression.MAX_JVM_COLUMNS = before
+        assert set(got["g"]) == {"a", "b", None, "one", "two"}
+        for g in ("a", None):
+            part = pdf[pdf["g"].isna()] if g is None else pdf[pdf["g"] == g]
+            design = np.column_stack([np.ones(len(part)), part["u"] - 1e6, part["v"]])
+            beta, rss, *_ = np.linalg.lstsq(design, part["y"], rcond=None)
+            mine = (got[got["g"].isna()] if g is None else got[got["g"] == g]).set_index("term")
+            assert mine.loc[["u", "v"], "estimate"].to_numpy() == pytest.approx(beta[1:], rel=1e-6)
+            assert mine.loc["u", "sigma"] == pytest.approx(math.sqrt(rss[0] / (len(part) - 3)), rel=1e-6)
+            se = math.sqrt(rss[0] / (len(part) - 3) * np.linalg.inv(design.T @ design)[1, 1])
+            assert mine.loc["u", "std_error"] == pytest.approx(se, rel=1e-5)
+        rows = got.set_index(["g", "term"])
+        assert math.isnan(rows.loc[("b", "v"), "estimate"]) and rows.loc[("b", "u"), "df"] == (pdf["g"] == "b").sum() - 2
+        assert rows.loc[("two", "u"), "estimate"] == pytest.approx(3.0) and math.isnan(rows.loc[("two", "u"), "p"])
+        assert rows.loc[("one", "(Intercept)"), "estimate"] == pytest.approx(5.0)
+
+
+def test_correlation_of_few_rows(spark):
+    def test(rows):
+        return regression.correlation_test(spark.createDataFrame(rows, "x double, y double"), "x", "y").first()
+
+    assert test([])[:] == (0, None, None, None, None, None)
+    assert test([(1.0, 2.0), (None, 1.0)])[:] == (1, None, None, None, None, None)
+    assert test([(1.0, 2.0), (2.0, 5.0)])[2:] == (None,) * 4
+    three = test([(1.0, 2.0), (2.0, 5.0), (3.0, 4.0)])
+    assert three["r"] == pytest.approx(0.654654, abs=1e-6) and three["p"] is not None and three["lo"] is None
+    line = test([(float(i), 2.0 * i) for i in range(6)])
+    assert line["r"] == pytest.approx(1.0) and line["p"] == pytest.approx(0.0, abs=1e-12) and line["hi"] == pytest.approx(1.0)
+    assert test([(1.0, float(i)) for i in range(6)])["r"] is None
+
+
 def test_tails():
+    many = np.array([0.0, 1e-9, 0.3, -2.0, 7.0, 60.0, np.nan, np.inf, 1e-3])
+    for df in (1, 2, 10, 15_000):
+        got = tails.t_two_sided_many(many, df)
+        assert np.isnan(got[6]) and got[7] == 0.0
+        assert got[[0, 1, 2, 3, 4, 5, 8]] == pytest.approx([tails.t_two_sided(t, df) for t in many[[0, 1, 2, 3, 4, 5, 8]]], abs=1e-8)
+    assert tails.t_two_sided_many(np.array([1e-9]), 1)[0] == pytest.approx(1 - 2 / math.pi * math.atan(1e-9), abs=1e-15)
+
     assert tails.t_two_sided(2.0, 10) == pytest.approx(0.07338803, abs=1e-8)
     assert tails.f_tail(3.0, 2, 20) == pytest.approx(0.07253815, abs=1e-8)
     assert tails.chi2_tail(3.841458820694124, 1) == pytest.approx(0.05, abs=1e-9)

@@ -107,13 +107,16 @@ def test_collinear_column_is_reported(cars):
 
 
 def test_wide_gram_equals_narrow(cars, monkeypatch):
-    narrow = G.gram(cars, "mpg", ["wt", "qsec", "hp"], group="gear")
-    monkeypatch.setattr(G, "MAX_JVM_COLUMNS", 1)
-    wide = G.gram(cars, "mpg", ["wt", "qsec", "hp"], group="gear")
+    def grams():
+        rows = G.grouped_grams(cars, "mpg", ["wt", "qsec", "hp"], ["gear"]).collect()
+        return {r["g0"]: (r["n"], *r["means"], *r["upper"]) for r in rows}, G.gram(cars, "mpg", ["wt", "qsec", "hp"])
+
+    (narrow, whole), _ = grams(), monkeypatch.setattr(G, "MAX_JVM_COLUMNS", 1)
+    wide, again = grams()
     assert narrow.keys() == wide.keys()
     for k in narrow:
-        assert narrow[k].n == wide[k].n
-        assert narrow[k].cross == pytest.approx(wide[k].cross)
+        assert narrow[k] == pytest.approx(wide[k])
+    assert whole.n == again.n and whole.cross == pytest.approx(again.cross)
 
 
 def test_confidence_differs_by_direction(spark):
