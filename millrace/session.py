@@ -7,6 +7,9 @@ import uuid
 
 from pyspark.sql import DataFrame, Row, SparkSession
 
+#: Spark's setting that deletes a query's shuffle files when the query ends
+CLEAN_SHUFFLES = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
 
 def shared_dir(spark: SparkSession) -> str:
     """Folder every executor can see, taken from ``spark.checkpoint.dir``.
@@ -52,10 +55,19 @@ def fetch_small(df: DataFrame, limit: int, what: str) -> list[Row]:
 
 
 def stored(df: DataFrame, label: str) -> tuple[DataFrame, str]:
-    """``df`` written as Parquet below the shared folder and read again, with its path for :func:`discard`."""
-    path = scratch_path(df.sparkSession, label)
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path), path
+    """``df`` written as Parquet below the shared folder and read again, with its path for :func:`discard`.
+
+    The shuffle files of the write go when it ends, not when the driver next collects garbage.
+    """
+    spark = df.sparkSession
+    path = scratch_path(spark, label)
+    before = spark.conf.get(CLEAN_SHUFFLES, None)
+    spark.conf.set(CLEAN_SHUFFLES, "true")
+    try:
+        df.write.parquet(path)
+    finally:
+        spark.conf.unset(CLEAN_SHUFFLES) if before is None else spark.conf.set(CLEAN_SHUFFLES, before)
+    return spark.read.schema(df.schema).parquet(path), path
 
 
 def discard(spark: SparkSession, path: str) -> None:
