@@ -550,25 +550,36 @@ def _found(sorted_keys: np.ndarray, wanted: np.ndarray) -> tuple[np.ndarray, np.
     return at[hit], hit
 
 
+def _spread(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """A row per block instead of a list ``blocks``; a row of a pair (``u``, ``w``) becomes its hash ``x``."""
+    for batch in batches:
+        lists = batch.column("blocks")
+        owner = pa.array(np.repeat(np.arange(batch.num_rows), pc.list_value_length(lists).to_numpy()))
+        x = batch.column("u")
+        if "w" in batch.schema.names:
+            x = pa.array(_pair_key(x.to_numpy(), batch.column("w").to_numpy()).view(np.int64))
+        names = [n for n in batch.schema.names if n not in ("u", "w", "blocks")]
+        columns = [lists.flatten(), x.take(owner), *[batch.column(n).take(owner) for n in names]]
+        yield pa.RecordBatch.from_arrays(columns, ["block", "x", *names])
+
+
 def _answered(tally: DataFrame, model: Model) -> DataFrame:
-    """``block``, ``x`` (word, or hash of a pair), ``m``, ``n``, ``q``, ``new`` for every block that needs it."""
-    pair = tally.where((F.col("kind") == PAIR)).select("u", "w", "n", "blocks")
-    seated = pair.where("n >= 2").join(model.cells, ["u", "w"]).select("u", "w", "m", "blocks")
-    never = pair.where("n = 0").select("u", "w", F.lit(0.0).alias("m"), "blocks")
-    held = seated.unionByName(never).select("u", "w", "m", F.explode("blocks").alias("block"))
-
-    def named(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            x = _pair_key(b.column("u").to_numpy(), b.column("w").to_numpy()).view(np.int64)
-            yield pa.RecordBatch.from_arrays([b.column("block"), pa.array(x), b.column("m")], ["block", "x", "m"])
-
-    pairs_out = held.mapInArrow(named, "block bigint, x bigint, m double")
+    """Packs per ``block`` of ``x`` (word, or hash of a pair), ``m``, ``n``, ``q``, ``new``, as far as the block needs them."""
     blank = [F.lit(None).cast("long").alias("n"), *[F.lit(None).cast("array<double>").alias(c) for c in ("q", "new")]]
-    word = tally.where((F.col("kind") == WORD)).select(F.col("u").alias("x"), "n", "blocks")
-    known = word.where("n >= 2").drop("n").join(model.words.select(F.col("word").alias("x"), "n", "q", "new"), "x")
-    none = word.where("n = 0").select("x", "blocks", "n", *blank[1:])
-    words_out = known.unionByName(none).select(F.explode("blocks").alias("block"), "x", F.lit(None).cast("double").alias("m"), "n", "q", "new")
-    return pairs_out.select("block", "x", "m", *blank).unionByName(words_out)
+    pair = tally.where(F.col("kind") == PAIR).select("u", "w", "n", "blocks")
+    seated = pair.where("n >= 2").drop("n").join(model.cells, ["u", "w"]).select("u", "w", "blocks", "m", *blank)
+    never = pair.where("n = 0").select("u", "w", "blocks", F.lit(0.0).alias("m"), *blank)
+    word = tally.where(F.col("kind") == WORD).select("u", "n", "blocks")
+    no_mean = F.lit(None).cast("double").alias("m")
+    known = word.where("n >= 2").drop("n").join(model.words.select(F.col("word").alias("u"), "n", "q", "new"), "u")
+    known = known.select("u", "blocks", no_mean, "n", "q", "new")
+    none = word.where("n = 0").select("u", "blocks", no_mean, "n", *blank[1:])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        return _packed(_spread(batches))
+
+    packs = "block bigint, pack binary"
+    return seated.unionByName(never).mapInArrow(run, packs).unionByName(known.unionByName(none).mapInArrow(run, packs))
 
 
 def score_texts(
@@ -597,7 +608,7 @@ def score_texts(
     blocked = _blocked(docs, key, text, train, block_rows, block_bytes)
     tally, tallied = _tally(blocked)
     model = fit(tally, burn_in, samples)
-    answers, _ = stored(_answered(tally, model).mapInArrow(_packed, "block bigint, pack binary"), "answers")
+    answers, _ = stored(_answered(tally, model), "answers")
     for path in (tallied, *model.paths):
         discard(spark, path)
 
