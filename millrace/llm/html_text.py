@@ -2,10 +2,11 @@
 
 A page is cut into blocks of text between block-level tags.  A block is
 described by its own word count and link density, by those of the blocks
-before and after it, by those of all blocks in the element around it, and by
-where it stands: under an element that says by tag, class or id that it is no
-article text, under one that says it is, or as a heading.  A decision tree
-trained on the labelled blocks below judges it.
+before and after it, by those of all blocks in the element around it and of the
+page, and by where it stands: under an element whose tag says that it is no
+article text, under one whose class, id or role says so, under one that says it
+is, or as a heading.  A decision tree trained on the labelled blocks of
+:mod:`millrace.llm.page_shapes` judges it.
 """
 
 from __future__ import annotations
@@ -21,6 +22,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from millrace.llm import page_shapes
 from millrace.llm.texts import byte_slices
 
 _TOKEN = re.compile(
@@ -35,6 +37,7 @@ SILENT = frozenset("script style noscript template title svg math iframe object
 RAW = frozenset("script style title textarea iframe".split())  # of these, elements that hold no other elements
 APART = frozenset("nav header footer aside form menu dialog".split())
 MAIN = frozenset(("article", "main"))
+HOLDS_P = APART | MAIN | {"div", "section", "td", "li", "blockquote"}  # a block inside one leaves paragraphs around it open
 HEADING = frozenset(("h1", "h2", "h3", "h4", "h5", "h6"))
 INLINE = frozenset(
     "a abbr acronym b bdi bdo big br cite code data del dfn em font i img input ins kbd label mark q rp rt ruby s samp small "
@@ -49,120 +52,13 @@ CUES = frozenset(
 )
 #: class and id words of elements that hold the article
 MAIN_CUES = frozenset("article articlebody content entry main maincontent post story".split())
-FEATURES = ("words", "links", "words_before", "links_before", "words_after", "links_after", "apart", "main", "heading", "box_words", "box_links")
-
-# Blocks labelled by hand, in the order of FEATURES; the last number is 1 for article text.
-LABELLED = (
-    (60, 0.0, 8, 0.0, 45, 0.0, 0, 1, 0, 60, 0.0, 1),
-    (45, 0.0, 60, 0.0, 30, 0.1, 0, 1, 0, 420, 0.02, 1),
-    (3, 0.0, 60, 0.0, 45, 0.0, 0, 1, 0, 15, 0.3, 1),
-    (1, 0.0, 0, 0.0, 80, 0.0, 0, 1, 0, 260, 0.05, 1),
-    (8, 0.0, 6, 0.0, 60, 0.0, 0, 1, 1, 60, 0.1, 1),
-    (5, 0.0, 1, 1.0, 3, 0.0, 0, 1, 1, 33, 0.0, 1),
-    (6, 1.0, 40, 0.0, 30, 0.0, 0, 1, 0, 900, 0.3, 1),
-    (25, 0.4, 40, 0.0, 0, 0.0, 0, 1, 0, 25, 0.3, 1),
-    (90, 0.02, 1, 1.0, 12, 0.0, 0, 1, 0, 420, 0.05, 1),
-    (1, 0.0, 30, 0.0, 12, 0.0, 0, 1, 0, 15, 0.1, 1),
-    (2, 0.0, 30, 0.0, 1, 0.0, 0, 1, 0, 260, 0.0, 1),
-    (4, 0.0, 4, 1.0, 1, 1.0, 0, 1, 0, 60, 0.02, 1),
-    (9, 0.0, 45, 0.0, 1, 0.0, 0, 1, 0, 33, 0.3, 1),
-    (3, 1.0, 1, 1.0, 2, 1.0, 0, 1, 0, 900, 0.3, 1),
-    (1, 1.0, 2, 0.0, 0, 0.0, 0, 1, 0, 9, 0.3, 1),
-    (12, 0.9, 3, 0.0, 1, 0.9, 0, 1, 0, 420, 0.0, 1),
-    (7, 0.0, 0, 0.0, 0, 0.0, 0, 1, 0, 15, 0.02, 1),
-    (2, 0.5, 2, 1.0, 9, 1.0, 0, 1, 1, 260, 0.3, 1),
-    (70, 0.0, 9, 0.0, 55, 0.05, 0, 0, 0, 590, 0.0, 1),
-    (55, 0.05, 70, 0.0, 4, 0.5, 0, 0, 0, 295, 0.02, 1),
-    (24, 0.0, 50, 0.0, 60, 0.0, 0, 0, 0, 204, 0.05, 1),
-    (18, 0.1, 40, 0.0, 35, 0.0, 0, 0, 0, 358, 0.0, 1),
-    (9, 0.0, 45, 0.0, 50, 0.0, 0, 0, 0, 529, 0.02, 1),
-    (4, 0.0, 38, 0.0, 42, 0.0, 0, 0, 0, 244, 0.05, 1),
-    (7, 0.0, 3, 1.0, 64, 0.0, 0, 0, 1, 187, 0.0, 1),
-    (6, 0.0, 52, 0.0, 47, 0.0, 0, 0, 1, 346, 0.02, 1),
-    (30, 0.0, 2, 1.0, 5, 0.0, 0, 0, 0, 550, 0.05, 1),
-    (24, 0.0, 24, 0.0, 1, 1.0, 0, 0, 0, 264, 0.0, 1),
-    (24, 0.0, 1, 1.0, 24, 0.0, 0, 0, 0, 204, 0.02, 1),
-    (35, 0.05, 30, 0.0, 2, 1.0, 0, 0, 0, 375, 0.05, 1),
-    (48, 0.1, 6, 0.0, 3, 0.0, 0, 0, 0, 568, 0.0, 1),
-    (22, 0.0, 60, 0.1, 0, 0.0, 0, 0, 0, 262, 0.02, 1),
-    (4, 0.0, 30, 0.0, 1, 0.0, 0, 0, 0, 13, 0.9, 0),
-    (1, 0.0, 3, 0.0, 2, 0.0, 0, 0, 0, 1, 0.0, 0),
-    (8, 0.0, 0, 0.0, 0, 0.0, 0, 0, 0, 11, 0.6, 0),
-    (1, 1.0, 1, 1.0, 24, 0.0, 0, 0, 0, 10, 1.0, 0),
-    (2, 1.0, 0, 0.0, 60, 0.0, 0, 0, 0, 2, 0.5, 0),
-    (3, 1.0, 40, 0.0, 30, 0.0, 0, 0, 0, 6, 1.0, 0),
-    (6, 0.9, 2, 1.0, 70, 0.0, 0, 0, 0, 15, 0.9, 0),
-    (4, 0.7, 50, 0.0, 2, 1.0, 0, 0, 0, 4, 0.7, 0),
-    (1, 1.0, 1, 1.0, 1, 1.0, 0, 0, 0, 4, 0.5, 0),
-    (2, 1.0, 1, 1.0, 3, 1.0, 0, 0, 0, 11, 1.0, 0),
-    (5, 1.0, 0, 0.0, 4, 1.0, 0, 0, 0, 5, 0.5, 0),
-    (12, 0.9, 6, 1.0, 8, 1.0, 0, 0, 0, 15, 0.6, 0),
-    (4, 0.0, 2, 1.0, 1, 1.0, 0, 0, 0, 13, 0.9, 0),
-    (6, 0.0, 3, 0.0, 0, 0.0, 0, 0, 0, 6, 0.0, 0),
-    (9, 0.3, 4, 0.5, 0, 0.0, 0, 0, 0, 12, 0.6, 0),
-    (30, 0.8, 5, 1.0, 6, 1.0, 0, 0, 0, 39, 0.9, 0),
-    (3, 0.0, 2, 1.0, 2, 1.0, 0, 0, 1, 3, 0.0, 0),
-    (1, 1.0, 1, 1.0, 1, 1.0, 1, 0, 0, 7, 1.0, 0),
-    (12, 0.0, 80, 0.0, 0, 0.0, 1, 0, 0, 52, 0.4, 0),
-    (40, 0.0, 30, 0.0, 25, 0.0, 1, 0, 0, 200, 0.0, 0),
-    (25, 0.0, 40, 0.0, 60, 0.0, 1, 1, 0, 25, 0.0, 0),
-    (60, 0.0, 50, 0.0, 45, 0.0, 1, 1, 0, 66, 0.4, 0),
-    (4, 0.0, 5, 0.0, 50, 0.0, 1, 1, 1, 44, 0.0, 0),
-    (5, 0.0, 3, 1.0, 44, 0.0, 1, 0, 1, 165, 0.0, 0),
-    (7, 0.0, 1, 1.0, 9, 0.0, 1, 0, 0, 7, 0.4, 0),
-    (90, 0.1, 70, 0.0, 80, 0.0, 1, 0, 0, 96, 0.1, 0),
-    (1, 0.0, 1, 0.0, 2, 0.0, 0, 0, 0, 400, 0.0, 1),
-    (2, 0.0, 1, 0.0, 1, 0.0, 0, 0, 0, 150, 0.02, 1),
-    (6, 0.0, 2, 1.0, 3, 0.0, 0, 0, 1, 310, 0.01, 1),
-    (3, 0.0, 2, 0.0, 5, 0.3, 0, 0, 0, 220, 0.05, 1),
-    (12, 0.2, 3, 0.0, 0, 0.0, 0, 0, 0, 260, 0.04, 1),
-    (1, 0.0, 40, 0.0, 9, 0.0, 0, 0, 0, 180, 0.0, 1),
-    (1, 1.0, 1, 1.0, 1, 1.0, 0, 0, 0, 300, 0.08, 0),
-    (2, 1.0, 2, 1.0, 60, 0.0, 0, 0, 0, 420, 0.04, 0),
-    (4, 0.8, 3, 1.0, 2, 1.0, 0, 0, 0, 200, 0.1, 0),
-    (9, 0.0, 30, 0.0, 0, 0.0, 0, 0, 0, 9, 0.0, 0),
-    (11, 0.0, 45, 0.0, 3, 0.0, 0, 0, 0, 14, 0.0, 0),
-    (8, 0.0, 1, 1.0, 50, 0.0, 0, 0, 0, 8, 0.0, 0),
-    (16, 0.0, 2, 1.0, 60, 0.0, 0, 0, 0, 16, 0.0, 0),
-    (4, 1.0, 3, 1.0, 5, 1.0, 0, 1, 0, 12, 1.0, 1),
-    (2, 0.0, 5, 1.0, 3, 1.0, 0, 1, 0, 10, 0.8, 1),
-    (11, 0.6, 40, 0.0, 2, 0.0, 0, 1, 0, 11, 0.6, 1),
-    (1, 0.0, 1, 0.0, 1, 0.0, 0, 1, 0, 3, 0.0, 1),
-    (5, 1.0, 60, 0.0, 70, 0.0, 0, 1, 0, 140, 0.4, 1),
-    (18, 0.0, 0, 0.0, 0, 0.0, 0, 1, 0, 18, 0.0, 1),
-    (7, 0.9, 7, 0.9, 8, 0.9, 0, 1, 0, 60, 0.9, 1),
-    (3, 0.0, 3, 0.0, 40, 0.0, 0, 1, 1, 46, 0.0, 1),
-    (15, 0.5, 2, 1.0, 2, 1.0, 0, 1, 0, 19, 0.6, 1),
-    (9, 1.0, 9, 1.0, 30, 0.0, 0, 1, 0, 18, 1.0, 1),
-    (30, 0.7, 20, 0.0, 20, 0.0, 0, 1, 0, 90, 0.5, 1),
-    (2, 1.0, 8, 0.0, 6, 0.0, 0, 1, 0, 4, 0.5, 1),
-    (70, 0.0, 60, 0.0, 80, 0.0, 1, 0, 0, 700, 0.0, 0),
-    (45, 0.02, 30, 0.0, 50, 0.0, 1, 1, 0, 400, 0.02, 0),
-    (5, 0.0, 45, 0.0, 60, 0.0, 1, 1, 0, 300, 0.0, 0),
-    (28, 0.0, 30, 0.0, 0, 0.0, 1, 0, 0, 240, 0.03, 0),
-    (6, 0.0, 20, 0.0, 35, 0.0, 1, 0, 1, 500, 0.01, 0),
-    (33, 0.0, 35, 0.0, 40, 0.0, 1, 1, 0, 180, 0.0, 0),
-    (90, 0.0, 2, 1.0, 75, 0.0, 1, 0, 0, 900, 0.01, 0),
-    (14, 0.1, 26, 0.0, 31, 0.0, 1, 0, 0, 210, 0.02, 0),
-    (20, 0.0, 2, 1.0, 1, 1.0, 0, 0, 0, 20, 0.0, 0),
-    (24, 0.1, 1, 1.0, 0, 0.0, 0, 0, 0, 24, 0.1, 0),
-    (22, 0.0, 40, 0.0, 0, 0.0, 0, 0, 0, 22, 0.0, 0),
-    (30, 0.05, 12, 0.0, 0, 0.0, 0, 0, 0, 30, 0.05, 0),
-    (19, 0.0, 3, 1.0, 2, 1.0, 0, 0, 0, 19, 0.0, 0),
-    (26, 0.0, 1, 1.0, 3, 1.0, 0, 0, 0, 26, 0.0, 0),
-    (60, 0.0, 1, 1.0, 2, 1.0, 0, 0, 0, 60, 0.0, 1),
-    (48, 0.0, 3, 1.0, 9, 0.0, 0, 0, 0, 48, 0.0, 1),
-    (25, 0.0, 8, 0.0, 30, 0.0, 0, 0, 0, 25, 0.0, 1),
-    (28, 0.0, 35, 0.0, 42, 0.0, 0, 0, 0, 28, 0.0, 1),
-    (3, 0.7, 24, 0.0, 0, 0.0, 0, 0, 0, 52, 0.1, 0),
-    (5, 0.6, 40, 0.0, 1, 1.0, 0, 0, 0, 160, 0.06, 0),
-    (20, 0.4, 30, 0.0, 25, 0.0, 0, 0, 0, 300, 0.05, 1),
-    (14, 0.45, 8, 0.0, 40, 0.0, 0, 0, 0, 190, 0.08, 1),
-    (120, 0.0, 100, 0.0, 110, 0.0, 1, 0, 0, 1500, 0.0, 1),
-    (140, 0.01, 120, 0.0, 90, 0.0, 1, 1, 0, 1800, 0.01, 1),
-    (130, 0.0, 2, 1.0, 115, 0.0, 1, 0, 0, 1250, 0.02, 1),
-    (160, 0.02, 125, 0.0, 4, 0.0, 1, 1, 0, 1400, 0.01, 1),
-)
+#: words before a cue that make a class a state of the element, and cues of elements that do not wrap an article without saying so
+STATES = frozenset("has with without no not is show hide hidden".split())
+TALK = frozenset("comment comments commentlist disqus replies respond".split())
+FEATURES = (
+    "words", "links", "words_before", "links_before", "words_after", "links_after",
+    "apart", "cued", "main", "heading", "box_words", "box_links", "page_words",
+)
 
 
 @dataclass
@@ -174,40 +70,48 @@ class Block:
     heading: bool
     box: int
     cue: int  # innermost element around it whose class, id or role says apart; 0 for none
+    cued: bool = False
 
 
 def _attributes(rest: str) -> tuple[set[str], bool]:
-    """Words of class, id and role, and whether the element is hidden."""
+    """Words of class, id and role but for states such as ``has-sidebar``, and whether the element is hidden."""
     cues: set[str] = set()
     hidden = False
     for name, value in _ATTRIBUTE.findall(rest.lower()):
         value = value.strip("\"'")
         if name in ("class", "id", "role"):
-            cues.update(re.split(r"[^a-z0-9]+", value))
+            for token in value.split():
+                words = [w for w in re.split(r"[^a-z0-9]+", token) if w]
+                if words and not (len(words) > 1 and words[0] in STATES):
+                    cues.update(words)
         hidden = hidden or name == "hidden" or name == "aria-hidden" and value.strip() == "true" or name == "style" and bool(_NOT_SHOWN.search(value))
     return cues, hidden
 
 
-def _spread(found: list[Block], parents: list[int], articles: list[int]) -> None:
-    """Set blocks apart by the cues around them, but not by those of a wrapper.
+def _spread(found: list[Block], parents: list[int], articles: list[int], talk: set[int]) -> None:
+    """Mark blocks as cued by the cues around them, but not by those of a wrapper.
 
     A wrapper holds every article and main element of the page, or, where there
-    are none, most of the words with few links and all text marked as main.
+    are none, most of the words with few links, all text marked as main, and the first
+    heading; an element of comments wraps nothing without such a heading.
     """
-    words, mains = [0] * len(parents), [0] * len(parents)
+    words, mains, heads = ([0] * len(parents) for _ in range(3))
+    first = next((b for b in found if b.heading and not b.apart), None)
     for b in found:
         if not b.apart:
             words[b.cue] += len(b.text.split(" ")) if b.links < 0.3 else 0
             mains[b.cue] += b.main
+            heads[b.cue] += b is first
     for i in range(len(parents) - 1, 0, -1):  # an element comes after those around it
-        for held in (words, mains, articles):
+        for held in (words, mains, articles, heads):
             held[parents[i]] += held[i]
-    apart = [False] * len(parents)
+    cued = [False] * len(parents)
     for i in range(1, len(parents)):
-        wraps = articles[i] == articles[0] if articles[0] else 2 * words[i] > words[0] and mains[i] == mains[0]
-        apart[i] = not wraps or apart[parents[i]]
+        most = 2 * words[i] > words[0] and mains[i] == mains[0] and heads[i] == heads[0] and (heads[0] or i not in talk)
+        wraps = articles[i] == articles[0] if articles[0] else most
+        cued[i] = not wraps or cued[parents[i]]
     for b in found:
-        b.apart = b.apart or apart[b.cue]
+        b.cued = cued[b.cue]
 
 
 def _raw_end(page: str, tag: str, at: int) -> int:
@@ -251,11 +155,13 @@ def blocks(page: str) -> list[Block]:
     out: list[Block] = []
     parts: list[str] = []
     linked: list[str] = []
-    # open elements: tag, apart, main, heading, link, own number and that of the element around it, innermost cue
-    stack: list[tuple[str, bool, bool, bool, bool, int, int, int]] = [("", False, False, False, False, 0, 0, 0)]
+    # open elements: tag, apart, main, heading, link, own number and that of the element around it, innermost cue, and
+    # where the paragraph and the list item stand that a new one closes
+    stack: list[tuple[str, bool, bool, bool, bool, int, int, int, int, int]] = [("", False, False, False, False, 0, 0, 0, 0, 0)]
+    count: Counter[str] = Counter()
     opened = 0
     # elements with a cue: the one around, and article and main elements inside; the first stands for the page
-    parents, articles = [0], [0]
+    parents, articles, talk = [0], [0], set()
     closed: dict[int, int] | None = None
     muted = False  # behind an unclosed silent element, up to the next block
 
@@ -263,7 +169,7 @@ def blocks(page: str) -> list[Block]:
         text = " ".join(html.unescape("".join(parts)).split())
         if text:
             in_links = len(" ".join(html.unescape("".join(linked)).split()))
-            _, apart, main, heading, _, _, box, cue = stack[-1]
+            _, apart, main, heading, _, _, box, cue, *_ = stack[-1]
             out.append(Block(text, min(1.0, in_links / len(text)), apart, main, heading, box, cue))
         parts.clear()
         linked.clear()
@@ -275,13 +181,17 @@ def blocks(page: str) -> list[Block]:
         if stack[-1][4]:
             linked.append(text)
 
-    def close(tag: str, within: frozenset[str] | tuple = ()) -> None:
-        for i in range(len(stack) - 1, 0, -1):
-            if stack[i][0] == tag:
-                del stack[i:]
-                return
-            if stack[i][0] in within:
-                return
+    def cut(i: int) -> None:
+        """Close the element at place ``i`` and all inside it."""
+        count.subtract(e[0] for e in stack[i:])
+        del stack[i:]
+
+    def close(tag: str) -> None:
+        if count[tag]:
+            i = len(stack) - 1
+            while stack[i][0] != tag:
+                i -= 1
+            cut(i)
 
     at, n = 0, len(page)
     while at < n:
@@ -329,14 +239,15 @@ def blocks(page: str) -> list[Block]:
         if rest.endswith("/") and inline:
             continue
         if not inline:
-            close("p", APART | MAIN | {"div", "section", "td", "li", "blockquote"})
-            if tag == "li":
-                close("li", ("ul", "ol", "menu"))
+            if stack[-1][8]:
+                cut(stack[-1][8])
+            if tag == "li" and stack[-1][9]:
+                cut(stack[-1][9])
             elif tag in HEADING and stack[-1][0] in HEADING:
-                stack.pop()
+                cut(len(stack) - 1)
         elif tag not in ("a", "span"):
             continue
-        _, apart, main, heading, link, own, box, cue = stack[-1]
+        _, apart, main, heading, link, own, box, cue, p_at, li_at = stack[-1]
         said, holds, cued = tag in APART, tag in MAIN, False
         if rest and tag not in ("html", "body", "article", "main"):
             cues, hidden = _attributes(rest)
@@ -346,6 +257,8 @@ def blocks(page: str) -> list[Block]:
             parents.append(cue)
             articles.append(0)
             cue = len(parents) - 1
+            if not cues.isdisjoint(TALK):
+                talk.add(cue)
         if tag in MAIN and not (apart or said):
             articles[cue] += 1
         if not inline:
@@ -353,9 +266,12 @@ def blocks(page: str) -> list[Block]:
             own, box = opened, own
         if (said or cued) and inline:  # an inline element apart is no part of the block around it
             flush()
-        stack.append((tag, apart or said, main or holds, heading or tag in HEADING, link or tag == "a", own, box, cue))
+        p_at = len(stack) if tag == "p" else 0 if tag in HOLDS_P else p_at
+        li_at = len(stack) if tag == "li" else 0 if tag in ("ul", "ol", "menu") else li_at
+        stack.append((tag, apart or said, main or holds, heading or tag in HEADING, link or tag == "a", own, box, cue, p_at, li_at))
+        count[tag] += 1
     flush()
-    _spread(out, parents, articles)
+    _spread(out, parents, articles, talk)
     return out
 
 
@@ -367,10 +283,12 @@ def described(found: Sequence[Block]) -> np.ndarray:
     for b, (n, links) in zip(found, own):
         held, linked = boxes.get(b.box, (0, 0.0))
         boxes[b.box] = (held + n, linked + n * links)
+    page = sum(n for b, (n, links) in zip(found, own) if links < 0.3 and not (b.apart or b.cued))
     rows = [
-        (*own[i], *around[i], *around[i + 2], float(b.apart), float(b.main), float(b.heading), boxes[b.box][0], boxes[b.box][1] / boxes[b.box][0])
+        (*own[i], *around[i], *around[i + 2], float(b.apart), float(b.cued), float(b.main), float(b.heading),
+         boxes[b.box][0], boxes[b.box][1] / boxes[b.box][0], page)
         for i, b in enumerate(found)
-    ]
+    ]
     return np.array(rows, float).reshape(-1, len(FEATURES))
 
 
@@ -423,17 +341,20 @@ def main_text(page: str | None, tree: Node) -> str:
     return "\n\n".join(b.text for b, k in zip(found, keep) if k)
 
 
-def extract_text(
-    pages: DataFrame, key: str = "page_id", page: str = "html", carry: Sequence[str] = (), labelled: Sequence[Sequence[float]] = LABELLED
-) -> DataFrame:
+def trained() -> Node:
+    """The tree of the labelled shapes."""
+    return train(*page_shapes.measured())
+
+
+def extract_text(pages: DataFrame, key: str = "page_id", page: str = "html", carry: Sequence[str] = (), tree: Node | None = None) -> DataFrame:
     """Key, the columns ``carry``, ``text`` and ``n_chars`` of every row.
 
     Null, empty and textless pages give an empty text.  Rows are judged one by
-    one, so repeated rows give repeated results.  ``labelled`` rows hold the
-    FEATURES and a label.
+    one, so repeated rows give repeated results.  Columns that are not named are not
+    read; a carried column named ``text`` or ``n_chars``, or like the key, comes out with ``page_`` before its name.
+    ``tree`` judges rows of FEATURES.
     """
-    table = np.array(labelled, float)
-    tree = train(table[:, :-1], table[:, -1])
+    tree = tree or trained()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in byte_slices(batches, "page"):
@@ -448,4 +369,4 @@ def extract_text(
     picked = pages.select(*[F.col(c).alias(f"c{i}") for i, c in enumerate(names)], F.col(page).cast("string").alias("page"))
     kinds = ", ".join(f"c{i} {picked.schema[f'c{i}'].dataType.simpleString()}" for i in range(len(names)))
     out = picked.mapInArrow(run, f"{kinds}, text string, n_chars bigint")
-    return out.toDF(*names, "text", "n_chars")
+    return out.toDF(key, *[f"page_{c}" if c in ("text", "n_chars", key) else c for c in carry], "text", "n_chars")
