@@ -15,7 +15,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from millrace.llm.texts import NOT_ALNUM, ascii_lower, few_rows, word_array
+from millrace.llm.texts import NOT_ALNUM, ascii_lower, few_rows, set_apart, word_array
 from millrace.session import stable
 
 #: words hashed together, at most
@@ -141,8 +141,10 @@ def decontaminate(
     item, or of a whole shorter item.  ``items`` lists the item keys as
     strings, sorted.  Null texts have no words; a null item key counts as the
     empty string; rows that repeat key and text get equal results; without
-    benchmark words nothing is contaminated.
+    benchmark words nothing is contaminated.  Other columns are not read.
     """
+    name, docs = key, docs.select(F.col(key).alias("__key"), F.col(text).alias("__body"))
+    key, text = "__key", "__body"
     scan, found, windows = hits(docs, items, key, text, item, item_text, window)
     covered = found.select(key, "__h", F.explode(F.sequence(F.col("at"), F.col("at") + F.col("width") - 1)).alias("spot"))
     covered = covered.distinct().groupBy(key, "__h").agg(F.count(F.lit(1)).alias("n_hit"))
@@ -163,7 +165,7 @@ def decontaminate(
     rows = docs.select(F.col(key), F.xxhash64(F.coalesce(F.col(text), F.lit(""))).alias("__h"))
     rows = rows.join(sizes, same).drop("__k", "__hh").join(verdicts, same, "left")
     return rows.select(
-        key,
+        F.col(key).alias(name),
         "n_words",
         F.coalesce("n_hit", F.lit(0)).cast("long").alias("n_hit"),
         F.coalesce(F.size("items"), F.lit(0)).cast("long").alias("n_items"),
@@ -175,8 +177,10 @@ def decontaminate(
 def without_benchmark(
     docs: DataFrame, items: DataFrame, key: str = "doc_id", text: str = "text", item: str = "item_id", item_text: str = "text", window: int = 10
 ) -> DataFrame:
-    """The rows of ``docs`` in which no benchmark window occurs, with all their columns."""
-    _, found, _ = hits(docs, items, key, text, item, item_text, window)
-    bad = few_rows(found.select(F.col(key).alias("__k"), F.col("__h").alias("__hh")).distinct())
+    """The rows of ``docs`` in which no benchmark window occurs, with all their columns, whatever their names."""
+    docs, (key, text), back = set_apart(docs, key, text)
+    rows = docs.select(F.col(key).alias("__key"), F.col(text).alias("__body"))
+    _, found, _ = hits(rows, items, "__key", "__body", item, item_text, window)
+    bad = few_rows(found.select(F.col("__key").alias("__k"), F.col("__h").alias("__hh")).distinct())
     text_hash = F.xxhash64(F.coalesce(F.col(text), F.lit("")))
-    return docs.join(bad, F.col(key).eqNullSafe(F.col("__k")) & (text_hash == F.col("__hh")), "left_anti")
+    return back(docs.join(bad, F.col(key).eqNullSafe(F.col("__k")) & (text_hash == F.col("__hh")), "left_anti"))

@@ -27,7 +27,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from millrace.llm.texts import ascii_lower, byte_slices, few_rows
+from millrace.llm.texts import ascii_lower, byte_slices, few_rows, set_apart
 from millrace.session import stable
 
 #: bits of the partition number settled in a round: 16 runs meet
@@ -147,8 +147,9 @@ def without_copies(docs: DataFrame, key: str = "doc_id", text: str = "text", kee
     """``docs`` without the rows that :func:`exact_groups` drops, and without repeats of a kept row.
 
     The rows come back with all their columns; of rows that repeat key and
-    text an arbitrary one stays.
+    text an arbitrary one stays.  Columns of any name pass through.
     """
+    docs, (key, text), back = set_apart(docs, key, text)
     groups = exact_groups(docs, key, text, keep).select(F.col(key).alias("__k"), F.col("text_sha256").alias("__s"), "kept")
     seen = stable(groups.groupBy("__k", "__s", "kept").agg(F.count(F.lit(1)).alias("__rows")).where("not kept or __rows > 1"))
     marked = docs.withColumn("__sha", F.sha2(ascii_lower(F.coalesce(F.col(text), F.lit(""))), 256))
@@ -157,4 +158,4 @@ def without_copies(docs: DataFrame, key: str = "doc_id", text: str = "text", kee
     again = seen.where("kept").select("__k", "__s")
     if again.limit(1).count():
         out = out.unionByName(marked.join(few_rows(again), same, "left_semi").dropDuplicates([key, "__sha"]))
-    return out.drop("__sha")
+    return back(out.drop("__sha"))

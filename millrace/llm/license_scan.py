@@ -20,6 +20,10 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from millrace.llm.texts import NOT_ALNUM, byte_slices, byte_table, split_words
+from millrace.session import fetch_small
+
+#: words between two matches of a chain that are always allowed, and templates a table may have
+LEAST_GAP, MOST_TEMPLATES = 8, 10_000
 
 # Phrases whose places are counted, with their labels.
 PHRASES = {
@@ -77,28 +81,37 @@ def words_of(text: str) -> list[str]:
 class Automaton:
     """Suffix automaton of several sequences; its size is linear in their total length.
 
-    ``seen[state]`` lists (sequence, end) of every occurrence of the state's strings.
+    ``own[state]`` lists (sequence, end) of the occurrences that no longer state
+    holds; all occurrences of a state's strings are those below it in the tree of links.
     """
 
     def __init__(self, sequences: Sequence[Sequence[int]]):
         self.next: list[dict[int, int]] = [{}]
         self.link = [-1]
         self.length = [0]
-        self.seen: list[list[tuple[int, int]]] = [[]]
+        self.own: list[list[tuple[int, int]]] = [[]]
         for n, sequence in enumerate(sequences):
             last = 0
             for i, word in enumerate(sequence):
                 last = self._extend(last, word)
-                self.seen[last].append((n, i + 1))
-        for state in sorted(range(1, len(self.length)), key=lambda s: -self.length[s]):
-            self.seen[self.link[state]] += self.seen[state]
-        self.seen[0] = []
+                self.own[last].append((n, i + 1))
+        self.below: list[list[int]] = [[] for _ in self.link]
+        for state in range(1, len(self.link)):
+            self.below[self.link[state]].append(state)
+
+    def seen(self, state: int) -> Iterator[tuple[int, int]]:
+        """(sequence, end) of every occurrence of the state's strings."""
+        left = [state]
+        while left:
+            at = left.pop()
+            yield from self.own[at]
+            left += self.below[at]
 
     def _state(self, length: int, link: int, following: dict[int, int]) -> int:
         self.next.append(following)
         self.link.append(link)
         self.length.append(length)
-        self.seen.append([])
+        self.own.append([])
         return len(self.length) - 1
 
     def _split(self, state: int, word: int) -> int:
@@ -144,35 +157,41 @@ class Automaton:
 class Scanner:
     """Templates made ready: vocabulary, automaton and lengths.  Bounded by the templates, not by the corpus."""
 
-    def __init__(self, templates: Mapping[str, str], phrases: Mapping[str, str], shortest: int, gap: int):
-        self.labels = list(templates)
-        texts = [words_of(templates[x]) for x in self.labels]
+    def __init__(self, templates: Mapping[str, str] | Sequence[tuple[str, str]], phrases: Mapping[str, str], shortest: int, gap: float):
+        pairs = [(x, words_of(t)) for x, t in (templates.items() if isinstance(templates, Mapping) else templates)]
+        pairs = [p for p in pairs if p[1]]
+        self.labels, texts = [x for x, _ in pairs], [t for _, t in pairs]
         known = [words_of(p) for p in phrases]
         vocabulary = {w: i for i, w in enumerate(dict.fromkeys(w for t in texts + known for w in t))}
         self.vocabulary = list(vocabulary)
         self.sizes = [len(t) for t in texts]
         self.automaton = Automaton([[vocabulary[w] for w in t] for t in texts])
         self.phrases = [([vocabulary[w] for w in p], label) for p, label in zip(known, phrases.values())]
-        self.shortest, self.gap = shortest, gap
+        self.shortest = shortest
+        self.gaps = [max(LEAST_GAP, round(gap * n)) for n in self.sizes]
 
     def spans(self, words: np.ndarray) -> list[tuple[int, int, int, int]]:
         """(template, first word, end, template words covered) of the chains in a document's word numbers."""
         known = np.concatenate([[False], words >= 0, [False]])
         edges = np.flatnonzero(known[1:] != known[:-1]).reshape(-1, 2)
-        chains: dict[int, list[list[int]]] = defaultdict(list)  # template: [first, end, template end, covered]
+        # per template the chains that may still grow, and the finished ones: [first, end, template end, covered]
+        chains: dict[int, list[list[int]]] = defaultdict(list)
+        finished: list[tuple[int, int, int, int]] = []
         for lo, hi in edges[edges[:, 1] - edges[:, 0] >= self.shortest].tolist():
             for end, length, state in self.automaton.matches(words[lo:hi].tolist(), self.shortest):
                 start, end = lo + end - length, lo + end
-                for template, t_end in self.automaton.seen[state]:
-                    self._chain(chains[template], start, end, t_end, length)
-        return [(t, c[0], c[1], c[3]) for t, made in chains.items() for c in made]
+                for template, t_end in self.automaton.seen(state):
+                    made, reach = chains[template], start - self.gaps[template]
+                    if any(c[1] < reach for c in made):  # matches start ever later, so these grow no more
+                        finished += [(template, c[0], c[1], c[3]) for c in made if c[1] < reach]
+                        made[:] = [c for c in made if c[1] >= reach]
+                    self._chain(made, start, end, t_end, length)
+        return finished + [(t, c[0], c[1], c[3]) for t, made in chains.items() for c in made]
 
     def _chain(self, made: list[list[int]], start: int, end: int, t_end: int, length: int) -> None:
-        """Grow the best chain that this match follows, or begin one; only chains within reach are looked at."""
+        """Grow the best chain that this match follows, or begin one."""
         best, gain = None, 0
-        for c in reversed(made):
-            if start > c[1] + self.gap:
-                break
+        for c in made:
             fresh = length - max(0, c[1] - start, c[2] - (t_end - length))
             if end > c[1] and t_end > c[2] and fresh > 0 and c[3] + fresh > gain:
                 best, gain = c, c[3] + fresh
@@ -189,22 +208,28 @@ def scan_licenses(
     docs: DataFrame,
     key: str = "doc_id",
     text: str = "text",
-    templates: Mapping[str, str] = TEMPLATES,
+    templates: Mapping[str, str] | DataFrame = TEMPLATES,
     phrases: Mapping[str, str] = PHRASES,
     shortest: int = 4,
-    gap: int = 8,
+    gap: float = 0.6,
     covered: float = 0.8,
 ) -> DataFrame:
     """Per row: key, ``n_words``, ``n_base``, ``first_word``, ``last_word``, ``base_labels``, ``labels``, ``score``, ``spans``.
 
     ``n_base`` counts the places where a phrase's words stand together, words
     counted from 0.  ``spans`` lists the chains that cover the share ``covered``
-    of a template or more, with the words they reach over; their labels join
-    the phrases' in ``labels``.  ``score`` is the largest share of a template
+    of a template or more, with the words they reach over; the words between
+    two matches of a chain are at most the share ``gap`` of the template's.
+    Their labels join the phrases' in ``labels``.  ``score`` is the largest share of a template
     found, and 1 where a phrase stands.  Null and empty texts have no words,
-    score 0 and null places; every row is judged by itself.
+    score 0 and null places; every row is judged by itself, and other columns
+    are not read.  ``templates`` maps labels to texts, or is a table with columns
+    ``label`` and ``text`` of at most ``MOST_TEMPLATES`` rows; texts of one label are templates of
+    their own.
     """
     spark = docs.sparkSession
+    if isinstance(templates, DataFrame):
+        templates = [(r["label"], r["text"] or "") for r in fetch_small(templates.select("label", "text"), MOST_TEMPLATES, "licence templates")]
     scanner = spark.sparkContext.broadcast(Scanner(templates, phrases, shortest, gap))  # as large as the templates
     table = byte_table(NOT_ALNUM)
 

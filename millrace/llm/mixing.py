@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from millrace.llm.texts import few_rows, word_array, SPACE
+from millrace.llm.texts import few_rows, set_apart, word_array, SPACE
 from millrace.session import stable
 
 #: hexadecimal digits of the hash that seed a draw: 2^48 steps
@@ -78,12 +78,13 @@ def mix_counts(
     the fraction.  Null keys share one draw, repeated rows draw alike.
     """
     per = targets.select(F.col(source).alias("__s"), "source_size", "target", "rate")
+    docs, (key, source), back = set_apart(docs, key, source)
     out = docs.drop("source_size", "target", "rate", "copies").join(
         few_rows(per), F.col(source).eqNullSafe(F.col("__s")), "left"
     )
     whole = F.floor("rate")
     extra = (draw(F.col(key), seed) < F.col("rate") - whole).cast("int")
-    return out.withColumn("copies", (whole + extra).cast("int")).drop("__s")
+    return back(out.withColumn("copies", (whole + extra).cast("int")).drop("__s"))
 
 
 def mix(
@@ -98,11 +99,13 @@ def mix(
 ) -> DataFrame:
     """The mixed corpus: every document ``copies`` times, numbered in ``copy`` from 0.
 
-    Other columns pass through, those named like a result are replaced.  Null
+    Other columns pass through whatever their names, but those named like a
+    result (``copy``, ``copies``, ``source_size``, ``target``, ``rate``) are replaced or go.  Null
     and empty texts count no words; they repeat at their source's rate, so a
     source without words takes no part.  An empty table mixes to an empty one.
     """
     targets = stable(source_targets(docs.select(F.col(source), word_count(F.col(text)).alias("size")), source, "size", weights, share, most))
     out = mix_counts(docs, targets, key, source, seed).where("copies > 0")
     again = F.explode(F.sequence(F.lit(0), F.col("copies") - 1)).alias("copy")
-    return out.select(*[c for c in docs.columns if c not in ("copy", "copies")], again)
+    gone = ("copy", "copies", "source_size", "target", "rate")
+    return out.select(*[F.col(f"`{c}`") for c in docs.columns if c not in gone], again)

@@ -26,7 +26,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from millrace.llm.components import connected_components
-from millrace.llm.texts import SPACE, byte_slices, byte_table, few_rows
+from millrace.llm.texts import byte_slices, byte_table, few_rows, set_apart, SPACE
 from millrace.session import stable
 
 SEED = 42
@@ -168,8 +168,10 @@ def fingerprint_hex(fp: Column) -> Column:
 def one_of_each(docs: DataFrame, key: str = "doc_id", text: str = "text", width: int = 3, bits: int = 2) -> DataFrame:
     """``docs`` with the row of the smallest key of each component only, all columns kept.
 
-    Rows with a null key stay; of rows that repeat a kept key an arbitrary one stays.
+    Rows with a null key stay; of rows that repeat a kept key an arbitrary one
+    stays.  Columns of any name pass through.
     """
+    docs, (key, text), back = set_apart(docs, key, text)
     groups = near_groups(docs, key, text, width, bits)
     rows = groups.where(F.col(key).isNotNull()).groupBy(F.col(key).alias("__k"))
     rows = stable(rows.agg(F.min("component_id").alias("__c"), F.count(F.lit(1)).alias("__n")))
@@ -177,4 +179,4 @@ def one_of_each(docs: DataFrame, key: str = "doc_id", text: str = "text", width:
     again = rows.where("__c = __k and __n > 1").select("__k")
     if again.limit(1).count():
         out = out.unionByName(docs.join(few_rows(again), F.col(key) == F.col("__k"), "left_semi").dropDuplicates([key]))
-    return out
+    return back(out)

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -25,6 +25,24 @@ def ascii_lower(text: Column) -> Column:
     return F.when(plain, F.lower(text)).otherwise(F.translate(text, UPPER, LOWER))
 
 
+def set_apart(docs: DataFrame, *names: str) -> tuple[DataFrame, list[str], Callable[[DataFrame], DataFrame]]:
+    """``docs`` without columns that begin with two underscores, the new names of ``names``, and a function that restores them.
+
+    Operators name their own columns with two underscores; columns of the
+    caller that do so too get another name meanwhile.
+    """
+    taken, new = set(docs.columns), {}
+    for c in docs.columns:
+        if c.startswith("__"):
+            name = f"own_{c.strip('_') or 'column'}"
+            while name in taken:
+                name += "_"
+            taken.add(name)
+            new[c] = name
+    back = {v: k for k, v in new.items()}
+    return docs.withColumnsRenamed(new), [new.get(n, n) for n in names], lambda df: df.withColumnsRenamed(back)
+
+
 def word_array(text: Column, between: str) -> Column:
     """The words of a text in order; null and empty texts have none."""
     return F.filter(F.split(F.coalesce(text, F.lit("")), between), lambda w: w != "")

@@ -24,7 +24,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from millrace.llm.texts import SPACE, byte_slices, byte_table
+from millrace.llm.texts import SPACE, byte_slices, byte_table, set_apart
 from millrace.session import fetch_small
 
 #: words in a window, and from one window to the next
@@ -230,5 +230,6 @@ def score(docs: DataFrame, model: Model, text: str = "text", name: str = "score"
 
 
 def without_toxic(docs: DataFrame, model: Model, text: str = "text", cut: float = 0.5) -> DataFrame:
-    """The rows of ``docs`` that score below ``cut``, with all their columns."""
-    return score(docs, model, text, "__score").where(F.col("__score") < cut).drop("__score")
+    """The rows of ``docs`` that score below ``cut``, with all their columns, whatever their names."""
+    docs, (text,), back = set_apart(docs, text)
+    return back(score(docs, model, text, "__score").where(F.col("__score") < cut).drop("__score"))

@@ -17,6 +17,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from millrace.llm.texts import set_apart
 from millrace.session import fetch_small, stable
 
 #: most bits of one level, 64 of them in a number: 8 MB; about six million listed keys at the default bits a key
@@ -109,7 +110,7 @@ def _suffixes(host: Column) -> Column:
 def filter_urls(
     pages: DataFrame,
     rules: Sequence[tuple[str, str]],
-    blocked_hosts: Sequence[str] = (),
+    blocked_hosts: Sequence[str] | DataFrame = (),
     url: str = "url",
     bits_per_key: int = 8,
 ) -> DataFrame:
@@ -119,16 +120,18 @@ def filter_urls(
     rule fits its host and all below it where the path starts with the
     rule's.  Of several the longest counts, among equally long ones that of the
     longest host; a rule given as both is a block.  Without a rule a page is
-    blocked if its host, or a host above it, is in ``blocked_hosts``, and
-    allowed otherwise.
+    blocked if its host, or a host above it, is in ``blocked_hosts`` (hosts, or
+    a table with a column ``host``), and allowed otherwise.
 
     Every host suffix of a page with every prefix of its path that is as long
     as a rule's path is a key; the distinct keys of all pages are the universe
     of the rules' cascades, the distinct suffixes that of the host list's.
     Null urls have empty host and path and fit no rule.  Columns named like a
-    result are replaced; an empty table stays empty.
+    result are replaced, others pass through whatever their names; an empty
+    table stays empty.
     """
     spark = pages.sparkSession
+    pages, (url,), back = set_apart(pages, url)
     at = with_url_parts(pages.drop("host", "path", "rule", "verdict"), url)
     actions: dict[str, str] = {}
     for action, rule in rules:
@@ -151,7 +154,9 @@ def filter_urls(
 
     block = cascade(listed([r for r, a in actions.items() if a == "block"]), pairs, bits_per_key)
     allow = cascade(listed([r for r, a in actions.items() if a == "allow"]), pairs, bits_per_key)
-    host_list = cascade(listed([h.translate({c: c + 32 for c in range(65, 91)}) for h in blocked_hosts]), hosts, bits_per_key)
+    spam_hosts = blocked_hosts if isinstance(blocked_hosts, DataFrame) else listed(blocked_hosts).toDF("host")
+    lower = F.translate("host", "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
+    host_list = cascade(spam_hosts.select(lower.alias("key")), hosts, bits_per_key)
 
     def judged(h: Column, p: Column) -> Column:
         key = F.concat(h, p)
@@ -162,9 +167,10 @@ def filter_urls(
     best = F.array_max(F.filter(fits, lambda f: f["verdict"].isNotNull()))
     out = at.withColumn("__best", best)
     spam = F.exists("__up", lambda h: in_cascade(host_list, h))
-    return out.withColumns(
+    out = out.withColumns(
         {
             "rule": F.col("__best.rule"),
             "verdict": F.coalesce(F.col("__best.verdict"), F.when(spam, "block").otherwise("allow")),
         }
-    ).drop("__up", "__starts", "__best")
+    )
+    return back(out.drop("__up", "__starts", "__best"))

@@ -6,7 +6,7 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
-from millrace.llm import decontamination, mixing, url_filter
+from millrace.llm import decontamination, exact_dedup, mixing, simhash_dedup, toxicity, url_filter
 from millrace.llm.queries import QUERIES
 from tests.conftest import DATA
 
@@ -188,3 +188,52 @@ def test_long_spans_of_short_windows_and_empty_tables(spark):
     assert decontamination.decontaminate(docs, items.where("false")).where("contaminated").count() == 0
     assert decontamination.decontaminate(docs.where("false"), items).count() == 0
     assert decontamination.without_benchmark(docs, items.where("false")).count() == 2
+
+
+# ---------------------------------------------------------------- names
+
+
+CLASH = "doc_id bigint, text string, source string, __k bigint, __s string, __c int, __h bigint, __hh int, __sha string, __score double, __n int, __key int, __body int, own_k int, at int, copy int, rate int"
+
+
+def test_columns_of_any_name_pass_through(spark):
+    """Columns named like an operator's own, and keys and texts under such names."""
+    rows = [(i, f"text number {i % 3} of some few words here {'and more of it ' * (i % 3)}", "s", i, "x", 1, 2, 3, "y", 0.25, 4, 5, 6, 7, 8, 9, 10) for i in range(9)]
+    docs = spark.createDataFrame(rows, CLASH)
+    items = spark.createDataFrame([("i", rows[1][1])], "item_id string, text string")
+    labels = spark.createDataFrame([(i, i % 2) for i in range(9)], "doc_id bigint, toxic int")
+    model = toxicity.fit(docs, labels)
+    kept = {
+        "exact": exact_dedup.without_copies(docs, keep="max"),
+        "near": simhash_dedup.one_of_each(docs, bits=0),
+        "leaks": decontamination.without_benchmark(docs, items),
+        "toxic": toxicity.without_toxic(docs, model, cut=2.0),
+    }
+    want = {"exact": {6, 7, 8}, "near": {0, 1, 2}, "leaks": {0, 2, 3, 5, 6, 8}, "toxic": set(range(9))}
+    for name, out in kept.items():
+        assert out.columns == docs.columns
+        got = out.collect()
+        assert {r["doc_id"] for r in got} == want[name] and {tuple(r) for r in got} <= set(rows)
+    mixed = mixing.mix(docs)
+    assert mixed.columns == [c for c in docs.columns if c not in ("copy", "rate")] + ["copy"]
+    assert mixed.count() >= 9
+
+    names = {"doc_id": "__k", "text": "__sha", "__k": "doc_id", "__sha": "text"}
+    odd = docs.withColumnsRenamed({"doc_id": "a1", "text": "b1", "__k": "c1", "__sha": "d1"}).withColumnsRenamed({"a1": "__k", "b1": "__sha", "c1": "doc_id", "d1": "text"})
+    assert set(names) <= set(odd.columns)
+    assert {r["__k"] for r in exact_dedup.without_copies(odd, "__k", "__sha", keep="max").collect()} == {6, 7, 8}
+    assert {r["__k"] for r in decontamination.without_benchmark(odd, items, "__k", "__sha").collect()} == want["leaks"]
+    assert {r["__k"] for r in simhash_dedup.one_of_each(odd, "__k", "__sha", bits=0).collect()} == {0, 1, 2}
+    assert {r["__k"] for r in toxicity.without_toxic(odd, model, "__sha", cut=2.0).collect()} == set(range(9))
+
+    at = docs.withColumn("at", F.col("doc_id")).select("at", "text")
+    got = {r["at"]: r["contaminated"] for r in decontamination.decontaminate(at, items, key="at").collect()}
+    assert {i for i, bad in got.items() if bad} == {1, 4, 7}
+
+
+def test_listed_hosts_from_a_table(spark):
+    pages = spark.createDataFrame([("http://a.Bad.example/x", 1), ("http://good.example/", 2)], "url string, __up int")
+    listed = spark.createDataFrame([("BAD.example",), (None,)], "host string")
+    got = url_filter.filter_urls(pages, [], listed)
+    assert got.columns == ["url", "__up", "host", "path", "rule", "verdict"]
+    assert {r["__up"]: r["verdict"] for r in got.collect()} == {1: "block", 2: "allow"}

@@ -1,9 +1,11 @@
 """Licence scan, chat format, page text and toxicity on small fixtures."""
 
 import functools
+import random
 import re
 import time
 
+import numpy as np
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
@@ -44,7 +46,7 @@ def test_automaton_gives_matching_statistics(templates, words):
     for end, length, state in automaton.matches(words, 2):
         got[end] = length
         places = {(t, i) for t, x in enumerate(templates) for i in range(len(x) + 1) if x[max(0, i - length) : i] == words[end - length : end] and i >= length}
-        assert set(automaton.seen[state]) == places
+        assert set(automaton.seen(state)) == places
     assert got == ends
 
 
@@ -82,6 +84,57 @@ def test_spans_of_templates(spark):
     assert license_scan.scan_licenses(docs(spark, texts).where("false")).count() == 0
 
 
+def edited(words, rng, edits):
+    """A copy with stretches of other words put in at random places, and the share of words in stretches of four or more."""
+    cuts = sorted(rng.sample(range(1, len(words)), edits))
+    out, kept = [], 0
+    for a, b in zip([0, *cuts], [*cuts, len(words)]):
+        out += words[a:b] + (["zzz"] * rng.randint(1, 5) if b < len(words) else [])
+        kept += (b - a) * (b - a >= 4)
+    return out, kept / len(words)
+
+
+@pytest.mark.parametrize("label", ["apache-2.0-notice", "bsd", "isc", "mit-text", "gpl-notice"])
+def test_edited_copies_keep_their_label(label):
+    """Of copies whose stretches cover 0.8 or more, at most one in a hundred loses its label."""
+    rng = random.Random(label)
+    scanner = license_scan.Scanner(license_scan.TEMPLATES, license_scan.PHRASES, 4, 0.6)
+    numbers = {w: i for i, w in enumerate(scanner.vocabulary)}
+    words, at = license_scan.words_of(license_scan.TEMPLATES[label]), scanner.labels.index(label)
+    tried = lost = 0
+    while tried < 1500:
+        copy, share = edited(words, rng, rng.randint(2, 6))
+        if share >= 0.8:
+            tried += 1
+            spans = scanner.spans(np.array([numbers.get(w, -1) for w in copy]))
+            lost += max((c / len(words) for t, _, _, c in spans if t == at), default=0.0) < 0.8
+    assert lost <= tried / 100
+
+
+def test_stretches_far_apart_are_no_copy():
+    scanner = license_scan.Scanner(license_scan.TEMPLATES, license_scan.PHRASES, 4, 0.6)
+    numbers = {w: i for i, w in enumerate(scanner.vocabulary)}
+    words = license_scan.words_of(license_scan.TEMPLATES["isc"])
+    copy = [w for i in range(0, len(words), 6) for w in words[i : i + 6] + ["zzz"] * 60]
+    spans = scanner.spans(np.array([numbers.get(w, -1) for w in copy]))
+    assert max(c for _, _, _, c in spans) < 0.8 * len(words)
+
+
+def test_repetitive_templates_stay_linear():
+    words = [0, 1] * 20_000
+    start = time.perf_counter()
+    automaton = license_scan.Automaton([words, words[:1000]])
+    assert sum(map(len, automaton.own)) == len(words) + 1000
+    assert time.perf_counter() - start < 3
+
+
+def test_templates_from_a_table(spark):
+    table = spark.createDataFrame([("own", "all rights of this text are given away to everyone", 1), ("own", "take it and run far away with it", 2), ("none", None, 3)], "label string, text string, extra int")
+    texts = [(1, "x all rights of this text are given away to everyone"), (2, "Take it, and run far away with it!"), (3, "MIT License")]
+    got = {r["doc_id"]: r["labels"] for r in license_scan.scan_licenses(docs(spark, texts), templates=table).collect()}
+    assert got == {1: "own", 2: "own", 3: "mit"}
+
+
 # ---------------------------------------------------------------- chats
 
 PIECES = st.lists(st.sampled_from(["\\", "###", "</turn>", ": ", ":", "\n", "### a: b</turn>\n", "é", " ", "x"]), max_size=8).map("".join)
