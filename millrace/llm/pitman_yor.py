@@ -8,25 +8,33 @@ tables; every table is a customer of the parent.  A sweep seats the customers
 of every word in every restaurant anew, given the tables of the sweep before;
 after a few sweeps the predictive probabilities of further sweeps are averaged.
 
-How it runs: a cell is a pair of context and word with its training count.  A
-cell without customers has no table and one with a single customer has one,
-whatever is drawn; those are counted once, per word and per context.  Only
-cells of two customers or more are seated anew in every sweep, which sums their
-tables per word and per context, joins both sums back and draws.  A sweep's
-tables replace those of the sweep before, which are deleted; only a few totals
-come to the driver.  Words are known by 64-bit hashes.  Random numbers are hashes of
-cell and sweep, so a lost task seats the same way again.
-
-A probability needs the mean over the samples of one number per cell, and the
-samples' numbers per context and per word.  Texts are cut into blocks of rows
-that lie together in a file, bounded in rows and bytes.  A block is told the
-cells and words that are not met just once in training, and meets its texts in one
-partition, both packed.  A task holds the pairs of one block, never those of
-the corpus.
+How it runs: words are known by 64-bit hashes.  A slice holds the words of a
+range of hashes with their counts, a bucket the cells (pairs of context and
+word) of a range of contexts, a block the rows that lie together in a file.
+They tell each other of words and pairs in packed arrays whose order both sides
+know, so no word or pair is named twice:
+
+1. Every block sends its sorted words to the slices, which count them, number
+   them and send the numbers back.
+2. Every block sends its distinct pairs, as numbers, to the buckets, which
+   count them.  A context with more tokens than a bucket takes is split by its words.
+3. In a sweep the buckets send the tables per context and word to the slices,
+   which seat the parent restaurant and send back what the cells need; the
+   buckets seat their cells anew.  A cell without customers has no table and one
+   with a single customer has one, whatever is drawn; those are counted once, and only
+   cells of two customers or more take part.
+4. Slices and buckets send each block the numbers of its words and pairs, and
+   the block's texts are scored.
+
+Slices, buckets and blocks are bounded in tokens, their number grows with the corpus.
+Only a few totals per slice come to the driver.  Every step is written to
+the shared folder, and what no later step reads is deleted.  Random numbers are
+hashes of cell and sweep, so a lost task seats the same way again.
 """
 
 from __future__ import annotations
 
+import json
 import math
 from collections.abc import Iterator
 from dataclasses import dataclass, replace
@@ -42,12 +50,11 @@ from pyspark.sql import functions as F
 from millrace.llm.texts import SPACE, byte_slices, byte_table, split_words
 from millrace.session import discard, stored
 
-#: rows and bytes of text of a block
-BLOCK_ROWS, BLOCK_BYTES = 8_192, 64 << 20
+#: rows and bytes of text of a block; bytes of text for each slice, and fewest slices; tokens of a bucket
+BLOCK_ROWS, BLOCK_BYTES = 8_192, 32 << 20
+SLICE_BYTES, LEAST_SLICES, BUCKET_TOKENS = 64 << 20, 16, 4 << 20
 #: sweeps before the first sample, and samples
 BURN_IN, SAMPLES = 12, 4
-#: blocks named in one row of a table
-BLOCK_LIST = 4_096
 #: bytes of rows that a task packs together
 PACK_BYTES = 32 << 20
 #: bytes of text that a task turns into words at a time
@@ -77,14 +84,12 @@ def tokens(texts: pa.Array) -> tuple[np.ndarray, pa.Array]:
     return at + np.arange(n + 1), words
 
 
-def pairs(texts: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Offsets, and the numbers of every word and of its context, the word before."""
+def numbered(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """Offsets, and the number of every word."""
     at, words = tokens(texts)
     coded = words.dictionary_encode()
-    numbers = np.array([xxhash.xxh64_intdigest(w) for w in coded.dictionary.cast(pa.large_binary()).to_pylist()], np.uint64).view(np.int64)
-    own = numbers[coded.indices.to_numpy()]
-    # every text ends with an end, which stands before the next
-    return at, own, np.concatenate([own[-1:], own[:-1]])
+    numbers = np.array([xxhash.xxh64_intdigest(w) for w in coded.dictionary.cast(pa.large_binary()).to_pylist()], np.uint64)
+    return at, numbers[coded.indices.to_numpy()]
 
 
 # ---------------------------------------------------------------- random numbers
@@ -193,6 +198,10 @@ class Totals:
         """Weight of a new table in the parent, for one word."""
         return (STRENGTH + self.parent_discount * self.parent_tables) / (self.known + 1)
 
+    def chance(self, customers: np.ndarray, tables: np.ndarray) -> np.ndarray:
+        """Probability of words without context."""
+        return (customers - self.parent_discount * tables + self.back) / (STRENGTH + self.served)
+
 
 # ---------------------------------------------------------------- corpus passes
 
@@ -221,40 +230,117 @@ def _blocked(docs: DataFrame, key: str, text: str, train: Column, block_rows: in
         return _blocked(rows, "id", "text", F.col("train"), block_rows, block_bytes)
 
 
-def _merged(parts: list[np.ndarray]) -> np.ndarray:
-    """Rows of context, word and count, each pair once, with their counts added up."""
-    rows = np.concatenate(parts)
-    rows = rows[np.lexsort((rows[:, 1], rows[:, 0]))]
-    first = np.flatnonzero(np.concatenate([[True], (rows[1:, :2] != rows[:-1, :2]).any(1)]))
-    return np.column_stack([rows[first, :2], np.add.reduceat(rows[:, 2], first)])
+def _dump(*arrays: np.ndarray) -> bytes:
+    """Arrays as compressed bytes; whole numbers that are not negative in the narrowest type."""
+    made = []
+    for x in arrays:
+        if x.dtype.kind in "iu" and x.dtype.itemsize > 1 and (not len(x) or x.min() >= 0):
+            x = x.astype(np.min_scalar_type(int(x.max(initial=0))))
+        made.append(np.ascontiguousarray(x))
+    head = json.dumps([(x.dtype.str, len(x)) for x in made]).encode()
+    return len(head).to_bytes(4, "little") + head + pa.compress(b"".join(x.tobytes() for x in made), codec="zstd", asbytes=True)
+
+
+def _load(data: bytes) -> list[np.ndarray]:
+    """The arrays of :func:`_dump`; whole numbers as 64-bit ones."""
+    n = int.from_bytes(data[:4], "little")
+    head = json.loads(data[4 : 4 + n])
+    body = pa.decompress(data[4 + n :], decompressed_size=sum(np.dtype(t).itemsize * k for t, k in head), codec="zstd", asbytes=True)
+    out, at = [], 0
+    for t, k in head:
+        x = np.frombuffer(body, t, k, at)
+        at += x.nbytes
+        out.append(x.astype(np.int64) if x.dtype.kind in "iu" and x.dtype.itemsize < 8 else x)
+    return out
 
 
-def _uses(blocked: DataFrame) -> DataFrame:
-    """``u``, ``w``, ``block``, ``c``: each block's pairs of context and word, and its words with null ``w``, with training counts.
+def _gaps(ascending: np.ndarray) -> np.ndarray:
+    return np.diff(ascending, prepend=ascending[:1] * 0)
 
-    A block that reaches over two tasks, or is not read in one go, has a row from each part.
-    """
 
-    def counted(part: pa.RecordBatch) -> np.ndarray:
-        at, words, before = pairs(part.column("text"))
-        learn = np.repeat(pc.fill_null(part.column("train"), False).to_numpy(zero_copy_only=False), np.diff(at))
-        return _merged([np.column_stack([before, words, learn.astype(np.int64)])])
-
-    def out(block: int, parts: list[np.ndarray]) -> Iterator[pa.RecordBatch]:
-        rows = _merged(parts)
-        order = np.argsort(rows[:, 1], kind="stable")
-        first = np.flatnonzero(np.concatenate([[True], np.diff(rows[order, 1]) != 0]))
-        alone = rows[order[first], 1], np.add.reduceat(rows[order, 2], first)
-        for u, w, c in ((rows[:, 0], rows[:, 1], rows[:, 2]), (alone[0], None, alone[1])):
-            for lo in range(0, len(u), 1 << 16):
-                now = slice(lo, lo + (1 << 16))
-                n = len(u[now])
-                words = pa.nulls(n, pa.int64()) if w is None else pa.array(np.ascontiguousarray(w[now]))
-                columns = [pa.array(np.ascontiguousarray(u[now])), words, pa.array(np.full(n, block)), pa.array(np.ascontiguousarray(c[now]))]
-                yield pa.RecordBatch.from_arrays(columns, ["u", "w", "block", "c"])
+def _groups(batches: Iterator[pa.RecordBatch], key: str) -> Iterator[tuple[int, list[dict]]]:
+    """Rows of each key, from rows sorted by it."""
+    now, held = None, []
+    for batch in batches:
+        for i in range(batch.num_rows):
+            row = batch.slice(i, 1).to_pylist()[0]
+            if held and row[key] != now:
+                yield now, held
+                held = []
+            now = row[key]
+            held.append(row)
+    if held:
+        yield now, held
+
+
+def _made(rows: list[dict], schema: pa.Schema) -> pa.RecordBatch:
+    return pa.RecordBatch.from_pylist(rows, schema)
+
+
+def _dealt(df: DataFrame, key: str, *order: str) -> DataFrame:
+    return df.repartition(key).sortWithinPartitions(key, *order)
+
+
+class _Pairs:
+    """The distinct words and pairs of a block's texts, in an order that follows from them alone."""
+
+    def __init__(self, texts: pa.Array, learn: np.ndarray):
+        pieces = [numbered(part.column(0)) for part in byte_slices([pa.RecordBatch.from_arrays([texts], ["text"])], "text", TEXT_BYTES)]
+        own = np.concatenate([p[1] for p in pieces] or [np.zeros(0, np.uint64)])
+        ends = [0]
+        for at, *_ in pieces:
+            ends.append(ends[-1] + at[-1])
+        #: where each text begins among the tokens
+        self.at = np.concatenate([np.zeros(0, np.int64), *[at[:-1] + e for (at, *_), e in zip(pieces, ends)], ends[-1:]])
+        self.train = np.repeat(learn, np.diff(self.at))
+        self.words, code = np.unique(own, return_inverse=True)
+        self.code = code.astype(np.int64)
+
+    def counts(self) -> tuple[np.ndarray, np.ndarray]:
+        """Training tokens and all tokens of every word."""
+        n = len(self.words)
+        return np.bincount(self.code[self.train], minlength=n), np.bincount(self.code, minlength=n)
+
+    def pairs(self) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        """Context and word of every distinct pair, ascending, its training tokens, and the pair of every token."""
+        # every text ends with an end, which stands before the next
+        before = np.concatenate([self.code[-1:], self.code[:-1]])
+        both, inverse = np.unique(before * len(self.words) + self.code, return_inverse=True)
+        c = np.bincount(inverse[self.train], minlength=len(both))
+        return both // len(self.words), both % len(self.words), c, inverse
+
+
+def slice_of(words: np.ndarray, slices: int) -> np.ndarray:
+    """The slice of each 64-bit word number; it ascends with the unsigned number."""
+    return ((words >> np.uint64(32)) * np.uint64(slices) >> np.uint64(32)).astype(np.int64)
+
+
+def _cut(sorted_ids: np.ndarray, parts: int) -> np.ndarray:
+    """Where each of ``parts`` begins in ascending part numbers."""
+    return np.searchsorted(sorted_ids, np.arange(parts + 1))
+
+
+TO_SLICE = pa.schema([("slice", pa.int32()), ("block", pa.int64()), ("pack", pa.binary())])
+_WORDS = "slice int, block bigint, pack binary"
+
+
+def _sent_words(blocked: DataFrame, slices: int) -> DataFrame:
+    """Step 1: per slice and block the block's words with their counts; a block read in parts has a row from each."""
+
+    def out(block: int, held: list[pa.RecordBatch]) -> pa.RecordBatch:
+        t = pa.Table.from_batches(held).combine_chunks()
+        p = _Pairs(_only(t.column("text")), _flags(t.column("train")))
+        n, every = p.counts()
+        cuts = _cut(slice_of(p.words, slices), slices)
+        rows = [
+            {"slice": i, "block": block, "pack": _dump(p.words[lo:hi], n[lo:hi], every[lo:hi])}
+            for i, (lo, hi) in enumerate(zip(cuts[:-1], cuts[1:])) if hi > lo
+        ]
+        pa.default_memory_pool().release_unused()
+        return _made(rows, TO_SLICE)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: dict[int, list[np.ndarray]] = {}
+        held: dict[int, list[pa.RecordBatch]] = {}
         size = 0
         for batch in byte_slices(batches, "text", TEXT_BYTES):
             ids = batch.column("block").to_numpy(zero_copy_only=False)
@@ -262,187 +348,353 @@ def _uses(blocked: DataFrame) -> DataFrame:
             cuts = np.concatenate([[0], np.flatnonzero(np.diff(ids[order])) + 1, [len(ids)]])
             for lo, hi in zip(cuts[:-1], cuts[1:]):
                 if hi > lo:
-                    parts = held.setdefault(int(ids[order[lo]]), [])
-                    parts.append(counted(batch.take(pa.array(order[lo:hi]))))
-                    if len(parts) == 8:
-                        parts[:] = [_merged(parts)]
+                    held.setdefault(int(ids[order[lo]]), []).append(batch.take(pa.array(order[lo:hi])))
             size += batch.nbytes
-            if size > BLOCK_BYTES:  # a block read in several goes has several rows for a pair
+            if size > BLOCK_BYTES:
                 for block, parts in held.items():
-                    yield from out(block, parts)
+                    yield out(block, parts)
                 held, size = {}, 0
-                pa.default_memory_pool().release_unused()
         for block, parts in held.items():
-            yield from out(block, parts)
-
-    return blocked.select("text", "train", "block").mapInArrow(run, "u bigint, w bigint, block bigint, c bigint")
-
-
-#: rows of the tally: a pair or a word that is not met just once in training, with the blocks that hold it; the number of
-#: pairs met once that have the word ``u`` as context, and as word
-PAIR, WORD, ONCE_AFTER, ONCE_AS = 0, 1, 2, 3
-TALLY = "kind int, u bigint, w bigint, n bigint, part int, blocks array<bigint>"
-
-
-def _tallied(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """From rows of :func:`_uses` sorted by ``u`` and ``w``: a row per pair and word, see ``TALLY``."""
-    singles: list[np.ndarray] = []
-
-    def rows(t: pa.Table) -> Iterator[pa.RecordBatch]:
-        u, c, block = (t.column(x).to_numpy() for x in ("u", "c", "block"))
-        word = pc.is_null(t.column("w")).to_numpy()
-        w = pc.fill_null(t.column("w"), 0).to_numpy()
-        first = np.flatnonzero(np.concatenate([[True], (u[1:] != u[:-1]) | (w[1:] != w[:-1]) | (word[1:] != word[:-1])]))
-        n, size = np.add.reduceat(c, first), np.diff([*first, len(u)])
-        once = (n == 1) & ~word[first]
-        singles.append(np.column_stack([u[first][once], w[first][once]]))
-        kept = n != 1
-        # a row of the list for every so many blocks
-        parts = -(-size[kept] // BLOCK_LIST)
-        owner = np.repeat(np.flatnonzero(kept), parts)
-        part = np.arange(len(owner)) - np.repeat(np.cumsum(parts) - parts, parts)
-        inside = np.repeat(kept, size)
-        lengths = np.minimum(size[owner] - part * BLOCK_LIST, BLOCK_LIST)
-        lists = pa.ListArray.from_arrays(pa.array(np.concatenate([[0], np.cumsum(lengths)]), pa.int32()), pa.array(block[inside]))
-        at = first[owner]
-        columns = [np.where(word[at], WORD, PAIR).astype(np.int32), u[at], None, n[owner], part.astype(np.int32), None]
-        columns[2], columns[5] = pa.array(w[at], mask=word[at]), lists
-        yield pa.RecordBatch.from_arrays([x if isinstance(x, pa.Array) else pa.array(x) for x in columns], ["kind", "u", "w", "n", "part", "blocks"])
-
-    def flush() -> Iterator[pa.RecordBatch]:
-        both = np.concatenate(singles) if singles else np.zeros((0, 2), np.int64)
-        singles.clear()
-        for kind, side in ((ONCE_AFTER, 0), (ONCE_AS, 1)):
-            value, n = np.unique(both[:, side], return_counts=True)
-            empty = pa.ListArray.from_arrays(pa.array(np.zeros(len(value) + 1), pa.int32()), pa.array([], pa.int64()))
-            columns = [pa.array(np.full(len(value), kind, np.int32)), pa.array(value), pa.nulls(len(value), pa.int64()), pa.array(n)]
-            columns += [pa.array(np.zeros(len(value), np.int32)), empty]
-            yield pa.RecordBatch.from_arrays(columns, ["kind", "u", "w", "n", "part", "blocks"])
-
-    held = None
-    for batch in batches:
-        t = pa.Table.from_batches([batch])
-        t = pa.concat_tables([held, t]).combine_chunks() if held is not None else t
-        if not t.num_rows:
-            continue
-        # the last pair may go on in the next batch
-        u, w = t.column("u"), t.column("w")
-        as_last = pc.is_null(w) if not w[-1].is_valid else pc.fill_null(pc.equal(w, w[-1]), False)
-        cut = int(pc.and_(pc.equal(u, u[-1]), as_last).to_numpy().argmax())
-        held = t.slice(cut)
-        if cut:
-            yield from rows(t.slice(0, cut).combine_chunks())
-        if sum(map(len, singles)) > 1 << 20:
-            yield from flush()
-    if held is not None:
-        yield from rows(held.combine_chunks())
-    yield from flush()
-
-
-def _tally(blocked: DataFrame) -> tuple[DataFrame, str]:
-    """The stored tally of blocked texts; a frequent context is split by its words, the rows of others stay together."""
-    dealt = _uses(blocked).repartition("u", F.pmod("w", F.lit(64))).sortWithinPartitions("u", "w")
-    return stored(dealt.mapInArrow(_tallied, TALLY), "tally")
-
-
-def _seated(rows: DataFrame, count: str, fresh: str, keys: list[str], sweep: int, discount: float, out: str) -> DataFrame:
-    """``rows`` with column ``out`` instead of ``fresh``: the tables of ``count`` customers, drawn by ``keys`` and sweep."""
-    names = [n for n in rows.columns if n not in (fresh, out)]
-    kinds = ", ".join(f"{n} {rows.schema[n].dataType.simpleString()}" for n in names)
+            yield out(block, parts)
+
+    return blocked.select("text", "train", "block").mapInArrow(run, _WORDS)
+
+
+def _only(column: pa.ChunkedArray) -> pa.Array:
+    return column.chunk(0) if column.num_chunks == 1 else pa.concat_arrays(column.chunks)
+
+
+def _flags(column: pa.ChunkedArray) -> np.ndarray:
+    return pc.fill_null(_only(column), False).to_numpy(zero_copy_only=False)
+
+
+NUMBERED = pa.schema([("kind", pa.int32()), ("slice", pa.int32()), ("block", pa.int64()), ("size", pa.int64()), ("buckets", pa.int64()), ("pack", pa.binary())])
+VOCABULARY, MAP = 0, 1
+
+
+def _numbered(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Step 1, in the slices: a row of all words with their counts, and one per block of where its words stand.
+
+    A word's tokens fill buckets one after the other; ``first`` is its first
+    bucket within the slice, ``span`` the number of buckets it reaches over.
+    """
+    for number, rows in _groups(batches, "slice"):
+        parts = [(r["block"], *_load(r["pack"])) for r in rows]
+        words, inverse = np.unique(np.concatenate([p[1] for p in parts]), return_inverse=True)
+        n, every = (np.bincount(inverse, np.concatenate([p[k] for p in parts]).astype(float), len(words)).astype(np.int64) for k in (2, 3))
+        upto = np.cumsum(every)
+        first, last = (upto - every) // BUCKET_TOKENS, (upto - 1) // BUCKET_TOKENS
+        out = [{"kind": VOCABULARY, "slice": number, "block": None, "size": len(words), "buckets": int(last.max()) + 1, "pack": _dump(words, n)}]
+        blocks: dict[int, list[np.ndarray]] = {}
+        at = 0
+        for block, own, *_ in parts:
+            blocks.setdefault(block, []).append(inverse[at : at + len(own)])
+            at += len(own)
+        for block, places in blocks.items():
+            ids = np.unique(np.concatenate(places))
+            pack = _dump(_gaps(ids), _gaps(first[ids]), (last - first)[ids])
+            out.append({"kind": MAP, "slice": number, "block": block, "size": None, "buckets": None, "pack": pack})
+        yield _made(out, NUMBERED)
+
+
+@dataclass(frozen=True)
+class Offsets:
+    """Number of the first word, and of the first bucket, of every slice, and of the one behind the last."""
+
+    words: np.ndarray
+    buckets: np.ndarray
+
+    def split(self, ids: np.ndarray) -> np.ndarray:
+        """Where each slice begins in ascending word numbers."""
+        return np.searchsorted(ids, self.words)
+
+
+def _block_words(maps: list[tuple[int, list[np.ndarray]]], offsets: Offsets) -> tuple[np.ndarray, ...]:
+    """Numbers, first buckets and spans of a block's words, and what else its maps hold; from (slice, map) in order."""
+    made = []
+    for number, (ids, first, span, *more) in maps:
+        made.append((np.cumsum(ids) + offsets.words[number], np.cumsum(first) + offsets.buckets[number], span + 1, *more))
+    return tuple(np.concatenate(x) for x in zip(*made))
+
+
+def _bucket_of(u: np.ndarray, w: np.ndarray, first: np.ndarray, span: np.ndarray, ids: np.ndarray) -> np.ndarray:
+    """The bucket of each pair of a block's words; a frequent context is split by its words."""
+    return first[u] + ids[w] % span[u]
+
+
+TO_BUCKET = pa.schema([("bucket", pa.int64()), ("block", pa.int64()), ("pack", pa.binary())])
+
+
+def _texts(rows: list[dict]) -> pa.Table:
+    """The rows of packed texts."""
+    return pa.concat_tables([pa.ipc.open_stream(r["pack"]).read_all() for r in rows]).combine_chunks()
+
+
+def _sent_pairs(offsets: Offsets):
+    """Step 2, in the blocks: per bucket the block's pairs as word numbers, with their training tokens."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for block, rows in _groups(batches, "block"):
+            ids, first, span = _block_words([(r["slice"], _load(r["pack"])) for r in rows if r["kind"] == 0], offsets)
+            t = _texts([r for r in rows if r["kind"] == 1])
+            p = _Pairs(_only(t.column("text")), _flags(t.column("train")))
+            u, w, c, _ = p.pairs()
+            bucket = _bucket_of(u, w, first, span, ids)
+            order = np.argsort(bucket, kind="stable")
+            cuts = np.concatenate([[0], np.flatnonzero(np.diff(bucket[order])) + 1, [len(order)]])
+            out = []
+            for lo, hi in zip(cuts[:-1], cuts[1:]):
+                mine = order[lo:hi]
+                pack = _dump(_gaps(ids[u[mine]]), ids[w[mine]], c[mine])
+                out.append({"bucket": int(bucket[mine[0]]), "block": block, "pack": pack})
+            yield _made(out, TO_BUCKET)
+            pa.default_memory_pool().release_unused()
+
+    return run
+
+
+COUNTED = pa.schema([("kind", pa.int32()), ("bucket", pa.int64()), ("slice", pa.int32()), ("block", pa.int64()), ("ones", pa.int64()), ("twos", pa.int64()), ("pack", pa.binary())])
+CELLS, CODES, ONCE, LISTS = 0, 1, 2, 3
+
+
+def _counted(offsets: Offsets):
+    """Step 2, in the buckets: the cells, each block's pairs as classes and cells, and what the slices need to know.
+
+    A pair's class is 0, 1 or 2 training tokens (2: a cell).
+    """
+
+    def row(kind, bucket, pack, number=None, block=None, ones=0, twos=0):
+        return {"kind": kind, "bucket": bucket, "slice": number, "block": block, "ones": ones, "twos": twos, "pack": pack}
+
+    def to_slices(kind, bucket, *lists):
+        """A row per slice of (ids, values) lists, ids counted from the slice's first word."""
+        cuts = [offsets.split(ids) for ids, _ in lists]
+        for i, start in enumerate(offsets.words[:-1]):
+            arrays = []
+            for (ids, values), at in zip(lists, cuts):
+                arrays += [_gaps(ids[at[i] : at[i + 1]] - start), values[at[i] : at[i + 1]]]
+            if any(len(x) for x in arrays):
+                yield row(kind, bucket, _dump(*arrays), i)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        stirling = _log_stirling(EXACT, discount)
-        for batch in batches:
-            key = np.zeros(batch.num_rows, np.uint64)
-            for k in keys:
-                key = _hashed(key, batch.column(k).to_numpy(zero_copy_only=False).view(np.uint64))
-            customers, weight = (batch.column(n).to_numpy(zero_copy_only=False) for n in (count, fresh))
-            tables = seat(customers, weight, discount, stirling, _hashed(key, sweep))
-            yield pa.RecordBatch.from_arrays([*[batch.column(n) for n in names], pa.array(tables, pa.int64())], [*names, out])
+        for bucket, rows in _groups(batches, "bucket"):
+            parts = [(r["block"], *_load(r["pack"])) for r in rows]
+            u = np.concatenate([np.cumsum(p[1]) for p in parts])
+            w, c = (np.concatenate([p[k] for p in parts]) for k in (2, 3))
+            contexts, u = np.unique(u, return_inverse=True)
+            words, w = np.unique(w, return_inverse=True)
+            pair, inverse = np.unique(u * len(words) + w, return_inverse=True)
+            n = np.bincount(inverse, c.astype(float), len(pair)).astype(np.int64)
+            u, w = contexts[pair // len(words)], words[pair % len(words)]
+            many, once = n >= 2, n == 1
+            cu, iu, nu = np.unique(u[many], return_inverse=True, return_counts=True)
+            cw, iw, nw = np.unique(w[many], return_inverse=True, return_counts=True)
+            pack = _dump(cu, cw, iu, iw, n[many])
+            out = [row(CELLS, bucket, pack, ones=int(once.sum()), twos=int((n == 2).sum()))]
+            place, cell = np.minimum(n, 2).astype(np.uint8), np.cumsum(many) - 1
+            at = 0
+            for block, gaps, *_ in parts:
+                mine = inverse[at : at + len(gaps)]
+                at += len(gaps)
+                out.append(row(CODES, bucket, _dump(place[mine], _gaps(cell[mine][place[mine] == 2])), block=block))
+            out += to_slices(ONCE, bucket, *[np.unique(x[once], return_counts=True) for x in (u, w)])
+            out += to_slices(LISTS, bucket, (cu, nu), (cw, nw))
+            yield _made(out, COUNTED)
+            pa.default_memory_pool().release_unused()
 
-    return rows.select(*names, fresh).mapInArrow(run, f"{kinds}, {out} bigint")
+    return run
 
 
 def _sum(name: str) -> Column:
     return F.coalesce(F.sum(name), F.lit(0))
 
 
-@dataclass(frozen=True)
-class Model:
-    """``cells``: ``u``, ``w``, ``m``, the mean of ``count - discount * tables``, of cells with two customers or more.
+SEATED = pa.schema([("kind", pa.int32()), ("slice", pa.int32()), ("bucket", pa.int64()), ("served", pa.int64()), ("tables", pa.int64()), ("pack", pa.binary())])
+_SEATED = "kind int, slice int, bucket bigint, served bigint, tables bigint, pack binary"
+STATE = pa.schema([("kind", pa.int32()), ("bucket", pa.int64()), ("slice", pa.int32()), ("pack", pa.binary())])
+_STATE = "kind int, bucket bigint, slice int, pack binary"
+#: rows of a sweep's tables: the vectors of a slice, or the state of a bucket, and what goes to the other side
+OWN, SENT = 0, 1
+
+
+def _started(offsets: Offsets, discount: float):
+    """The first state of every bucket, ``count ** discount`` tables a cell, and its sums for the slices."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for bucket, rows in _groups(batches, "bucket"):
+            cu, cw, iu, iw, c = _load(rows[0]["pack"])
+            t = np.minimum(c, np.maximum(1, np.rint(c.astype(float) ** discount))).astype(np.int64)
+            yield _state(bucket, offsets, cu, cw, iu, iw, c, t, np.zeros(len(c)))
+
+    return run
+
+
+def _state(bucket: int, offsets: Offsets, cu, cw, iu, iw, c, t, m) -> pa.RecordBatch:
+    """A bucket's state, and its tables per context and per word for the slices, in the order of the lists they hold."""
+    out = [{"kind": OWN, "bucket": bucket, "slice": None, "pack": _dump(cu, cw, iu, iw, c, t, m)}]
+    sums = [np.bincount(i, t.astype(float), len(ids)).astype(np.int64) for i, ids in ((iu, cu), (iw, cw))]
+    at_u, at_w = offsets.split(cu), offsets.split(cw)
+    for i in range(len(offsets.words) - 1):
+        mine = sums[0][at_u[i] : at_u[i + 1]], sums[1][at_w[i] : at_w[i + 1]]
+        if len(mine[0]) + len(mine[1]):
+            out.append({"kind": SENT, "bucket": bucket, "slice": i, "pack": _dump(*mine)})
+    return _made(out, STATE)
 
-    ``words``: ``word``, ``n``, and per sample ``q``, its probability without
-    context, and ``new``, the weight of a new table after it, of words met
-    twice or more.  ``totals`` has an entry per sample.
+
+FACTS = pa.schema([("slice", pa.int32()), *[(c, pa.int64()) for c in ("known", "tokens", "s1", "s2")], ("pack", pa.binary())])
+
+
+def _facts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Per slice the counts of its words, and how many pairs met once follow and are each word; with numbers for the totals."""
+    for number, rows in _groups(batches, "slice"):
+        _, n = _load(next(r["pack"] for r in rows if r["kind"] == VOCABULARY - 1))
+        after, own, contexts = (np.zeros(len(n), np.int64) for _ in range(3))
+        for r in rows:
+            if r["kind"] in (ONCE, LISTS):
+                iu, nu, iw, nw = _load(r["pack"])
+                if r["kind"] == ONCE:
+                    after[np.cumsum(iu)] += nu
+                    own[np.cumsum(iw)] += nw
+                contexts[np.cumsum(iw)] += nw
+        facts = {"known": int((n > 0).sum()), "tokens": int(n.sum()), "s1": int((contexts == 1).sum()), "s2": int((contexts == 2).sum())}
+        yield _made([{"slice": number, **facts, "pack": _dump(n, after, own)}], FACTS)
+
+
+def _parent_seated(totals: Totals | None, sweep: int, offsets: Offsets):
+    """Step 3, in the slices: tables behind every context and of every word, and the parent's tables; and the answers to the buckets.
+
+    Rows of a slice: its facts, then per bucket the list of its words and the sums.
     """
 
-    cells: DataFrame
-    words: DataFrame
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for number, rows in _groups(batches, "slice"):
+            n, after, own = _load(rows[0]["pack"])
+            behind, tw = after.copy(), own.copy()
+            lists = {}
+            for r in rows[1:]:
+                if r["kind"] == LISTS:
+                    iu, _, iw, _ = _load(r["pack"])
+                    lists[r["bucket"]] = np.cumsum(iu), np.cumsum(iw)
+                else:
+                    su, sw = _load(r["pack"])
+                    iu, iw = lists[r["bucket"]]
+                    behind[iu] += su
+                    tw[iw] += sw
+            if totals is None:
+                tp = np.minimum(tw, 1)
+            else:
+                key = _hashed((np.arange(len(n)) + offsets.words[number]).astype(np.uint64) + np.uint64(1), sweep)
+                d = totals.parent_discount
+                tp = seat(tw, np.full(len(tw), totals.back), d, _log_stirling(EXACT, d), key)
+            out = [{"kind": OWN, "slice": number, "bucket": None, "served": int(tw.sum()), "tables": int(tp.sum()), "pack": _dump(behind, tw, tp)}]
+            for bucket, (iu, iw) in lists.items():
+                out.append({"kind": SENT, "slice": number, "bucket": bucket, "served": 0, "tables": 0, "pack": _dump(behind[iu], tw[iw], tp[iw])})
+            yield _made(out, SEATED)
+
+    return run
+
+
+def _cells_seated(totals: Totals, sweep: int, samples: int, sampled: bool, last: bool, offsets: Offsets):
+    """Step 3, in the buckets: add the sample to the means, then seat the cells anew given the slices' answers."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        stirling = _log_stirling(EXACT, totals.discount)
+        for bucket, rows in _groups(batches, "bucket"):
+            cu, cw, iu, iw, c, t, m = _load(rows[0]["pack"])
+            answers = [_load(r["pack"]) for r in rows[1:]]
+            behind, tw, tp = (np.concatenate([a[k] for a in answers] or [np.zeros(0, np.int64)]) for k in range(3))
+            if sampled:
+                m = m + (c - totals.discount * t) / samples
+            if not last:
+                fresh = (STRENGTH + totals.discount * behind)[iu] * totals.chance(tw, tp)[iw]
+                key = _hashed(_hashed(cu.astype(np.uint64)[iu] + np.uint64(1), cw[iw]), sweep)
+                t = seat(c, fresh, totals.discount, stirling, key)
+            yield _state(bucket, offsets, cu, cw, iu, iw, c, t, m)
+
+    return run
+
+
+@dataclass(frozen=True)
+class Model:
+    """What the samples say: ``numbered`` and ``counted`` of steps 1 and 2, ``facts`` and, per sample, vectors per slice,
+    the last state of the buckets with the mean of ``count - discount * tables`` per cell, and an entry of totals per sample."""
+
+    numbered: DataFrame
+    counted: DataFrame
+    facts: DataFrame
+    vectors: list[DataFrame]
+    state: DataFrame
     totals: list[Totals]
+    offsets: Offsets
     paths: list[str]
 
-
-def fit(tally: DataFrame, burn_in: int, samples: int) -> Model:
-    """Seat the cells of a tally in ``burn_in + samples`` states and keep what the last ones say."""
-    spark = tally.sparkSession
-    kind = F.col("kind")
-    count = [_sum(F.when(kind == k, F.col("n"))).alias(name) for k, name in ((WORD, "n"), (ONCE_AFTER, "after"), (ONCE_AS, "as_word"))]
-    # words met once are not in the tally as words: one table, and one in the parent, whatever is drawn
-    heads = tally.where((F.col("part") == 0) & (kind != PAIR)).groupBy(F.col("u").alias("word")).agg(*count)
-    words, words_path = stored(heads.withColumn("q", F.array().cast("array<double>")).withColumn("new", F.array().cast("array<double>")), "words")
-    many = tally.where((kind == PAIR) & (F.col("part") == 0) & (F.col("n") >= 2)).select("u", "w", F.col("n").alias("c"))
-    ones = words.agg(_sum("as_word").alias("n1"), _sum(F.when(F.col("n") >= 2, F.col("n"))).alias("n"), F.count_if(F.col("n") >= 2).alias("known")).first()
-    # a word met once has one cell, of one customer
-    lone = words.where("n = 0 and as_word > 0").agg(F.count(F.lit(1)).alias("n")).first()["n"]
-    n2 = many.where("c = 2").count()
-    words, old = stored(words.where("n >= 2"), "words")
-    discard(spark, words_path)
-    words_path = old
-
-    def ratio(a: int, b: int) -> float:
-        return min(0.95, max(0.05, a / (a + 2 * b + 1e-9)))
-
-    start = F.least(F.col("c"), F.greatest(F.lit(1), F.rint(F.pow(F.col("c"), F.lit(ratio(ones["n1"], n2)))))).cast("long")
-    cells, path = stored(many.select("u", "w", "c", start.alias("t"), F.lit(0.0).alias("m")), "cells")
-    totals, kept = None, []
+    def drop(self) -> None:
+        for path in self.paths:
+            discard(self.state.sparkSession, path)
+
+
+def _texts_by_block(blocked: DataFrame, *columns: str) -> DataFrame:
+    return blocked.select("block", *columns).mapInArrow(_packed, "block bigint, pack binary")
+
+
+def count(blocked: DataFrame) -> tuple[DataFrame, DataFrame, Offsets, list[str]]:
+    """Steps 1 and 2: the slices' words and the blocks' maps, and the buckets' cells and the blocks' classes."""
+    size = blocked.agg(F.sum(F.octet_length("text"))).first()[0] or 0
+    slices = max(LEAST_SLICES, math.ceil(size / SLICE_BYTES))
+    kinds = "kind int, slice int, block bigint, size bigint, buckets bigint, pack binary"
+    numbered, words_path = stored(_dealt(_sent_words(blocked, slices), "slice", "block").mapInArrow(_numbered, kinds), "words")
+    # a row per slice
+    sizes = {r["slice"]: (r["size"], r["buckets"]) for r in numbered.where(F.col("kind") == VOCABULARY).select("slice", "size", "buckets").collect()}
+    table = np.array([(0, 0), *[sizes.get(i, (0, 0)) for i in range(slices)]])
+    offsets = Offsets(np.cumsum(table[:, 0]), np.cumsum(table[:, 1]))
+
+    maps = numbered.where(F.col("kind") == MAP).select("block", F.lit(0).alias("kind"), "slice", "pack")
+    texts = _texts_by_block(blocked, "text", "train").select("block", F.lit(1).alias("kind"), F.lit(0).alias("slice"), "pack")
+    sent = _dealt(maps.unionByName(texts), "block", "kind", "slice").mapInArrow(_sent_pairs(offsets), "bucket bigint, block bigint, pack binary")
+    kinds = "kind int, bucket bigint, slice int, block bigint, ones bigint, twos bigint, pack binary"
+    counted, pairs_path = stored(_dealt(sent, "bucket", "block").mapInArrow(_counted(offsets), kinds), "pairs")
+    return numbered, counted, offsets, [words_path, pairs_path]
+
+
+def fit(blocked: DataFrame, burn_in: int, samples: int) -> Model:
+    """Count, and seat the cells in ``burn_in + samples`` states of which the last ``samples`` are kept."""
+    numbered, counted, offsets, paths = count(blocked)
+    vocabulary = numbered.where(F.col("kind") == VOCABULARY)
+    cells = counted.where(F.col("kind") == CELLS)
+    told = counted.where(F.col("kind").isin(ONCE, LISTS)).select("slice", "kind", "bucket", "pack")
+    first = vocabulary.select("slice", F.lit(VOCABULARY - 1).alias("kind"), F.lit(None).cast("long").alias("bucket"), "pack")
+    kinds = "slice int, known bigint, tokens bigint, s1 bigint, s2 bigint, pack binary"
+    facts, path = stored(_dealt(first.unionByName(told), "slice", "kind", "bucket").mapInArrow(_facts, kinds), "facts")
+    paths.append(path)
+    v = facts.agg(*[_sum(x).alias(x) for x in ("known", "tokens", "s1", "s2")]).first()
+    r = cells.agg(_sum("ones").alias("n1"), _sum("twos").alias("n2")).first()
+    discounts = [min(0.95, max(0.05, a / (a + 2 * b + 1e-9))) for a, b in ((r["n1"], r["n2"]), (v["s1"], v["s2"]))]
+    totals = Totals(v["known"], v["tokens"], *discounts, 0, 0)
+
+    state, at = stored(_dealt(cells.select("bucket", "pack"), "bucket").mapInArrow(_started(offsets, totals.discount), _STATE), "state")
+    lists = told.where(F.col("kind") == LISTS)
+    own = facts.select("slice", F.lit(-1).alias("kind"), F.lit(None).cast("long").alias("bucket"), "pack")
+    vectors, kept = [], []
     for s in range(burn_in + samples):
-        sampled = s >= burn_in
-        per_word = cells.groupBy(F.col("w").alias("word")).agg(F.sum("t").alias("in_cells"), F.count(F.lit(1)).alias("n_cells"))
-        per_context = cells.groupBy(F.col("u").alias("word")).agg(F.sum("t").alias("behind"))
-        tw = (F.col("as_word") + F.coalesce("in_cells", F.lit(0))).alias("tw")
-        new_tables = (F.col("after") + F.coalesce("behind", F.lit(0))).alias("tables")
-        now = words.join(per_word, "word", "left").join(per_context, "word", "left")
-        now = now.select("word", "n", "after", "as_word", "q", "new", tw, new_tables, (F.col("as_word") + F.coalesce("n_cells", F.lit(0))).alias("contexts"))
-        if totals is None:  # one table per word in the parent
-            now = now.withColumn("tp", F.least("tw", F.lit(1)))
-            now, held = stored(now, "words")
-            v = now.agg(*[_sum(F.when(F.col("contexts") == k, 1)).alias(f"s{k}") for k in (1, 2)]).first()
-            totals = Totals(ones["known"] + lone, ones["n"] + lone, ratio(ones["n1"], n2), ratio(v["s1"] + lone, v["s2"]), 0, 0)
-        else:
-            now, held = stored(_seated(now.withColumn("fresh", F.lit(totals.back)), "tw", "fresh", ["word"], s, totals.parent_discount, "tp"), "words")
-        v = now.agg(_sum("tw").alias("served"), _sum("tp").alias("parent_tables")).first()
-        totals = replace(totals, served=v["served"] + lone, parent_tables=v["parent_tables"] + lone)
-        q = (F.col("tw") - totals.parent_discount * F.col("tp") + totals.back) / (STRENGTH + totals.served)
-        new = STRENGTH + totals.discount * F.col("tables")
-        rates = now.select("word", q.alias("now_q"), new.alias("now_new"))
+        sums = state.where(F.col("kind") == SENT).select("slice", F.lit(LISTS + 1).alias("kind"), "bucket", "pack")
+        met = _dealt(own.unionByName(lists).unionByName(sums), "slice", "kind", "bucket")
+        seated, held = stored(met.mapInArrow(_parent_seated(totals if s else None, s, offsets), _SEATED), "slices")
+        v = seated.where(F.col("kind") == OWN).agg(_sum("served").alias("served"), _sum("tables").alias("tables")).first()
+        totals = replace(totals, served=v["served"], parent_tables=v["tables"])
+        sampled, last = s >= burn_in, s == burn_in + samples - 1
+        answers = seated.where(F.col("kind") == SENT).select("bucket", F.lit(SENT).alias("kind"), "slice", "pack")
+        mine = state.where(F.col("kind") == OWN).select("bucket", "kind", "slice", "pack")
+        met = _dealt(mine.unionByName(answers), "bucket", "kind", "slice")
+        state, after = stored(met.mapInArrow(_cells_seated(totals, s, samples, sampled, last, offsets), _STATE), "state")
+        discard(blocked.sparkSession, at)
+        at = after
         if sampled:
+            vectors.append(seated.where(F.col("kind") == OWN))
             kept.append(totals)
-            more = [F.array_append("q", q).alias("q"), F.array_append("new", new).alias("new")]
-            words, next_path = stored(now.select("word", "n", "after", "as_word", *more), "words")
-            discard(spark, words_path)
-            words_path = next_path
-        m = F.col("m") + (F.col("c") - totals.discount * F.col("t")) / samples if sampled else F.col("m")
-        if s == burn_in + samples - 1:
-            means, final = stored(cells.select("u", "w", m.alias("m")), "cells")
-            for gone in (path, held):
-                discard(spark, gone)
-            return Model(means, words, kept, [final, words_path])
-        fresh = cells.join(rates.select(F.col("word").alias("w"), "now_q"), "w").join(rates.select(F.col("word").alias("u"), "now_new"), "u")
-        fresh = fresh.select("u", "w", "c", m.alias("m"), (F.col("now_new") * F.col("now_q")).alias("fresh"))
-        cells, after = stored(_seated(fresh, "c", "fresh", ["u", "w"], s, totals.discount, "t"), "cells")
-        for gone in (path, held):
-            discard(spark, gone)
-        path = after
+            paths.append(held)
+        else:
+            discard(blocked.sparkSession, held)
+    return Model(numbered, counted, facts, vectors, state, kept, offsets, [*paths, at])
 
 
 def _packed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -472,114 +724,72 @@ def _packed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield out()
 
 
-def _pair_key(u: np.ndarray, w: np.ndarray) -> np.ndarray:
-    return _hashed(u.view(np.uint64), w.view(np.uint64))
-
-
-class _Answers:
-    """What the texts of one block need: pairs and words that are not met just once in training."""
-
-    def __init__(self, totals: list[Totals]):
-        self.totals = totals
-        self.parts: tuple[list, list] = ([], [])
-        self.ready = False
-
-    def add(self, part: pa.RecordBatch) -> None:
-        pair = part.column("n").is_null().to_numpy(zero_copy_only=False)
-        numbers = part.column("x").to_numpy()
-        self.parts[0].append((numbers[pair], part.column("m").to_numpy(zero_copy_only=False)[pair]))
-        words = part.filter(pa.array(~pair))
-        rates = []
-        for name in ("q", "new"):
-            values = words.column(name)
-            rate = np.full((len(values), len(self.totals)), np.nan)  # a word never met has none
-            rate[values.is_valid().to_numpy(zero_copy_only=False)] = values.flatten().to_numpy().reshape(-1, len(self.totals))
-            rates.append(rate)
-        self.parts[1].append((numbers[~pair], words.column("n").to_numpy(zero_copy_only=False).astype(np.int64), *rates))
-
-    def prepare(self) -> None:
-        """Join the parts, sorted."""
-        pair, word = ([np.concatenate(c) for c in zip(*parts)] for parts in self.parts)
-        if not pair:  # nothing was met but just once
-            none, rates = np.zeros(0, np.int64), np.zeros((0, len(self.totals)))
-            pair, word = [none, np.zeros(0)], [none, none, rates, rates]
-        order = np.argsort(pair[0], kind="stable")
-        self.pair, self.m = pair[0][order], pair[1][order]
-        order = np.argsort(word[0], kind="stable")
-        self.word, self.n, self.q, self.new = (x[order] for x in word)
-        self.parts, self.ready = ([], []), True
-
-    def _words(self, words: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """Count, probabilities and new-table weights of words."""
-        t = self.totals
-        n = np.ones(len(words), np.int64)
-        q = np.tile([(1 - x.parent_discount + x.back) / (STRENGTH + x.served) for x in t], (len(words), 1))
-        new = np.tile([STRENGTH + x.discount for x in t], (len(words), 1))
-        at, hit = _found(self.word, words)
-        n[hit], q[hit], new[hit] = self.n[at], self.q[at], self.new[at]
-        never = n == 0
-        q[never] = [x.back / (STRENGTH + x.served) for x in t]
-        new[never] = STRENGTH
-        return n, q, new
-
-    def score(self, texts: pa.Array) -> list[np.ndarray]:
-        """n_tokens, n_known, base_score and score of every text."""
-        if not self.ready:
-            self.prepare()
-        at, words, before = pairs(texts)
-        key = _pair_key(before, words).view(np.int64)
-        distinct, first, back = np.unique(key, return_index=True, return_inverse=True)
-        vocabulary, code = np.unique(words, return_inverse=True)
-        n, q, new = self._words(vocabulary)
-        context = code[(first - 1) % len(code)]  # the word before, with an end before the first
-        m = np.full(len(distinct), 1 - self.totals[0].discount)
-        spot, hit = _found(self.pair, distinct)
-        m[hit] = self.m[spot]
-        chance = (m + (new[context] * q[code[first]]).mean(1)) / (STRENGTH + n[context])
-        base = np.log10((n + 1) / (self.totals[0].tokens + self.totals[0].known + 1))
-        sums = [np.add.reduceat(x, at[:-1]) for x in ((n[code] > 0).astype(np.int64), base[code], np.log10(chance)[back])]
-        return [np.diff(at), *sums]
-
-
-def _found(sorted_keys: np.ndarray, wanted: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Where the wanted keys that are there stand, and which of the wanted those are."""
-    if not len(sorted_keys):
-        return np.zeros(0, np.int64), np.zeros(0, np.int64)
-    at = np.minimum(np.searchsorted(sorted_keys, wanted), len(sorted_keys) - 1)
-    hit = np.flatnonzero(sorted_keys[at] == wanted)
-    return at[hit], hit
-
-
-def _spread(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """A row per block instead of a list ``blocks``; a row of a pair (``u``, ``w``) becomes its hash ``x``."""
-    for batch in batches:
-        lists = batch.column("blocks")
-        owner = pa.array(np.repeat(np.arange(batch.num_rows), pc.list_value_length(lists).to_numpy()))
-        x = batch.column("u")
-        if "w" in batch.schema.names:
-            x = pa.array(_pair_key(x.to_numpy(), batch.column("w").to_numpy()).view(np.int64))
-        names = [n for n in batch.schema.names if n not in ("u", "w", "blocks")]
-        columns = [lists.flatten(), x.take(owner), *[batch.column(n).take(owner) for n in names]]
-        yield pa.RecordBatch.from_arrays(columns, ["block", "x", *names])
-
-
-def _answered(tally: DataFrame, model: Model) -> DataFrame:
-    """Packs per ``block`` of ``x`` (word, or hash of a pair), ``m``, ``n``, ``q``, ``new``, as far as the block needs them."""
-    blank = [F.lit(None).cast("long").alias("n"), *[F.lit(None).cast("array<double>").alias(c) for c in ("q", "new")]]
-    pair = tally.where(F.col("kind") == PAIR).select("u", "w", "n", "blocks")
-    seated = pair.where("n >= 2").drop("n").join(model.cells, ["u", "w"]).select("u", "w", "blocks", "m", *blank)
-    never = pair.where("n = 0").select("u", "w", "blocks", F.lit(0.0).alias("m"), *blank)
-    word = tally.where(F.col("kind") == WORD).select("u", "n", "blocks")
-    no_mean = F.lit(None).cast("double").alias("m")
-    known = word.where("n >= 2").drop("n").join(model.words.select(F.col("word").alias("u"), "n", "q", "new"), "u")
-    known = known.select("u", "blocks", no_mean, "n", "q", "new")
-    none = word.where("n = 0").select("u", "blocks", no_mean, "n", *blank[1:])
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        return _packed(_spread(batches))
-
-    packs = "block bigint, pack binary"
-    return seated.unionByName(never).mapInArrow(run, packs).unionByName(known.unionByName(none).mapInArrow(run, packs))
+def _told_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Step 4, in the slices: each block's words with their first bucket, span, count, and tables per sample."""
+    for number, rows in _groups(batches, "slice"):
+        n = _load(rows[0]["pack"])[0]
+        vectors = [x for r in rows if r["kind"] == 1 for x in _load(r["pack"])]
+        for r in rows:
+            if r["kind"] == 2:
+                gaps, first, span = _load(r["pack"])
+                ids = np.cumsum(gaps)
+                pack = _dump(gaps, first, span, n[ids], *[x[ids] for x in vectors])
+                yield _made([{"block": r["block"], "kind": 0, "at": number, "pack": pack}], TOLD)
+
+
+TOLD = pa.schema([("block", pa.int64()), ("kind", pa.int32()), ("at", pa.int64()), ("pack", pa.binary())])
+
+
+def _told_pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Step 4, in the buckets: each block's pairs with their class, and the means of its cells."""
+    for bucket, rows in _groups(batches, "bucket"):
+        m = _load(rows[0]["pack"])[6]
+        for r in rows[1:]:
+            place, gaps = _load(r["pack"])
+            pack = _dump(place.astype(np.uint8), m[np.cumsum(gaps)])
+            yield _made([{"block": r["block"], "kind": 1, "at": bucket, "pack": pack}], TOLD)
+
+
+def _answers(model: Model) -> DataFrame:
+    """``block``, ``kind`` (0 words, 1 pairs), ``at`` (slice or bucket), ``pack``: what the texts of each block need."""
+    told = "block bigint, kind int, at bigint, pack binary"
+    nobody = F.lit(None).cast("long").alias("block")
+    words = model.facts.select("slice", F.lit(0).alias("kind"), F.lit(-1).alias("s"), nobody, "pack")
+    for s, v in enumerate(model.vectors):
+        words = words.unionByName(v.select("slice", F.lit(1).alias("kind"), F.lit(s).alias("s"), nobody, "pack"))
+    maps = model.numbered.where(F.col("kind") == MAP).select("slice", F.lit(2).alias("kind"), F.lit(0).alias("s"), "block", "pack")
+    words = _dealt(words.unionByName(maps), "slice", "kind", "s").mapInArrow(_told_words, told)
+    pairs = model.state.where(F.col("kind") == OWN).select("bucket", F.lit(0).alias("kind"), nobody, "pack")
+    codes = model.counted.where(F.col("kind") == CODES).select("bucket", F.lit(1).alias("kind"), "block", "pack")
+    return words.unionByName(_dealt(pairs.unionByName(codes), "bucket", "kind").mapInArrow(_told_pairs, told))
+
+
+#: pairs whose probabilities are worked out together
+PAIR_SLICE = 1 << 18
+
+
+def _scored(totals: list[Totals], offsets: Offsets, texts: pa.Array, rows: list[dict]) -> list[np.ndarray]:
+    """n_tokens, n_known, base_score and score of every text of a block, from its answers in order."""
+    p = _Pairs(texts, np.zeros(len(texts), bool))
+    u, w, _, pair = p.pairs()
+    ids, first, span, n, *tables = _block_words([(r["at"], _load(r["pack"])) for r in rows if r["kind"] == 0], offsets)
+    order = np.argsort(_bucket_of(u, w, first, span, ids), kind="stable")
+    m = np.empty(len(u))
+    answers = [_load(r["pack"]) for r in rows if r["kind"] == 1]
+    place = np.concatenate([a[0] for a in answers])
+    values = np.where(place == 1, 1 - totals[0].discount, 0.0)
+    values[place == 2] = np.concatenate([a[1] for a in answers])
+    m[order] = values
+    chance = np.empty(len(u))
+    new = [STRENGTH + t.discount * tables[3 * s] for s, t in enumerate(totals)]
+    q = [t.chance(tables[3 * s + 1], tables[3 * s + 2]) for s, t in enumerate(totals)]
+    for lo in range(0, len(u), PAIR_SLICE):
+        a, b = u[lo : lo + PAIR_SLICE], w[lo : lo + PAIR_SLICE]
+        mean = sum(x[a] * y[b] for x, y in zip(new, q)) / len(totals)
+        chance[lo : lo + PAIR_SLICE] = np.log10((m[lo : lo + PAIR_SLICE] + mean) / (STRENGTH + n[a]))
+    base = np.log10((n + 1) / (totals[0].tokens + totals[0].known + 1))
+    sums = [np.add.reduceat(x, p.at[:-1]) for x in ((n > 0).astype(np.int64)[p.code], base[p.code], chance[pair])]
+    return [np.diff(p.at), *sums]
 
 
 def score_texts(
@@ -590,7 +800,7 @@ def score_texts(
     burn_in: int = BURN_IN,
     samples: int = SAMPLES,
     block_rows: int = BLOCK_ROWS,
-    block_bytes: int = BLOCK_BYTES,
+    block_bytes: int | None = None,
 ) -> DataFrame:
     """Per row: key, ``n_tokens``, ``n_known``, ``train_tokens``, ``base_score``, ``score``, ``perplexity``.
 
@@ -604,35 +814,20 @@ def score_texts(
     """
     if burn_in < 1 or samples < 1 or block_rows < 1:
         raise ValueError("burn_in, samples and block_rows must be at least 1")
-    spark = docs.sparkSession
-    blocked = _blocked(docs, key, text, train, block_rows, block_bytes)
-    tally, tallied = _tally(blocked)
-    model = fit(tally, burn_in, samples)
-    answers, _ = stored(_answered(tally, model), "answers")
-    for path in (tallied, *model.paths):
-        discard(spark, path)
-
-    totals = model.totals
-    lookups = answers.withColumn("kind", F.lit(0))
-    texts = blocked.select("block", "id", "text").mapInArrow(_packed, "block bigint, pack binary").withColumn("kind", F.lit(1))
-    met = lookups.unionByName(texts).repartition("block").sortWithinPartitions("block", "kind")
-    measures = ["n_tokens", "n_known", "base_score", "score"]
+    blocked = _blocked(docs, key, text, train, block_rows, block_bytes or BLOCK_BYTES)
+    model = fit(blocked, burn_in, samples)
+    totals, offsets = model.totals, model.offsets
+    answers, _ = stored(_answers(model), "answers")
+    model.drop()
+    texts = _texts_by_block(blocked, "id", "text").select("block", F.lit(2).alias("kind"), F.lit(0).cast("long").alias("at"), "pack")
+    met = _dealt(answers.unionByName(texts), "block", "kind", "at")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        now, block = None, None
-        for batch in batches:
-            for group, kind, pack in zip(*(batch.column(c) for c in ("block", "kind", "pack"))):
-                if now is None or group.as_py() != block:
-                    now, block = _Answers(totals), group.as_py()
-                    pa.default_memory_pool().release_unused()
-                rows = pa.ipc.open_stream(pack.as_buffer())
-                if kind.as_py() == 0:
-                    for part in rows:
-                        now.add(part)
-                else:
-                    for part in byte_slices(rows, "text", TEXT_BYTES):
-                        out = now.score(part.column("text"))
-                        yield pa.RecordBatch.from_arrays([part.column("id"), *[pa.array(x) for x in out]], ["id", *measures])
+        for _, rows in _groups(batches, "block"):
+            t = _texts([r for r in rows if r["kind"] == 2])
+            out = _scored(totals, offsets, _only(t.column("text")), [r for r in rows if r["kind"] < 2])
+            yield pa.RecordBatch.from_arrays([_only(t.column("id")), *[pa.array(x) for x in out]], ["id", "n_tokens", "n_known", "base_score", "score"])
+            pa.default_memory_pool().release_unused()
 
     id_kind = blocked.schema["id"].dataType.simpleString()
     out = met.mapInArrow(run, f"id {id_kind}, n_tokens bigint, n_known bigint, base_score double, score double")

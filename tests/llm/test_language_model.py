@@ -54,26 +54,35 @@ def test_held_out_texts_score_better_than_the_base(spark):
 def fitted(spark, rows, **how):
     """The plain numbers of a model: counts, and a function for the probability of a word after a context."""
     table = spark.createDataFrame(rows, DOC)
-    tally, _ = P._tally(P._blocked(table, "doc_id", "text", F.col("train"), 5, 1 << 20))
-    model = P.fit(tally, how.get("burn_in", P.BURN_IN), how.get("samples", P.SAMPLES))
-    number = lambda w: int(np.uint64(P.xxhash.xxh64_intdigest(w.encode())).view(np.int64))
+    model = P.fit(P._blocked(table, "doc_id", "text", F.col("train"), 5, 1 << 20), how.get("burn_in", P.BURN_IN), how.get("samples", P.SAMPLES))
+    number = lambda w: P.xxhash.xxh64_intdigest(w.encode())
     pairs, counts = Counter(), Counter()
-    for _, t, learn, *_ in [(i, t, learn) for i, t, _, learn in rows]:
+    for _, t, _, learn in rows:
         if learn:
             ws = words_of(t)
             counts.update(ws)
             pairs.update(zip(["", *ws], ws))
-    m = {(r["u"], r["w"]): r["m"] for r in model.cells.collect()}
-    words = {r["word"]: r for r in model.words.collect()}
+    # words and cells by the hashes of their words
+    words, named = {}, {}
+    vectors = [{r["slice"]: P._load(r["pack"]) for r in v.collect()} for v in model.vectors]
+    for r in model.numbered.where(F.col("kind") == P.VOCABULARY).collect():
+        hashes, n = P._load(r["pack"])
+        for i, (h, k) in enumerate(zip(hashes.tolist(), n.tolist())):
+            named[int(model.offsets.words[r["slice"]]) + i] = h
+            own = [(v[r["slice"]], t) for v, t in zip(vectors, model.totals)]
+            words[h] = {"n": k, "new": [1 + t.discount * x[0][i] for x, t in own], "q": [t.chance(x[1][i], x[2][i]) for x, t in own]}
+    m = {}
+    for r in model.state.where(F.col("kind") == P.OWN).collect():
+        cu, cw, iu, iw, c, t, mean = P._load(r["pack"])
+        for u, w, n, x in zip(cu[iu].tolist(), cw[iw].tolist(), c.tolist(), mean.tolist()):
+            m[named[u], named[w]] = x
+    assert {h: w["n"] for h, w in words.items() if w["n"]} == {number(w): n for w, n in counts.items()}
 
     def chance(u, w):
-        t = model.totals
-        q, new = [], []
-        for s, x in enumerate(t):
-            lone = (1 - x.parent_discount + x.back) / (1 + x.served)
-            q.append(words[number(w)]["q"][s] if counts[w] > 1 else lone if counts[w] else x.back / (1 + x.served))
-            new.append(words[number(u)]["new"][s] if counts[u] > 1 else 1 + x.discount if counts[u] else 1)
-        own = m[number(u), number(w)] if pairs[u, w] > 1 else (1 - t[0].discount) * pairs[u, w]
+        never = [t.back / (1 + t.served) for t in model.totals]
+        q = words[number(w)]["q"] if number(w) in words else never
+        new = words[number(u)]["new"] if number(u) in words else [1] * len(q)
+        own = m[number(u), number(w)] if pairs[u, w] > 1 else (1 - model.totals[0].discount) * pairs[u, w]
         return (own + np.mean([a * b for a, b in zip(q, new)])) / (1 + counts[u])
 
     return model, counts, pairs, chance
@@ -228,8 +237,36 @@ def test_contexts_are_the_words_before():
     at, words = P.tokens(texts)
     assert at.tolist() == [0, 3, 4, 7]
     assert words.to_pylist() == ["ab", "c", "", "", "ab", "d", ""]
-    _, own, before = P.pairs(texts)
-    assert before.tolist() == [own[6], *own[:6]] and own[2] == own[3] == own[6] and own[0] == own[4]
+    p = P._Pairs(texts, np.array([True, False, True]))
+    u, w, c, pair = p.pairs()
+    end, name = p.code[2], lambda x: p.code[words.to_pylist().index(x)]
+    found = dict(zip(zip(u.tolist(), w.tolist()), c.tolist()))
+    assert found == {(end, name("ab")): 2, (name("ab"), name("c")): 1, (name("c"), end): 1, (end, end): 0, (name("ab"), name("d")): 1, (name("d"), end): 1}
+    assert [(u[i], w[i]) for i in pair][0] == (end, name("ab")) and p.at.tolist() == [0, 3, 4, 7]
+    assert p.counts()[0].sum() == 6 and p.counts()[1].sum() == 7
+
+
+def test_packs_read_back():
+    arrays = [np.array([], np.int64), np.array([5, 3, 70_000]), np.array([-1, 2]), np.array([0.5]), np.array([1 << 63], np.uint64), np.array([2], np.uint8)]
+    for x, y in zip(arrays, P._load(P._dump(*arrays))):
+        assert x.tolist() == y.tolist()
+
+
+@pytest.mark.parametrize("tokens,slices", [(3, 16), (50, 2), (1 << 22, 1)])
+def test_results_do_not_depend_on_the_cut(spark, monkeypatch, tokens, slices):
+    """Small buckets split frequent contexts by their words."""
+    rng = random.Random(2)
+    rows = [(i, " ".join(rng.choices(["a", "b", "c", "d", f"x{i % 7}"], [9, 5, 2, 1, 1], k=12)), 0, i % 4 != 0) for i in range(40)]
+    table = spark.createDataFrame(rows, DOC)
+    want = {r["doc_id"]: (r["n_tokens"], r["n_known"], round(r["base_score"], 9)) for r in P.score_texts(table, F.col("train")).collect()}
+    monkeypatch.setattr(P, "BUCKET_TOKENS", tokens)
+    monkeypatch.setattr(P, "LEAST_SLICES", slices)
+    got = P.score_texts(table, F.col("train"), block_rows=7).collect()
+    assert {r["doc_id"]: (r["n_tokens"], r["n_known"], round(r["base_score"], 9)) for r in got} == want
+    _, counts, pairs, chance = fitted(spark, rows)
+    for r, (_, t, _, _) in zip(sorted(got, key=lambda r: r["doc_id"]), rows):
+        ws = words_of(t)
+        assert r["score"] == pytest.approx(sum(math.log10(chance(u, w)) for u, w in zip(["", *ws], ws)), rel=1e-9)
 
 
 def stirling(c, t, discount):
