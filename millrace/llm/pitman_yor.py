@@ -54,9 +54,9 @@ from millrace.session import discard, stored
 BLOCK_ROWS, BLOCK_BYTES = 8_192, 32 << 20
 SLICE_BYTES, LEAST_SLICES, BUCKET_TOKENS = 64 << 20, 16, 4 << 20
 #: sweeps before the first sample, and samples
-BURN_IN, SAMPLES = 12, 4
+BURN_IN, SAMPLES = 8, 4
 #: bytes of rows that a task packs together
-PACK_BYTES = 32 << 20
+PACK_BYTES = 8 << 20
 #: bytes of text that a task turns into words at a time
 TEXT_BYTES = 5 << 20
 #: strength of every restaurant
@@ -64,32 +64,25 @@ STRENGTH = 1.0
 #: customers of a dish up to which their tables are drawn exactly
 EXACT = 24
 #: the word that ends every text
-END = ""
+END = b""
 _TABLE = byte_table(SPACE)
 
 
 # ---------------------------------------------------------------- words and contexts
 
 
-def tokens(texts: pa.Array) -> tuple[np.ndarray, pa.Array]:
-    """Offsets, and the words of every text with an end after them."""
+def numbered_words(texts: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Offsets, the numbers of the different words, and of each word in order, an end after every text, which of them it is."""
     at, words = split_words(texts, _TABLE)
     n = len(at) - 1
-    ends = at[1:] + np.arange(n)  # where the ends come to stand
+    coded = words.cast(pa.large_string()).dictionary_encode()
+    kinds = [*coded.dictionary.cast(pa.large_binary()).to_pylist(), END]
+    numbers = np.array([xxhash.xxh64_intdigest(w) for w in kinds], np.uint64)
     inside = np.ones(at[-1] + n, bool)
-    inside[ends] = False
-    take = np.full(len(inside), at[-1], np.int64)
-    take[inside] = np.arange(at[-1])
-    words = pa.concat_arrays([words.cast(pa.large_string()), pa.array([END], pa.large_string())]).take(pa.array(take))
-    return at + np.arange(n + 1), words
-
-
-def numbered(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
-    """Offsets, and the number of every word."""
-    at, words = tokens(texts)
-    coded = words.dictionary_encode()
-    numbers = np.array([xxhash.xxh64_intdigest(w) for w in coded.dictionary.cast(pa.large_binary()).to_pylist()], np.uint64)
-    return at, numbers[coded.indices.to_numpy()]
+    inside[at[1:] + np.arange(n)] = False  # where the ends come to stand
+    which = np.full(len(inside), len(kinds) - 1, np.int32)
+    which[inside] = coded.indices.to_numpy()
+    return at + np.arange(n + 1), numbers, which
 
 
 # ---------------------------------------------------------------- random numbers
@@ -285,29 +278,38 @@ class _Pairs:
     """The distinct words and pairs of a block's texts, in an order that follows from them alone."""
 
     def __init__(self, texts: pa.Array, learn: np.ndarray):
-        pieces = [numbered(part.column(0)) for part in byte_slices([pa.RecordBatch.from_arrays([texts], ["text"])], "text", TEXT_BYTES)]
-        own = np.concatenate([p[1] for p in pieces] or [np.zeros(0, np.uint64)])
-        ends = [0]
-        for at, *_ in pieces:
-            ends.append(ends[-1] + at[-1])
-        #: where each text begins among the tokens
-        self.at = np.concatenate([np.zeros(0, np.int64), *[at[:-1] + e for (at, *_), e in zip(pieces, ends)], ends[-1:]])
-        self.train = np.repeat(learn, np.diff(self.at))
-        self.words, code = np.unique(own, return_inverse=True)
-        self.code = code.astype(np.int64)
+        parts = byte_slices([pa.RecordBatch.from_arrays([texts], ["text"])], "text", TEXT_BYTES)
+        pieces = [numbered_words(part.column(0)) for part in parts]
+        #: where each text begins among the tokens, and the end of all
+        self.at = np.concatenate([[0], *[np.diff(at) for at, *_ in pieces]]).cumsum()
+        self.words = np.unique(np.concatenate([np.zeros(0, np.uint64), *[numbers for _, numbers, _ in pieces]]))
+        own = [np.searchsorted(self.words, numbers).astype(np.int32)[which] for _, numbers, which in pieces]
+        self.code = np.concatenate([np.zeros(0, np.int32), *own])
+        self.learn = learn
+
+    @property
+    def train(self) -> np.ndarray:
+        return np.repeat(self.learn, np.diff(self.at))
 
     def counts(self) -> tuple[np.ndarray, np.ndarray]:
         """Training tokens and all tokens of every word."""
         n = len(self.words)
         return np.bincount(self.code[self.train], minlength=n), np.bincount(self.code, minlength=n)
 
+    def keys(self, lo: int = 0, hi: int | None = None) -> np.ndarray:
+        """Context and word of each token, in one number; a text's end stands before the next text."""
+        hi = len(self.code) if hi is None else hi
+        before = self.code[lo - 1 : hi - 1] if lo else np.concatenate([self.code[-1:], self.code[: hi - 1]])
+        return before.astype(np.int64) * len(self.words) + self.code[lo:hi]
+
     def pairs(self) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-        """Context and word of every distinct pair, ascending, its training tokens, and the pair of every token."""
-        # every text ends with an end, which stands before the next
-        before = np.concatenate([self.code[-1:], self.code[:-1]])
-        both, inverse = np.unique(before * len(self.words) + self.code, return_inverse=True)
-        c = np.bincount(inverse[self.train], minlength=len(both))
-        return both // len(self.words), both % len(self.words), c, inverse
+        """Key, context and word of every distinct pair, ascending, and its training tokens."""
+        marked = np.sort(self.keys() * 2 + self.train)
+        key = marked >> 1
+        first = np.flatnonzero(np.concatenate([[True], key[1:] != key[:-1]]))
+        c = np.add.reduceat(marked & 1, first)
+        key = key[first]
+        return key, key // len(self.words), key % len(self.words), c
 
 
 def slice_of(words: np.ndarray, slices: int) -> np.ndarray:
@@ -438,7 +440,7 @@ def _sent_pairs(offsets: Offsets):
             ids, first, span = _block_words([(r["slice"], _load(r["pack"])) for r in rows if r["kind"] == 0], offsets)
             t = _texts([r for r in rows if r["kind"] == 1])
             p = _Pairs(_only(t.column("text")), _flags(t.column("train")))
-            u, w, c, _ = p.pairs()
+            _, u, w, c = p.pairs()
             bucket = _bucket_of(u, w, first, span, ids)
             order = np.argsort(bucket, kind="stable")
             cuts = np.concatenate([[0], np.flatnonzero(np.diff(bucket[order])) + 1, [len(order)]])
@@ -481,11 +483,12 @@ def _counted(offsets: Offsets):
             parts = [(r["block"], *_load(r["pack"])) for r in rows]
             u = np.concatenate([np.cumsum(p[1]) for p in parts])
             w, c = (np.concatenate([p[k] for p in parts]) for k in (2, 3))
-            contexts, u = np.unique(u, return_inverse=True)
-            words, w = np.unique(w, return_inverse=True)
-            pair, inverse = np.unique(u * len(words) + w, return_inverse=True)
+            base, wide = u.min(), int(offsets.words[-1])
+            if (int(u.max() - base) + 1) * wide >= 1 << 63:
+                raise ValueError("too many different words")
+            pair, inverse = np.unique((u - base) * wide + w, return_inverse=True)
             n = np.bincount(inverse, c.astype(float), len(pair)).astype(np.int64)
-            u, w = contexts[pair // len(words)], words[pair % len(words)]
+            u, w = pair // wide + base, pair % wide
             many, once = n >= 2, n == 1
             cu, iu, nu = np.unique(u[many], return_inverse=True, return_counts=True)
             cw, iw, nw = np.unique(w[many], return_inverse=True, return_counts=True)
@@ -764,32 +767,37 @@ def _answers(model: Model) -> DataFrame:
     return words.unionByName(_dealt(pairs.unionByName(codes), "bucket", "kind").mapInArrow(_told_pairs, told))
 
 
-#: pairs whose probabilities are worked out together
-PAIR_SLICE = 1 << 18
+#: pairs or tokens that are worked on together
+PIECE = 1 << 18
 
 
 def _scored(totals: list[Totals], offsets: Offsets, texts: pa.Array, rows: list[dict]) -> list[np.ndarray]:
     """n_tokens, n_known, base_score and score of every text of a block, from its answers in order."""
     p = _Pairs(texts, np.zeros(len(texts), bool))
-    u, w, _, pair = p.pairs()
+    key, u, w, _ = p.pairs()
     ids, first, span, n, *tables = _block_words([(r["at"], _load(r["pack"])) for r in rows if r["kind"] == 0], offsets)
     order = np.argsort(_bucket_of(u, w, first, span, ids), kind="stable")
     m = np.empty(len(u))
-    answers = [_load(r["pack"]) for r in rows if r["kind"] == 1]
-    place = np.concatenate([a[0] for a in answers])
+    place, cells = (np.concatenate(x) for x in zip(*[_load(r["pack"]) for r in rows if r["kind"] == 1]))
     values = np.where(place == 1, 1 - totals[0].discount, 0.0)
-    values[place == 2] = np.concatenate([a[1] for a in answers])
+    values[place == 2] = cells
     m[order] = values
-    chance = np.empty(len(u))
+    del order, values, place, cells, ids, first, span
     new = [STRENGTH + t.discount * tables[3 * s] for s, t in enumerate(totals)]
     q = [t.chance(tables[3 * s + 1], tables[3 * s + 2]) for s, t in enumerate(totals)]
-    for lo in range(0, len(u), PAIR_SLICE):
-        a, b = u[lo : lo + PAIR_SLICE], w[lo : lo + PAIR_SLICE]
+    chance = np.empty(len(u))
+    for lo in range(0, len(u), PIECE):
+        a, b = u[lo : lo + PIECE], w[lo : lo + PIECE]
         mean = sum(x[a] * y[b] for x, y in zip(new, q)) / len(totals)
-        chance[lo : lo + PAIR_SLICE] = np.log10((m[lo : lo + PAIR_SLICE] + mean) / (STRENGTH + n[a]))
+        chance[lo : lo + PIECE] = np.log10((m[lo : lo + PIECE] + mean) / (STRENGTH + n[a]))
+    del u, w, m, new, q, tables
+    score = np.empty(len(p.code))
+    for lo in range(0, len(score), PIECE):
+        hi = min(lo + PIECE, len(score))
+        score[lo:hi] = chance[np.searchsorted(key, p.keys(lo, hi))]
     base = np.log10((n + 1) / (totals[0].tokens + totals[0].known + 1))
-    sums = [np.add.reduceat(x, p.at[:-1]) for x in ((n > 0).astype(np.int64)[p.code], base[p.code], chance[pair])]
-    return [np.diff(p.at), *sums]
+    known = (n > 0).astype(np.int64)
+    return [np.diff(p.at), np.add.reduceat(known[p.code], p.at[:-1]), np.add.reduceat(base[p.code], p.at[:-1]), np.add.reduceat(score, p.at[:-1])]
 
 
 def score_texts(
@@ -797,8 +805,8 @@ def score_texts(
     train: Column,
     key: str = "doc_id",
     text: str = "text",
-    burn_in: int = BURN_IN,
-    samples: int = SAMPLES,
+    burn_in: int | None = None,
+    samples: int | None = None,
     block_rows: int = BLOCK_ROWS,
     block_bytes: int | None = None,
 ) -> DataFrame:
@@ -810,8 +818,10 @@ def score_texts(
     with one added to every count.  Null and empty texts are an end alone.
     Without training rows every word is the unknown one.  Repeated rows count
     and score each for itself; other columns are left out, whatever their names.
-    A text of any length is whole in one task.
+    A text of any length is whole in one task.  ``burn_in`` and ``samples``
+    count states (``BURN_IN``, ``SAMPLES``).
     """
+    burn_in, samples = BURN_IN if burn_in is None else burn_in, SAMPLES if samples is None else samples
     if burn_in < 1 or samples < 1 or block_rows < 1:
         raise ValueError("burn_in, samples and block_rows must be at least 1")
     blocked = _blocked(docs, key, text, train, block_rows, block_bytes or BLOCK_BYTES)

@@ -16,6 +16,14 @@ from tests.conftest import DATA
 DOC = "doc_id bigint, text string, score int, train boolean"
 
 
+@pytest.fixture(autouse=True)
+def few_sweeps(request, monkeypatch):
+    """What does not depend on the seating is tested with few sweeps."""
+    if "all_sweeps" not in request.keywords:
+        monkeypatch.setattr(P, "BURN_IN", 1)
+        monkeypatch.setattr(P, "SAMPLES", 2)
+
+
 def words_of(text):
     low = (text or "").encode().lower().decode()
     for c in "\t\n\x0b\x0c\r":
@@ -164,6 +172,7 @@ def plain_gibbs(pairs, known, d, dp, sweeps, burn_in, seed):
     return np.mean(total), np.std(total), {p: r / n for p, r in rates.items()}
 
 
+@pytest.mark.all_sweeps
 def test_sweeps_reach_what_customer_wise_sampling_reaches(spark):
     """Heavy cells of a small corpus: tables within three standard deviations, probabilities within 2 % of the log on average."""
     rng = random.Random(5)
@@ -181,6 +190,7 @@ def test_sweeps_reach_what_customer_wise_sampling_reaches(spark):
     assert np.mean(off) < 0.1
 
 
+@pytest.mark.all_sweeps
 @pytest.mark.parametrize("size,kinds", [(2_000, 50), (20_000, 500)])
 def test_dropped_sweeps_forget_the_start(size, kinds):
     """Words that do not depend on their context mix slowest; from the start in use they come within 3 % of a long run."""
@@ -234,15 +244,14 @@ def test_odd_rows(spark):
 
 def test_contexts_are_the_words_before():
     texts = pa.array(["ab  c", None, "ab d\x0b"], pa.string())
-    at, words = P.tokens(texts)
-    assert at.tolist() == [0, 3, 4, 7]
-    assert words.to_pylist() == ["ab", "c", "", "", "ab", "d", ""]
     p = P._Pairs(texts, np.array([True, False, True]))
-    u, w, c, pair = p.pairs()
-    end, name = p.code[2], lambda x: p.code[words.to_pylist().index(x)]
-    found = dict(zip(zip(u.tolist(), w.tolist()), c.tolist()))
-    assert found == {(end, name("ab")): 2, (name("ab"), name("c")): 1, (name("c"), end): 1, (end, end): 0, (name("ab"), name("d")): 1, (name("d"), end): 1}
-    assert [(u[i], w[i]) for i in pair][0] == (end, name("ab")) and p.at.tolist() == [0, 3, 4, 7]
+    name = {w: int(np.searchsorted(p.words, np.uint64(P.xxhash.xxh64_intdigest(w.encode())))) for w in ("ab", "c", "d", "")}
+    assert p.code.tolist() == [name[w] for w in ("ab", "c", "", "", "ab", "d", "")] and p.at.tolist() == [0, 3, 4, 7]
+    key, u, w, c = p.pairs()
+    want = {("", "ab"): 2, ("ab", "c"): 1, ("c", ""): 1, ("", ""): 0, ("ab", "d"): 1, ("d", ""): 1}
+    assert dict(zip(zip(u.tolist(), w.tolist()), c.tolist())) == {(name[a], name[b]): n for (a, b), n in want.items()}
+    assert (np.diff(key) > 0).all() and set(p.keys().tolist()) == set(key.tolist())
+    assert p.keys(2, 5).tolist() == p.keys().tolist()[2:5]
     assert p.counts()[0].sum() == 6 and p.counts()[1].sum() == 7
 
 
