@@ -51,7 +51,7 @@ from millrace.llm.texts import SPACE, byte_slices, byte_table, split_words
 from millrace.session import discard, stored
 
 #: rows and bytes of text of a block; bytes of text for each slice, and fewest slices; tokens of a bucket
-BLOCK_ROWS, BLOCK_BYTES = 8_192, 32 << 20
+BLOCK_ROWS, BLOCK_BYTES = 4_096, 16 << 20
 SLICE_BYTES, LEAST_SLICES, BUCKET_TOKENS = 64 << 20, 16, 4 << 20
 #: sweeps before the first sample, and samples
 BURN_IN, SAMPLES = 8, 4
@@ -235,7 +235,7 @@ def _dump(*arrays: np.ndarray) -> bytes:
 
 
 def _load(data: bytes) -> list[np.ndarray]:
-    """The arrays of :func:`_dump`; whole numbers as 64-bit ones."""
+    """The arrays of :func:`_dump`; whole numbers below 2^16 as 32-bit ones, others as 64-bit ones."""
     n = int.from_bytes(data[:4], "little")
     head = json.loads(data[4 : 4 + n])
     body = pa.decompress(data[4 + n :], decompressed_size=sum(np.dtype(t).itemsize * k for t, k in head), codec="zstd", asbytes=True)
@@ -243,7 +243,7 @@ def _load(data: bytes) -> list[np.ndarray]:
     for t, k in head:
         x = np.frombuffer(body, t, k, at)
         at += x.nbytes
-        out.append(x.astype(np.int64) if x.dtype.kind in "iu" and x.dtype.itemsize < 8 else x)
+        out.append(x.astype(np.int32 if x.dtype.itemsize < 4 else np.int64) if x.dtype.kind in "iu" and x.dtype.itemsize < 8 else x)
     return out
 
 
@@ -277,8 +277,8 @@ def _dealt(df: DataFrame, key: str, *order: str) -> DataFrame:
 class _Pairs:
     """The distinct words and pairs of a block's texts, in an order that follows from them alone."""
 
-    def __init__(self, texts: pa.Array, learn: np.ndarray):
-        parts = byte_slices([pa.RecordBatch.from_arrays([texts], ["text"])], "text", TEXT_BYTES)
+    def __init__(self, texts: pa.ChunkedArray, learn: np.ndarray):
+        parts = byte_slices((pa.RecordBatch.from_arrays([c], ["text"]) for c in texts.chunks), "text", TEXT_BYTES)
         pieces = [numbered_words(part.column(0)) for part in parts]
         #: where each text begins among the tokens, and the end of all
         self.at = np.concatenate([[0], *[np.diff(at) for at, *_ in pieces]]).cumsum()
@@ -302,14 +302,15 @@ class _Pairs:
         before = self.code[lo - 1 : hi - 1] if lo else np.concatenate([self.code[-1:], self.code[: hi - 1]])
         return before.astype(np.int64) * len(self.words) + self.code[lo:hi]
 
-    def pairs(self) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-        """Key, context and word of every distinct pair, ascending, and its training tokens."""
-        marked = np.sort(self.keys() * 2 + self.train)
-        key = marked >> 1
-        first = np.flatnonzero(np.concatenate([[True], key[1:] != key[:-1]]))
+    def pairs(self) -> tuple[np.ndarray, np.ndarray]:
+        """Key of every distinct pair, ascending, and its training tokens."""
+        marked = self.keys()
+        marked <<= 1
+        marked |= self.train
+        marked.sort()
+        first = np.flatnonzero(np.concatenate([[True], (marked[1:] ^ marked[:-1]) > 1]))
         c = np.add.reduceat(marked & 1, first)
-        key = key[first]
-        return key, key // len(self.words), key % len(self.words), c
+        return marked[first] >> 1, c
 
 
 def slice_of(words: np.ndarray, slices: int) -> np.ndarray:
@@ -330,8 +331,8 @@ def _sent_words(blocked: DataFrame, slices: int) -> DataFrame:
     """Step 1: per slice and block the block's words with their counts; a block read in parts has a row from each."""
 
     def out(block: int, held: list[pa.RecordBatch]) -> pa.RecordBatch:
-        t = pa.Table.from_batches(held).combine_chunks()
-        p = _Pairs(_only(t.column("text")), _flags(t.column("train")))
+        t = pa.Table.from_batches(held)
+        p = _Pairs(t.column("text"), _flags(t.column("train")))
         n, every = p.counts()
         cuts = _cut(slice_of(p.words, slices), slices)
         rows = [
@@ -429,7 +430,7 @@ TO_BUCKET = pa.schema([("bucket", pa.int64()), ("block", pa.int64()), ("pack", p
 
 def _texts(rows: list[dict]) -> pa.Table:
     """The rows of packed texts."""
-    return pa.concat_tables([pa.ipc.open_stream(r["pack"]).read_all() for r in rows]).combine_chunks()
+    return pa.concat_tables([pa.ipc.open_stream(r["pack"]).read_all() for r in rows])
 
 
 def _sent_pairs(offsets: Offsets):
@@ -439,8 +440,10 @@ def _sent_pairs(offsets: Offsets):
         for block, rows in _groups(batches, "block"):
             ids, first, span = _block_words([(r["slice"], _load(r["pack"])) for r in rows if r["kind"] == 0], offsets)
             t = _texts([r for r in rows if r["kind"] == 1])
-            p = _Pairs(_only(t.column("text")), _flags(t.column("train")))
-            _, u, w, c = p.pairs()
+            p = _Pairs(t.column("text"), _flags(t.column("train")))
+            del t, rows
+            key, c = p.pairs()
+            u, w = key // len(p.words), key % len(p.words)
             bucket = _bucket_of(u, w, first, span, ids)
             order = np.argsort(bucket, kind="stable")
             cuts = np.concatenate([[0], np.flatnonzero(np.diff(bucket[order])) + 1, [len(order)]])
@@ -571,8 +574,8 @@ def _parent_seated(totals: Totals | None, sweep: int, offsets: Offsets):
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for number, rows in _groups(batches, "slice"):
-            n, after, own = _load(rows[0]["pack"])
-            behind, tw = after.copy(), own.copy()
+            n, *once = _load(rows[0]["pack"])
+            behind, tw = (x.astype(np.int64) for x in once)
             lists = {}
             for r in rows[1:]:
                 if r["kind"] == LISTS:
@@ -771,26 +774,29 @@ def _answers(model: Model) -> DataFrame:
 PIECE = 1 << 18
 
 
-def _scored(totals: list[Totals], offsets: Offsets, texts: pa.Array, rows: list[dict]) -> list[np.ndarray]:
+def _scored(totals: list[Totals], offsets: Offsets, texts: pa.ChunkedArray, rows: list[dict]) -> list[np.ndarray]:
     """n_tokens, n_known, base_score and score of every text of a block, from its answers in order."""
     p = _Pairs(texts, np.zeros(len(texts), bool))
-    key, u, w, _ = p.pairs()
+    key, _ = p.pairs()
+    wide = len(p.words)
     ids, first, span, n, *tables = _block_words([(r["at"], _load(r["pack"])) for r in rows if r["kind"] == 0], offsets)
-    order = np.argsort(_bucket_of(u, w, first, span, ids), kind="stable")
-    m = np.empty(len(u))
+    order = np.argsort(_bucket_of(key // wide, key % wide, first, span, ids), kind="stable")
+    del ids, first, span
     place, cells = (np.concatenate(x) for x in zip(*[_load(r["pack"]) for r in rows if r["kind"] == 1]))
     values = np.where(place == 1, 1 - totals[0].discount, 0.0)
     values[place == 2] = cells
-    m[order] = values
-    del order, values, place, cells, ids, first, span
+    # the means of count - discount * tables, then the probabilities
+    chance = np.empty(len(key))
+    chance[order] = values
+    del order, values, place, cells
     new = [STRENGTH + t.discount * tables[3 * s] for s, t in enumerate(totals)]
     q = [t.chance(tables[3 * s + 1], tables[3 * s + 2]) for s, t in enumerate(totals)]
-    chance = np.empty(len(u))
-    for lo in range(0, len(u), PIECE):
-        a, b = u[lo : lo + PIECE], w[lo : lo + PIECE]
+    for lo in range(0, len(key), PIECE):
+        now = slice(lo, lo + PIECE)
+        a, b = key[now] // wide, key[now] % wide
         mean = sum(x[a] * y[b] for x, y in zip(new, q)) / len(totals)
-        chance[lo : lo + PIECE] = np.log10((m[lo : lo + PIECE] + mean) / (STRENGTH + n[a]))
-    del u, w, m, new, q, tables
+        chance[now] = np.log10((chance[now] + mean) / (STRENGTH + n[a]))
+    del new, q, tables
     score = np.empty(len(p.code))
     for lo in range(0, len(score), PIECE):
         hi = min(lo + PIECE, len(score))
@@ -835,7 +841,7 @@ def score_texts(
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for _, rows in _groups(batches, "block"):
             t = _texts([r for r in rows if r["kind"] == 2])
-            out = _scored(totals, offsets, _only(t.column("text")), [r for r in rows if r["kind"] < 2])
+            out = _scored(totals, offsets, t.column("text"), [r for r in rows if r["kind"] < 2])
             yield pa.RecordBatch.from_arrays([_only(t.column("id")), *[pa.array(x) for x in out]], ["id", "n_tokens", "n_known", "base_score", "score"])
             pa.default_memory_pool().release_unused()
 
