@@ -54,9 +54,11 @@ def fetch_small(df: DataFrame, limit: int, what: str) -> list[Row]:
     return rows
 
 
-def stored(df: DataFrame, label: str) -> tuple[DataFrame, str]:
+def stored(df: DataFrame, label: str, *parts: str) -> tuple[DataFrame, str]:
     """``df`` written as Parquet below the shared folder and read again, with its path for :func:`discard`.
 
+    ``parts`` are columns whose values get a folder of their own.
+
     The shuffle files of the write go when it ends, not when the driver next collects garbage.
     """
     spark = df.sparkSession
@@ -64,7 +66,7 @@ def stored(df: DataFrame, label: str) -> tuple[DataFrame, str]:
     before = spark.conf.get(CLEAN_SHUFFLES, None)
     spark.conf.set(CLEAN_SHUFFLES, "true")
     try:
-        df.write.parquet(path)
+        df.write.partitionBy(*parts).parquet(path) if parts else df.write.parquet(path)
     finally:
         spark.conf.unset(CLEAN_SHUFFLES) if before is None else spark.conf.set(CLEAN_SHUFFLES, before)
     return spark.read.schema(df.schema).parquet(path), path
