@@ -10,12 +10,13 @@ after a few sweeps the predictive probabilities of further sweeps are averaged.
 
 How it runs: words are known by 64-bit hashes.  A slice holds the words of a
 range of hashes with their counts, a bucket the cells (pairs of context and
-word) of a range of contexts, a block the rows that lie together in a file.
+word) of a range of contexts, a block some rows that a task read one after the other.
 They tell each other of words and pairs in packed arrays whose order both sides
 know, so no word or pair is named twice:
 
-1. Every block sends its sorted words to the slices, which count them, number
-   them and send the numbers back.
+1. Texts are turned into places in their block's sorted words, and kept so.  Every
+   block sends its words to the slices, which count them, number them and send
+   the numbers back.
 2. Every block sends its distinct pairs, as numbers, to the buckets, which
    count them.  A context with more tokens than a bucket takes is split by its words.
 3. In a sweep the buckets send the tables per context and word to the slices,
@@ -23,8 +24,8 @@ know, so no word or pair is named twice:
    buckets seat their cells anew.  A cell without customers has no table and one
    with a single customer has one, whatever is drawn; those are counted once, and only
    cells of two customers or more take part.
-4. Slices and buckets send each block the numbers of its words and pairs, and
-   the block's texts are scored.
+4. Slices and buckets send each block what its words and pairs need, and the
+   block's texts are scored.
 
 Slices, buckets and blocks are bounded in tokens, their number grows with the corpus.
 Only a few totals per slice come to the driver.  Every step is written to
@@ -43,7 +44,7 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 import xxhash
-from pyspark.errors import AnalysisException
+from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -51,12 +52,10 @@ from millrace.llm.texts import SPACE, byte_slices, byte_table, split_words
 from millrace.session import discard, stored
 
 #: rows and bytes of text of a block; bytes of text for each slice, and fewest slices; tokens of a bucket
-BLOCK_ROWS, BLOCK_BYTES = 4_096, 16 << 20
-SLICE_BYTES, LEAST_SLICES, BUCKET_TOKENS = 64 << 20, 16, 4 << 20
+BLOCK_ROWS, BLOCK_BYTES = 8_192, 32 << 20
+SLICE_BYTES, LEAST_SLICES, BUCKET_TOKENS = 32 << 20, 16, 4 << 20
 #: sweeps before the first sample, and samples
 BURN_IN, SAMPLES = 8, 4
-#: bytes of rows that a task packs together
-PACK_BYTES = 8 << 20
 #: bytes of text that a task turns into words at a time
 TEXT_BYTES = 5 << 20
 #: strength of every restaurant
@@ -199,30 +198,6 @@ class Totals:
 # ---------------------------------------------------------------- corpus passes
 
 
-def _blocked(docs: DataFrame, key: str, text: str, train: Column, block_rows: int, block_bytes: int) -> DataFrame:
-    """``id``, ``text``, ``train``, ``block``: rows that lie together in a file share a block.
-
-    A block has at most ``block_rows`` rows.  Texts above ``block_bytes / block_rows``
-    bytes are blocked by size class, the fewer together the longer they are, so
-    that no block but that of a single text is above ``block_bytes``.  Rows that
-    do not come from files are written to the shared folder first.
-    """
-    body = F.col(text).cast("string")
-    usual = max(1, block_bytes // block_rows)
-    size = F.greatest(F.coalesce(F.octet_length(body), F.lit(0)), F.lit(1))
-    halvings = F.greatest(F.ceil(F.log2(size / usual)), F.lit(0)).cast("int")
-    together = F.greatest(F.floor(F.lit(block_rows) / F.pow(F.lit(2.0), halvings)), F.lit(1))
-    place = F.xxhash64(F.col("_metadata.file_path"), halvings, F.floor(F.col("_metadata.row_index") / together))
-    columns = [F.col(key).alias("id"), body.alias("text"), train.alias("train")]
-    try:
-        marked = docs.select(*columns, place.alias("block"))
-        marked.schema
-        return marked
-    except AnalysisException:
-        rows, _ = stored(docs.select(*columns), "texts")
-        return _blocked(rows, "id", "text", F.col("train"), block_rows, block_bytes)
-
-
 def _dump(*arrays: np.ndarray) -> bytes:
     """Arrays as compressed bytes; whole numbers that are not negative in the narrowest type."""
     made = []
@@ -271,21 +246,27 @@ def _made(rows: list[dict], schema: pa.Schema) -> pa.RecordBatch:
 
 
 def _dealt(df: DataFrame, key: str, *order: str) -> DataFrame:
-    return df.repartition(key).sortWithinPartitions(key, *order)
+    # a stated number, so that large packs are not put together in few partitions
+    parts = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return df.repartition(parts, key).sortWithinPartitions(key, *order)
+
+
+def encode(texts: pa.ChunkedArray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The sorted numbers of the texts' different words, tokens of each text, and each token's place among the words."""
+    parts = byte_slices((pa.RecordBatch.from_arrays([c], ["text"]) for c in texts.chunks), "text", TEXT_BYTES)
+    pieces = [numbered_words(part.column(0)) for part in parts]
+    words = np.unique(np.concatenate([np.zeros(0, np.uint64), *[numbers for _, numbers, _ in pieces]]))
+    code = [np.searchsorted(words, numbers).astype(np.int32)[which] for _, numbers, which in pieces]
+    lengths = [np.diff(at) for at, *_ in pieces]
+    return words, np.concatenate([np.zeros(0, np.int64), *lengths]), np.concatenate([np.zeros(0, np.int32), *code])
 
 
-class _Pairs:
-    """The distinct words and pairs of a block's texts, in an order that follows from them alone."""
+class Tokens:
+    """A block's tokens as places among its ``n_words`` words, and which of them teach the model."""
 
-    def __init__(self, texts: pa.ChunkedArray, learn: np.ndarray):
-        parts = byte_slices((pa.RecordBatch.from_arrays([c], ["text"]) for c in texts.chunks), "text", TEXT_BYTES)
-        pieces = [numbered_words(part.column(0)) for part in parts]
-        #: where each text begins among the tokens, and the end of all
-        self.at = np.concatenate([[0], *[np.diff(at) for at, *_ in pieces]]).cumsum()
-        self.words = np.unique(np.concatenate([np.zeros(0, np.uint64), *[numbers for _, numbers, _ in pieces]]))
-        own = [np.searchsorted(self.words, numbers).astype(np.int32)[which] for _, numbers, which in pieces]
-        self.code = np.concatenate([np.zeros(0, np.int32), *own])
-        self.learn = learn
+    def __init__(self, lengths: np.ndarray, learn: np.ndarray, code: np.ndarray, n_words: int):
+        self.at = np.concatenate([[0], np.cumsum(lengths)])
+        self.learn, self.code, self.n_words = np.asarray(learn, bool), code, n_words
 
     @property
     def train(self) -> np.ndarray:
@@ -293,14 +274,13 @@ class _Pairs:
 
     def counts(self) -> tuple[np.ndarray, np.ndarray]:
         """Training tokens and all tokens of every word."""
-        n = len(self.words)
-        return np.bincount(self.code[self.train], minlength=n), np.bincount(self.code, minlength=n)
+        return np.bincount(self.code[self.train], minlength=self.n_words), np.bincount(self.code, minlength=self.n_words)
 
     def keys(self, lo: int = 0, hi: int | None = None) -> np.ndarray:
         """Context and word of each token, in one number; a text's end stands before the next text."""
         hi = len(self.code) if hi is None else hi
         before = self.code[lo - 1 : hi - 1] if lo else np.concatenate([self.code[-1:], self.code[: hi - 1]])
-        return before.astype(np.int64) * len(self.words) + self.code[lo:hi]
+        return before.astype(np.int64) * self.n_words + self.code[lo:hi]
 
     def pairs(self) -> tuple[np.ndarray, np.ndarray]:
         """Key of every distinct pair, ascending, and its training tokens."""
@@ -323,52 +303,49 @@ def _cut(sorted_ids: np.ndarray, parts: int) -> np.ndarray:
     return np.searchsorted(sorted_ids, np.arange(parts + 1))
 
 
-TO_SLICE = pa.schema([("slice", pa.int32()), ("block", pa.int64()), ("pack", pa.binary())])
-_WORDS = "slice int, block bigint, pack binary"
+ENCODED = pa.schema([("kind", pa.int32()), ("slice", pa.int32()), ("block", pa.int64()), ("pack", pa.binary()), ("ids", pa.binary())])
+_ENCODED = "kind int, slice int, block bigint, pack binary, ids binary"
+WORDS, TEXTS = 0, 1
 
 
-def _sent_words(blocked: DataFrame, slices: int) -> DataFrame:
-    """Step 1: per slice and block the block's words with their counts; a block read in parts has a row from each."""
+def _encoded(rows: DataFrame, slices: int, block_rows: int, block_bytes: int) -> DataFrame:
+    """Step 1 over ``id``, ``text``, ``train``: a row of each block's tokens and keys, and per slice one of its words with their counts."""
 
     def out(block: int, held: list[pa.RecordBatch]) -> pa.RecordBatch:
         t = pa.Table.from_batches(held)
-        p = _Pairs(t.column("text"), _flags(t.column("train")))
-        n, every = p.counts()
-        cuts = _cut(slice_of(p.words, slices), slices)
-        rows = [
-            {"slice": i, "block": block, "pack": _dump(p.words[lo:hi], n[lo:hi], every[lo:hi])}
-            for i, (lo, hi) in enumerate(zip(cuts[:-1], cuts[1:])) if hi > lo
-        ]
+        words, lengths, code = encode(t.column("text"))
+        learn = pc.fill_null(t.column("train"), False).to_numpy()
+        n, every = Tokens(lengths, learn, code, len(words)).counts()
+        sink, ids = pa.BufferOutputStream(), t.select(["id"])
+        with pa.ipc.new_stream(sink, ids.schema, options=pa.ipc.IpcWriteOptions(compression="zstd")) as stream:
+            stream.write_table(ids)
+        pack = _dump(lengths, learn.astype(np.uint8), code)
+        made = [{"kind": TEXTS, "slice": None, "block": block, "pack": pack, "ids": sink.getvalue().to_pybytes()}]
+        cuts = _cut(slice_of(words, slices), slices)
+        for i, (lo, hi) in enumerate(zip(cuts[:-1], cuts[1:])):
+            if hi > lo:
+                made.append({"kind": WORDS, "slice": i, "block": block, "pack": _dump(words[lo:hi], n[lo:hi], every[lo:hi]), "ids": None})
         pa.default_memory_pool().release_unused()
-        return _made(rows, TO_SLICE)
+        return _made(made, ENCODED)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: dict[int, list[pa.RecordBatch]] = {}
-        size = 0
-        for batch in byte_slices(batches, "text", TEXT_BYTES):
-            ids = batch.column("block").to_numpy(zero_copy_only=False)
-            order = np.argsort(ids, kind="stable")
-            cuts = np.concatenate([[0], np.flatnonzero(np.diff(ids[order])) + 1, [len(ids)]])
-            for lo, hi in zip(cuts[:-1], cuts[1:]):
-                if hi > lo:
-                    held.setdefault(int(ids[order[lo]]), []).append(batch.take(pa.array(order[lo:hi])))
-            size += batch.nbytes
-            if size > BLOCK_BYTES:
-                for block, parts in held.items():
-                    yield out(block, parts)
-                held, size = {}, 0
-        for block, parts in held.items():
-            yield out(block, parts)
-
-    return blocked.select("text", "train", "block").mapInArrow(run, _WORDS)
-
-
-def _only(column: pa.ChunkedArray) -> pa.Array:
-    return column.chunk(0) if column.num_chunks == 1 else pa.concat_arrays(column.chunks)
-
+        # a block's number follows from the task's and its place there, so a task that runs again numbers alike
+        block, held, n, size = TaskContext.get().partitionId() << 32, [], 0, 0
+        for batch in byte_slices(batches, "text", min(TEXT_BYTES, block_bytes)):
+            at = 0
+            while at < batch.num_rows:
+                part = batch.slice(at, block_rows - n)
+                at += part.num_rows
+                n += part.num_rows
+                size += part.nbytes
+                held.append(part)
+                if n >= block_rows or size >= block_bytes:
+                    yield out(block, held)
+                    block, held, n, size = block + 1, [], 0, 0
+        if held:
+            yield out(block, held)
 
-def _flags(column: pa.ChunkedArray) -> np.ndarray:
-    return pc.fill_null(_only(column), False).to_numpy(zero_copy_only=False)
+    return rows.mapInArrow(run, _ENCODED)
 
 
 NUMBERED = pa.schema([("kind", pa.int32()), ("slice", pa.int32()), ("block", pa.int64()), ("size", pa.int64()), ("buckets", pa.int64()), ("pack", pa.binary())])
@@ -388,13 +365,10 @@ def _numbered(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         upto = np.cumsum(every)
         first, last = (upto - every) // BUCKET_TOKENS, (upto - 1) // BUCKET_TOKENS
         out = [{"kind": VOCABULARY, "slice": number, "block": None, "size": len(words), "buckets": int(last.max()) + 1, "pack": _dump(words, n)}]
-        blocks: dict[int, list[np.ndarray]] = {}
         at = 0
         for block, own, *_ in parts:
-            blocks.setdefault(block, []).append(inverse[at : at + len(own)])
+            ids = inverse[at : at + len(own)]
             at += len(own)
-        for block, places in blocks.items():
-            ids = np.unique(np.concatenate(places))
             pack = _dump(_gaps(ids), _gaps(first[ids]), (last - first)[ids])
             out.append({"kind": MAP, "slice": number, "block": block, "size": None, "buckets": None, "pack": pack})
         yield _made(out, NUMBERED)
@@ -428,22 +402,14 @@ def _bucket_of(u: np.ndarray, w: np.ndarray, first: np.ndarray, span: np.ndarray
 TO_BUCKET = pa.schema([("bucket", pa.int64()), ("block", pa.int64()), ("pack", pa.binary())])
 
 
-def _texts(rows: list[dict]) -> pa.Table:
-    """The rows of packed texts."""
-    return pa.concat_tables([pa.ipc.open_stream(r["pack"]).read_all() for r in rows])
-
-
 def _sent_pairs(offsets: Offsets):
     """Step 2, in the blocks: per bucket the block's pairs as word numbers, with their training tokens."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for block, rows in _groups(batches, "block"):
-            ids, first, span = _block_words([(r["slice"], _load(r["pack"])) for r in rows if r["kind"] == 0], offsets)
-            t = _texts([r for r in rows if r["kind"] == 1])
-            p = _Pairs(t.column("text"), _flags(t.column("train")))
-            del t, rows
-            key, c = p.pairs()
-            u, w = key // len(p.words), key % len(p.words)
+            ids, first, span = _block_words([(r["slice"], _load(r["pack"])) for r in rows[:-1]], offsets)
+            key, c = Tokens(*_load(rows[-1]["pack"]), len(ids)).pairs()
+            u, w = key // len(ids), key % len(ids)
             bucket = _bucket_of(u, w, first, span, ids)
             order = np.argsort(bucket, kind="stable")
             cuts = np.concatenate([[0], np.flatnonzero(np.diff(bucket[order])) + 1, [len(order)]])
@@ -622,9 +588,10 @@ def _cells_seated(totals: Totals, sweep: int, samples: int, sampled: bool, last:
 
 @dataclass(frozen=True)
 class Model:
-    """What the samples say: ``numbered`` and ``counted`` of steps 1 and 2, ``facts`` and, per sample, vectors per slice,
-    the last state of the buckets with the mean of ``count - discount * tables`` per cell, and an entry of totals per sample."""
+    """What the samples say: ``texts``, ``numbered`` and ``counted`` of steps 1 and 2, ``facts`` and, per sample, vectors per
+    slice, the last state of the buckets with the mean of ``count - discount * tables`` per cell, and an entry of totals per sample."""
 
+    texts: DataFrame
     numbered: DataFrame
     counted: DataFrame
     facts: DataFrame
@@ -639,32 +606,34 @@ class Model:
             discard(self.state.sparkSession, path)
 
 
-def _texts_by_block(blocked: DataFrame, *columns: str) -> DataFrame:
-    return blocked.select("block", *columns).mapInArrow(_packed, "block bigint, pack binary")
-
-
-def count(blocked: DataFrame) -> tuple[DataFrame, DataFrame, Offsets, list[str]]:
-    """Steps 1 and 2: the slices' words and the blocks' maps, and the buckets' cells and the blocks' classes."""
-    size = blocked.agg(F.sum(F.octet_length("text"))).first()[0] or 0
+def count(rows: DataFrame, block_rows: int, block_bytes: int) -> tuple[DataFrame, DataFrame, DataFrame, Offsets, list[str]]:
+    """Steps 1 and 2: the blocks' texts, the slices' words and the blocks' maps, the buckets' cells and the blocks' classes."""
+    spark = rows.sparkSession
+    size = rows.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     slices = max(LEAST_SLICES, math.ceil(size / SLICE_BYTES))
+    encoded, path = stored(_encoded(rows, slices, block_rows, block_bytes), "encoded", "kind")
+    texts = encoded.where(F.col("kind") == TEXTS).select("block", "pack", "ids")
+    words = encoded.where(F.col("kind") == WORDS).select("slice", "block", "pack")
     kinds = "kind int, slice int, block bigint, size bigint, buckets bigint, pack binary"
-    numbered, words_path = stored(_dealt(_sent_words(blocked, slices), "slice", "block").mapInArrow(_numbered, kinds), "words")
+    numbered, words_path = stored(_dealt(words, "slice", "block").mapInArrow(_numbered, kinds), "words")
+    discard(spark, f"{path}/kind={WORDS}")
     # a row per slice
     sizes = {r["slice"]: (r["size"], r["buckets"]) for r in numbered.where(F.col("kind") == VOCABULARY).select("slice", "size", "buckets").collect()}
     table = np.array([(0, 0), *[sizes.get(i, (0, 0)) for i in range(slices)]])
     offsets = Offsets(np.cumsum(table[:, 0]), np.cumsum(table[:, 1]))
 
     maps = numbered.where(F.col("kind") == MAP).select("block", F.lit(0).alias("kind"), "slice", "pack")
-    texts = _texts_by_block(blocked, "text", "train").select("block", F.lit(1).alias("kind"), F.lit(0).alias("slice"), "pack")
-    sent = _dealt(maps.unionByName(texts), "block", "kind", "slice").mapInArrow(_sent_pairs(offsets), "bucket bigint, block bigint, pack binary")
+    own = texts.select("block", F.lit(1).alias("kind"), F.lit(0).alias("slice"), "pack")
+    sent = _dealt(maps.unionByName(own), "block", "kind", "slice").mapInArrow(_sent_pairs(offsets), "bucket bigint, block bigint, pack binary")
     kinds = "kind int, bucket bigint, slice int, block bigint, ones bigint, twos bigint, pack binary"
     counted, pairs_path = stored(_dealt(sent, "bucket", "block").mapInArrow(_counted(offsets), kinds), "pairs")
-    return numbered, counted, offsets, [words_path, pairs_path]
+    return texts, numbered, counted, offsets, [words_path, pairs_path]
 
 
-def fit(blocked: DataFrame, burn_in: int, samples: int) -> Model:
-    """Count, and seat the cells in ``burn_in + samples`` states of which the last ``samples`` are kept."""
-    numbered, counted, offsets, paths = count(blocked)
+def fit(rows: DataFrame, burn_in: int, samples: int, block_rows: int = BLOCK_ROWS, block_bytes: int = BLOCK_BYTES) -> Model:
+    """Count ``id``, ``text``, ``train``, and seat the cells in ``burn_in + samples`` states of which the last ``samples`` are kept."""
+    spark = rows.sparkSession
+    texts, numbered, counted, offsets, paths = count(rows, block_rows, block_bytes)
     vocabulary = numbered.where(F.col("kind") == VOCABULARY)
     cells = counted.where(F.col("kind") == CELLS)
     told = counted.where(F.col("kind").isin(ONCE, LISTS)).select("slice", "kind", "bucket", "pack")
@@ -692,49 +661,24 @@ def fit(blocked: DataFrame, burn_in: int, samples: int) -> Model:
         mine = state.where(F.col("kind") == OWN).select("bucket", "kind", "slice", "pack")
         met = _dealt(mine.unionByName(answers), "bucket", "kind", "slice")
         state, after = stored(met.mapInArrow(_cells_seated(totals, s, samples, sampled, last, offsets), _STATE), "state")
-        discard(blocked.sparkSession, at)
+        discard(spark, at)
         at = after
         if sampled:
             vectors.append(seated.where(F.col("kind") == OWN))
             kept.append(totals)
             paths.append(held)
         else:
-            discard(blocked.sparkSession, held)
-    return Model(numbered, counted, facts, vectors, state, kept, offsets, [*paths, at])
-
-
-def _packed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """``block``, ``pack`` from rows with a ``block``: the other columns of a block's rows as compressed Arrow data."""
-    held: list[pa.RecordBatch] = []
-
-    def out() -> pa.RecordBatch:
-        rows = pa.Table.from_batches(held)
-        rows = rows.take(pa.array(np.argsort(rows.column("block").to_numpy(), kind="stable"))).combine_chunks()
-        ids = rows.column("block").to_numpy()
-        cuts = np.concatenate([[0], np.flatnonzero(ids[1:] != ids[:-1]) + 1, [len(ids)]])
-        packs = []
-        for lo, hi in zip(cuts[:-1], cuts[1:]):
-            sink, part = pa.BufferOutputStream(), rows.slice(lo, hi - lo).drop_columns(["block"])
-            with pa.ipc.new_stream(sink, part.schema, options=pa.ipc.IpcWriteOptions(compression="zstd")) as stream:
-                stream.write_table(part)
-            packs.append(sink.getvalue().to_pybytes())
-        return pa.RecordBatch.from_arrays([pa.array(ids[cuts[:-1]]), pa.array(packs, pa.binary())], ["block", "pack"])
-
-    for batch in batches:
-        held.append(batch)
-        if sum(b.nbytes for b in held) >= PACK_BYTES:
-            yield out()
-            held.clear()
-            pa.default_memory_pool().release_unused()
-    if any(b.num_rows for b in held):
-        yield out()
+            discard(spark, held)
+    return Model(texts, numbered, counted, facts, vectors, state, kept, offsets, [*paths, at])
 
 
 def _told_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Step 4, in the slices: each block's words with their first bucket, span, count, and tables per sample."""
     for number, rows in _groups(batches, "slice"):
         n = _load(rows[0]["pack"])[0]
-        vectors = [x for r in rows if r["kind"] == 1 for x in _load(r["pack"])]
+        samples = [_load(r["pack"]) for r in rows if r["kind"] == 1]
+        # later samples as differences from the first, which are mostly small
+        vectors = [*samples[0], *[x - first for v in samples[1:] for x, first in zip(v, samples[0])]]
         for r in rows:
             if r["kind"] == 2:
                 gaps, first, span = _load(r["pack"])
@@ -774,12 +718,13 @@ def _answers(model: Model) -> DataFrame:
 PIECE = 1 << 18
 
 
-def _scored(totals: list[Totals], offsets: Offsets, texts: pa.ChunkedArray, rows: list[dict]) -> list[np.ndarray]:
+def _scored(totals: list[Totals], offsets: Offsets, pack: bytes, rows: list[dict]) -> list[np.ndarray]:
     """n_tokens, n_known, base_score and score of every text of a block, from its answers in order."""
-    p = _Pairs(texts, np.zeros(len(texts), bool))
-    key, _ = p.pairs()
-    wide = len(p.words)
     ids, first, span, n, *tables = _block_words([(r["at"], _load(r["pack"])) for r in rows if r["kind"] == 0], offsets)
+    for k in range(3, len(tables)):
+        tables[k] = tables[k] + tables[k % 3]
+    p, wide = Tokens(*_load(pack), len(ids)), len(ids)
+    key, _ = p.pairs()
     order = np.argsort(_bucket_of(key // wide, key % wide, first, span, ids), kind="stable")
     del ids, first, span
     place, cells = (np.concatenate(x) for x in zip(*[_load(r["pack"]) for r in rows if r["kind"] == 1]))
@@ -830,22 +775,24 @@ def score_texts(
     burn_in, samples = BURN_IN if burn_in is None else burn_in, SAMPLES if samples is None else samples
     if burn_in < 1 or samples < 1 or block_rows < 1:
         raise ValueError("burn_in, samples and block_rows must be at least 1")
-    blocked = _blocked(docs, key, text, train, block_rows, block_bytes or BLOCK_BYTES)
-    model = fit(blocked, burn_in, samples)
+    rows = docs.select(F.col(key).alias("id"), F.col(text).cast("string").alias("text"), train.alias("train"))
+    model = fit(rows, burn_in, samples, block_rows, block_bytes or BLOCK_BYTES)
     totals, offsets = model.totals, model.offsets
     answers, _ = stored(_answers(model), "answers")
     model.drop()
-    texts = _texts_by_block(blocked, "id", "text").select("block", F.lit(2).alias("kind"), F.lit(0).cast("long").alias("at"), "pack")
-    met = _dealt(answers.unionByName(texts), "block", "kind", "at")
+    nothing = F.lit(None).cast("binary").alias("ids")
+    texts = model.texts.select("block", F.lit(2).alias("kind"), F.lit(0).cast("long").alias("at"), "pack", "ids")
+    met = _dealt(answers.select("*", nothing).unionByName(texts), "block", "kind", "at")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for _, rows in _groups(batches, "block"):
-            t = _texts([r for r in rows if r["kind"] == 2])
-            out = _scored(totals, offsets, t.column("text"), [r for r in rows if r["kind"] < 2])
-            yield pa.RecordBatch.from_arrays([_only(t.column("id")), *[pa.array(x) for x in out]], ["id", "n_tokens", "n_known", "base_score", "score"])
+        for _, told in _groups(batches, "block"):
+            out = _scored(totals, offsets, told[-1]["pack"], told[:-1])
+            ids = pa.ipc.open_stream(told[-1]["ids"]).read_all().column("id").combine_chunks()
+            ids = ids if isinstance(ids, pa.Array) else pa.concat_arrays(ids.chunks)
+            yield pa.RecordBatch.from_arrays([ids, *[pa.array(x) for x in out]], ["id", "n_tokens", "n_known", "base_score", "score"])
             pa.default_memory_pool().release_unused()
 
-    id_kind = blocked.schema["id"].dataType.simpleString()
+    id_kind = rows.schema["id"].dataType.simpleString()
     out = met.mapInArrow(run, f"id {id_kind}, n_tokens bigint, n_known bigint, base_score double, score double")
     return out.select(
         F.col("id").alias(key),

@@ -59,10 +59,10 @@ def test_held_out_texts_score_better_than_the_base(spark):
     assert r["s"] > r["b"] and r["share"] > 0.9
 
 
-def fitted(spark, rows, **how):
+def fitted(spark, rows):
     """The plain numbers of a model: counts, and a function for the probability of a word after a context."""
     table = spark.createDataFrame(rows, DOC)
-    model = P.fit(P._blocked(table, "doc_id", "text", F.col("train"), 5, 1 << 20), how.get("burn_in", P.BURN_IN), how.get("samples", P.SAMPLES))
+    model = P.fit(table.select(F.col("doc_id").alias("id"), "text", "train"), P.BURN_IN, P.SAMPLES, 5)
     number = lambda w: P.xxhash.xxh64_intdigest(w.encode())
     pairs, counts = Counter(), Counter()
     for _, t, _, learn in rows:
@@ -210,13 +210,16 @@ def test_dropped_sweeps_forget_the_start(size, kinds):
     assert np.mean(kept) == pytest.approx(np.mean(totals[30:]), rel=0.03)
 
 
-def test_blocks_are_bounded_in_bytes(spark, tmp_path):
-    rows = [(i, "w " * (3_000 if i % 3 == 0 else 10), 0, True) for i in range(90)] + [(500, "v " * 40_000, 0, True)]
-    spark.createDataFrame(rows, DOC).coalesce(1).write.parquet(str(tmp_path / "t"))
-    blocked = P._blocked(spark.read.parquet(str(tmp_path / "t")), "doc_id", "text", F.col("train"), 64, 64_000)
-    per = blocked.groupBy("block").agg(F.count(F.lit(1)).alias("n"), F.sum(F.octet_length("text")).alias("size")).collect()
-    assert sum(r["n"] for r in per) == 91
-    assert all(r["size"] <= 64_000 or r["n"] == 1 for r in per) and any(r["n"] > 20 for r in per)
+def test_blocks_are_bounded_in_rows_and_bytes(spark):
+    rows = [(i, "w " * (3_000 if i % 3 == 0 else 10), True) for i in range(90)] + [(500, "v " * 40_000, True)]
+    table = spark.createDataFrame(rows, "id int, text string, train boolean").coalesce(1)
+    made = P._encoded(table, 4, 16, 64_000).where(F.col("kind") == P.TEXTS).collect()
+    lengths = [P._load(r["pack"])[0] for r in made]
+    assert sum(map(len, lengths)) == 91 and len({r["block"] for r in made}) == len(made)
+    # a block ends with the text that reaches the bound
+    assert all(len(n) <= 16 and (n[:-1].sum() * 2 <= 64_000) for n in lengths) and max(map(len, lengths)) == 16
+    ids = [i for r in made for i in pa.ipc.open_stream(r["ids"]).read_all().column("id").to_pylist()]
+    assert ids == [r[0] for r in rows]
 
 
 def test_runs_agree_and_do_not_depend_on_blocks(spark):
@@ -244,11 +247,12 @@ def test_odd_rows(spark):
 
 def test_contexts_are_the_words_before():
     texts = pa.array(["ab  c", None, "ab d\x0b"], pa.string())
-    p = P._Pairs(pa.chunked_array([texts[:2], texts[2:]]), np.array([True, False, True]))
-    name = {w: int(np.searchsorted(p.words, np.uint64(P.xxhash.xxh64_intdigest(w.encode())))) for w in ("ab", "c", "d", "")}
-    assert p.code.tolist() == [name[w] for w in ("ab", "c", "", "", "ab", "d", "")] and p.at.tolist() == [0, 3, 4, 7]
+    words, lengths, code = P.encode(pa.chunked_array([texts[:2], texts[2:]]))
+    name = {w: int(np.searchsorted(words, np.uint64(P.xxhash.xxh64_intdigest(w.encode())))) for w in ("ab", "c", "d", "")}
+    assert code.tolist() == [name[w] for w in ("ab", "c", "", "", "ab", "d", "")] and lengths.tolist() == [3, 1, 3]
+    p = P.Tokens(lengths, np.array([True, False, True]), code, len(words))
     key, c = p.pairs()
-    u, w = key // len(p.words), key % len(p.words)
+    u, w = key // len(words), key % len(words)
     want = {("", "ab"): 2, ("ab", "c"): 1, ("c", ""): 1, ("", ""): 0, ("ab", "d"): 1, ("d", ""): 1}
     assert dict(zip(zip(u.tolist(), w.tolist()), c.tolist())) == {(name[a], name[b]): n for (a, b), n in want.items()}
     assert (np.diff(key) > 0).all() and set(p.keys().tolist()) == set(key.tolist())
