@@ -56,15 +56,19 @@ def _salt(n: int) -> Column:
     return F.pmod(F.xxhash64("user"), F.lit(n)).cast("int").alias("salt")
 
 
-def unknown_cells(known: DataFrame, items: DataFrame) -> DataFrame:
-    """``(user, item)`` for every item a user has not rated.
+def unknown_cells(known: DataFrame, items: DataFrame, wanted: DataFrame | None = None) -> DataFrame:
+    """``(user, item)`` for every item a user has not rated, or for those cells of a table ``wanted`` that are unknown.
 
-    The result is as large as users times items by its nature.  Items are
+    Wanted cells are of known users and items; nothing but them is made.
+    Without them the result is as large as users times items by its nature.  Items are
     gathered in hash chunks of bounded size, and every chunk is copied once per
     few thousand users, so that a chunk's copy meets only those users; only the
     missing items of a chunk are expanded.
     """
     distinct = items.select("item").distinct()
+    if wanted is not None:
+        cells = wanted.select("user", "item").distinct().join(known.select("user").distinct(), "user", "left_semi")
+        return cells.join(distinct, "item", "left_semi").join(known.select("user", "item"), ["user", "item"], "left_anti").select("user", "item")
     chunks, salts = max(1, math.ceil(distinct.count() / ITEM_CHUNK)), _salts(known)
 
     def chunk() -> Column:
@@ -80,11 +84,11 @@ def unknown_cells(known: DataFrame, items: DataFrame) -> DataFrame:
     return pairs.select("user", F.explode(F.array_except("all", F.coalesce("rated", nothing))).alias("item"))
 
 
-def popular_ratings(train: DataFrame, known: DataFrame) -> DataFrame:
-    """Predicted ratings of the unknown cells: user mean plus the item's mean offset."""
+def popular_ratings(train: DataFrame, known: DataFrame, wanted: DataFrame | None = None) -> DataFrame:
+    """Predicted ratings of the unknown (or wanted) cells: user mean plus the item's mean offset."""
     items = popular_items(train)
     return (
-        unknown_cells(known, items)
+        unknown_cells(known, items, wanted)
         .join(items.select("item", "offset"), "item")
         .join(user_means(known), "user")
         .select("user", "item", (F.col("mean") + F.col("offset")).alias("prediction"))
@@ -124,10 +128,10 @@ def top_n_items(predicted: DataFrame, n: int) -> DataFrame:
     return predicted.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= n).select("user", "item", "rank")
 
 
-def random_ratings(known: DataFrame, items: DataFrame, lo: float, hi: float, seed: int = 1) -> DataFrame:
-    """Repeatable random predictions of the unknown cells, the baseline to beat."""
+def random_ratings(known: DataFrame, items: DataFrame, lo: float, hi: float, seed: int = 1, wanted: DataFrame | None = None) -> DataFrame:
+    """Repeatable random predictions of the unknown (or wanted) cells, the baseline to beat."""
     u = sampling.hash_unit(["user", "item"], seed)
-    return unknown_cells(known, items).withColumn("prediction", F.lit(lo) + u * F.lit(hi - lo))
+    return unknown_cells(known, items, wanted).withColumn("prediction", F.lit(lo) + u * F.lit(hi - lo))
 
 
 def _co_rated(frame: pd.DataFrame, most: int = 1 << 20):

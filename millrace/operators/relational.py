@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from millrace.functions.scalars import is_missing
-from millrace.operators.ordering import join_null_safe, quantiles
+from millrace.operators.ordering import column_quantiles, join_null_safe
 
 
 def select_range(df: DataFrame, first: str, last: str) -> DataFrame:
@@ -96,21 +96,24 @@ def contingency(df: DataFrame, row: str, col: str, levels: Sequence) -> DataFram
 
 
 def profile(df: DataFrame, columns: Sequence[str]) -> DataFrame:
-    """Min, quartiles, mean, max and missing count of numeric columns, one row each."""
-    long = df.select(*[F.col(c).cast("double").alias(c) for c in columns]).unpivot(
-        [], list(columns), "column", "value"
-    )
-    gone = F.col("value").isNull() | F.isnan("value")
-    basic = long.groupBy("column").agg(
-        F.min(F.when(~gone, F.col("value"))).alias("min"),
-        F.avg(F.when(~gone, F.col("value"))).alias("mean"),
-        F.max(F.when(~gone, F.col("value"))).alias("max"),
-        F.count_if(gone).alias("missing"),
-    )
-    mid = quantiles(long, "value", {"q1": 0.25, "median": 0.5, "q3": 0.75}, ["column"])
-    return basic.join(mid, "column", "left").select(
-        "column", "min", "q1", "median", "mean", "q3", "max", "missing"
-    )
+    """Min, quartiles, mean, max and missing count of numeric columns, one row each.
+
+    All columns are looked at side by side in every scan, without a row per cell.
+    """
+    columns = list(columns)
+    made = []
+    for i, c in enumerate(columns):
+        x = F.col(c).cast("double")
+        there = F.when(~(x.isNull() | F.isnan(x)), x)
+        made += [F.min(there).alias(f"min{i}"), F.avg(there).alias(f"mean{i}"), F.max(there).alias(f"max{i}"), F.count_if(there.isNull()).alias(f"missing{i}")]
+    basic = df.agg(*made).first()
+    mid = column_quantiles(df, columns, {"q1": 0.25, "median": 0.5, "q3": 0.75})
+    rows = [
+        (c, basic[f"min{i}"], mid[c]["q1"], mid[c]["median"], basic[f"mean{i}"], mid[c]["q3"], basic[f"max{i}"], basic[f"missing{i}"])
+        for i, c in enumerate(columns)
+    ]
+    names = ("min", "q1", "median", "mean", "q3", "max")
+    return df.sparkSession.createDataFrame(rows, "column string, " + ", ".join(f"{n} double" for n in names) + ", missing bigint")
 
 
 def level_counts(df: DataFrame, columns: Sequence[str]) -> DataFrame:

@@ -14,6 +14,9 @@ from millrace.operators.relational import share_of_total
 WORD = r"[\p{L}\p{N}']+"
 SENTENCE_END = r"(?<=[.!?])\s+"
 
+#: rows of a word list that every task may hold
+SMALL_LEXICON = 200_000
+
 
 def escape_newlines(c: str) -> Column:
     """Text with backslash, CR and LF written as two-character escapes."""
@@ -152,10 +155,19 @@ def shares(tokens: DataFrame, corpus: str, term: str = "word") -> DataFrame:
 
 
 def lexicon_counts(tokens: DataFrame, lexicon: DataFrame, keys: Sequence[str], classes: Sequence[str]) -> DataFrame:
-    """Words per key and sentiment class, one column per class, absent ones 0."""
-    counts = tokens.groupBy(*keys, "word").agg(F.count(F.lit(1)).alias("__n"))
-    wide = counts.join(lexicon, "word").groupBy(*keys).pivot("sentiment", list(classes)).agg(F.sum("__n"))
-    return wide.na.fill(0, list(classes))
+    """Words per key and sentiment class, one column per class, absent ones 0.
+
+    A word list of at most ``SMALL_LEXICON`` rows goes to the tokens, and only
+    the hits are counted; beyond that words are counted before they meet it.
+    """
+    lexicon = lexicon.select("word", "sentiment")
+    if lexicon.limit(SMALL_LEXICON + 1).count() <= SMALL_LEXICON:
+        hits = tokens.select(*keys, "word").join(F.broadcast(lexicon), "word").withColumn("__n", F.lit(1))
+    else:
+        hits = tokens.groupBy(*keys, "word").agg(F.count(F.lit(1)).alias("__n")).join(lexicon, "word")
+    hits = hits.where(F.col("sentiment").isin(list(classes)))
+    one = [F.coalesce(F.sum(F.when(F.col("sentiment") == c, F.col("__n"))), F.lit(0)).cast("bigint").alias(c) for c in classes]
+    return hits.groupBy(*keys).agg(*one)
 
 
 def block_sentiment(tokens: DataFrame, lexicon: DataFrame, keys: Sequence[str], line: str, size: int = 80) -> DataFrame:

@@ -219,6 +219,13 @@ def c13(t):
     return _judge(C.linear_svm().fit(train), test)
 
 
+@query("C13_radial_svm")
+def c13_radial(t):
+    train, test = _split(t)
+    features, model, _ = C.radial_svm(train.select("vec_id", "label", "embedding"), ["vec_id"], "embedding", "label", WIDTH)
+    return _judge(model, features.transform(test.drop("features"), "embedding"))
+
+
 @query("C14_prediction_counts")
 def c14(t):
     train, test = _split(t)

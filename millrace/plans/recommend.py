@@ -88,6 +88,37 @@ def k08(t):
     return K.popular_ratings(known, known).withColumn("prediction", F.round("prediction", 8))
 
 
+BRANDS = ["Brand#11", "Brand#23", "Brand#55"]
+WANTED = "(" + ", ".join(f"'{b}'" for b in BRANDS) + ")"
+
+
+def _asked(users):
+    """Every user with each of a few brands."""
+    return users.distinct().select("user", F.explode(F.array(*[F.lit(b) for b in BRANDS])).alias("item"))
+
+
+@query(
+    "K08_predict_wanted",
+    CENTRED_SQL + f"""SELECT "user", item, round(prediction, 8) AS prediction FROM cells WHERE item IN {WANTED} AND "user" % 3 = 0""",
+)
+def k08_wanted(t):
+    """Only the cells asked for: three brands for every third customer."""
+    known = stable(ratings(t))
+    asked = _asked(t.customer.select(F.col("c_custkey").alias("user")).where("user % 3 = 0"))
+    return K.popular_ratings(known, known, asked).withColumn("prediction", F.round("prediction", 8))
+
+
+@query(
+    "K12_random_wanted",
+    CENTRED_SQL + f"""SELECT cells."user", cells.item, round(0.1::DOUBLE + {unit_sql(9, 'cells."user"', 'cells.item')} * 4.9::DOUBLE, 8) AS prediction
+    FROM cells WHERE item IN {WANTED}""",
+)
+def k12_wanted(t):
+    known = stable(ratings(t))
+    asked = _asked(known.select("user"))
+    return K.random_ratings(known, known, 0.1, 5.0, 9, asked).withColumn("prediction", F.round("prediction", 8))
+
+
 @query(
     "K09_full_matrix",
     CENTRED_SQL + """SELECT "user", item, round(rating, 8) AS rating, true AS is_known FROM r

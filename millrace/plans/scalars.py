@@ -217,12 +217,15 @@ def d01(t):
 
 @query(
     "D01_scalar_udf_on_links",
-    r"""SELECT doc_id, regexp_replace(left(text, 40) || ' https://' || source || '.org/' || doc_id || '?q=' || lang || chr(10) || lang || ' http://x',
-    'https?://[^ \t\r\n]*', '', 'g') AS text FROM documents""",
+    r"""SELECT doc_id, regexp_replace(left(text, length(text) // 2) || ' http://middle.example/' || doc_id || chr(9) || substr(text, length(text) // 2 + 1)
+    || ' https://' || source || '.org/' || doc_id || '?q=' || lang || chr(10) || lang || ' http://x', 'https?://[^ \t\r\n]*', '', 'g') AS text FROM documents""",
 )
 def d01_links(t):
+    """Whole texts with a link in the middle and two at the end."""
+    half = F.floor(F.length("text") / 2).cast("int")
     linked = F.concat(
-        F.substring("text", 1, 40), F.lit(" https://"), "source", F.lit(".org/"), F.col("doc_id").cast("string"), F.lit("?q="), "lang",
+        F.substring(F.col("text"), F.lit(1), half), F.lit(" http://middle.example/"), F.col("doc_id").cast("string"), F.lit("\t"),
+        F.substring(F.col("text"), half + 1, F.length("text")), F.lit(" https://"), "source", F.lit(".org/"), F.col("doc_id").cast("string"), F.lit("?q="), "lang",
         F.lit("\n"), "lang", F.lit(" http://x"),
     )
     return t.documents.select("doc_id", linked.alias("text")).select("doc_id", S.remove_urls("text").alias("text"))

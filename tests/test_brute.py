@@ -496,6 +496,29 @@ def test_signature_forecast_drops_aliased_columns(seasonal):
     assert len(pdf) == 24 and pdf["prediction"].between(50, 170).all()
 
 
+def test_column_quantiles(spark):
+    """Several columns at once: ties, both signs, zeros of both signs, infinities, missing ones, few values and none."""
+    rng = np.random.default_rng(5)
+    n = 30_000
+    pdf = pd.DataFrame({"a": rng.normal(size=n), "b": rng.integers(0, 4, n).astype(float), "c": np.exp(rng.normal(0, 30, n)) * rng.choice([-1, 1], n), "d": np.nan, "e": 1e300})
+    pdf.loc[:9, "e"] = [0.0, -0.0, np.inf, -np.inf, 5e-324, -5e-324, 1.0, -1.0, np.nan, 2.0]
+    pdf.loc[rng.random(n) < 0.3, "a"] = np.nan
+    pdf.loc[5:, "f"] = np.nan
+    pdf.loc[:4, "f"] = [3.0, 1.0, 2.0, -7.0, 2.0]
+    probs = {"min": 0.0, "low": 0.001, "q1": 0.25, "median": 0.5, "q3": 0.75, "high": 0.9995, "max": 1.0}
+    got = ordering.column_quantiles(spark.createDataFrame(pdf).repartition(5), list(pdf.columns), probs)
+    for c in pdf.columns:
+        x = pdf[c].dropna().to_numpy()
+        for name, q in probs.items():
+            if not len(x):
+                assert got[c][name] is None
+                continue
+            s, h = np.sort(x), (len(x) - 1) * q
+            lo, hi = s[math.floor(h)], s[math.ceil(h)]
+            want = lo if lo == hi else lo + (h - math.floor(h)) * (hi - lo)
+            assert got[c][name] == want or got[c][name] == pytest.approx(want, rel=1e-12)
+
+
 @pytest.mark.parametrize("bucket_rows", [1, 16, 10_000])
 def test_bootstrap_of_exact_size(spark, monkeypatch, bucket_rows):
     """Every resample has as many draws as rows, runs agree, and draws per row are distributed as by a plain sampler."""

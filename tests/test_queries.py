@@ -87,10 +87,77 @@ def test_more_starts_never_cost_more(spark):
     from millrace.operators import classification as C
 
     data = C.features_from_array(spark.read.parquet(f"{DATA}/embeddings.parquet"), "embedding")
-    costs = [C.best_kmeans(data, 3, n, seed=4).summary.trainingCost for n in (1, 4)]
+    costs = [C.best_kmeans(data, 3, n, seed=4).cost for n in (1, 4)]
     assert costs[1] <= costs[0]
 
 
+def test_starts_side_by_side_equal_plain_ones(spark):
+    from millrace.operators import classification as C
+
+    rng = np.random.default_rng(1)
+    x = np.concatenate([rng.normal(m, 0.3, (60, 2)) for m in ((0, 0), (5, 0), (0, 5), (5, 5))])
+    rows = [(i, [float(v) for v in r]) for i, r in enumerate(x)] + [(999, None), (1000, [0.0, 0.0]), (1001, [0.0, 0.0])]
+    df = spark.createDataFrame(rows, "id int, features array<double>").repartition(4)
+    model = C.best_kmeans(df, 4, 6, seed=3)
+    data = df.selectExpr("features AS x").where("x IS NOT NULL")
+    points = np.vstack([r["x"] for r in data.collect()])
+    costs = []
+    for centres in C._first_centres(data, 4, 6, 3):
+        assert len({tuple(c) for c in centres}) == 4
+        for _ in range(20):
+            own = C._squared(points, centres).argmin(1)
+            centres = np.array([points[own == j].mean(0) if (own == j).any() else centres[j] for j in range(4)])
+        costs.append(C._squared(points, centres).min(1).sum())
+    assert sorted(model.costs) == pytest.approx(sorted(costs), rel=1e-6) and model.cost == pytest.approx(min(costs), rel=1e-6)
+    found = model.transform(df).toPandas()
+    assert found["prediction"].isna().sum() == 1
+    known = found[found["prediction"].notna()]
+    want = C._squared(np.vstack(known["features"].to_list()), model.centres).argmin(1)
+    assert (known["prediction"].to_numpy(int) == want).all()
+
+
+def test_radial_machine_beats_the_linear_one(spark):
+    """Rings, which no plane separates; the widths' accuracies come from folds."""
+    from millrace.operators import classification as C
+
+    rng = np.random.default_rng(3)
+    radius, angle = rng.choice([1.0, 2.0, 3.0], 900), rng.uniform(0, 2 * np.pi, 900)
+    x = np.column_stack([radius * np.cos(angle), radius * np.sin(angle)]) + rng.normal(0, 0.1, (900, 2))
+    rows = [(i, int(radius[i]) - 1, [float(v) for v in x[i]]) for i in range(900)]
+    df = spark.createDataFrame(rows, "id int, label int, x array<double>")
+    train, test = df.where("id % 3 > 0"), df.where("id % 3 = 0")
+    features, model, tried = C.radial_svm(train, ["id"], "x", "label", 2)
+    linear = C.linear_svm().fit(C.features_from_array(train, "x"))
+
+    def accuracy(scored):
+        return scored.selectExpr("avg(CAST(label = prediction AS INT))").first()[0]
+
+    assert len(tried) == 5 and features.gamma == max(tried, key=lambda t: t[1])[0]
+    radial = accuracy(model.transform(features.transform(test, "x")))
+    assert radial > 0.95 > 0.7 > accuracy(linear.transform(C.features_from_array(test, "x")))
+
+
+def test_permutation_importance_equals_a_plain_loop(spark):
+    from millrace.operators import classification as C
+
+    rng = np.random.default_rng(4)
+    x = rng.normal(size=(300, 4))
+    y = (x[:, 0] + 0.3 * x[:, 1] > 0).astype(int)
+    df = spark.createDataFrame([(i, int(y[i]), [float(v) for v in x[i]]) for i in range(300)], "id int, label int, x array<double>")
+    model = C.perceptron(4, 2, (5, 3), rounds=40).fit(C.features_from_array(df, "x"))
+    net = C.NetworkScorer([4, 5, 3, 2], model.weights.toArray())
+    theirs = [r["prediction"] for r in model.transform(C.features_from_array(df, "x")).orderBy("id").collect()]
+    assert (net.rest(net.first(x)) == np.array(theirs)).all()
+    fast = {r["feature"]: r["importance"] for r in C.permutation_importance(model, df, ["id"], "x", "label", 4).collect()}
+    whole = C.MultilayerPerceptronClassificationModel
+    try:
+        C.MultilayerPerceptronClassificationModel = ()  # the way that copies rows
+        plain = {r["feature"]: r["importance"] for r in C.permutation_importance(model, df, ["id"], "x", "label", 4).collect()}
+    finally:
+        C.MultilayerPerceptronClassificationModel = whole
+    assert fast == pytest.approx(plain) and fast[0] == max(fast.values())
+
+
 def test_discriminant_equals_matrix_form(spark):
     from millrace.operators import classification as C
 
