@@ -12,7 +12,7 @@ cannot be in the answer.  The sums over the shared ones, with the lengths of bot
 most of the users that were met; the similarity of what is left is computed whole.
 
 Queries with frequent items alone, whose lists would be as long as the whole set,
-are multiplied in blocks.
+are multiplied in blocks, past which all training users stream.
 """
 
 from __future__ import annotations
@@ -22,8 +22,10 @@ from collections.abc import Sequence
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame
+import pyarrow as pa
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_type
 from pyspark.sql.window import Window
 
 from millrace.operators.ordering import positions
@@ -36,6 +38,10 @@ POSTINGS, PLACES = 4_096, 64
 PROBES, FREQUENT = 8, 0.1
 #: what rounding may add to a similarity
 SLACK = 2e-10
+#: cells and answers that a task keeps of a block of queries
+QUERY_CELLS, HELD_PAIRS = 1 << 22, 1 << 23
+#: queries, training users and items that are multiplied at once
+QUERY_ROWS, TRAIN_ROWS, ITEM_COLUMNS = 256, 8_192, 4_096
 
 
 def sparse_vectors(centred: DataFrame) -> DataFrame:
@@ -45,78 +51,163 @@ def sparse_vectors(centred: DataFrame) -> DataFrame:
     )
 
 
-def _flat(frame: pd.DataFrame) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Row numbers, items and values of all cells of a sparse frame."""
-    rows = np.repeat(np.arange(len(frame)), [len(x) for x in frame["items"]])
-    return rows, np.concatenate(frame["items"].to_list() or [[]]), np.concatenate(frame["values"].to_list() or [[]]).astype(float)
+def coded_items(cells: DataFrame) -> DataFrame:
+    """``item`` and ``code``, its number in order."""
+    known = cells.select("item").where(F.col("item").isNotNull()).distinct()
+    return positions(known, ["item"], name="code").select("item", F.col("code").cast("int").alias("code"))
 
 
-def _dense_slices(frames: Sequence[pd.DataFrame], width: int):
-    """Yield dense (rows x items) slices of several sparse frames over the same items."""
-    flat = [_flat(f) for f in frames]
-    vocabulary = np.unique(np.concatenate([items for _, items, _ in flat]))
-    coords = [(rows, np.searchsorted(vocabulary, items), values, len(f)) for (rows, items, values), f in zip(flat, frames)]
-    for start in range(0, len(vocabulary), width):
-        out = []
-        for rows, cols, values, n in coords:
-            hit = (cols >= start) & (cols < start + width)
-            dense = np.zeros((n, min(width, len(vocabulary) - start)))
-            dense[rows[hit], cols[hit] - start] = values[hit]
-            out.append(dense)
-        yield vocabulary[start : start + width], out
+def coded_vectors(cells: DataFrame, codes: DataFrame) -> DataFrame:
+    """``user`` with the arrays ``codes`` (a missing one for an item without) and ``values`` of its cells."""
+    held = cells.join(codes, "item", "left").groupBy("user").agg(F.sort_array(F.collect_list(F.struct("code", "centred"))).alias("c"))
+    return held.select("user", F.col("c.code").alias("codes"), F.col("c.centred").alias("values"))
+
+
+class _Vectors:
+    """Vectors of length one as flat arrays; those without a length are left out."""
+
+    def __init__(self, users: np.ndarray, sizes: np.ndarray, codes: np.ndarray, values: np.ndarray):
+        row = np.repeat(np.arange(len(users)), sizes)
+        length = np.sqrt(np.bincount(row, values * values, len(users)))
+        kept = length > 0
+        there = kept[row] & (codes >= 0)
+        self.users = users[kept]
+        self.row, self.codes = (np.cumsum(kept) - 1)[row[there]], codes[there]
+        self.values = values[there] / length[row[there]]
+        self.starts = np.searchsorted(self.row, np.arange(len(self.users) + 1))
+
+    @classmethod
+    def of(cls, batch: pa.RecordBatch) -> _Vectors:
+        lists, values = batch.column("codes"), batch.column("values").flatten().to_numpy(zero_copy_only=False)
+        sizes = np.diff(lists.offsets.to_numpy())
+        users = batch.column("user").to_numpy(zero_copy_only=False)
+        return cls(users, sizes, lists.flatten().fill_null(-1).to_numpy(), values.astype(float))
+
+    def dense(self, lo: int, hi: int, vocabulary: np.ndarray) -> np.ndarray:
+        """Rows ``lo`` to ``hi`` over the sorted codes of ``vocabulary``."""
+        cells = slice(self.starts[lo], self.starts[hi])
+        codes = self.codes[cells]
+        at = np.minimum(np.searchsorted(vocabulary, codes), len(vocabulary) - 1)
+        hit = vocabulary[at] == codes
+        out = np.zeros((hi - lo, len(vocabulary)))
+        out[self.row[cells][hit] - lo, at[hit]] = self.values[cells][hit]
+        return out
+
+
+class _Best:
+    """The ``nn`` best of each query so far.
+
+    Others come in the order of their ids, so one that is as similar as the last of ``nn`` held ones is never better.
+    """
+
+    def __init__(self, chunks: Sequence[_Vectors], nn: int):
+        self.chunks, self.nn = chunks, nn
+        self.sims = [np.full((len(c.users), nn), -np.inf) for c in chunks]
+        self.others = [np.zeros((len(c.users), nn), c.users.dtype) for c in chunks]
+
+    def meet(self, train: _Vectors) -> None:
+        for first in range(0, len(train.users), TRAIN_ROWS):
+            last = min(first + TRAIN_ROWS, len(train.users))
+            words = np.unique(train.codes[train.starts[first] : train.starts[last]])
+            slices = [words[i : i + ITEM_COLUMNS] for i in range(0, len(words), ITEM_COLUMNS)]
+            right = train.dense(first, last, slices[0]) if len(slices) == 1 else None
+            for queries, sims, others in zip(self.chunks, self.sims, self.others):
+                for lo in range(0, len(queries.users), QUERY_ROWS):
+                    hi = min(lo + QUERY_ROWS, len(queries.users))
+                    dots = np.zeros((hi - lo, last - first))
+                    for part in slices:
+                        left = queries.dense(lo, hi, part)
+                        if left.any():
+                            dots += left @ (train.dense(first, last, part) if right is None else right).T
+                    self._take(dots, queries.users[lo:hi], train.users[first:last], sims[lo:hi], others[lo:hi])
+
+    def _take(self, dots: np.ndarray, mine: np.ndarray, theirs: np.ndarray, sims: np.ndarray, others: np.ndarray) -> None:
+        nn = self.nn
+        least = sims[:, -1]
+        bar = least + SLACK / 10
+        if dots.shape[1] > nn + 1 and np.isneginf(least).any():
+            # one more than wanted, since the query itself may be among them
+            bar = np.maximum(bar, np.partition(dots, -nn - 1, axis=1)[:, -nn - 1] - SLACK)
+        flat = np.flatnonzero(dots > bar[:, None])
+        if not len(flat):
+            return
+        row, at = np.divmod(flat, dots.shape[1])
+        sim = np.round(dots.ravel()[flat], SIM_DIGITS)
+        better = (sim > least[row]) & (mine[row] != theirs[at])
+        row, at, sim = row[better], at[better], sim[better]
+        rows = np.unique(row)
+        all_rows = np.concatenate([np.repeat(rows, nn), row])
+        all_sims = np.concatenate([sims[rows].ravel(), sim])
+        all_others = np.concatenate([others[rows].ravel(), theirs[at]])
+        order = np.lexsort((-all_sims, all_rows))  # stable: earlier ids first among equals
+        all_rows = all_rows[order]
+        place = np.arange(len(order)) - np.searchsorted(all_rows, all_rows)
+        order = order[place < nn]
+        sims[rows] = all_sims[order].reshape(len(rows), nn)
+        others[rows] = all_others[order].reshape(len(rows), nn)
+
+    def found(self):
+        for queries, sims, others in zip(self.chunks, self.sims, self.others):
+            row, rank = np.nonzero(~np.isneginf(sims))
+            yield queries.users[row], others[row, rank], sims[row, rank], rank + 1
+
+
+def _streamed(nn: int, kinds: pa.DataType):
+    """Blocks of queries, each followed by all training users in the order of their ids."""
+
+    def out(best: _Best):
+        for user, other, sim, rank in best.found():
+            columns = [pa.array(user, kinds), pa.array(other, kinds), pa.array(sim), pa.array(rank, pa.int32())]
+            yield pa.RecordBatch.from_arrays(columns, ["user", "other", "sim", "rank"])
+
+    def run(batches):
+        block, chunks, best = None, [], None
+        for batch in batches:
+            marks = 2 * batch.column("qb").to_numpy().astype(np.int64) + batch.column("side").to_numpy()
+            cuts = [0, *(np.flatnonzero(np.diff(marks)) + 1).tolist(), len(marks)]
+            for lo, hi in zip(cuts[:-1], cuts[1:]):
+                if hi == lo:
+                    continue
+                qb, side = divmod(int(marks[lo]), 2)
+                if qb != block:
+                    if best is not None:
+                        yield from out(best)
+                    block, chunks, best = qb, [], None
+                vectors = _Vectors.of(batch.slice(lo, hi - lo))
+                if not side:
+                    chunks.append(vectors)
+                else:
+                    best = best or _Best(chunks, nn)
+                    best.meet(vectors)
+        if best is not None:
+            yield from out(best)
+
+    return run
+
+
+def _query_blocks(n: int, cells: int, nn: int, block: int, cores: int) -> int:
+    return max(1, math.ceil(cells / QUERY_CELLS), math.ceil(n * nn / HELD_PAIRS), min(math.ceil(n / block), 2 * cores))
 
 
 def nearest_in_blocks(queries: DataFrame, train: DataFrame, nn: int, block: int) -> DataFrame:
-    """The ``nn`` best per query by multiplying blocks of about ``block`` users.
+    """The ``nn`` best per query by multiplying blocks of queries with all training users.
 
-    Every block of queries meets every block of training users; a task
-    multiplies a pair of blocks and keeps the ``nn`` best per query.  No pair list is shuffled, but every vector is sent to each
-    block of the other side.
+    A task holds the queries of a block and the best of each; the training users
+    come past in batches, in the order of their ids.  Training vectors are sent
+    once per block, and blocks are as few as memory and ``block`` users per core
+    let them be; no pair leaves its task but the ``nn`` best.
     """
-    kind = train.schema["user"].dataType.simpleString()
-    q, s = sparse_vectors(queries), sparse_vectors(train)
-    q_blocks = max(1, math.ceil(queries.select("user").distinct().count() / block))
-    s_blocks = max(1, math.ceil(train.select("user").distinct().count() / block))
-
-    def block_of(n: int) -> Column:
-        return F.pmod(F.xxhash64("user"), F.lit(n)).cast("int")
-
-    def every(n: int) -> Column:
-        return F.explode(F.sequence(F.lit(0), F.lit(n - 1)))
-
-    left = q.withColumn("qb", block_of(q_blocks)).withColumn("sb", every(s_blocks))
-    right = s.withColumn("sb", block_of(s_blocks)).withColumn("qb", every(q_blocks))
-    right = right.select(*[F.col(c).alias(f"r_{c}") for c in right.columns])
-
-    def best(a: pd.DataFrame, b: pd.DataFrame) -> pd.DataFrame:
-        empty = pd.DataFrame({"user": [], "other": [], "sim": []})
-        if a.empty or b.empty:
-            return empty
-        b = b.rename(columns=lambda c: c.removeprefix("r_"))
-        dots = np.zeros((len(a), len(b)))
-        for _, (x, y) in _dense_slices([a, b], 4096):
-            dots += x @ y.T
-        norm_a = np.array([np.sqrt(np.dot(v, v)) for v in a["values"]])
-        norm_b = np.array([np.sqrt(np.dot(v, v)) for v in b["values"]])
-        scale = np.outer(norm_a, norm_b)
-        sims = np.divide(dots, scale, out=np.full_like(dots, -np.inf), where=scale > 0)
-        ids = b["user"].to_numpy()
-        order = np.argsort(ids, kind="stable")
-        ids, sims = ids[order], np.round(sims[:, order], SIM_DIGITS)
-        sims[a["user"].to_numpy()[:, None] == ids[None, :]] = -np.inf
-        keep = np.argsort(-sims, axis=1, kind="stable")[:, :nn]
-        found = np.take_along_axis(sims, keep, axis=1)
-        rows = np.repeat(np.arange(len(a)), keep.shape[1])
-        out = pd.DataFrame(
-            {"user": a["user"].to_numpy()[rows], "other": ids[keep.ravel()], "sim": found.ravel()}
-        )
-        return out[np.isfinite(out["sim"])]
-
-    cells = left.groupBy("qb", "sb").cogroup(right.groupBy("r_qb", "r_sb")).applyInPandas(
-        best, f"user {kind}, other {kind}, sim double"
-    )
-    w = Window.partitionBy("user").orderBy(F.desc("sim"), "other")
-    return cells.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= nn)
+    codes = stable(coded_items(train))
+    q, s = (stable(coded_vectors(x.where(F.col("user").isNotNull()), codes)) for x in (queries, train))
+    n, cells = q.agg(F.count(F.lit(1)), F.sum(F.size("codes"))).first()
+    cores = queries.sparkSession.sparkContext.defaultParallelism
+    blocks = _query_blocks(n, cells or 0, nn, block, cores)
+    asked = q.select(F.pmod(F.xxhash64("user"), F.lit(blocks)).cast("int").alias("qb"), F.lit(0).alias("side"), "user", "codes", "values")
+    every = F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))).alias("qb")
+    met = s.select(every, F.lit(1).alias("side"), "user", "codes", "values")
+    kind = train.schema["user"].dataType
+    rows = asked.unionByName(met).repartitionById(blocks, "qb").sortWithinPartitions("qb", "side", "user")
+    return rows.mapInArrow(_streamed(nn, to_arrow_type(kind)), f"user {kind.simpleString()}, other {kind.simpleString()}, sim double, rank int")
 
 
 def _unit(vectors: DataFrame) -> DataFrame:
@@ -236,12 +327,12 @@ def nearest_users(queries: DataFrame, train: DataFrame, nn: int, block: int = 10
     dear = stable(heads.groupBy("user").agg(F.sum("n").alias("cost")).where(F.col("cost") > n_train).select("user"))
     out = None
     if dear.limit(1).count():
-        out = nearest_in_blocks(queries.join(dear, "user", "left_semi"), train, nn, block).drop("rank")
+        out = nearest_in_blocks(queries.join(dear, "user", "left_semi"), train, nn, block)
     cheap = heads.join(dear, "user", "left_anti")
     if cheap.limit(1).count() or out is None:
         found = stable(_whole_similarity(candidate_pairs(cheap, held), cells, held).withColumn("sim", F.round("sim", SIM_DIGITS)))
         asked = cells.join(dear, "user", "left_anti")
-        part = _with_strangers(found, asked, held, nn)
+        w = Window.partitionBy("user").orderBy(F.desc("sim"), "other")
+        part = _with_strangers(found, asked, held, nn).withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= nn)
         out = part if out is None else out.unionByName(part)
-    w = Window.partitionBy("user").orderBy(F.desc("sim"), "other")
-    return out.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= nn)
+    return out

@@ -16,8 +16,9 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from millrace.operators import sampling
-from millrace.operators.neighbours import SIM_DIGITS, nearest_users, sparse_vectors
+from millrace.operators.neighbours import SIM_DIGITS, coded_items, coded_vectors, nearest_users, sparse_vectors
 from millrace.operators.ordering import positions
+from millrace.session import stable
 
 ITEM_CHUNK = 1024
 #: users that meet one copy of an item list, popular items in such a list
@@ -166,12 +167,17 @@ def user_cf(train: DataFrame, known: DataFrame, nn: int = 50, block: int = 1024)
     """
     mine, theirs = centre(known), centre(train)
     near = nearest_users(mine, theirs, nn, block).select("user", "other", "sim")
-    theirs = theirs.select(F.col("user").alias("other"), "item", "centred")
-    weighed = near.join(theirs, "other").groupBy("user", "item").agg(
-        F.try_divide(F.sum(F.col("sim") * F.col("centred")), F.sum(F.abs("sim"))).alias("p")
+    codes = stable(coded_items(theirs))
+    vectors = coded_vectors(theirs, codes).withColumnRenamed("user", "other")
+    # whole vectors go to the user; their cells are made where they are added up
+    met = near.join(vectors, "other").select("user", "sim", "codes", "values").repartition("user")
+    cells = met.select("user", "sim", F.explode(F.arrays_zip("codes", "values")).alias("c")).select("user", "sim", "c.codes", "c.values")
+    weighed = cells.groupBy("user", F.col("codes").alias("code")).agg(
+        F.try_divide(F.sum(F.col("sim") * F.col("values")), F.sum(F.abs("sim"))).alias("p")
     )
     return (
         weighed.where(F.col("p").isNotNull())
+        .join(codes, "code")
         .join(known.select("user", "item"), ["user", "item"], "left_anti")
         .join(user_means(known), "user")
         .select("user", "item", (F.col("mean") + F.col("p")).alias("prediction"))

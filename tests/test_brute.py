@@ -350,6 +350,47 @@ def test_nearest_users_in_blocks(cells):
         assert mine["other"].tolist() == [users[k] for k in order]
 
 
+def test_blocks_send_few_copies(spark):
+    """Training vectors are sent once per block of queries, not once per thousand of them; no pair of users is shuffled."""
+    assert neighbours._query_blocks(900_000, 900_000 * 25, 50, 1024, 12) <= 24
+    rows = [(u, f"i{i}", float((u * i) % 5)) for u in range(40) for i in range(1, 9)]
+    df = spark.createDataFrame(rows, "user int, item string, centred double")
+    plan = neighbours.nearest_in_blocks(df, df, 3, 4)._jdf.queryExecution().executedPlan().toString()
+    assert "CoGroup" not in plan and plan.count("Exchange") == 1
+
+
+def test_neighbours_cells_stay_in_their_task(spark, cells):
+    """Whole vectors of neighbours are sent to a user; a row per neighbour and item is not."""
+    plan = recommend.user_cf(cells[1], cells[1], 5)._jdf.queryExecution().executedPlan().toString().splitlines()
+    made = next(i for i, line in enumerate(plan) if "Generate" in line and "arrays_zip" in line)
+    above = next(line for line in reversed(plan[:made]) if "Exchange" in line)
+    assert "code" in above and "partial" not in above
+    aggregates = [i for i, line in enumerate(plan[:made]) if "Aggregate" in line]
+    assert not any("Exchange" in line for line in plan[aggregates[-2] : made])
+
+
+def test_best_so_far_in_small_tiles(monkeypatch):
+    """Batches, tiles, slices of items and equal vectors, against a full sort."""
+    for name, n in (("QUERY_ROWS", 4), ("TRAIN_ROWS", 7), ("ITEM_COLUMNS", 3)):
+        monkeypatch.setattr(neighbours, name, n)
+    rng = np.random.default_rng(4)
+    m = rng.integers(-1, 2, (40, 8)).astype(float)
+    m[5], m[17], m[33] = 0.0, m[2], m[2]
+
+    def packed(lo, hi):
+        return neighbours._Vectors(np.arange(lo, hi), np.full(hi - lo, 8), np.tile(np.arange(8), hi - lo), m[lo:hi].ravel())
+
+    best = neighbours._Best([packed(0, 15), packed(15, 40)], 6)
+    for lo in range(0, 40, 10):
+        best.meet(packed(lo, lo + 10))
+    got = {}
+    for user, other, sim, rank in best.found():
+        for u, o, s, r in zip(user.tolist(), other.tolist(), sim.tolist(), rank.tolist()):
+            got.setdefault(u, []).append((r, o, s + 0.0))
+    want = nearest_by_hand(pd.DataFrame([(u, i, m[u, i]) for u in range(40) for i in range(8)], columns=["user", "item", "centred"]), 6)
+    assert {u: [(o, s) for _, o, s in sorted(x)] for u, x in got.items()} == want
+
+
 def nearest_by_hand(pdf, nn):
     """The nearest users of each, from all pairs."""
     wide = pdf.pivot(index="user", columns="item", values="centred").fillna(0)
