@@ -335,6 +335,17 @@ def cells(spark):
     return pdf, spark.createDataFrame(pdf)
 
 
+def test_bootstrap_hashes_once(spark):
+    """One hash a row and resample, not one for each of 18 comparisons and again in the filter."""
+    df = spark.range(200).withColumnRenamed("id", "k")
+    out = sampling.bootstrap(df, ["k"], 10, 3)
+    assert out._jdf.queryExecution().optimizedPlan().toString().count("md5(") == 1
+    u = df.withColumn("resample", F.explode(F.sequence(F.lit(1), F.lit(10)))).withColumn("u", sampling.hash_unit(["k", "resample"], 3)).collect()
+    steps = np.cumsum([math.exp(-1.0) / math.factorial(i) for i in range(18)])
+    want = {(r["k"], r["resample"]): int((r["u"] >= steps).sum()) for r in u}
+    assert {(r["k"], r["resample"]): r["draws"] for r in out.collect()} == {k: n for k, n in want.items() if n}
+
+
 def test_nearest_users_in_blocks(cells):
     pdf, df = cells
     centred = recommend.centre(df).select("user", "item", "centred")
