@@ -138,24 +138,55 @@ def random_ratings(known: DataFrame, items: DataFrame, lo: float, hi: float, see
 def _co_rated(frame: pd.DataFrame, most: int = 1 << 20):
     """Yield ``(item, other, dot)`` over the pairs of items that a user rated both, added up.
 
-    Users are taken together as long as their pairs stay under ``most``; one
-    user's pairs are made in pieces of that size.
+    Items are numbered.  Few items have a matrix of all their pairs, ``most``
+    at the most, to which users are added as matrix products.  Otherwise users
+    are taken together as long as their pairs stay under ``most``; one user's
+    pairs are made in pieces of that size.  A missing value adds nothing.
     """
     sizes = frame["items"].map(len).to_numpy()
-    group = np.cumsum(sizes.astype(np.int64) ** 2) // most
-    for _, part in frame.groupby(group, sort=False):
-        firsts, seconds, products = [], [], []
-        for items, values in zip(part["items"], part["values"]):
-            step = max(1, most // max(1, len(items)))
-            for lo in range(0, len(items), step):
-                firsts.append(np.repeat(items[lo : lo + step], len(items)))
-                seconds.append(np.tile(items, len(items[lo : lo + step])))
-                products.append(np.outer(values[lo : lo + step], values).ravel())
-                if len(items) > step:
-                    yield pd.DataFrame({"item": firsts.pop(), "other": seconds.pop(), "dot": products.pop()})
-        if firsts:
-            pairs = pd.DataFrame({"item": np.concatenate(firsts), "other": np.concatenate(seconds), "dot": np.concatenate(products)})
-            yield pairs.groupby(["item", "other"], sort=False, as_index=False)["dot"].sum()
+    codes, names = pd.factorize(np.concatenate(frame["items"].to_list() or [[]]))
+    values = np.concatenate(frame["values"].to_list() or [[]]).astype(float)
+    values[np.isnan(values)] = 0.0
+    rows = np.repeat(np.arange(len(frame)), sizes)[codes >= 0]
+    values, codes = values[codes >= 0], codes[codes >= 0]
+    starts, width = np.searchsorted(rows, np.arange(len(frame) + 1)), len(names)
+
+    def named(first: np.ndarray, second: np.ndarray, dots: np.ndarray) -> pd.DataFrame:
+        return pd.DataFrame({"item": names[first], "other": names[second], "dot": dots})
+
+    if 0 < width * width <= most:
+        dots, seen = np.zeros((width, width)), np.zeros((width, width), bool)
+        step = max(1, most // width)
+        for lo in range(0, len(frame), step):
+            cells = slice(starts[lo], starts[min(lo + step, len(frame))])
+            x, there = (np.zeros((min(step, len(frame) - lo), width)) for _ in range(2))
+            np.add.at(x, (rows[cells] - lo, codes[cells]), values[cells])
+            there[rows[cells] - lo, codes[cells]] = 1.0
+            dots += x.T @ x
+            seen |= there.T @ there > 0
+        first, second = np.nonzero(seen)
+        yield named(first, second, dots[first, second])
+        return
+
+    keys, products, held = [], [], 0
+
+    def summed() -> pd.DataFrame:
+        pairs, at = np.unique(np.concatenate(keys), return_inverse=True)
+        return named(pairs // width, pairs % width, np.bincount(at, np.concatenate(products), len(pairs)))
+
+    for lo, hi in zip(starts[:-1], starts[1:]):
+        step = max(1, most // max(1, hi - lo))
+        for i in range(lo, hi, step):
+            part = slice(i, min(i + step, hi))
+            size = (part.stop - part.start) * (hi - lo)
+            if held and held + size > most:
+                yield summed()
+                keys, products, held = [], [], 0
+            keys.append((codes[part].astype(np.int64)[:, None] * width + codes[lo:hi]).ravel())
+            products.append(np.outer(values[part], values[lo:hi]).ravel())
+            held += size
+    if held:
+        yield summed()
 
 
 def user_cf(train: DataFrame, known: DataFrame, nn: int = 50, block: int = 1024) -> DataFrame:

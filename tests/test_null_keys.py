@@ -1,6 +1,7 @@
 """NULL and text keys, missing predictions, calendar gaps, and series solved by themselves."""
 
 import datetime as dt
+import tracemalloc
 
 import numpy as np
 import pandas as pd
@@ -99,6 +100,26 @@ def test_co_rated_products_in_pieces():
         assert got == pytest.approx(want)
 
 
+def test_co_rated_products_hold_little():
+    """Peak memory of a full batch: numbers and one matrix, not names and products of all pairs."""
+    rng = np.random.default_rng(3)
+    names = np.array([f"Brand#{i}" for i in range(25)], object)
+    frame = pd.DataFrame({"items": [names] * 10_000})
+    frame["values"] = [rng.normal(size=25) for _ in range(10_000)]
+    tracemalloc.start()
+    parts = list(recommend._co_rated(frame))
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert len(parts) == 1 and len(parts[0]) == 625 and peak < 24 << 20
+
+
+def test_co_rated_missing_names_and_values():
+    frame = pd.DataFrame({"items": [np.array(["a", None, "b"], object), np.array(["b", "a"], object)], "values": [np.array([1.0, 5.0, np.nan]), np.array([2.0, 3.0])]})
+    for most in (1 << 20, 3):
+        got = pd.concat(recommend._co_rated(frame, most)).groupby(["item", "other"])["dot"].sum().to_dict()
+        assert got == {("a", "a"): 10.0, ("a", "b"): 6.0, ("b", "a"): 6.0, ("b", "b"): 4.0}
+
+
 def test_item_lists_meet_users_in_copies(spark, monkeypatch):
     rng = np.random.default_rng(8)
     rows = [(u, f"i{i:02d}", float(rng.integers(1, 6))) for u in range(40) for i in range(30) if rng.random() < 0.4]
