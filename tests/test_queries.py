@@ -5,6 +5,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from __spark_entry__ import oracle_sql, queries
+from millrace.operators import topics
 from tests.conftest import DATA
 
 QUERIES = queries()
@@ -39,8 +40,6 @@ def test_topics_explain_the_words_as_well_as_the_library_model(spark):
     from pyspark.ml.clustering import LDA
     from pyspark.ml.feature import CountVectorizer
 
-    from millrace.operators import topics
-
     rng = np.random.default_rng(6)
     vocabulary = [f"word{i:03d}" for i in range(150)]
     kinds = rng.dirichlet(np.full(150, 0.1), 3)
@@ -72,6 +71,28 @@ def test_topics_explain_the_words_as_well_as_the_library_model(spark):
     assert new["gamma"] == pytest.approx([1 / 3] * 3) and new["topic"] == 1
 
 
+def test_topics_in_blocks(spark, monkeypatch):
+    """Many blocks give the sums of one; documents stay in place and only sums per block and term are exchanged."""
+    rng = np.random.default_rng(6)
+    rows = [(i if i else None, " ".join(f"word{j:03d}" for j in rng.integers(0, 60, 20)) + f" own{i}") for i in range(80)]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string")
+
+    def weights():
+        return {r["term"]: [r["t0"], r["t1"], r["t2"]] for r in topics.fit_topics(docs, "doc_id", "text", 3, max_iter=3).weights.collect()}
+
+    one = weights()
+    monkeypatch.setattr(topics, "LEAST_CELLS", 100)
+    many = weights()
+    assert set(one) == set(many) and len(one) == 140
+    for term, w in one.items():
+        assert many[term] == pytest.approx(w, rel=1e-9)
+    held, _, n_terms, n_shared = topics._blocks(topics._cells(docs, "doc_id", "text", 3), 3, 1)
+    assert held.select("block").distinct().count() > 2 and (n_terms, n_shared) == (140, 60)
+    other = spark.range(3).select(F.col("id").cast("int").alias("block"), F.lit(0).alias("x"))
+    both = held.groupBy("block").cogroup(other.groupBy("block")).applyInArrow(lambda a, b: a.select(["place"]), "place long")
+    assert both._jdf.queryExecution().executedPlan().toString().count("Exchange") == 1
+
+
 def test_folds_cover_all_rows(spark):
     got = run(spark, "R12_cross_validation").collect()
     assert len(got) == 10
