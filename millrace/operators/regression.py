@@ -72,13 +72,21 @@ def _numbers(df: DataFrame, y: str, exprs: dict[str, Column], keys: Sequence[str
 def gram(df: DataFrame, y: str, x: Sequence[str] | dict[str, Column]) -> Gram:
     """Cross products of the complete rows.
 
-    Products are taken about the means, which a first scan finds; this keeps
-    large offsets (years, epoch seconds) from cancelling.
+    Products are taken about the means, which keeps large offsets (years, epoch
+    seconds) from cancelling.  Few columns take one scan, which moves the means
+    along; for many a first scan finds them.
     """
     exprs = _predictors(x)
     names = list(exprs)
     p = len(names) + 1
     data = _numbers(df, y, exprs, [])
+    if p <= MAX_JVM_COLUMNS // 2:
+        n = F.count(F.lit(1))
+        upper = [F.covar_pop(f"x{i}", f"x{j}") * n for i in range(p) for j in range(i, p)]
+        row = data.agg(n.alias("n"), F.array(*[F.avg(f"x{i}") for i in range(p)]).alias("means"), F.array(*upper).alias("upper")).first()
+        if not row["n"]:
+            raise ValueError("no complete rows")
+        return Gram(names, y, exprs, *_unpacked(row["n"], np.array(row["means"]), np.zeros(p), np.array(row["upper"])))
     first = data.agg(*[F.avg(f"x{i}").alias(f"m{i}") for i in range(p)]).first()
     centre = np.array([first[i] if first[i] is not None else 0.0 for i in range(p)])
     row = (_cross_columns if p <= MAX_JVM_COLUMNS else _cross_batches)(data, centre).first()

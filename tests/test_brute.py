@@ -335,6 +335,22 @@ def cells(spark):
     return pdf, spark.createDataFrame(pdf)
 
 
+def test_gram_of_few_columns_reads_its_rows_once(spark):
+    rng = np.random.default_rng(5)
+    rows = [(float(a), 1e9 + float(b), float(a) - 2 * float(b) + 7) for a, b in rng.normal(size=(200, 2))]
+    read = spark.sparkContext.accumulator(0)
+
+    def seen(r):
+        read.add(1)
+        return r
+
+    df = spark.createDataFrame(spark.sparkContext.parallelize(rows, 4).map(seen), "a double, b double, y double")
+    got = regression.gram(df, "y", ["a", "b"])
+    assert read.value == 200
+    m = np.array(rows)
+    assert got.means == pytest.approx(m.mean(axis=0)) and got.about_mean() == pytest.approx((m - m.mean(axis=0)).T @ (m - m.mean(axis=0)), rel=1e-6)
+
+
 def test_bootstrap_hashes_once(spark):
     """One hash a row and resample, not one for each of 18 comparisons and again in the filter."""
     df = spark.range(200).withColumnRenamed("id", "k")
