@@ -5,10 +5,11 @@ import math
 import numpy as np
 import pandas as pd
 import pytest
+from pyspark.ml.classification import OneVsRest
 from pyspark.sql import functions as F
 
 from millrace.functions import tails
-from millrace.operators import charts, forecasting, neighbours, ordering, recommend, regression, sampling, smoothing, survival, timeseries
+from millrace.operators import charts, classification, forecasting, neighbours, ordering, recommend, regression, sampling, smoothing, survival, timeseries
 from millrace.operators.ordering import ntile_global, positions, quantiles, ranks, running
 from millrace.operators.windows import top_n
 
@@ -694,3 +695,30 @@ def test_short_series_beside_a_long_one(spark, seasonal):
     assert forecasting.augment(model, "key").where("key = 'nulls'").count() == 40
     assert forecasting.glance(model, "key", 12).count() == 9
     assert forecasting.sweep(model, both, "key", 6).count() == 2 * both.count() + 54
+
+
+@pytest.fixture
+def scattered(spark):
+    """Two classes apart, in far more partitions than there are cores, as a join of two hundred leaves them."""
+    rng = np.random.default_rng(31)
+    rows = [(i, i % 2, [float(v) for v in rng.normal(3.0 * (i % 2), 0.5, 3)]) for i in range(240)]
+    df = spark.createDataFrame(rows, "vec_id long, label int, embedding array<double>").repartition(60)
+    return classification.features_from_array(df, "embedding")
+
+
+def _parts_of_fit(monkeypatch, kind):
+    seen, fit = [], kind._fit
+
+    def spied(self, dataset):
+        seen.append(dataset.rdd.getNumPartitions())
+        return fit(self, dataset)
+
+    monkeypatch.setattr(kind, "_fit", spied)
+    return seen
+
+
+def test_linear_machines_fit_packed_rows(spark, scattered, monkeypatch):
+    seen = _parts_of_fit(monkeypatch, OneVsRest)
+    got = classification.linear_svm(rounds=3).fit(scattered).transform(scattered)
+    assert seen and max(seen) <= spark.sparkContext.defaultParallelism
+    assert got.count() == 240 == got.where("prediction = label").count()
