@@ -6,6 +6,7 @@ import numpy as np
 import pandas as pd
 import pytest
 from pyspark.ml.classification import OneVsRest
+from pyspark.ml.tuning import CrossValidator
 from pyspark.sql import functions as F
 
 from millrace.functions import tails
@@ -722,3 +723,11 @@ def test_linear_machines_fit_packed_rows(spark, scattered, monkeypatch):
     got = classification.linear_svm(rounds=3).fit(scattered).transform(scattered)
     assert seen and max(seen) <= spark.sparkContext.defaultParallelism
     assert got.count() == 240 == got.where("prediction = label").count()
+
+
+def test_grid_search_fits_packed_rows(spark, scattered, monkeypatch):
+    seen = _parts_of_fit(monkeypatch, CrossValidator)
+    model, table = classification.grid_search(scattered, classification.tree(), {"maxDepth": [1, 2]}, folds=2)
+    assert seen and max(seen) <= spark.sparkContext.defaultParallelism
+    assert sorted(r["parameters"] for r in table.collect()) == ["maxDepth=1", "maxDepth=2"]
+    assert model.transform(scattered).where("prediction = label").count() == 240
