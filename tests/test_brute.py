@@ -175,6 +175,37 @@ def test_pairwise_t_of_many_levels(spark, many_ranges):
     assert 0 < (got["p_holm"] < 0.05).sum() < len(got)
 
 
+def test_pairwise_t_sorts_only_telling_pairs(spark, many_ranges, monkeypatch):
+    """Three blocks of levels; the others need no place in the order of p, and pairs come with the greater level first."""
+    rng = np.random.default_rng(9)
+    pdf = pd.DataFrame({"g": [f"g{i:04d}" for i in range(1100)] * 2, "x": rng.normal(size=2200)})
+    pdf.loc[pdf["g"] < "g0004", "x"] += 15.0
+    sizes, plain = [], regression.positions
+
+    def spied(df, *rest, **named):
+        sizes.append(df.count())
+        return plain(df, *rest, **named)
+
+    monkeypatch.setattr(regression, "positions", spied)
+    got = regression.pairwise_t(spark.createDataFrame(pdf), "x", "g").toPandas()
+    assert sizes[0] == 1100 and 4 * 1096 <= sizes[1] < 6000
+    assert len(got) == 1100 * 1099 // 2 == got[["level_a", "level_b"]].drop_duplicates().shape[0]
+    assert (got["level_a"] > got["level_b"]).all()
+    got = got.sort_values("p")
+    p = got["p"].to_numpy()
+    assert got["p_holm"].to_numpy() == pytest.approx(np.maximum.accumulate(np.minimum(1.0, p * (len(p) - np.arange(len(p))))), abs=1e-12)
+
+
+def test_pairwise_t_without_spread_or_freedom(spark):
+    def of(rows):
+        return [tuple(r) for r in regression.pairwise_t(spark.createDataFrame(rows, "g string, x double"), "x", "g").orderBy("level_a", "level_b").collect()]
+
+    assert of([("a", 1.0), ("a", 1.0), ("b", 2.0), ("b", 2.0)]) == [("b", "a", None, None, None)]
+    assert of([("a", 1.0), ("b", 2.0)]) == [("b", "a", None, None, None)]
+    assert of([("a", 1.0), ("a", 2.0), (None, 3.0), ("b", None)]) == []
+
+
+
 def test_model_per_group(spark):
     """100,000 groups, and small ones against a plain solver: collinear, too short, missing values, a NULL key."""
     many = spark.range(400_000).select((F.col("id") % 100_000).alias("k"), F.floor(F.col("id") / 100_000).alias("x"))
