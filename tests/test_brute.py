@@ -762,3 +762,10 @@ def test_grid_search_fits_packed_rows(spark, scattered, monkeypatch):
     assert seen and max(seen) <= spark.sparkContext.defaultParallelism
     assert sorted(r["parameters"] for r in table.collect()) == ["maxDepth=1", "maxDepth=2"]
     assert model.transform(scattered).where("prediction = label").count() == 240
+
+
+def test_boosted_machines_fit_packed_rows(spark, scattered, monkeypatch):
+    seen = _parts_of_fit(monkeypatch, OneVsRest)
+    got = classification.boosted(rounds=2).fit(scattered).transform(scattered)
+    assert seen and max(seen) <= spark.sparkContext.defaultParallelism
+    assert got.count() == 240 == got.where("prediction = label").count()
