@@ -769,3 +769,16 @@ def test_boosted_machines_fit_packed_rows(spark, scattered, monkeypatch):
     got = classification.boosted(rounds=2).fit(scattered).transform(scattered)
     assert seen and max(seen) <= spark.sparkContext.defaultParallelism
     assert got.count() == 240 == got.where("prediction = label").count()
+
+
+def test_radial_machines_add_up_packed_rows(spark, scattered, monkeypatch):
+    seen, plain = [], type(scattered).mapInPandas
+
+    def spied(self, *rest, **named):
+        seen.append(self.rdd.getNumPartitions())
+        return plain(self, *rest, **named)
+
+    monkeypatch.setattr(type(scattered), "mapInPandas", spied)
+    got = classification.choose_gamma(scattered, ["vec_id"], "embedding", "label", 3, [0.1, 0.5], n=16, folds=2)
+    assert len(seen) == 2 and max(seen) <= spark.sparkContext.defaultParallelism
+    assert [g for g, _ in got] == [0.1, 0.5] and max(a for _, a in got) > 0.95
