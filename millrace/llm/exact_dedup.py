@@ -67,6 +67,8 @@ def _merged(largest: bool):
         held = None
         for batch in batches:
             t = pa.Table.from_batches([batch])
+            # a column that Spark knows to have no nulls comes as such, that of a held entry does not
+            t = t.cast(pa.schema([f.with_nullable(True) for f in t.schema]))
             t = pa.concat_tables([held, t]) if held is not None else t
             if not t.num_rows:
                 continue

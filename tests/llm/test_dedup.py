@@ -40,6 +40,16 @@ def test_exact_groups(spark, keep, partitions):
     assert Counter(tuple(r) for r in got) == want
 
 
+def test_runs_of_several_batches(spark):
+    # an Arrow batch holds 10,000 rows, so each partition merges three
+    rows = spark.range(0, 60_000, 1, 2).select(F.col("id").alias("doc_id"), F.concat(F.lit("Text "), F.col("id") % 25_000).alias("text"))
+    got = exact_dedup.exact_groups(rows, partitions=4)
+    sizes = {(r["group_size"], r["kept"]): r["count"] for r in got.groupBy("group_size", "kept").count().collect()}
+    assert sizes == {(3, True): 10_000, (3, False): 20_000, (2, True): 15_000, (2, False): 15_000}
+    assert got.where(F.col("keep_id") != F.col("doc_id") % 25_000).count() == 0
+    assert exact_dedup.without_copies(rows, keep="max").agg(F.min("doc_id"), F.count("doc_id")).first() == (35_000, 25_000)
+
+
 def test_copies_go(spark):
     left = exact_dedup.without_copies(docs(spark, ODD))
     assert left.columns == [c.split()[0] for c in DOC.split(", ")]
