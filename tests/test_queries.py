@@ -93,6 +93,27 @@ def test_topics_in_blocks(spark, monkeypatch):
     assert both._jdf.queryExecution().executedPlan().toString().count("Exchange") == 1
 
 
+def test_topic_steps_exchange_packed_sums(spark, monkeypatch):
+    """A step reads a row per piece of a block; keys of several rows are one document, rare terms may be left out."""
+    monkeypatch.setattr(topics, "LEAST_CELLS", 100)
+    monkeypatch.setattr(topics, "PIECE_CELLS", 50)
+    rng = np.random.default_rng(7)
+    rows = [(i // 2 if i > 5 else None, " ".join(f"word{j:02d}" for j in rng.integers(0, 40, 30)) + f" own{i}") for i in range(120)]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string")
+    held, terms, n_terms, n_shared = topics._blocks(topics._cells(docs, "doc_id", "text", 3), 2, 1)
+    packed = held.select("block", F.expr("octet_length(ns) div 4").alias("cells"), F.expr("octet_length(firsts) div 4").alias("docs")).collect()
+    want = {(d, w) for d, text in rows for w in text.split()}
+    assert sum(r["cells"] for r in packed) == len(want) and sum(r["docs"] for r in packed) == len({d for d, _ in rows})
+    assert len(packed) <= 2 * len(want) / 50 + 16 and n_terms == 160 == terms.select("home", "slot").distinct().count()
+    model = topics.fit_topics(docs, "doc_id", "text", 2, max_iter=2)
+    assert sum(model.totals) == pytest.approx(120 * 31)
+    often = topics.fit_topics(docs, "doc_id", "text", 2, max_iter=2, min_docs=2)
+    assert {r["term"] for r in often.weights.collect()} == {f"word{j:02d}" for j in range(40)}
+    assert sum(often.totals) == pytest.approx(120 * 30)
+    found = model.assign_terms(docs, "text").collect()
+    assert {(r["doc_id"], r["term"]) for r in found} == want and len(found) == len(want)
+
+
 def test_folds_cover_all_rows(spark):
     got = run(spark, "R12_cross_validation").collect()
     assert len(got) == 10
