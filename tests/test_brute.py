@@ -196,6 +196,18 @@ def test_pairwise_t_sorts_only_telling_pairs(spark, many_ranges, monkeypatch):
     assert got["p_holm"].to_numpy() == pytest.approx(np.maximum.accumulate(np.minimum(1.0, p * (len(p) - np.arange(len(p))))), abs=1e-12)
 
 
+def test_pairs_of_blocks_are_numbers_until_they_are_dealt_out(spark, monkeypatch):
+    """The levels of a block must not be copied per pair below a join, which would broadcast them all."""
+    monkeypatch.setattr(regression, "LEVELS_PER_BLOCK", 8)
+    levels = spark.range(1, 101).select(F.col("id").alias("i"), F.col("id").cast("string").alias("g"), F.lit(2).alias("n"), F.lit(1.5).alias("m"))
+    cells = regression._level_blocks(levels, 100)
+    made = [x for x in cells._jdf.queryExecution().executedPlan().toString().splitlines() if "Generate explode" in x]
+    assert made and all(x.split("), [")[1].startswith("block#") and "r#" not in x for x in made)
+    rows = cells.collect()
+    met = [(i, j) for r in rows for i in r["a_i"] for j in r["b_i"] if i > j]
+    assert len(rows) == 13 * 14 // 2 and len(met) == len(set(met)) == 100 * 99 // 2
+
+
 def test_pairwise_t_without_spread_or_freedom(spark):
     def of(rows):
         return [tuple(r) for r in regression.pairwise_t(spark.createDataFrame(rows, "g string, x double"), "x", "g").orderBy("level_a", "level_b").collect()]
